@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark.functions.times import WEEKDAY_LABELS
 
@@ -14,15 +15,15 @@ def first_letter_of(text: str | None) -> str | None:
 
 
 # Wrapped function; Arrow moves the rows in batches.
-first_letter_udf = F.udf(first_letter_of, "string", useArrow=True)
+first_letter_udf = F.udf(first_letter_of, StringType(), useArrow=True)
 
 
-@F.udf("string", useArrow=True)
+@F.udf(StringType(), useArrow=True)
 def weekday_label_udf(day: str | None) -> str | None:
     return WEEKDAY_LABELS.get(day)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def first_letter_vectorised(text: pd.Series) -> pd.Series:
     return text.str[0:1]
 

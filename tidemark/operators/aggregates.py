@@ -12,6 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def count_rows(alias: str = "n") -> Column:
+    return F.count(F.lit(1)).alias(alias)
+
+
 def first_in_order(value: Column, *order: Column) -> Column:
     """Value of the row that comes first in a total order (a struct of ``order``)."""
     return F.min_by(value, F.struct(*order))
@@ -26,7 +30,7 @@ def mode_per_group(frame: DataFrame, keys: Sequence[str], value: str, alias: str
 
     Counting per (group, value) first spreads a hot group over its values.
     """
-    counted = frame.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counted = frame.groupBy(*keys, value).agg(count_rows())
     best = F.max(F.struct(F.col("n"), F.col(value))).getField(value)
     return counted.groupBy(*keys).agg(best.alias(alias))
 
@@ -68,7 +72,7 @@ def histogram(frame: DataFrame, value: str, bins: int) -> DataFrame:
     width = (high - low) / bins
     index = F.floor(F.try_divide(F.col("x") - low, width)).cast("int")
     clipped = F.coalesce(F.least(index, F.lit(bins - 1)), F.lit(0))
-    return present.groupBy(clipped.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return present.groupBy(clipped.alias("bin")).agg(count_rows())
 
 
 def box_stats(frame: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -78,7 +82,7 @@ def box_stats(frame: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     weighted row per distinct value, so its memory follows the number of
     distinct values and not the number of rows.
     """
-    counted = frame.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counted = frame.groupBy(*keys, value).agg(count_rows())
     points = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
     quartiles = counted.groupBy(*keys).agg(points.alias("q"))
     q1, q2, q3 = (F.element_at("q", i) for i in (1, 2, 3))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,11 +21,13 @@ def merge_upsert(
     A matched row takes ``update_columns`` (default: all non-key columns) from
     the source even where the source holds null. Unmatched source rows are
     inserted whole. A key that occurs twice in the source fails the job; a null
-    key matches nothing.
+    key matches nothing, so such source rows are inserted.
 
-    Written as a left join plus an anti join: AQE can split a skewed target key
-    in both, which it cannot do for a full outer join. The uniqueness check
-    groups the source on the join keys, so the joins reuse that partitioning.
+    Written as a left join plus an anti join. A small source is broadcast to the
+    first, which then leaves the target in place, and AQE can split a skewed
+    target key; a full outer join allows neither. Both joins read the source in
+    the same form, so its exchange is computed once. A costly source is better
+    ``stored`` first, as the null-key rows are read apart.
     """
     columns = target.columns
     missing = set(columns) - set(source.columns)
@@ -35,10 +39,12 @@ def merge_upsert(
     if unknown:
         raise ValueError(f"cannot update {sorted(unknown)}")
 
-    change = unique_per_key(source.select(*columns), keys, "_new")
-    joined = target.join(change, list(keys), "left")
+    source = source.select(*columns)
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    change = unique_per_key(source.filter(complete), keys, "_new")
+
     found = F.col("_new").isNotNull()
-    kept = joined.select(
+    kept = target.join(change, list(keys), "left").select(
         *[
             F.when(found, F.col("_new").getField(c)).otherwise(F.col(c)).alias(c)
             if c in updated
@@ -48,16 +54,18 @@ def merge_upsert(
     )
     present = target.select(*keys)
     added = change.join(present, list(keys), "left_anti").select(*keys, "_new.*")
-    return kept.unionByName(added.select(*columns))
+    return kept.unionByName(added).unionByName(source.filter(~complete)).select(*columns)
 
 
 def unique_per_key(frame: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
-    """(keys, struct of the other columns); a repeated key raises when the job runs."""
+    """(keys, struct of the other columns); a repeated key raises when the job runs.
+
+    The check groups on the keys, so a later join on them needs no new exchange.
+    """
     rest = [c for c in frame.columns if c not in keys]
     grouped = frame.groupBy(*keys).agg(
         F.any_value(F.struct(*rest)).alias(alias), F.count(F.lit(1)).alias("_copies")
     )
-    single = F.when(F.col("_copies") == 1, F.lit(True)).otherwise(
-        F.raise_error(F.lit(f"merge source repeats a key ({', '.join(keys)})")).cast("boolean")
-    )
+    repeated = F.raise_error(F.lit(f"merge source repeats a key ({', '.join(keys)})"))
+    single = F.when(F.col("_copies") == 1, F.lit(True)).otherwise(repeated.cast("boolean"))
     return grouped.filter(single).drop("_copies")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import bucket_start
+from tidemark.operators.aggregates import total_order
 
 
 def latest_per_slot(
@@ -24,7 +25,7 @@ def latest_per_slot(
     aggregate, so many readings in a slot combine before the exchange.
     """
     slot = bucket_start(F.col(time), seconds)
-    last = F.max_by(value, F.struct(time, *tiebreak))
+    last = F.max_by(value, total_order(time, *tiebreak))
     return frame.groupBy(*keys, slot.alias("slot")).agg(last.alias(value))
 
 
@@ -40,8 +41,14 @@ def running_max(
     keyed = frame.select("*", *[k.alias(n) for k, n in zip(keys, names)])
     peaks = keyed.groupBy(*names, order).agg(F.max(value).alias("_peak"))
     so_far = Window.partitionBy(*names).orderBy(order)
-    running = peaks.select(*names, order, F.max("_peak").over(so_far).alias(alias))
-    return keyed.join(running, [*names, order], "left").select(*frame.columns, alias)
+    at = [*names, order]
+    running = peaks.select(
+        *[F.col(n).alias(f"_at{i}") for i, n in enumerate(at)],
+        F.max("_peak").over(so_far).alias(alias),
+    )
+    # Null-safe: a null key is a group of its own, as in a window.
+    match = [F.col(n).eqNullSafe(F.col(f"_at{i}")) for i, n in enumerate(at)]
+    return keyed.join(running, match, "left").select(*frame.columns, alias)
 
 
 def forward_fill(
@@ -56,35 +63,30 @@ def forward_fill(
     """Last non-null value at or before each row, at most ``max_gap`` slots back.
 
     ``slot`` is an integer position, unique per key. Each key is cut into chunks
-    of ``chunk`` positions that are filled on their own; the last value of every
-    chunk is then carried over the (few) chunk rows of a key. No task sees more
-    than one chunk of a key's rows, however hot the key is.
+    of ``chunk`` positions; the last value before each chunk is found from one
+    row per chunk and put in front of the chunk's rows. No task then orders more
+    than one chunk of a key, however hot the key is.
     """
-    chunked = frame.withColumn("_chunk", F.floor(F.col(slot) / chunk))
-    inside = Window.partitionBy(*keys, "_chunk").orderBy(slot)
-    known_slot = F.when(F.col(value).isNotNull(), F.col(slot))
-    local = chunked.select(
-        "*",
-        F.last(value, ignorenulls=True).over(inside).alias("_value"),
-        F.last(known_slot, ignorenulls=True).over(inside).alias("_slot"),
+    chunked = frame.withColumn("_chunk", F.floor(F.col(slot) / chunk)).withColumn(
+        "_known", F.when(F.col(value).isNotNull(), F.col(slot).cast("bigint"))
     )
     ends = chunked.groupBy(*keys, "_chunk").agg(
-        F.max_by(value, known_slot).alias("_carry"), F.max(known_slot).alias("_carry_slot")
+        F.max_by(value, "_known").alias(value), F.max("_known").alias("_known")
     )
     before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
+    # A chunk's opening row sits in front of its first position.
+    opening = ends.select(
         *keys,
         "_chunk",
-        F.last("_carry", ignorenulls=True).over(before).alias("_carry"),
-        F.last("_carry_slot", ignorenulls=True).over(before).alias("_carry_slot"),
+        (F.col("_chunk") * chunk - 1).cast(frame.schema[slot].dataType).alias(slot),
+        F.last(value, ignorenulls=True).over(before).alias(value),
+        F.last("_known", ignorenulls=True).over(before).alias("_known"),
+        F.lit(True).alias("_opening"),
     )
-    # Null-safe on the keys: a null key is a group of its own, as in a window.
-    match = [local[k].eqNullSafe(carried[k]) for k in keys]
-    joined = local.join(
-        carried, [*match, local["_chunk"] == carried["_chunk"]], "left"
-    ).select(*[local[c] for c in local.columns], carried["_carry"], carried["_carry_slot"])
-    found = F.coalesce("_value", "_carry")
+    rows = chunked.withColumn("_opening", F.lit(False)).unionByName(opening, allowMissingColumns=True)
+    inside = Window.partitionBy(*keys, "_chunk").orderBy(slot)
+    found = F.last(value, ignorenulls=True).over(inside)
     if max_gap is not None:
-        age = F.col(slot) - F.coalesce("_slot", "_carry_slot")
+        age = F.col(slot) - F.last("_known", ignorenulls=True).over(inside)
         found = F.when(age <= max_gap, found)
-    return joined.select(*frame.columns, found.alias(alias))
+    return rows.withColumn(alias, found).filter(~F.col("_opening")).select(*frame.columns, alias)

@@ -11,12 +11,23 @@ from tidemark.functions.text import words
 from tidemark.functions.times import weekday_label
 
 
-def revenue_by_source(sales: DataFrame, source: str, revenue: str, k: int = 3) -> DataFrame:
-    """Total and mean revenue of the ``k`` best sources."""
-    return (
+def revenue_by_source(
+    sales: DataFrame, users: DataFrame, key: str, source: str, revenue: str, k: int = 3
+) -> DataFrame:
+    """Total and mean revenue of the ``k`` best sources, a source being a property of the user.
+
+    Sales are added up per user before the join, so the exchange carries one row
+    per user and task, and a user with very many sales is no hot join key.
+    """
+    per_user = (
         sales.filter(F.col(revenue).isNotNull())
+        .groupBy(key)
+        .agg(F.sum(revenue).alias("_sum"), F.count(revenue).alias("_n"))
+    )
+    return (
+        per_user.join(users.select(key, source), key)
         .groupBy(source)
-        .agg(F.sum(revenue).alias("total_rev"), F.avg(revenue).alias("avg_rev"))
+        .agg(F.sum("_sum").alias("total_rev"), (F.sum("_sum") / F.sum("_n")).alias("avg_rev"))
         .orderBy(F.desc("total_rev"), source)
         .limit(k)
     )
@@ -56,10 +67,13 @@ def abandoned_items(
 
 
 def product_options(
-    items: DataFrame, name: str, family: str, quality_position: int, size_position: int
+    products: DataFrame, name: str, family: str, quality_position: int, size_position: int
 ) -> DataFrame:
-    """Size and quality words of the items whose name contains ``family``."""
-    detailed = items.withColumn("details", words(F.col(name)))
+    """Size and quality words of the products whose name contains ``family``.
+
+    Works on the product table, before it is joined to what was bought.
+    """
+    detailed = products.withColumn("details", words(F.col(name)))
     return (
         detailed.filter(F.array_contains("details", family))
         .withColumn("size", F.try_element_at("details", F.lit(size_position)))

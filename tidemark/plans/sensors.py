@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import epoch_seconds, label_bucket, sane_time
+from tidemark.operators.aggregates import total_order
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.windows import latest_per_slot
 
@@ -40,7 +41,7 @@ def observed_slots(
         & (F.col(time) < F.timestamp_seconds(F.lit(end)).cast(readings.schema[time].dataType))
     )
     slot = F.floor((epoch_seconds(F.col(time)) - start) / slot_seconds)
-    last = F.max_by(value, F.struct(time, *tiebreak))
+    last = F.max_by(value, total_order(time, *tiebreak))
     return inside.groupBy(*keys, slot.alias("slot")).agg(last.alias("value"))
 
 
@@ -267,7 +268,7 @@ def latest_descriptions(
     readings: DataFrame, keys: Sequence[str], time: str, text: str, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
     """(keys, description, devicetag): each key's newest description."""
-    newest = F.max_by(text, F.struct(time, *tiebreak)).alias("description")
+    newest = F.max_by(text, total_order(time, *tiebreak)).alias("description")
     tag = F.concat(F.col(keys[0]).cast("string"), F.lit("~"), F.col(keys[1]).cast("string"))
     return readings.groupBy(*keys).agg(newest).select(*keys, "description", tag.alias("devicetag"))
 

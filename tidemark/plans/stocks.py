@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import file_name, file_number
+from tidemark.operators.aggregates import total_order
 
 # Headerless tick files.
 TICK_SCHEMA = "Idx int, Volume int, StockName string, StockPrice double, timestamp timestamp"
@@ -39,7 +40,7 @@ def ohlc(
     ``(time, *tiebreak)`` should be a total order, as opening and closing prices
     are those of its first and last row.
     """
-    order = F.struct(time, *tiebreak)
+    order = total_order(time, *tiebreak)
     return ticks.groupBy(*keys).agg(
         F.min_by(price, order).alias("open"),
         F.min(price).alias("low"),

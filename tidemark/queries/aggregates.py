@@ -192,10 +192,9 @@ def agg_sum_distinct(t: Tables):
     """,
 )
 def agg_first_last(t: Tables):
-    order = [F.col("ts"), F.col("event_id")]
     return t.events.groupBy("user_id", "event_type").agg(
-        first_in_order(F.col("value"), *order).alias("first_value"),
-        last_in_order(F.col("value"), *order).alias("last_value"),
+        first_in_order("value", "ts", "event_id").alias("first_value"),
+        last_in_order("value", "ts", "event_id").alias("last_value"),
     )
 
 

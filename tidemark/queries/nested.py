@@ -8,6 +8,7 @@ from tidemark.operators.flatten import flatten
 from tidemark.queries.registry import Tables, query
 from tidemark.session import scratch_path
 from tidemark.sources.readers import read_json
+from tidemark.sources.writers import write_documents
 
 LINKS_SQL = """SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS links FROM pages"""
 
@@ -164,16 +165,11 @@ def json_flatten(t: Tables):
 
 @query("json_to_flat_table", FLAT_SQL)
 def json_to_flat_table(t: Tables):
-    """Indented JSON documents, one to a file folder, read whole, flattened, and kept as a table."""
+    """Indented JSON documents, read whole, flattened, and kept as a table."""
     documents, table = scratch_path(t.spark, "turns-json"), scratch_path(t.spark, "turns-flat")
-    # One document per file holds a block of conversations; blocks are bounded by
-    # the number of turns numbered alike, not by any one conversation.
-    body = F.collect_list(F.struct("conv_id", "turn"))
-    block = F.concat_ws("-", F.floor(F.col("conv_id") / 500), F.col("turn.number")).alias("block")
-    bodies = nested_turns(t).groupBy(block).agg(F.to_json(body, {"pretty": "true"}).alias("value"))
-    bodies.write.partitionBy("block").text(documents)
+    write_documents(nested_turns(t), documents, rows_per_document=10_000)
     schema = nested_turns(t).schema
-    flat = flatten(read_json(t.spark, documents, schema=schema, whole_document=True).drop("block"))
+    flat = flatten(read_json(t.spark, documents, schema=schema, whole_document=True).drop("document"))
     flat.write.parquet(table)
     return t.spark.read.parquet(table)
 

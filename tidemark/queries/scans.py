@@ -13,7 +13,7 @@ from tidemark.sources.readers import (
     schema_as_ddl,
     with_source_file,
 )
-from tidemark.sources.writers import write_csv, write_json, write_parquet
+from tidemark.sources.writers import write_csv, write_documents, write_json, write_parquet
 
 
 @query(
@@ -123,13 +123,10 @@ def scan_json_schema(t: Tables):
     "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
 )
 def scan_json_multiline(t: Tables):
-    """One indented JSON document per file, each an array of up to 10,000 customers."""
+    """Indented JSON documents, one per file, each an array of up to 10,000 customers."""
     path = scratch_path(t.spark, "customer-documents")
-    block = F.floor(F.col("c_custkey") / 10_000).alias("block")  # unique key: bounded blocks
-    rows = F.collect_list(F.struct("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"))
-    documents = t.customer.groupBy(block).agg(F.to_json(rows, {"pretty": "true"}).alias("value"))
-    documents.write.partitionBy("block").text(path)
-    return read_json(t.spark, path, schema=t.customer.schema, whole_document=True).drop("block")
+    write_documents(t.customer, path, rows_per_document=10_000)
+    return read_json(t.spark, path, schema=t.customer.schema, whole_document=True).drop("document")
 
 
 @query(

@@ -21,6 +21,7 @@ from tidemark.plans.sensors import (
     with_audit,
 )
 from tidemark.queries.registry import Tables, query
+from tidemark.session import stored
 
 KEYS = ["user_id", "event_type"]
 JANUARY = epoch("2024-01-01 00:00:00")
@@ -80,7 +81,7 @@ GAPFILL_SQL = """
 
 
 @query(
-    "silver_gapfill",
+    "silver_gapfill_5min",
     GAPFILL_SQL.format(start="TIMESTAMP '2024-01-16'", slot=3600, per=360, n=1),
 )
 def silver_gapfill(t: Tables):
@@ -101,7 +102,7 @@ def silver_gapfill(t: Tables):
 
 
 @query(
-    "silver_gapfill_windows",
+    "catch_up_windows",
     GAPFILL_SQL.format(start="TIMESTAMP '2024-01-01'", slot=600, per=144, n=30),
 )
 def silver_gapfill_windows(t: Tables):
@@ -138,7 +139,7 @@ LATEST_SQL = """
 
 
 @query(
-    "silver_actionable",
+    "silver_actionable_5min",
     f"""
     WITH {LATEST_SQL}
     SELECT user_id, event_type, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, first_value, last_value,
@@ -216,7 +217,7 @@ def rollup_day_end(t: Tables):
 )
 def merged_rollup(t: Tables):
     """An hourly table of the first 20 days, stale from the 11th on, brought up to date."""
-    hourly = rollup(type_summary(t), ["event_type"], HOUR)
+    hourly = stored(rollup(type_summary(t), ["event_type"], HOUR), "hourly")
     end = F.col("window_end")
     day_11 = F.lit("2024-01-11 00:00:00").cast("timestamp")
     day_21 = F.lit("2024-01-21 00:00:00").cast("timestamp")

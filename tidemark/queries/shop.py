@@ -31,8 +31,8 @@ from tidemark.sources.writers import write_csv
 )
 def best_sources(t: Tables):
     """The three segments with most revenue."""
-    sales = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    best = revenue_by_source(sales, "c_mktsegment", "o_totalprice", 3)
+    users = t.customer.withColumnRenamed("c_custkey", "o_custkey")
+    best = revenue_by_source(t.orders, users, "o_custkey", "c_mktsegment", "o_totalprice", 3)
     return best.select(
         "c_mktsegment",
         F.round("total_rev", 2).alias("total_rev"),
@@ -41,7 +41,7 @@ def best_sources(t: Tables):
 
 
 @query(
-    "weekday_active",
+    "active_users",
     f"""
     SELECT CASE strftime(day, '%a') {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in WEEKDAY_LABELS.items())} END AS weekday,
            round(avg(n), 6) AS avg_users
@@ -110,15 +110,16 @@ def conversions(t: Tables):
 )
 def customer_options(t: Tables):
     """Sizes and qualities each customer bought, from two families with other word orders."""
-    names = t.part.select("p_partkey", F.concat_ws(" ", "p_type", "p_name").alias("item_name"))
+    products = t.part.select("p_partkey", F.concat_ws(" ", "p_type", "p_name").alias("item_name"))
+    rings = product_options(products, "item_name", "ring", quality_position=1, size_position=2)
+    bolts = product_options(products, "item_name", "bolt", quality_position=2, size_position=1)
+    # Both families in one product table, so the fact tables are joined once.
     bought = (
-        t.lineitem.join(names, F.col("l_partkey") == F.col("p_partkey"))
+        t.lineitem.join(rings.unionByName(bolts), F.col("l_partkey") == F.col("p_partkey"))
         .join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .select(F.col("o_custkey").alias("customer"), "item_name")
+        .withColumnRenamed("o_custkey", "customer")
     )
-    rings = product_options(bought, "item_name", "ring", quality_position=1, size_position=2)
-    bolts = product_options(bought, "item_name", "bolt", quality_position=2, size_position=1)
-    options = options_per_customer(rings.unionByName(bolts), "customer")
+    options = options_per_customer(bought, "customer")
     return options.select(
         "customer",
         *[F.array_join(c, ",").alias(c) for c in ("size_options", "quality_options")],
@@ -162,9 +163,9 @@ def purchase_revenue(t: Tables):
 def names_by_year(t: Tables, year: int = 1998):
     """A CSV of names and years, read with inference, filtered by a chosen year."""
     path = scratch_path(t.spark, "names")
-    named = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    counts = named.groupBy(F.year("o_orderdate").alias("order_year"), "c_name").count()
-    write_csv(counts.withColumnRenamed("count", "n"), path)
+    per_customer = t.orders.groupBy(F.year("o_orderdate").alias("order_year"), "o_custkey").count()
+    named = per_customer.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    write_csv(named.groupBy("order_year", "c_name").agg(F.sum("count").alias("n")), path)
     names = read_delimited(t.spark, path)
     return names.filter(F.col("order_year") == year).withColumn("n", F.col("n").cast("bigint"))
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every plan in this package relies on; all can change at run time.
 RUNTIME_SETTINGS = {
@@ -70,3 +70,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing path below the shared folder."""
     return os.path.join(shared_folder(spark), "tidemark", f"{label}-{uuid.uuid4().hex}")
+
+
+def stored(frame: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For a costly result that is used more than once: it is computed a single
+    time, and a lost executor does not take it along as it would a cached one.
+    """
+    path = scratch_path(frame.sparkSession, label)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.messages import parse_payload
 from tidemark.plans.stocks import TICK_SCHEMA, ohlc, portfolio_value, with_file_id
+from tidemark.session import LARGE_STATE
 from tidemark.streaming import monitor
 from tidemark.streaming.jobs import (
     count_users,
@@ -197,3 +198,18 @@ def test_named_tick_files_to_portfolio(spark, folder):
     assert (bar.open, bar.low, bar.high, bar.close, bar.volume) == (7.0, 5.0, 9.0, 5.0, 33)
     total = portfolio_value(bars, {"APPL": 10, "MSFT": 100}, symbol="StockName").collect()
     assert [tuple(r) for r in total] == [(1, 270.0, 250.0, 290.0, 250.0)]  # file 2 lacks a symbol
+
+
+def test_exact_running_counts_with_state_off_the_heap(spark, folder):
+    source, out = folder("in"), folder("out")
+    write_events(spark, source, [(m, "a" if m % 3 else "b", f"u{m % 7}") for m in range(40)])
+    setting, provider = next(iter(LARGE_STATE.items()))
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, provider)
+    try:
+        keys = running_user_keys(file_stream(spark, source, SCHEMA), "source", "user")
+        sink = replace_result(out, lambda batch: count_users(batch, "source"))
+        run_to_end(for_each_batch(keys, sink, folder("state"), "complete"))
+    finally:
+        spark.conf.set(setting, before)
+    assert {r.source: r.active_users for r in spark.read.parquet(out).collect()} == {"a": 7, "b": 7}

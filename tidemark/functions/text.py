@@ -22,8 +22,8 @@ def first_letter(text: Column) -> Column:
 
 def folded(text: Column) -> Column:
     """Comparison form: lower case, no hyphens, no surrounding or repeated blanks."""
-    plain = F.translate(F.lower(text), "-", "")
-    return F.trim(F.regexp_replace(plain, " +", " "))
+    plain = F.replace(F.lower(text), F.lit("-"), F.lit(""))
+    return F.trim(F.regexp_replace(plain, " {2,}", " "))
 
 
 def words(text: Column) -> Column:

@@ -145,8 +145,7 @@ def keep_first_copy(frame: DataFrame, id_column: str, *normalised: Column) -> Da
     their unique id, which spreads even a group of copies holding a large share
     of the table.
     """
-    marked = [F.coalesce(F.concat(F.lit("v"), c), F.lit("n")) for c in normalised]
-    digest = F.sha2(F.to_json(F.array(*marked)), 256)
+    digest = F.concat(*[F.coalesce(F.sha2(c, 256), F.lit("null")) for c in normalised])
     kept = (
         frame.select(F.col(id_column), digest.alias("digest"))
         .groupBy("digest")

@@ -34,7 +34,10 @@ def revenue_by_source(
 
 
 def daily_active_users(events: DataFrame, time: str, user: str, exact: bool = True) -> DataFrame:
-    """Distinct users per day; the approximate form keeps a small sketch per day."""
+    """Distinct users per day; the approximate form keeps one small sketch per day.
+
+    The exact form first groups by day and user, so no task holds all of a day's users.
+    """
     day = F.to_date(time).alias("day")
     users = F.count_distinct(user) if exact else F.approx_count_distinct(user)
     return events.groupBy(day).agg(users.alias("active_users"))

@@ -20,8 +20,13 @@ def parse_payload(messages: DataFrame, schema: str = PAYLOAD_SCHEMA) -> DataFram
 
     Works on batch and streaming frames. A malformed payload parses to nulls and
     is dropped with the other incomplete rows.
+
+    The payload is opened with ``inline``: a filter cannot be pushed below a
+    generator, so each payload is parsed once. Selecting ``payload.*`` instead
+    lets the null filter be pushed below the parse, which then runs once more
+    per field.
     """
-    payload = F.from_json(F.col("value").cast("string"), schema).alias("payload")
-    rows = messages.select(payload).select("payload.*")
+    payload = F.from_json(F.col("value").cast("string"), schema)
+    rows = messages.select(F.inline(F.array(payload)))
     typed = rows.withColumn("timestamp", millis_to_timestamp(F.col("timestamp"))).na.drop()
     return typed.select("*", *calendar_parts(F.col("timestamp")))

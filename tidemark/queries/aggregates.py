@@ -114,7 +114,7 @@ def agg_approx_distinct(t: Tables):
     """The sketch's answer against the exact one."""
     both = t.events.groupBy("event_type").agg(
         F.count_distinct("user_id").alias("exact_users"),
-        F.approx_count_distinct("user_id", 0.02).alias("approx_users"),
+        F.approx_count_distinct("user_id", 0.01).alias("approx_users"),
     )
     gap = F.abs(F.col("approx_users") - F.col("exact_users")) / F.col("exact_users")
     return both.select("event_type", "exact_users", (gap <= 0.05).alias("approx_within_5_percent"))

@@ -18,8 +18,12 @@ def math_cos(t: Tables):
     return t.events.select("event_id", F.round(F.cos("value"), 8).alias("cosine"))
 
 
-@query("math_log", "SELECT event_id, round(ln(value), 8) AS natural_log FROM events")
+@query(
+    "math_log",
+    "SELECT event_id, CASE WHEN value > 0 THEN round(ln(value), 8) END AS natural_log FROM events",
+)
 def math_log(t: Tables):
+    """Natural logarithm; null where there is none."""
     return t.events.select("event_id", F.round(F.log("value"), 8).alias("natural_log"))
 
 

@@ -311,7 +311,7 @@ def hourly_activity_stream(t: Tables):
 def stream_group_agg(t: Tables):
     """Running approximate distinct users against the exact batch count."""
     path, state = fresh(t, "running-users", "running-users-state")
-    running = running_users(stream_events(t), "event_type", "user_id")
+    running = running_users(stream_events(t), "event_type", "user_id", error=0.01)
     run_to_end(for_each_batch(running, replace_result(path), state, "complete"))
     exact = t.events.groupBy("event_type").agg(F.count_distinct("user_id").alias("exact"))
     both = t.spark.read.parquet(path).join(exact, "event_type")
@@ -404,7 +404,7 @@ def stream_manage(t: Tables):
 def messages(events: DataFrame) -> DataFrame:
     """Sensor messages as a broker would give them: a binary JSON ``value``.
 
-    Error readings are cut short, so their payload cannot be parsed.
+    Error readings have a stray brace in front, so their payload cannot be parsed.
     """
     ts = F.col("ts").cast("timestamp")
     payload = F.to_json(
@@ -420,8 +420,8 @@ def messages(events: DataFrame) -> DataFrame:
             F.col("props").alias("description"),
         )
     )
-    cut = F.when(F.col("event_type") == "error", F.concat(F.lit("{"), payload)).otherwise(payload)
-    return events.select(cut.cast("binary").alias("value"))
+    broken = F.when(F.col("event_type") == "error", "{").otherwise("")
+    return events.select(F.concat(broken, payload).cast("binary").alias("value"))
 
 
 BRONZE_SQL = """

@@ -81,3 +81,11 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     path = scratch_path(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.parquet(path)
+
+
+# Keeps streaming state off the executor heap, for state of any size.
+LARGE_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+}

@@ -21,13 +21,22 @@ def exploded_with(events: DataFrame, array: str, needed: str) -> DataFrame:
 
 
 def hourly_active_users(
-    events: DataFrame, time: str, source: str, user: str, lateness: str = "2 hours"
+    events: DataFrame,
+    time: str,
+    source: str,
+    user: str,
+    lateness: str = "2 hours",
+    error: float = 0.05,
 ) -> DataFrame:
-    """Approximate distinct users per source and hour, later than ``lateness`` dropped."""
+    """Approximate distinct users per source and hour.
+
+    ``error`` is the standard deviation of the count. In append and update mode
+    rows later than ``lateness`` are dropped; complete mode keeps them all.
+    """
     return (
         events.withWatermark(time, lateness)
         .groupBy(source, F.window(time, "1 hour"))
-        .agg(F.approx_count_distinct(user).alias("active_users"))
+        .agg(F.approx_count_distinct(user, error).alias("active_users"))
         .select(source, F.hour("window.start").alias("hour"), "window", "active_users")
     )
 
@@ -47,9 +56,9 @@ def hourly_user_keys(
     )
 
 
-def running_users(events: DataFrame, source: str, user: str) -> DataFrame:
+def running_users(events: DataFrame, source: str, user: str, error: float = 0.05) -> DataFrame:
     """Approximate distinct users per source so far (complete mode)."""
-    return events.groupBy(source).agg(F.approx_count_distinct(user).alias("active_users"))
+    return events.groupBy(source).agg(F.approx_count_distinct(user, error).alias("active_users"))
 
 
 def running_user_keys(events: DataFrame, source: str, user: str) -> DataFrame:

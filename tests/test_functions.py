@@ -191,7 +191,8 @@ def test_options_of_two_word_orders(spark):
     assert {(r.p, r.size, r.quality) for r in both.collect()} == {
         (1, "Full", "Standard"), (2, "King", "Down"), (3, None, "Mattress"),
     }
-    per = options_per_customer(both.withColumn("c", F.lit("z")), "c").first()
+    orders = spark.createDataFrame([(o, "z") for o in (1, 2, 3)], "p int, c string")
+    per = options_per_customer(both, orders, "p", "c").first()
     assert per.size_options == ["Full", "King"] and per.quality_options == ["Down", "Mattress", "Standard"]
 
 

@@ -85,15 +85,21 @@ def product_options(
     )
 
 
-def options_per_customer(options: DataFrame, customer: str) -> DataFrame:
+def options_per_customer(
+    items: DataFrame, orders: DataFrame, order_key: str, customer: str
+) -> DataFrame:
     """Sorted size and quality sets per customer.
 
-    Distinct rows come first, so a customer with very many purchases still
-    brings only its few different options to the final task.
+    ``items`` holds (order key, size, quality), ``orders`` one row per order with
+    its customer. Items become one small set per order on the way into the
+    exchange that the join needs anyway, so an order with very many items is no
+    hot join key, and the sets are bounded by the words in use.
     """
+    option = F.struct("size", "quality")
+    per_order = items.groupBy(order_key).agg(F.collect_set(option).alias("options"))
+    bought = per_order.join(orders.select(order_key, customer), order_key)
     return (
-        options.select(customer, "size", "quality")
-        .distinct()
+        bought.select(customer, F.inline("options"))
         .groupBy(customer)
         .agg(
             F.array_sort(F.collect_set("size")).alias("size_options"),

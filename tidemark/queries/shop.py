@@ -114,12 +114,11 @@ def customer_options(t: Tables):
     rings = product_options(products, "item_name", "ring", quality_position=1, size_position=2)
     bolts = product_options(products, "item_name", "bolt", quality_position=2, size_position=1)
     # Both families in one product table, so the fact tables are joined once.
-    bought = (
-        t.lineitem.join(rings.unionByName(bolts), F.col("l_partkey") == F.col("p_partkey"))
-        .join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .withColumnRenamed("o_custkey", "customer")
+    items = t.lineitem.join(rings.unionByName(bolts), F.col("l_partkey") == F.col("p_partkey"))
+    orders = t.orders.select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer")
     )
-    options = options_per_customer(bought, "customer")
+    options = options_per_customer(items, orders, "l_orderkey", "customer")
     return options.select(
         "customer",
         *[F.array_join(c, ",").alias(c) for c in ("size_options", "quality_options")],

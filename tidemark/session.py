@@ -14,6 +14,10 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Sizes after compression: 64 MB in a shuffle are some 200 MB in a task. A hot
+    # key's rows compress well, so the bound for splitting it is low as well.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
 }
 
 
@@ -27,7 +31,7 @@ def build_session(
 
     ``shuffle_partitions`` is the number AQE starts from before it merges small
     partitions: give a multiple of the cluster's cores that keeps a partition
-    near 200 MB.
+    near 200 MB in memory. Streaming state keeps the number it was started with.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -35,7 +39,6 @@ def build_session(
     builder = builder.config("spark.ui.enabled", "false")
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)
-    builder = builder.config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200m")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():

@@ -136,7 +136,11 @@ def test_partitions_tables_and_compaction(spark, tmp_path):
     compact(rows.repartition(20), str(tmp_path / "small"), ["k", "id"], files=2)
     read = spark.read.parquet(str(tmp_path / "small"))
     assert read.count() == 100 and with_source_file(read).select("source_file").distinct().count() == 2
-    assert range_partitioned(rows, "id", 5).rdd.getNumPartitions() == 5
+    hot = spark.range(9000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")))
+    parts = range_partitioned(hot, 6, "k").groupBy(F.spark_partition_id().alias("p"))
+    sizes = parts.agg(F.count("k").alias("n"), F.min("k"), F.max("k")).orderBy("p").collect()
+    assert len(sizes) == 6 and max(r.n for r in sizes) < 2500
+    assert all(a["max(k)"] <= b["min(k)"] for a, b in zip(sizes, sizes[1:]))
     write_table(rows, "numbers_table", str(tmp_path / "t"))
     write_table(rows, "numbers_table", str(tmp_path / "t"), mode="append")
     assert spark.table("numbers_table").count() == 200
@@ -152,6 +156,29 @@ def test_keyed_json(spark):
     assert got == [("a~x", '{"device":"a","tag":"x","v":1.5}'), ("b", '{"device":"b","v":2.0}')]
 
 
+def test_folder_files_are_few_and_a_hot_folder_is_whole(spark, tmp_path):
+    path = str(tmp_path / "folders")
+    rows = spark.range(4000, numPartitions=16).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5))
+    write_parquet(rows, path, partition_by=["k"])
+    read = spark.read.parquet(path)
+    assert read.count() == 4000 and read.select("_metadata.file_path").distinct().count() <= 8
+
+
+class _Cluster:
+    """Stands for a session on a cluster without the setting."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master = "yarn"
+
+
+def test_a_cluster_needs_a_shared_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Cluster)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(shared_folder(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

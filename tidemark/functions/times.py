@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ WEEKDAY_LABELS = {
 }
 
 
+def moment(at: datetime) -> Column:
+    """A fixed stamp; one without a zone is UTC whatever the driver's zone is."""
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp")
+
+
 def micros_to_timestamp(micros: Column) -> Column:
     return F.timestamp_micros(micros)
 

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tidemark.functions.times import moment
+
 COMMIT_SCHEMA = "version long, committed_at timestamp, n_rows long, columns string"
 
 
@@ -43,11 +45,14 @@ def write_version(frame: DataFrame, root: str, committed_at: datetime | None = N
     frame.write.mode("overwrite").parquet(_data(root, version))
     # Counting written Parquet reads only the footers.
     n_rows = spark.read.parquet(_data(root, version)).count()
-    at = committed_at or datetime.now(timezone.utc)
-    commit = [(version, at, n_rows, frame.schema.simpleString())]
-    spark.createDataFrame(commit, COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(
-        f"{root}/commits"
+    at = moment(committed_at or datetime.now(timezone.utc))
+    commit = spark.range(1).select(
+        F.lit(version).cast("long").alias("version"),
+        at.alias("committed_at"),
+        F.lit(n_rows).cast("long").alias("n_rows"),
+        F.lit(frame.schema.simpleString()).alias("columns"),
     )
+    commit.write.mode("append").parquet(f"{root}/commits")
     return version
 
 
@@ -61,12 +66,12 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.parquet(_data(root, version))
 
 
-def read_as_of(spark: SparkSession, root: str, moment: datetime) -> DataFrame:
-    """Rows of the last version committed at or before ``moment``."""
-    found = history(spark, root).filter(F.col("committed_at") <= F.lit(moment))
+def read_as_of(spark: SparkSession, root: str, when: datetime) -> DataFrame:
+    """Rows of the last version committed at or before ``when``."""
+    found = history(spark, root).filter(F.col("committed_at") <= moment(when))
     version = found.agg(F.max("version")).first()[0]
     if version is None:
-        raise ValueError(f"no version at {root} as of {moment}")
+        raise ValueError(f"no version at {root} as of {when}")
     return spark.read.parquet(_data(root, version))
 
 

@@ -12,7 +12,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import epoch_seconds, label_bucket, sane_time
+from tidemark.functions.times import epoch_seconds, label_bucket, moment, sane_time
 from tidemark.operators.aggregates import total_order
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.windows import latest_per_slot
@@ -253,8 +253,8 @@ def pending_windows(
     last = target.filter(sane_time(F.col(time).cast("timestamp"))).agg(
         F.max(F.col(time).cast("timestamp")).alias("last")
     )
-    begin = epoch_seconds(F.coalesce("last", F.lit(initial).cast("timestamp")))
-    count = F.floor((F.unix_timestamp(F.lit(now).cast("timestamp")) - begin) / seconds)
+    begin = epoch_seconds(F.coalesce("last", moment(initial)))
+    count = F.floor((F.unix_timestamp(moment(now)) - begin) / seconds)
     steps = F.when(count > 0, F.sequence(F.lit(1).cast("bigint"), count)).otherwise(
         F.array().cast("array<bigint>")
     )

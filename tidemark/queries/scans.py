@@ -221,6 +221,6 @@ def source_file_path(t: Tables):
 def jdbc_partitioned_scan(t: Tables):
     """A filtered table split in contiguous key ranges; the filter reaches the scan."""
     wanted = t.orders.filter("o_orderstatus <> 'P' AND o_totalprice > 1000")
-    return range_partitioned(wanted, "o_orderkey", 8).select(
+    return range_partitioned(wanted, 8, "o_orderkey").select(
         "o_orderkey", "o_custkey", "o_totalprice"
     )

@@ -112,7 +112,7 @@ def write_tick_files(t: Tables, path: str) -> None:
         F.col("l_extendedprice").alias("StockPrice"),
         F.col("l_shipdate").cast("timestamp").alias("timestamp"),
     )
-    rows.write.partitionBy("file").csv(path)
+    rows.hint("rebalance", "file").write.partitionBy("file").csv(path)
 
 
 @query(

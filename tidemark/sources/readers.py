@@ -53,11 +53,13 @@ def with_source_file(frame: DataFrame, column: str = "source_file") -> DataFrame
     return frame.withColumn(column, F.col("_metadata.file_path"))
 
 
-def range_partitioned(frame: DataFrame, column: str, partitions: int) -> DataFrame:
-    """Split rows into ``partitions`` contiguous ranges of ``column``.
+def range_partitioned(frame: DataFrame, partitions: int, *columns: str) -> DataFrame:
+    """Split rows into ``partitions`` even, contiguous ranges of ``columns``.
 
     Filter before calling: the predicate is then pushed to the scan and only
     the remaining rows are exchanged. Bounds are sampled, so they need not be
-    given, and a skewed column still gives even partitions.
+    given. A row number is the last range column, so that one value holding a
+    large share of the rows is spread over several ranges.
     """
-    return frame.repartitionByRange(partitions, column)
+    numbered = frame.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.repartitionByRange(partitions, *columns, "_row").drop("_row")

@@ -7,15 +7,23 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.readers import range_partitioned
+
 
 def write_parquet(
     frame: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> None:
-    """Snappy Parquet, optionally in Hive-style partition folders."""
-    writer = frame.write.mode(mode).option("compression", "snappy")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    """Snappy Parquet, optionally in Hive-style partition folders.
+
+    Rows are first rebalanced by folder, so that not every task writes a small
+    file into every folder; AQE splits a folder that holds most rows over tasks.
+    """
+    if not partition_by:
+        frame.write.mode(mode).option("compression", "snappy").parquet(path)
+        return
+    balanced = frame.hint("rebalance", *partition_by)
+    writer = balanced.write.mode(mode).option("compression", "snappy")
+    writer.partitionBy(*partition_by).parquet(path)
 
 
 def write_json(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -93,9 +101,5 @@ def compact(
     Range partitioning on the cluster columns gives files narrow min/max bounds,
     which lets later scans skip row groups.
     """
-    (
-        frame.repartitionByRange(files, *cluster_by)
-        .sortWithinPartitions(*cluster_by)
-        .write.mode(mode)
-        .parquet(path)
-    )
+    clustered = range_partitioned(frame, files, *cluster_by)
+    clustered.sortWithinPartitions(*cluster_by).write.mode(mode).parquet(path)

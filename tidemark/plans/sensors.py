@@ -72,20 +72,18 @@ def window_seeds(
     is_first = F.lag("window").over(in_time).isNull() & (F.col("window") >= 0)
     spans = ends.select(
         *keys,
-        "window",
+        F.col("window").alias("seen"),
         held.alias("held"),
+        # A row seeds the windows after its own, up to and including the next one
+        # with readings; the first row of a key also seeds its own window.
+        F.when(is_first, F.col("window")).otherwise(F.col("window") + 1).alias("from"),
         F.least(following, F.lit(n_windows - 1)).alias("until"),
-        is_first.alias("is_first"),
     )
-    # A row seeds the windows after its own, up to and including the next one
-    # with readings; the first row of a key also seeds its own window.
-    later = F.when(
-        F.col("until") > F.col("window"), F.sequence(F.col("window") + 1, F.col("until"))
-    ).otherwise(F.array().cast("array<bigint>"))
-    pairs = F.transform(later, lambda w: F.struct(w.alias("window"), F.col("held").alias("seed")))
-    own = F.struct(F.col("window"), F.lit(0.0).alias("seed"))
-    pairs = F.when(F.col("is_first"), F.concat(F.array(own), pairs)).otherwise(pairs)
-    return spans.select(*keys, F.inline(pairs))
+    seeded = F.when(F.col("from") <= F.col("until"), F.sequence("from", "until"))
+    seed = F.when(F.col("window") == F.col("seen"), F.lit(0.0)).otherwise(F.col("held"))
+    return spans.select("*", F.explode(seeded).alias("window")).select(
+        *keys, "window", seed.alias("seed")
+    )
 
 
 def summarise_held(

@@ -230,3 +230,23 @@ def test_conversions_and_revenue(spark):
     assert got == {("a", 1, True), ("b", 2, False), ("z", None, True)}
     kept = with_revenue(users, F.when(F.col("id") > 1, F.col("id") * 2.0), "id")
     assert kept.columns == ["email", "revenue"] and kept.count() == 2
+
+
+def test_udfs_travel_by_value(tmp_path):
+    """An executor without this package can load and run them."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    for udf, value, expected in (
+        (first_letter_udf, "anna", "a"),
+        (weekday_label_udf, "Mon", "1-Mon"),
+    ):
+        path = tmp_path / "udf.pkl"
+        path.write_bytes(cloudpickle.dumps(udf.func))
+        code = (
+            "import pickle, sys; sys.modules['tidemark'] = None\n"
+            f"f = pickle.load(open({str(path)!r}, 'rb')); assert f({value!r}) == {expected!r}"
+        )
+        subprocess.run([sys.executable, "-c", code], check=True, cwd="/", timeout=60)

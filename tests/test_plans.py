@@ -75,6 +75,11 @@ def test_partition_folders_are_pruned(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[.*day#\d+ = 3", plan)
 
 
+def test_time_range_opens_only_its_days(spark):
+    plan = plan_of(QUERIES["bronze_time_range"](spark, FOLDER))
+    assert re.search(r"PartitionFilters: \[.*make_date\(year#\d+, month#\d+, day#\d+", plan)
+
+
 def test_time_range_reaches_the_scan(spark):
     plan = plan_of(QUERIES["catch_up_windows"](spark, FOLDER))
     assert "GreaterThanOrEqual(ts,2024-01-01T00:00)" in plan

@@ -1,4 +1,8 @@
-"""Python and vectorised UDF forms. Each has a native twin, which jobs should use."""
+"""Python and vectorised UDF forms. Each has a native twin, which jobs should use.
+
+The functions are made inside factories, so they travel to the executors by
+value: nothing of this package has to be installed there.
+"""
 
 from __future__ import annotations
 
@@ -10,22 +14,35 @@ from pyspark.sql.types import StringType
 from tidemark.functions.times import WEEKDAY_LABELS
 
 
-def first_letter_of(text: str | None) -> str | None:
-    return text[:1] if text is not None else None
+def _first_letter_udf():
+    def first_letter(text):
+        return text[:1] if text is not None else None
+
+    # Wrapped function; Arrow moves the rows in batches.
+    return F.udf(first_letter, StringType(), useArrow=True)
+
+
+def _weekday_label_udf():
+    labels = dict(WEEKDAY_LABELS)
+
+    @F.udf(StringType(), useArrow=True)
+    def weekday_label(day: str | None) -> str | None:
+        return labels.get(day)
 
+    return weekday_label
 
-# Wrapped function; Arrow moves the rows in batches.
-first_letter_udf = F.udf(first_letter_of, StringType(), useArrow=True)
 
+def _first_letter_vectorised():
+    @F.pandas_udf(StringType())
+    def first_letter(text: pd.Series) -> pd.Series:
+        return text.str[0:1]
 
-@F.udf(StringType(), useArrow=True)
-def weekday_label_udf(day: str | None) -> str | None:
-    return WEEKDAY_LABELS.get(day)
+    return first_letter
 
 
-@F.pandas_udf(StringType())
-def first_letter_vectorised(text: pd.Series) -> pd.Series:
-    return text.str[0:1]
+first_letter_udf = _first_letter_udf()
+weekday_label_udf = _weekday_label_udf()
+first_letter_vectorised = _first_letter_vectorised()
 
 
 def register_udfs(spark: SparkSession) -> None:

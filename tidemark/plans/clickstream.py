@@ -109,11 +109,15 @@ def options_per_customer(
 
 
 def converted_flags(users: DataFrame, buyers: DataFrame, key: str) -> DataFrame:
-    """All users and buyers with a ``converted`` flag; rows without the key are dropped."""
-    converted = buyers.select(key).distinct().withColumn("converted", F.lit(True))
+    """All users and buyers with a ``converted`` flag; rows without the key are dropped.
+
+    They are dropped before the join: null keys would all meet in one task.
+    """
+    known = F.col(key).isNotNull()
+    converted = buyers.select(key).filter(known).distinct().withColumn("converted", F.lit(True))
     return (
-        users.join(converted, key, "full_outer")
-        .filter(F.col(key).isNotNull())
+        users.filter(known)
+        .join(converted, key, "full_outer")
         .na.fill(False, subset=["converted"])
     )
 

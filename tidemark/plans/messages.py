@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import calendar_parts, millis_to_timestamp
+from tidemark.functions.times import calendar_parts, millis_to_timestamp, moment
 
 # Fields of a sensor message.
 PAYLOAD_SCHEMA = """
@@ -30,3 +32,18 @@ def parse_payload(messages: DataFrame, schema: str = PAYLOAD_SCHEMA) -> DataFram
     rows = messages.select(F.inline(F.array(payload)))
     typed = rows.withColumn("timestamp", millis_to_timestamp(F.col("timestamp"))).na.drop()
     return typed.select("*", *calendar_parts(F.col("timestamp")))
+
+
+def between(bronze: DataFrame, start: datetime, end: datetime, time: str = "timestamp") -> DataFrame:
+    """Rows of ``[start, end)`` from a table in folders by year, month and day.
+
+    The range is also put on the folder columns, so other days are not listed
+    or opened; the range on the stamp alone would open every file.
+    """
+    day = F.make_date("year", "month", "day")
+    return bronze.filter(
+        (day >= moment(start).cast("date"))
+        & (day <= moment(end).cast("date"))
+        & (F.col(time) >= moment(start))
+        & (F.col(time) < moment(end))
+    )

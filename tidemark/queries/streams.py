@@ -4,18 +4,20 @@ and then returns what its sink holds, so it can be compared with plain SQL."""
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import stamp
 from tidemark.operators.aggregates import count_rows
-from tidemark.plans.messages import parse_payload
+from tidemark.plans.messages import between, parse_payload
 from tidemark.queries.registry import Tables, query
 from tidemark.session import scratch_path
-from tidemark.sources.writers import write_csv, write_json
+from tidemark.sources.writers import write_csv, write_json, write_parquet
 from tidemark.streaming import monitor
 from tidemark.streaming.jobs import (
+    closed_hour_users,
     count_users,
     exploded_with,
     filter_and_flag,
@@ -314,6 +316,22 @@ def hourly_activity_stream(t: Tables):
     )
 
 
+@query(
+    "hourly_activity_closed",
+    """
+    SELECT event_type, strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+           count(DISTINCT user_id) AS active_users
+    FROM events GROUP BY event_type, time_bucket(INTERVAL 1 HOUR, ts)
+    HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events)
+    """,
+)
+def hourly_activity_closed(t: Tables):
+    """The same in append mode, for the hours that have closed."""
+    users = closed_hour_users(stream_events(t), "ts", "event_type", "user_id")
+    start = stamp(F.col("window.start")).alias("window_start")
+    return run_to_files(t, users.select("event_type", start, "active_users"), "closed-users")
+
+
 @query(
     "stream_group_agg",
     "SELECT event_type, TRUE AS approx_within_5_percent FROM events GROUP BY 1",
@@ -469,6 +487,18 @@ def bronze_parse(t: Tables):
     return shown_bronze(run_to_files(t, parsed, "bronze", partition_by=["year", "month", "day"]))
 
 
+@query(
+    "bronze_time_range",
+    f"SELECT * FROM ({BRONZE_SQL}) WHERE ts >= '2024-01-10 06:00:00' AND ts < '2024-01-20 18:00:00'",
+)
+def bronze_time_range(t: Tables):
+    """A time range of the bronze table: only its days' folders are opened."""
+    path = scratch_path(t.spark, "bronze-days")
+    write_parquet(parse_payload(messages(t.events)), path, partition_by=["year", "month", "day"])
+    rows = between(t.spark.read.parquet(path), datetime(2024, 1, 10, 6), datetime(2024, 1, 20, 18))
+    return shown_bronze(rows)
+
+
 @query("bronze_parse_batch", BRONZE_SQL)
 def bronze_parse_batch(t: Tables):
     """The same transformation on a batch frame."""

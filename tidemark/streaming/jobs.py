@@ -56,6 +56,20 @@ def hourly_user_keys(
     )
 
 
+def closed_hour_users(
+    events: DataFrame, time: str, source: str, user: str, lateness: str = "2 hours"
+) -> DataFrame:
+    """Exact distinct users per source and hour, given out once the hour has closed.
+
+    Append mode with two aggregates in a row: the first keeps one state row per
+    user key, the second counts them. State of closed hours is dropped, so a job
+    can run on without end, which complete mode cannot.
+    """
+    keys = hourly_user_keys(events, time, source, user, lateness)
+    counted = keys.groupBy(source, F.window("window", "1 hour"))
+    return counted.agg(F.count(F.lit(1)).alias("active_users"))
+
+
 def running_users(events: DataFrame, source: str, user: str, error: float = 0.05) -> DataFrame:
     """Approximate distinct users per source so far (complete mode)."""
     return events.groupBy(source).agg(F.approx_count_distinct(user, error).alias("active_users"))

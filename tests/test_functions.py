@@ -23,7 +23,7 @@ from tidemark.plans.clickstream import (
     weekday_active_users,
     with_revenue,
 )
-from tidemark.session import scratch_path, shared_folder, stored
+from tidemark.session import pin_session, scratch_path, shared_folder, stored
 from tidemark.sources.readers import (
     range_partitioned,
     read_delimited,
@@ -179,6 +179,20 @@ def test_a_cluster_needs_a_shared_folder():
         shared_folder(_Cluster)
 
 
+def test_a_sessions_own_settings_win(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "7m")
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Oslo")
+        pin_session(spark)
+        assert spark.conf.get(key) == "7m" and spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        spark.conf.unset(key)
+        assert pin_session(spark).conf.get(key) == "64m"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(shared_folder(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")

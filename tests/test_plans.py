@@ -77,7 +77,7 @@ def test_partition_folders_are_pruned(spark, tmp_path):
 
 def test_time_range_opens_only_its_days(spark):
     plan = plan_of(QUERIES["bronze_time_range"](spark, FOLDER))
-    assert re.search(r"PartitionFilters: \[.*make_date\(year#\d+, month#\d+, day#\d+", plan)
+    assert re.search(r"PartitionFilters: \[.*make_date\(year#", plan)
 
 
 def test_time_range_reaches_the_scan(spark):

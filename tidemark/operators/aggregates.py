@@ -145,7 +145,8 @@ def keep_first_copy(frame: DataFrame, id_column: str, *normalised: Column) -> Da
     their unique id, which spreads even a group of copies holding a large share
     of the table.
     """
-    digest = F.concat(*[F.coalesce(F.sha2(c, 256), F.lit("null")) for c in normalised])
+    null_mark = F.lit(b"\0")
+    digest = F.concat(*[F.coalesce(F.unhex(F.sha2(c, 256)), null_mark) for c in normalised])
     kept = (
         frame.select(F.col(id_column), digest.alias("digest"))
         .groupBy("digest")

@@ -91,20 +91,19 @@ def options_per_customer(
     """Sorted size and quality sets per customer.
 
     ``items`` holds (order key, size, quality), ``orders`` one row per order with
-    its customer. Items become one small set per order on the way into the
-    exchange that the join needs anyway, so an order with very many items is no
-    hot join key, and the sets are bounded by the words in use.
+    its customer. Options are made distinct per order and again per customer by
+    hashing, before anything is collected: an order or customer with very many
+    items then brings a few rows to its task. (``collect_list`` because Spark
+    drops a distinct in front of ``collect_set``, which would then see all rows.)
     """
-    option = F.struct("size", "quality")
-    per_order = items.groupBy(order_key).agg(F.collect_set(option).alias("options"))
+    per_order = items.select(order_key, "size", "quality").distinct()
     bought = per_order.join(orders.select(order_key, customer), order_key)
-    return (
-        bought.select(customer, F.inline("options"))
-        .groupBy(customer)
-        .agg(
-            F.array_sort(F.collect_set("size")).alias("size_options"),
-            F.array_sort(F.collect_set("quality")).alias("quality_options"),
-        )
+    options = bought.select(customer, "size", "quality").distinct()
+    return options.groupBy(customer).agg(
+        *[
+            F.array_sort(F.array_distinct(F.collect_list(c))).alias(f"{c}_options")
+            for c in ("size", "quality")
+        ]
     )
 
 

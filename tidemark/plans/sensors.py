@@ -201,7 +201,9 @@ def rollup(
 
     A stamp on the boundary closes the period that ends there. Means are not
     weighted. Grouping by mode value first lets one pass give both the mode and
-    the other measures, without a self join; corrupt stamps are left out.
+    the other measures, without a self join, and over plain columns, so by
+    hashing; only its few rows are then sorted for the mode. Corrupt stamps are
+    left out.
     """
     bucket = label_bucket(F.col(time), seconds, label)
     per_mode = (
@@ -209,8 +211,10 @@ def rollup(
         .groupBy(*keys, bucket.alias("_bucket"), "mode_value")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.min(F.struct(time, "first_value")).alias("first_row"),
-            F.max(F.struct(time, "last_value")).alias("last_row"),
+            F.min(time).alias("first_time"),
+            F.min_by("first_value", time).alias("first_value"),
+            F.max(time).alias("last_time"),
+            F.max_by("last_value", time).alias("last_value"),
             F.min("min_value").alias("min_value"),
             F.max("max_value").alias("max_value"),
             F.sum("avg_value").alias("avg_sum"),
@@ -220,8 +224,8 @@ def rollup(
     return (
         per_mode.groupBy(*keys, "_bucket")
         .agg(
-            F.min("first_row").getField("first_value").alias("first_value"),
-            F.max("last_row").getField("last_value").alias("last_value"),
+            F.min_by("first_value", "first_time").alias("first_value"),
+            F.max_by("last_value", "last_time").alias("last_value"),
             F.min("min_value").alias("min_value"),
             F.max("max_value").alias("max_value"),
             F.max(F.struct("n", "mode_value")).getField("mode_value").alias("mode_value"),

@@ -8,9 +8,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every plan in this package relies on; all can change at run time.
-RUNTIME_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
+# Results depend on the zone, so it is always set.
+REQUIRED_SETTINGS = {"spark.sql.session.timeZone": "UTC"}
+
+# Used where a session has none of its own; all can change at run time.
+DEFAULT_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -37,7 +39,7 @@ def build_session(
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false")
-    for key, value in RUNTIME_SETTINGS.items():
+    for key, value in {**REQUIRED_SETTINGS, **DEFAULT_SETTINGS}.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -47,9 +49,12 @@ def build_session(
 
 
 def pin_session(spark: SparkSession) -> SparkSession:
-    """Apply the package's run-time settings to a session made elsewhere."""
-    for key, value in RUNTIME_SETTINGS.items():
+    """Give a session made elsewhere the settings it lacks, and the zone."""
+    for key, value in REQUIRED_SETTINGS.items():
         spark.conf.set(key, value)
+    for key, value in DEFAULT_SETTINGS.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 

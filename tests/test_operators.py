@@ -7,7 +7,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.errors import PySparkException
-from pyspark.sql import Row
+from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import folded
@@ -145,12 +145,14 @@ def test_forward_fill_equals_plain_loop(spark, max_gap):
         assert filled.count() == len(rows)
 
 
-def test_running_max_with_peers_and_nulls(spark):
-    rows = [("a", 1, 3.0), ("a", 1, 9.0), ("a", 2, 4.0), (None, 1, 5.0), (None, None, 2.0), ("a", 3, None)]
+@pytest.mark.parametrize("width", [None, 2, 100])
+def test_running_max_with_peers_and_nulls(spark, width):
+    rng = random.Random(5)
+    rows = [("a", 1, 3.0), ("a", 1, 9.0), (None, 1, 5.0), (None, None, 2.0), ("a", None, None), ("b", 0, None)]
+    rows += [("hot", rng.randint(0, 30), rng.choice([None, rng.random()])) for _ in range(100)]
     frame = spark.createDataFrame(rows, "k string, o int, v double")
-    got = running_max(frame, [F.col("k")], "o", "v", "m")
-    from pyspark.sql import Window
-
+    chunk = None if width is None else F.floor(F.col("o") / width)
+    got = running_max(frame, [F.col("k")], "o", "v", "m", chunk)
     expected = frame.withColumn("m", F.max("v").over(Window.partitionBy("k").orderBy("o")))
     assert rows_of(got) == rows_of(expected)
 

@@ -2,7 +2,8 @@
 
 ``<root>/data/version=N`` holds a version's rows, with its own schema.
 ``<root>/commits`` has one row per version and is written after the data, so a
-job that dies half-way leaves no visible version.
+job that dies half-way leaves no visible version. A table has one writer at a
+time.
 """
 
 from __future__ import annotations

@@ -30,21 +30,37 @@ def latest_per_slot(
 
 
 def running_max(
-    frame: DataFrame, keys: Sequence[Column], order: str, value: str, alias: str
+    frame: DataFrame,
+    keys: Sequence[Column],
+    order: str,
+    value: str,
+    alias: str,
+    chunk: Column | None = None,
 ) -> DataFrame:
     """Maximum so far within each key, peers in ``order`` included.
 
-    Rows are reduced to one per (key, order value) before the window, which then
-    sees only distinct order values; the result is joined back.
+    Rows are reduced to one per (key, order value) before the window, and the
+    result is joined back. ``chunk``, a coarser form of ``order`` such as its
+    day, cuts a key with very many order values: the maximum of the chunks
+    before, found from one row per chunk, is put in front of each chunk.
     """
     names = [f"_key{i}" for i in range(len(keys))]
+    chunk = F.lit(0) if chunk is None else chunk
     keyed = frame.select("*", *[k.alias(n) for k, n in zip(keys, names)])
-    peaks = keyed.groupBy(*names, order).agg(F.max(value).alias("_peak"))
-    so_far = Window.partitionBy(*names).orderBy(order)
+    peaks = keyed.groupBy(*names, chunk.alias("_chunk"), order).agg(F.max(value).alias("_peak"))
+    before = Window.partitionBy(*names).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    ends = peaks.groupBy(*names, "_chunk").agg(F.max("_peak").alias("_end"))
+    opening = ends.select(*names, "_chunk", F.max("_end").over(before).alias("_peak"))
+    rows = peaks.withColumn("_opening", F.lit(False)).unionByName(
+        opening.withColumn("_opening", F.lit(True)), allowMissingColumns=True
+    )
+    # Opening rows have no order value, and nulls come first.
+    so_far = Window.partitionBy(*names, "_chunk").orderBy(order)
     at = [*names, order]
-    running = peaks.select(
-        *[F.col(n).alias(f"_at{i}") for i, n in enumerate(at)],
-        F.max("_peak").over(so_far).alias(alias),
+    running = (
+        rows.withColumn(alias, F.max("_peak").over(so_far))
+        .filter(~F.col("_opening"))
+        .select(*[F.col(n).alias(f"_at{i}") for i, n in enumerate(at)], alias)
     )
     # Null-safe: a null key is a group of its own, as in a window.
     match = [F.col(n).eqNullSafe(F.col(f"_at{i}")) for i, n in enumerate(at)]
@@ -65,7 +81,7 @@ def forward_fill(
     ``slot`` is an integer position, unique per key. Each key is cut into chunks
     of ``chunk`` positions; the last value before each chunk is found from one
     row per chunk and put in front of the chunk's rows. No task then orders more
-    than one chunk of a key, however hot the key is.
+    than one chunk of a key, however hot the key is. The frame is read twice.
     """
     chunked = frame.withColumn("_chunk", F.floor(F.col(slot) / chunk)).withColumn(
         "_known", F.when(F.col(value).isNotNull(), F.col(slot).cast("bigint"))

@@ -57,7 +57,7 @@ def win_first_value_desc(t: Tables):
 def win_forward_fill(t: Tables):
     """Daily grid, gaps filled from at most five days before, in chunks of a week."""
     slots = observed_slots(t.events, KEYS, "ts", "value", JANUARY, FEBRUARY, 86_400, ["event_id"])
-    full = grid(t.events, KEYS, 0, 29).join(slots, [*KEYS, "slot"], "left")
+    full = grid(slots, KEYS, 0, 29).join(slots, [*KEYS, "slot"], "left")
     filled = forward_fill(full, KEYS, "slot", "value", "filled", max_gap=5, chunk=7)
     return filled.select(*KEYS, "slot", "filled")
 
@@ -72,8 +72,10 @@ def win_forward_fill(t: Tables):
 )
 def win_running_max(t: Tables):
     orders = t.orders.select("o_orderkey", "o_orderdate", "o_totalprice")
-    month = F.date_trunc("month", F.col("o_orderdate"))
-    with_max = running_max(orders, [month], "o_orderdate", "o_totalprice", "max_so_far")
+    month, week = (F.date_trunc(unit, F.col("o_orderdate")) for unit in ("month", "week"))
+    with_max = running_max(
+        orders, [month], "o_orderdate", "o_totalprice", "max_so_far", chunk=week
+    )
     return with_max.select("o_orderkey", "max_so_far")
 
 

@@ -110,6 +110,60 @@ def test_merge_source_is_exchanged_once(spark, large_sides):
     assert "ReusedExchange" in plan_of(frame).split("Initial Plan")[0]
 
 
+@pytest.fixture
+def small_skew_sizes(spark, large_sides):
+    """Sizes at which a test frame counts as skewed."""
+    sizes = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in sizes}
+    for key, value in sizes.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def hot_rows(spark):
+    """Half of the rows have one key; the values do not compress."""
+    key = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id"))
+    ts = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 300)
+    return spark.range(0, 120_000, 1, 8).select(
+        key.alias("k"), F.lit("x").alias("tag"), ts.alias("ts"), F.rand(3).alias("value")
+    )
+
+
+def test_hot_target_key_is_split_in_a_merge(spark, small_skew_sizes):
+    from tidemark.operators.merge import merge_upsert
+
+    target = hot_rows(spark).select("k", "value")
+    source = spark.range(0, 30_000).select(F.col("id").alias("k"), F.rand(4).alias("value"))
+    merged = merge_upsert(target, source, ["k"])
+    assert len(merged.collect()) == 120_000 + 14_999
+    assert "SortMergeJoin(skew=true)" in plan_of(merged)
+
+
+def test_hot_device_is_split_in_the_sparse_summary(spark, small_skew_sizes):
+    from tidemark.plans.sensors import summarise_latest
+
+    summary = summarise_latest(hot_rows(spark), ["k", "tag"], "ts", "value", 300)
+    assert len(summary.collect()) == 120_000
+    assert "SortMergeJoin(skew=true)" in plan_of(summary)
+
+
+def test_hot_period_is_split_in_a_running_maximum(spark, small_skew_sizes):
+    from tidemark.operators.windows import running_max
+
+    rows = hot_rows(spark).withColumn("day", F.to_date(F.timestamp_seconds(F.col("k") * 300)))
+    result = running_max(rows, [F.month("day")], "day", "value", "m")
+    assert len(result.collect()) == 120_000
+    assert "SortMergeJoin(skew=true)" in plan_of(result)
+
+
 def test_pandas_udf_runs_on_arrow_batches(spark):
     assert "ArrowEvalPython" in plan_of(QUERIES["udf_pandas"](spark, FOLDER))
     assert "Python" not in plan_of(QUERIES["udf_native_twin"](spark, FOLDER))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +20,27 @@ def merged_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Data
     return left.join(right, list(keys), "full_outer")
 
 
+def left_lookup(
+    frame: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left"
+) -> DataFrame:
+    """Join a large frame, in which a key may be hot, to an aggregate with one row per key.
+
+    AQE splits a hot key only where both sides come straight from an exchange.
+    An aggregate is already partitioned by its keys, so an ordinary join would
+    take it as it is and the hot key would stay in one task. The null-safe
+    comparison is planned over other expressions, which gives the (small)
+    aggregate an exchange of its own. Null keys match each other: leave them out
+    of ``lookup`` if they should not.
+    """
+    names = [f"_key{i}" for i in range(len(keys))]
+    renamed = lookup.select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)],
+        *[c for c in lookup.columns if c not in keys],
+    )
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    return frame.join(renamed, match, how).drop(*names)
+
+
 def carry_previous(
     current: DataFrame,
     state: DataFrame,
@@ -29,13 +51,13 @@ def carry_previous(
 ) -> DataFrame:
     """Give empty first rows the value their key held before, else ``default``.
 
-    ``state`` holds one row per key: (keys, value).
+    ``state`` holds one row per key: (keys, value). A null key is a key like others.
     """
     before = state.select(*keys, F.col(value).alias("_before"))
     seeded = F.when(
         F.col(value).isNull() & F.col(is_first), F.coalesce("_before", F.lit(default))
     ).otherwise(F.col(value))
-    return current.join(before, list(keys), "left").withColumn(value, seeded).drop("_before")
+    return left_lookup(current, before, keys).withColumn(value, seeded).drop("_before")
 
 
 def common_members(frames: Sequence[DataFrame], column: str) -> DataFrame:

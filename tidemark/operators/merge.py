@@ -9,6 +9,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import left_lookup
+
 
 def merge_upsert(
     target: DataFrame,
@@ -24,9 +26,9 @@ def merge_upsert(
     key matches nothing, so such source rows are inserted.
 
     Written as a left join plus an anti join. A small source is broadcast to the
-    first, which then leaves the target in place, and AQE can split a skewed
-    target key; a full outer join allows neither. Both joins read the source in
-    the same form, so its exchange is computed once. A costly source is better
+    first, which then leaves the target in place, and AQE can split a hot target
+    key; a full outer join allows neither. Both joins read the source in the
+    same form, so its exchange is computed once. A costly source is better
     ``stored`` first, as the null-key rows are read apart.
     """
     columns = target.columns
@@ -44,7 +46,7 @@ def merge_upsert(
     change = unique_per_key(source.filter(complete), keys, "_new")
 
     found = F.col("_new").isNotNull()
-    kept = target.join(change, list(keys), "left").select(
+    kept = left_lookup(target, change, keys).select(
         *[
             F.when(found, F.col("_new").getField(c)).otherwise(F.col(c)).alias(c)
             if c in updated
@@ -52,7 +54,7 @@ def merge_upsert(
             for c in columns
         ]
     )
-    present = target.select(*keys)
+    present = target.select(*keys).distinct()
     added = change.join(present, list(keys), "left_anti").select(*keys, "_new.*")
     return kept.unionByName(added).unionByName(source.filter(~complete)).select(*columns)
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import epoch_seconds, label_bucket, moment, sane_time
 from tidemark.operators.aggregates import total_order
+from tidemark.operators.joins import left_lookup
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.windows import latest_per_slot
 
@@ -170,15 +171,17 @@ def summarise_latest(
 ) -> DataFrame:
     """Sparse summary: the last reading of each bucket stands for all measures.
 
-    The mode is taken per key over all its buckets. No gaps are filled.
+    The mode is taken per key over all its buckets. No gaps are filled. Readings
+    without a full key are left out.
     """
-    slots = latest_per_slot(readings, keys, time, value, seconds, tiebreak)
+    named = readings.na.drop(subset=list(keys))
+    slots = latest_per_slot(named, keys, time, value, seconds, tiebreak)
     per_value = slots.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
     modes = per_value.groupBy(*keys).agg(
         F.max(F.struct(F.col("n"), F.col(value))).getField(value).alias("mode_value")
     )
     v = F.col(value).cast("double")
-    return slots.join(modes, list(keys), "inner").select(
+    return left_lookup(slots, modes, keys, "inner").select(
         *keys,
         F.timestamp_seconds(F.col("slot") + seconds).alias("window_end"),
         v.alias("first_value"),

@@ -181,6 +181,30 @@ def test_box_and_fit(spark):
     assert line.slope == pytest.approx(3) and line.intercept == pytest.approx(-1)
 
 
+def test_box_stats_of_hot_values_nulls_and_many_distinct_values(spark):
+    draw = random.Random(5)
+    rows = [("hot", 7.5 if draw.random() < 0.4 else draw.gauss(0, 50)) for _ in range(5000)]
+    rows += [("few", float(draw.randrange(4))) for _ in range(150)]
+    rows += [("one", 3.0), ("none", None), ("none", None), ("some", None), ("some", 1.0), ("some", 2.0)]
+    rows += [(None, 4.0), (None, 8.0)]
+    frame = spark.createDataFrame(rows, "g string, x double")
+    got = {r.g: (r.q1, r.median, r.q3) for r in box_stats(frame, ["g"], "x", accuracy=20).collect()}
+    exact = frame.groupBy("g").agg(F.percentile("x", F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("q"))
+    expected = {r.g: tuple(r.q or [None] * 3) for r in exact.collect()}
+    assert got.keys() == expected.keys()
+    for group, quartiles in expected.items():
+        assert got[group] == pytest.approx(quartiles), group
+
+
+def test_first_copy_among_mostly_copies(spark):
+    """A third of the rows share one text; nulls are texts like others."""
+    draw = random.Random(6)
+    texts = [draw.choice(["the same", "the same", f"t{draw.randrange(300)}", None]) for _ in range(900)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string")
+    kept = {r.id for r in keep_first_copy(frame, "id", F.col("t")).collect()}
+    assert kept == {texts.index(t) for t in set(texts)}
+
+
 def test_null_counts(spark):
     frame = spark.createDataFrame([(1, None), (None, None)], "a int, b string")
     assert null_counts(frame).first().asDict() == {"a": 1, "b": 2}

@@ -110,6 +110,27 @@ def test_merge_source_is_exchanged_once(spark, large_sides):
     assert "ReusedExchange" in plan_of(frame).split("Initial Plan")[0]
 
 
+def test_small_merge_source_leaves_the_target_in_place(spark, tmp_path):
+    from tidemark.operators.merge import merge_upsert
+
+    t = Tables(spark, FOLDER)
+    path = str(tmp_path / "source")
+    t.orders.filter("o_orderkey < 50").write.parquet(path)
+    merged = merge_upsert(t.orders, spark.read.parquet(path), ["o_orderkey"])
+    merged.collect()
+    plan = plan_of(merged).split("Initial Plan")[0]
+    target_scans = plan.count(f"{FOLDER}/orders.parquet")
+    assert target_scans == 2 and "SortMergeJoin" not in plan
+
+
+def test_few_copies_are_dropped_without_moving_texts(spark):
+    from tidemark.operators.aggregates import keep_first_copy
+
+    documents = Tables(spark, FOLDER).documents
+    plan = plan_of(keep_first_copy(documents, "doc_id", F.col("text")))
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
 @pytest.fixture
 def small_skew_sizes(spark, large_sides):
     """Sizes at which a test frame counts as skewed."""

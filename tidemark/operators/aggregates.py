@@ -8,9 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import left_lookup
+from tidemark.session import stored
+
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
 
 def count_rows(alias: str = "n") -> Column:
     return F.count(F.lit(1)).alias(alias)
@@ -86,24 +91,58 @@ def histogram(frame: DataFrame, value: str, bins: int) -> DataFrame:
     return present.groupBy(clipped.alias("bin")).agg(count_rows())
 
 
-def box_stats(frame: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Exact quartiles and 1.5-IQR fences per group.
+def box_stats(
+    frame: DataFrame, keys: Sequence[str], value: str, accuracy: int = 100
+) -> DataFrame:
+    """Exact quartiles and 1.5-IQR fences per group; nulls do not count.
 
-    Rows are first counted per (group, value); the percentile then reads one
-    weighted row per distinct value, so its memory follows the number of
-    distinct values and not the number of rows.
+    Rows are first counted per (group, value). A sketch of each group then gives
+    ``accuracy`` cut points, and values are ordered between two cuts only, so a
+    group with very many distinct values is spread over that many pieces. The
+    cuts just divide the work; they do not enter the result.
     """
-    counted = frame.groupBy(*keys, value).agg(count_rows())
-    points = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
-    quartiles = counted.groupBy(*keys).agg(points.alias("q"))
-    q1, q2, q3 = (F.element_at("q", i) for i in (1, 2, 3))
+    values = frame.select(*keys, F.col(value).cast("double").alias("_x"))
+    counted = values.groupBy(*keys, "_x").agg(F.count("_x").alias("_n"))
+    shares = [i / accuracy for i in range(1, accuracy)]
+    sketch = values.groupBy(*keys).agg(
+        F.percentile_approx("_x", shares, 10 * accuracy).alias("_cuts"), F.count("_x").alias("_total")
+    )
+    piece = F.size(F.filter("_cuts", lambda cut: cut < F.col("_x")))
+    pieces = left_lookup(counted, sketch, keys, "inner").withColumn("_piece", piece).drop("_cuts")
+
+    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        pieces.groupBy(*keys, "_piece")
+        .agg(F.sum("_n").alias("_rows"))
+        .select(*keys, "_piece", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    )
+    inside = Window.partitionBy(*keys, "_piece").orderBy("_x")
+    ranked = left_lookup(
+        pieces.withColumn("_upto", F.sum("_n").over(inside)), offsets, [*keys, "_piece"], "inner"
+    )
+    upto = F.col("_before") + F.col("_upto")
+
+    # The value at a position from 0 is the smallest one with more rows up to it.
+    position = {n: (F.col("_total") - 1) * share for n, share in QUARTILES.items()}
+    at = ranked.groupBy(*keys).agg(
+        *[F.min(F.when(upto > F.floor(p), F.col("_x"))).alias(f"_low_{n}") for n, p in position.items()],
+        *[F.min(F.when(upto > F.ceil(p), F.col("_x"))).alias(f"_high_{n}") for n, p in position.items()],
+        F.any_value("_total").alias("_total"),
+    )
+    low, high = ({n: F.col(f"_{side}_{n}") for n in QUARTILES} for side in ("low", "high"))
+    quartiles = at.select(
+        *keys,
+        *[
+            (low[n] + (high[n] - low[n]) * (p - F.floor(p))).alias(n)
+            for n, p in position.items()
+        ],
+    )
+    fence = 1.5 * (F.col("q3") - F.col("q1"))
     return quartiles.select(
         *keys,
-        q1.alias("q1"),
-        q2.alias("median"),
-        q3.alias("q3"),
-        (q1 - 1.5 * (q3 - q1)).alias("low_fence"),
-        (q3 + 1.5 * (q3 - q1)).alias("high_fence"),
+        *QUARTILES,
+        (F.col("q1") - fence).alias("low_fence"),
+        (F.col("q3") + fence).alias("high_fence"),
     )
 
 
@@ -111,11 +150,11 @@ def box_stats_approx(
     frame: DataFrame, keys: Sequence[str], value: str, accuracy: int = 10000
 ) -> DataFrame:
     """Quartiles from a bounded sketch, for columns with very many distinct values."""
-    q = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
+    q = F.percentile_approx(value, list(QUARTILES.values()), accuracy)
     return (
         frame.groupBy(*keys)
         .agg(q.alias("q"))
-        .select(*keys, *[F.element_at("q", i + 1).alias(n) for i, n in enumerate(("q1", "median", "q3"))])
+        .select(*keys, *[F.element_at("q", i + 1).alias(n) for i, n in enumerate(QUARTILES)])
     )
 
 
@@ -140,17 +179,21 @@ def first_rows(frame: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
 def keep_first_copy(frame: DataFrame, id_column: str, *normalised: Column) -> DataFrame:
     """Drop rows whose normalised columns match an earlier row; keep original formats.
 
-    ``id_column`` must be unique. Only a digest and the id are grouped, so long
-    texts never enter an aggregation buffer, and the rows are then fetched by
-    their unique id, which spreads even a group of copies holding a large share
-    of the table.
+    ``id_column`` must be unique and not null. The texts are read twice, to be
+    digested and to be given out; in between only digests and ids move. The ids
+    to drop are stored, so their size is known when the last join is planned: a
+    short list is broadcast and no text is exchanged, a long one is joined by
+    the unique id, which spreads even copies holding a large share of the table.
     """
     null_mark = F.lit(b"\0")
     digest = F.concat(*[F.coalesce(F.unhex(F.sha2(c, 256)), null_mark) for c in normalised])
-    kept = (
-        frame.select(F.col(id_column), digest.alias("digest"))
-        .groupBy("digest")
-        .agg(F.min(id_column).alias(id_column))
-        .select(id_column)
+    digests = stored(frame.select(id_column, digest.alias("digest")), "digests")
+    copied = (
+        digests.groupBy("digest")
+        .agg(F.min(id_column).alias("_first"), count_rows("_n"))
+        .filter("_n > 1")
+        .select("digest", "_first")
     )
-    return frame.join(kept, id_column, "left_semi")
+    # The lookup is what lets AQE split a digest that most rows share.
+    repeated = left_lookup(digests, copied, ["digest"], "inner").filter(F.col(id_column) != F.col("_first"))
+    return frame.join(stored(repeated.select(id_column), "copies"), id_column, "left_anti")

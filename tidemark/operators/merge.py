@@ -25,11 +25,13 @@ def merge_upsert(
     inserted whole. A key that occurs twice in the source fails the job; a null
     key matches nothing, so such source rows are inserted.
 
-    Written as a left join plus an anti join. A small source is broadcast to the
-    first, which then leaves the target in place, and AQE can split a hot target
-    key; a full outer join allows neither. Both joins read the source in the
-    same form, so its exchange is computed once. A costly source is better
-    ``stored`` first, as the null-key rows are read apart.
+    Written as a left join for the target's rows and an anti join for the new
+    ones. A small source is broadcast to both passes over the target, which then
+    stays in place, and AQE can split a hot target key; a full outer join allows
+    neither. The anti join meets only the target keys that are in the source.
+    All joins read the source in the same form, so its exchange is computed
+    once. A costly source is better ``stored`` first, as the null-key rows are
+    read apart.
     """
     columns = target.columns
     missing = set(columns) - set(source.columns)
@@ -54,7 +56,7 @@ def merge_upsert(
             for c in columns
         ]
     )
-    present = target.select(*keys).distinct()
+    present = left_lookup(target.select(*keys), change.select(*keys), keys, "left_semi").distinct()
     added = change.join(present, list(keys), "left_anti").select(*keys, "_new.*")
     return kept.unionByName(added).unionByName(source.filter(~complete)).select(*columns)
 

@@ -169,7 +169,7 @@ def json_to_flat_table(t: Tables):
     documents, table = scratch_path(t.spark, "turns-json"), scratch_path(t.spark, "turns-flat")
     write_documents(nested_turns(t), documents, rows_per_document=10_000)
     schema = nested_turns(t).schema
-    flat = flatten(read_json(t.spark, documents, schema=schema, whole_document=True).drop("document"))
+    flat = flatten(read_json(t.spark, documents, schema=schema, whole_document=True))
     flat.write.parquet(table)
     return t.spark.read.parquet(table)
 

@@ -126,7 +126,7 @@ def scan_json_multiline(t: Tables):
     """Indented JSON documents, one per file, each an array of up to 10,000 customers."""
     path = scratch_path(t.spark, "customer-documents")
     write_documents(t.customer, path, rows_per_document=10_000)
-    return read_json(t.spark, path, schema=t.customer.schema, whole_document=True).drop("document")
+    return read_json(t.spark, path, schema=t.customer.schema, whole_document=True)
 
 
 @query(
@@ -157,7 +157,7 @@ def scan_sql(t: Tables):
     t.views("part")
     return t.spark.sql(
         "SELECT p_brand, p_name, p_retailprice FROM part WHERE p_retailprice > 950 "
-        "ORDER BY p_retailprice"
+        "ORDER BY p_retailprice, p_partkey"
     )
 
 

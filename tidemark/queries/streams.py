@@ -279,7 +279,7 @@ def stream_tumbling_agg(t: Tables):
     """Approximate distinct users per source and hour, sorted, in complete mode; against exact ones."""
     path, state = fresh(t, "hourly-users", "hourly-users-state")
     hourly = hourly_active_users(stream_events(t), "ts", "event_type", "user_id", error=0.01)
-    run_to_end(for_each_batch(hourly.orderBy("hour"), replace_result(path), state, "complete"))
+    run_to_end(for_each_batch(hourly.orderBy("hour", "window", "event_type"), replace_result(path), state, "complete"))
     start = stamp(F.col("window.start")).alias("window_start")
     exact = (
         t.events.groupBy("event_type", F.window("ts", "1 hour").alias("window"))

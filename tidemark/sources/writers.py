@@ -34,6 +34,7 @@ def write_documents(frame: DataFrame, path: str, rows_per_document: int) -> None
     """Indented JSON documents, one per file, each an array of rows.
 
     Documents are cut by row number within a task, so none grows with the data.
+    One row per file gives each document its own file.
     """
     rows = F.collect_list(F.struct(*frame.columns))
     document = F.floor(F.monotonically_increasing_id() / rows_per_document)
@@ -42,7 +43,7 @@ def write_documents(frame: DataFrame, path: str, rows_per_document: int) -> None
         .groupBy("document")
         .agg(F.to_json(rows, {"pretty": "true"}).alias("value"))
     )
-    bodies.write.partitionBy("document").text(path)
+    bodies.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
 def write_csv(frame: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:

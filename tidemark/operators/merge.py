@@ -29,9 +29,9 @@ def merge_upsert(
     ones. A small source is broadcast to both passes over the target, which then
     stays in place, and AQE can split a hot target key; a full outer join allows
     neither. The anti join meets only the target keys that are in the source.
-    All joins read the source in the same form, so its exchange is computed
-    once. A costly source is better ``stored`` first, as the null-key rows are
-    read apart.
+    Both joins that carry source rows read them in the same form, so their
+    exchange is computed once. A costly source is better ``stored`` first, as
+    its keys and its null-key rows are read apart.
     """
     columns = target.columns
     missing = set(columns) - set(source.columns)
@@ -56,7 +56,9 @@ def merge_upsert(
             for c in columns
         ]
     )
-    present = left_lookup(target.select(*keys), change.select(*keys), keys, "left_semi").distinct()
+    present = left_lookup(
+        target.select(*keys), source.filter(complete).select(*keys), keys, "left_semi"
+    ).distinct()
     added = change.join(present, list(keys), "left_anti").select(*keys, "_new.*")
     return kept.unionByName(added).unionByName(source.filter(~complete)).select(*columns)
 

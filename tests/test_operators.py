@@ -188,7 +188,7 @@ def test_box_stats_of_hot_values_nulls_and_many_distinct_values(spark):
     rows += [("one", 3.0), ("none", None), ("none", None), ("some", None), ("some", 1.0), ("some", 2.0)]
     rows += [(None, 4.0), (None, 8.0)]
     frame = spark.createDataFrame(rows, "g string, x double")
-    got = {r.g: (r.q1, r.median, r.q3) for r in box_stats(frame, ["g"], "x", accuracy=20).collect()}
+    got = {r.g: (r.q1, r.median, r.q3) for r in box_stats(frame, ["g"], "x", halvings=4).collect()}
     exact = frame.groupBy("g").agg(F.percentile("x", F.array(*map(F.lit, (0.25, 0.5, 0.75)))).alias("q"))
     expected = {r.g: tuple(r.q or [None] * 3) for r in exact.collect()}
     assert got.keys() == expected.keys()

@@ -91,35 +91,44 @@ def histogram(frame: DataFrame, value: str, bins: int) -> DataFrame:
     return present.groupBy(clipped.alias("bin")).agg(count_rows())
 
 
-def box_stats(
-    frame: DataFrame, keys: Sequence[str], value: str, accuracy: int = 100
-) -> DataFrame:
+def box_stats(frame: DataFrame, keys: Sequence[str], value: str, halvings: int = 6) -> DataFrame:
     """Exact quartiles and 1.5-IQR fences per group; nulls do not count.
 
-    Rows are first counted per (group, value). A sketch of each group then gives
-    ``accuracy`` cut points, and values are ordered between two cuts only, so a
-    group with very many distinct values is spread over that many pieces. The
-    cuts just divide the work; they do not enter the result.
+    Rows are first counted per (group, value). A sketch of each group then cuts
+    its values into ``2 ** halvings`` pieces of about as many rows, and values
+    are ordered within a piece only, so a group with very many distinct values
+    is spread over its pieces. The cuts just divide the work; they do not enter
+    the result.
     """
     values = frame.select(*keys, F.col(value).cast("double").alias("_x"))
     counted = values.groupBy(*keys, "_x").agg(F.count("_x").alias("_n"))
-    shares = [i / accuracy for i in range(1, accuracy)]
+    n_pieces = 2**halvings
+    shares = [i / n_pieces for i in range(1, n_pieces)]
     sketch = values.groupBy(*keys).agg(
-        F.percentile_approx("_x", shares, 10 * accuracy).alias("_cuts"), F.count("_x").alias("_total")
+        F.percentile_approx("_x", shares, 10 * n_pieces).alias("_cuts")
     )
-    piece = F.size(F.filter("_cuts", lambda cut: cut < F.col("_x")))
-    pieces = left_lookup(counted, sketch, keys, "inner").withColumn("_piece", piece).drop("_cuts")
+    # Number of cuts below the value, by bisection.
+    pieces = left_lookup(counted, sketch, keys, "inner").withColumn("_piece", F.lit(0))
+    for half in range(halvings - 1, -1, -1):
+        cut = F.get("_cuts", F.col("_piece") + (2**half - 1))
+        above = F.when(cut < F.col("_x"), 2**half).otherwise(0)
+        pieces = pieces.withColumn("_piece", F.col("_piece") + above)
 
-    before = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        pieces.groupBy(*keys, "_piece")
-        .agg(F.sum("_n").alias("_rows"))
-        .select(*keys, "_piece", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
-    )
     inside = Window.partitionBy(*keys, "_piece").orderBy("_x")
-    ranked = left_lookup(
-        pieces.withColumn("_upto", F.sum("_n").over(inside)), offsets, [*keys, "_piece"], "inner"
+    ranked = pieces.select(*keys, "_piece", "_x", F.sum("_n").over(inside).alias("_upto"))
+    all_pieces = Window.partitionBy(*keys)
+    before = all_pieces.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        ranked.groupBy(*keys, "_piece")
+        .agg(F.max("_upto").alias("_rows"))
+        .select(
+            *keys,
+            "_piece",
+            F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
+            F.sum("_rows").over(all_pieces).alias("_total"),
+        )
     )
+    ranked = left_lookup(ranked, offsets, [*keys, "_piece"], "inner")
     upto = F.col("_before") + F.col("_upto")
 
     # The value at a position from 0 is the smallest one with more rows up to it.

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chunk_dedup, packing, quality, simhash, toxicity
@@ -59,12 +59,18 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     A document that is left without a word still has its row.
     """
     prepare(spark)
-    carry = [c for c in docs.columns if c != "text"]
-    cut = chunk_dedup.dedup_substrings(docs, carry=carry)
-    if "n_chars" in carry:
-        length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
-        cut = cut.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
-    return cut.select(*[F.col(f"`{c}`") for c in docs.columns])
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    cut = chunk_dedup.dedup_substrings(docs.select("doc_id", "text", F.struct(*others).alias("_doc")), carry=("_doc",))
+
+    def column(name: str) -> Column:
+        if name == "text":
+            return F.col("text")
+        old = F.col("_doc").getField(name)
+        if name == "n_chars":
+            old = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(old).cast(docs.schema[name].dataType)
+        return old.alias(name)
+
+    return cut.select(*map(column, docs.columns))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -94,13 +94,17 @@ CHUNK_SCHEMA = "high long, low long, _id long, _twin long, place int, n_words in
 
 
 def _first_of_each(table: list[np.ndarray]) -> np.ndarray:
-    """Whether a chunk is the first of its digest among high, low, id, twin, place."""
+    """Whether a chunk is the first of its digest among high, low, id, twin, place.
+
+    So are the same chunks of an equal row.
+    """
     order = np.lexsort(table[::-1])
-    high, low = table[0][order], table[1][order]
-    first = np.ones(len(order), bool)
-    first[1:] = (np.diff(high) != 0) | (np.diff(low) != 0)
+    ordered = [column[order] for column in table]
+    starts = np.ones(len(order), bool)
+    starts[1:] = (np.diff(ordered[0]) != 0) | (np.diff(ordered[1]) != 0)
+    leader = np.flatnonzero(starts)[np.cumsum(starts) - 1]
     result = np.empty(len(order), bool)
-    result[order] = first
+    result[order] = np.all([column == column[leader] for column in ordered[2:]], axis=0)
     return result
 
 
@@ -168,7 +172,8 @@ def repeated_chunks(all_chunks: DataFrame) -> DataFrame:
     rounds at most (see ``chunks``).
     """
     of_digest = Window.partitionBy("high", "low", "repeated").orderBy("_id", "_twin", "place")
-    ranked = all_chunks.withColumn("_nth", F.row_number().over(of_digest))
+    # Chunks of equal rows have the same rank.
+    ranked = all_chunks.withColumn("_nth", F.rank().over(of_digest))
     return ranked.filter("repeated OR _nth > 1").select("_id", "_twin", "place", "n_words")
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Callable, Iterable
+import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from tokenizers import Tokenizer
@@ -34,19 +35,25 @@ class PieceIds(dict):
     """Ids of a piece as little-endian unsigned 32-bit integers, encoded when first met.
 
     A word with one mark behind it is taken apart, so that the word is met less
-    often for the first time. The pieces used since the table was last full stay
+    often for the first time; ``is_word`` says which pieces are letters, whatever
+    normalisation does to them. The pieces used since the table was last full stay
     when it is full again.
     """
 
-    def __init__(self, encode: Callable[[str], Iterable[int]], mark: Callable[[str], bytes] | None = None):
+    def __init__(
+        self,
+        encode: Callable[[str], list[int]],
+        mark: Callable[[str], bytes] | None = None,
+        is_word: Callable[[str], bool] = str.isalpha,
+    ):
         super().__init__()
-        self.encode, self.mark = encode, mark or self.__getitem__
+        self.encode, self.mark, self.is_word = encode, mark or self.__getitem__, is_word
         self.earlier: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         packed = self.earlier.get(piece)
         if packed is None:
-            if piece[-1:] in MARKS and piece[:-1].isalpha():
+            if piece[-1:] in MARKS and self.is_word(piece[:-1]):
                 packed = self[piece[:-1]] + self.mark(piece[-1])
             else:
                 ids = self.encode(piece)
@@ -117,7 +124,7 @@ def _coder(tokenizer: Tokenizer) -> Callable[[str], list[int]]:
         text = normalizer.normalize_str(piece) if normalizer and not _plain(piece) else piece
         if normalizer and text is piece:
             text = piece.lower()
-        word = text[1:] if text[:1] == " " else text
+        word = text[1:] if text[:1] == " " and not normalizer else text
         if word.isalpha():  # one pre-token
             if not text.isascii() or text is not word:
                 text = text.encode().decode("latin-1").translate(to_alphabet)
@@ -141,7 +148,10 @@ def spaced_coder(vocabulary: bytes) -> Callable[[str], bytes]:
 @lru_cache(maxsize=4)
 def word_coder(vocabulary: bytes) -> Callable[[str], bytes]:
     """Ids of a text by a vocabulary (tokenizers JSON) that drops white space."""
-    ids = PieceIds(_coder(Tokenizer.from_str(vocabulary.decode()))).__getitem__
+    def is_word(piece: str) -> bool:
+        return unicodedata.normalize("NFC", piece).lower().isalpha()
+
+    ids = PieceIds(_coder(Tokenizer.from_str(vocabulary.decode())), is_word=is_word).__getitem__
     # ASCII white space only: other white space is left to the library.
     cut = re.compile("[^\t\n\v\f\r ]+").findall
     # In ASCII, split() also cuts at these, which are no white space here.

@@ -152,11 +152,15 @@ def _discounted(counts: DataFrame) -> DataFrame:
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """``lang, key, logp``: natural log probability of each n-gram's last byte.
+    """``lang, key, p, logp``: probability of each n-gram's last byte, and its score.
 
     Orders below the highest count the different bytes seen before an n-gram.
     Contexts and suffixes are shifts and masks of the key, so each order is one
     aggregate of the order above. The lowest order interpolates with 1/256.
+
+    ``logp`` is what a document is scored by: the natural log of ``p``, but that of
+    the lower orders' share where an n-gram occurs once. That one is the
+    document's own, and would vouch for any text, however odd.
     """
     levels = {order: counts}
     for k in range(order - 1, 0, -1):
@@ -175,15 +179,20 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
         )
         level = left_lookup(level, contexts, ["lang", "context"], "inner")
         if model is None:
-            lower = F.lit(1 / 256)
+            level = level.withColumns({"lower": F.lit(1 / 256), "lower_score": F.lit(1 / 256)})
         else:
             suffix = F.col("key").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))
-            below = model.select("lang", F.col("key").alias("suffix"), F.col("p").alias("lower"))
+            below = model.select(
+                "lang", F.col("key").alias("suffix"), F.col("p").alias("lower"), F.col("score").alias("lower_score")
+            )
             level = left_lookup(level.withColumn("suffix", suffix), below, ["lang", "suffix"], "inner")
-            lower = F.col("lower")
-        p = (F.col("n") - F.col("taken") + F.col("held") * lower) / F.col("total")
-        model = stored(level.select("lang", "key", p.alias("p")), f"model-{k}")
-    return model.select("lang", "key", F.log("p").cast("float").alias("logp"))
+        p = (F.col("n") - F.col("taken") + F.col("held") * F.col("lower")) / F.col("total")
+        without = F.when(F.col("total") == 1, F.col("lower_score")).otherwise(
+            F.col("held") * F.col("lower_score") / F.col("total")
+        )
+        score = F.when(F.col("n") == 1, without).otherwise(p)
+        model = stored(level.select("lang", "key", p.alias("p"), score.alias("score")), f"model-{k}")
+    return model.select("lang", "key", "p", F.log("score").cast("float").alias("logp"))
 
 
 def sorted_arrays(model: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
@@ -268,7 +277,7 @@ def bands(scored: DataFrame) -> DataFrame:
 
 def outside_band() -> Column:
     """Below or above the band of the language, which is wider for short texts."""
-    width = F.greatest(F.col("spread"), F.lit(LEAST_SPREAD)) + F.col("spread_of_one") / F.sqrt("n_bytes")
+    width = F.greatest(F.col("spread"), F.lit(LEAST_SPREAD)) + F.col("spread_of_one") / F.sqrt(F.greatest("n_bytes", F.lit(1)))
     low, high = F.col("middle") - LOWER_WIDTH * width, F.col("middle") + UPPER_WIDTH * width
     return F.coalesce(~F.col("nll").between(low, high), F.lit(False))
 
@@ -299,7 +308,7 @@ def quality(
 
     texts = docs.select(F.struct(*carry).alias("_carry"), "text", "lang")
     counts = stored(count_ngrams(texts, order), f"ngrams-{order}")
-    model = stored(kneser_ney(counts, order), "model")
+    model = stored(kneser_ney(counts, order).drop("p"), "model")
     small = model.count() <= broadcast_entries
     counted = map_batches(
         texts, kernel, ", ".join(f"{n} long" for n in names), keep=("_carry", "text", "lang")

@@ -9,20 +9,19 @@ from pyspark.sql import functions as F
 
 from tidemark.plans.messages import parse_payload
 from tidemark.plans.stocks import TICK_SCHEMA, ohlc, portfolio_value, with_file_id
-from tidemark.session import LARGE_STATE
 from tidemark.streaming import monitor
 from tidemark.streaming.jobs import (
     count_users,
     exploded_with,
     hourly_active_users,
-    hourly_user_keys,
-    running_user_keys,
+    new_hourly_users,
+    new_users,
     windowed_totals,
 )
 from tidemark.streaming.sinks import (
     append_batches,
     for_each_batch,
-    replace_result,
+    newest_batch,
     run_to_end,
     to_files,
     to_memory,
@@ -61,8 +60,8 @@ def test_late_rows_are_dropped_and_counted(spark, folder):
     write_events(spark, source, [(10, "a", "u"), (20, "a", "v"), (600, "a", "u")])
     run()
     write_events(spark, source, [(30, "a", "late"), (605, "b", "w")])
-    second = run()
-    assert monitor.rows_dropped_late(second) == 1
+    with monitor.progress_totals(spark) as seen:
+        assert seen.of(run()).rows_dropped_late == 1
     got = sorted((r.source, r.hour, r.n) for r in spark.read.parquet(out).collect())
     assert got == [("a", 0, 2)]  # hour 10 is still open, the late row is not in hour 0
 
@@ -82,11 +81,11 @@ def test_complete_mode_over_unsorted_files_equals_batch(spark, folder):
     for minutes in ([500, 505], [1, 2, 61], [300]):
         write_events(spark, source, [(m, "a" if m % 2 else "b", f"u{m % 3}") for m in minutes])
     stream = file_stream(spark, source, SCHEMA, files_per_trigger=1)
-    keys = hourly_user_keys(stream, "ts", "source", "user")
-    sink = replace_result(exact, lambda batch: count_users(batch, "source", "window"))
-    run_to_end(for_each_batch(keys, sink, folder("s1"), "complete"))
+    every = stream.groupBy("source", F.window("ts", "1 hour")).agg(F.collect_set("user").alias("users"))
+    every = every.select("source", "window", F.size("users").alias("active_users"))
+    run_to_end(for_each_batch(every, append_batches(exact), folder("s1"), "complete"))
     near = hourly_active_users(stream, "ts", "source", "user").orderBy("hour")
-    run_to_end(for_each_batch(near, replace_result(approx), folder("s2"), "complete"))
+    run_to_end(for_each_batch(near, append_batches(approx), folder("s2"), "complete"))
     batch = (
         spark.read.parquet(source)
         .groupBy("source", F.window("ts", "1 hour"))
@@ -94,21 +93,62 @@ def test_complete_mode_over_unsorted_files_equals_batch(spark, folder):
     )
     expected = {(r.source, r.window.start): r.n for r in batch.collect()}
     for path in (exact, approx):
-        got = {(r.source, r.window.start): r.active_users for r in spark.read.parquet(path).collect()}
+        assert spark.read.parquet(path).select("batch").distinct().count() == 3
+        got = {(r.source, r.window.start): r.active_users for r in newest_batch(spark, path).collect()}
         assert got == expected
 
 
-def test_running_counts_grow_with_each_batch(spark, folder):
-    source, seen = folder("in"), []
+def test_each_user_is_given_out_once(spark, folder):
+    source, seen, out = folder("in"), [], folder("out")
     for user in ("u", "v", "u"):
         write_events(spark, source, [(0, "a", user)])
-    keys = running_user_keys(file_stream(spark, source, SCHEMA, files_per_trigger=1), "source", "user")
+    keys = new_users(file_stream(spark, source, SCHEMA, files_per_trigger=1), "source", "user")
 
     def collect(batch, batch_id):
-        seen.append(count_users(batch, "source").first().active_users)
+        seen.append([r.user for r in batch.collect()])
+        append_batches(out)(batch, batch_id)
 
-    run_to_end(for_each_batch(keys, collect, folder("state"), "complete"))
-    assert len(seen) == 3 and seen[0] == 1 and seen[-1] == 2
+    run_to_end(for_each_batch(keys, collect, folder("state")))
+    assert sorted(seen, key=str) == sorted([["u"], ["v"], []], key=str)
+    assert [tuple(r) for r in count_users(spark.read.parquet(out), "source").collect()] == [("a", 2)]
+
+
+def test_state_of_closed_hours_goes(spark, folder):
+    source, out = folder("in"), folder("out")
+    for hour in range(8):
+        write_events(spark, source, [(60 * hour + m, "a", f"u{m}") for m in range(20)])
+    stream = file_stream(spark, source, SCHEMA, files_per_trigger=1)
+    keys = new_hourly_users(stream, "ts", "source", "user")
+    done = run_to_end(to_files(keys, out, folder("state")))
+    held = [s["numRowsTotal"] for p in done.recentProgress for s in p["stateOperators"]]
+    assert spark.read.parquet(out).count() == 160
+    assert held[-1] < 160 and max(held) < 160
+    counted = count_users(spark.read.parquet(out), "source", "window")
+    assert {r.active_users for r in counted.collect()} == {20}
+
+
+def test_totals_of_more_batches_than_a_query_remembers(spark, folder):
+    source = folder("in")
+    rows = [(START + timedelta(minutes=m), "a", f"u{m}") for m in range(130)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(130, "user")
+    frame.write.option("maxRecordsPerFile", 1).parquet(source)
+    stream = file_stream(spark, source, SCHEMA, files_per_trigger=1)
+    with monitor.progress_totals(spark) as seen:
+        done = run_to_end(to_files(stream, folder("out"), folder("state")))
+        totals_seen = seen.of(done)
+    assert len(done.recentProgress) <= 100
+    assert (totals_seen.rows_read, totals_seen.batches >= 130) == (130, True)
+
+
+def test_a_batch_leaves_few_files_in_each_folder(spark, folder):
+    out = folder("out")
+    rows = spark.range(0, 3000, 1, 16).withColumn("day", F.col("id") % 30)
+    handle = append_batches(out, partition_by=["day"])
+    handle(rows, 0)
+    first = len(spark.read.parquet(out).inputFiles())
+    handle(rows, 0)
+    assert first <= 60 and len(spark.read.parquet(out).inputFiles()) == first
+    assert spark.read.parquet(out).count() == 3000
 
 
 def test_repeated_batch_is_written_once(spark, folder):
@@ -186,30 +226,25 @@ def test_named_tick_files_to_portfolio(spark, folder):
     def ingest():
         run_to_end(to_files(with_file_id(csv_ingest(spark, source, TICK_SCHEMA)), out, state))
 
-    deliver("APPL", 1, [5.0, 9.0, 7.0])  # times run backwards: 7.0 opens
-    deliver("MSFT", 1, [2.0])
+    deliver("ACME", 1, [5.0, 9.0, 7.0])  # times run backwards: 7.0 opens
+    deliver("ZETA", 1, [2.0])
     ingest()
-    deliver("MSFT", 2, [3.0])
+    deliver("ZETA", 2, [3.0])
     ingest()
     ticks = spark.read.parquet(out)
     assert ticks.count() == 5 and sorted({r.file_id for r in ticks.collect()}) == [1, 2]
     bars = ohlc(ticks, ["file_id", "StockName"], "timestamp", "StockPrice", "Volume")
-    bar = bars.filter("StockName = 'APPL'").first()
+    bar = bars.filter("StockName = 'ACME'").first()
     assert (bar.open, bar.low, bar.high, bar.close, bar.volume) == (7.0, 5.0, 9.0, 5.0, 33)
-    total = portfolio_value(bars, {"APPL": 10, "MSFT": 100}, symbol="StockName").collect()
+    total = portfolio_value(bars, {"ACME": 10, "ZETA": 100}, symbol="StockName").collect()
     assert [tuple(r) for r in total] == [(1, 270.0, 250.0, 290.0, 250.0)]  # file 2 lacks a symbol
 
 
-def test_exact_running_counts_with_state_off_the_heap(spark, folder):
+def test_state_is_off_the_heap(spark, folder):
     source, out = folder("in"), folder("out")
     write_events(spark, source, [(m, "a" if m % 3 else "b", f"u{m % 7}") for m in range(40)])
-    setting, provider = next(iter(LARGE_STATE.items()))
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, provider)
-    try:
-        keys = running_user_keys(file_stream(spark, source, SCHEMA), "source", "user")
-        sink = replace_result(out, lambda batch: count_users(batch, "source"))
-        run_to_end(for_each_batch(keys, sink, folder("state"), "complete"))
-    finally:
-        spark.conf.set(setting, before)
-    assert {r.source: r.active_users for r in spark.read.parquet(out).collect()} == {"a": 7, "b": 7}
+    keys = new_users(file_stream(spark, source, SCHEMA), "source", "user")
+    done = run_to_end(to_files(keys, out, folder("state")))
+    assert "rocksdbCommitWriteBatchLatency" in str(done.lastProgress) or "rocksdb" in str(done.lastProgress)
+    counted = count_users(spark.read.parquet(out), "source")
+    assert {r.source: r.active_users for r in counted.collect()} == {"a": 7, "b": 7}

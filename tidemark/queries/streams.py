@@ -8,8 +8,9 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.functions.times import stamp
+from tidemark.functions.times import epoch_seconds, stamp
 from tidemark.operators.aggregates import count_rows
 from tidemark.plans.messages import between, parse_payload
 from tidemark.queries.registry import Tables, query
@@ -22,15 +23,15 @@ from tidemark.streaming.jobs import (
     exploded_with,
     filter_and_flag,
     hourly_active_users,
-    hourly_user_keys,
-    running_user_keys,
+    new_hourly_users,
+    new_users,
     running_users,
     windowed_totals,
 )
 from tidemark.streaming.sinks import (
     append_batches,
     for_each_batch,
-    replace_result,
+    newest_batch,
     run_to_end,
     to_files,
     to_memory,
@@ -56,6 +57,35 @@ def stream_events(t: Tables, **options) -> DataFrame:
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+DELIVERIES = 5
+_delivered: dict[tuple[str, str], str] = {}
+
+
+def delivered_events(t: Tables) -> str:
+    """A folder to which the events came in ``DELIVERIES`` deliveries, oldest first.
+
+    Each is a write of its own, as a stream takes files in the order they came.
+    Made once for a session and folder.
+    """
+    key = t.spark.sparkContext.applicationId, t.folder
+    if key not in _delivered:
+        (folder,) = fresh(t, "delivered")
+        shares = [i / DELIVERIES for i in range(1, DELIVERIES)]
+        seconds = epoch_seconds(F.col("ts"))
+        cuts = t.events.agg(F.percentile_approx(seconds, shares)).first()[0] or []
+        number = sum([F.when(seconds > cut, 1).otherwise(0) for cut in cuts], F.lit(0))
+        for i in range(len(cuts) + 1):
+            t.events.filter(F.coalesce(number, F.lit(0)) == i).coalesce(1).write.mode("append").parquet(folder)
+        _delivered[key] = folder
+    return _delivered[key]
+
+
+def many_batches(t: Tables) -> DataFrame:
+    """The events as a stream of at least ``DELIVERIES`` micro-batches: one file in each."""
+    stream = file_stream(t.spark, delivered_events(t), t.events.schema, files_per_trigger=1)
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def run_to_files(t: Tables, stream: DataFrame, label: str, **options) -> DataFrame:
     path, state = fresh(t, label, f"{label}-state")
     run_to_end(to_files(stream, path, state, **options))
@@ -64,7 +94,8 @@ def run_to_files(t: Tables, stream: DataFrame, label: str, **options) -> DataFra
 
 @query("stream_files", EVENTS_SQL)
 def stream_files(t: Tables):
-    return run_to_files(t, stream_events(t).select(*EVENT_COLUMNS), "copied")
+    """Rate-limited: one file in a micro-batch."""
+    return run_to_files(t, many_batches(t).select(*EVENT_COLUMNS), "copied")
 
 
 @query("stream_json", EVENTS_SQL)
@@ -85,10 +116,12 @@ def stream_csv_ingest(t: Tables):
 
 @query("stream_sink_files", EVENTS_SQL)
 def stream_sink_files(t: Tables):
-    """Named append query into files foldered by event type."""
-    stream = stream_events(t).select(*EVENT_COLUMNS)
-    copied = run_to_files(t, stream, "by-type", name=f"by_type_{uuid.uuid4().hex[:8]}", partition_by=["event_type"])
-    return copied.select(*EVENT_COLUMNS)
+    """Named append query into folders by event type, few files in each."""
+    path, state = fresh(t, "by-type", "by-type-state")
+    handle = append_batches(path, partition_by=["event_type"])
+    name = f"by_type_{uuid.uuid4().hex[:8]}"
+    run_to_end(for_each_batch(stream_events(t).select(*EVENT_COLUMNS), handle, state, name=name))
+    return t.spark.read.parquet(path).select(*EVENT_COLUMNS)
 
 
 @query("stream_sink_table", EVENTS_SQL)
@@ -116,7 +149,7 @@ def stream_sink_memory(t: Tables):
 def foreach_batch(t: Tables):
     """Each micro-batch written by a function; a repeated batch replaces its own folder."""
     path, state = fresh(t, "batches", "batches-state")
-    stream = stream_events(t).select(*EVENT_COLUMNS)
+    stream = many_batches(t).select(*EVENT_COLUMNS)
     run_to_end(for_each_batch(stream, append_batches(path), state))
     return t.spark.read.parquet(path).select(*EVENT_COLUMNS)
 
@@ -150,9 +183,8 @@ def email_mobile_stream(t: Tables):
     mobile = F.col("device").isin("iOS", "Android")
     flagged = filter_and_flag(events, F.col("event_type"), "click", mobile, "mobile")
     path, state = fresh(t, "mobile", "mobile-state")
-    running = to_files(
-        flagged.select("event_id", "user_id", "mobile"), path, state, "mobile_clicks", "1 second"
-    )
+    name = f"mobile_clicks_{uuid.uuid4().hex[:8]}"
+    running = to_files(flagged.select("event_id", "user_id", "mobile"), path, state, name, "1 second")
     try:
         running.processAllAvailable()
     finally:
@@ -233,21 +265,35 @@ def in_two_deliveries(t: Tables, late_first: bool):
     return folder, lambda: t.events.filter(rest).write.mode("append").parquet(folder)
 
 
-@query("stream_late_data", CLOSED_SQL.format(where="WHERE ts >= TIMESTAMP '2024-01-16'"))
+@query(
+    "stream_late_data",
+    f"""
+    SELECT *, (SELECT count(DISTINCT event_id) FROM events WHERE ts < TIMESTAMP '2024-01-16') AS late_events
+    FROM ({CLOSED_SQL.format(where="WHERE ts >= TIMESTAMP '2024-01-16'")})
+    """,
+)
 def stream_late_data(t: Tables):
-    """The first half-month arrives last, behind the watermark, and is dropped."""
-    folder, deliver_rest = in_two_deliveries(t, late_first=True)
-    path, state = fresh(t, "hours", "hours-state")
+    """The first half-month arrives last, behind the watermark, and is dropped.
 
-    def run():
-        events = file_stream(t.spark, folder, t.events.schema)
-        hourly = hourly_totals(events.withColumn("ts", F.col("ts").cast("timestamp")))
-        return run_to_end(to_files(hourly, path, state))
+    A second stream over the same deliveries keeps each event once and so tells
+    how many events came too late: an aggregate's reports count combined rows.
+    """
+    folder, deliver_rest = in_two_deliveries(t, late_first=True)
+    path, state, kept, kept_state = fresh(t, "hours", "hours-state", "kept", "kept-state")
+
+    def run() -> tuple[StreamingQuery, StreamingQuery]:
+        events = file_stream(t.spark, folder, t.events.schema).withColumn("ts", F.col("ts").cast("timestamp"))
+        each_once = events.withWatermark("ts", "2 hours").dropDuplicates(["event_id", "ts"])
+        return (
+            run_to_end(to_files(hourly_totals(events), path, state)),
+            run_to_end(to_files(each_once.select("event_id"), kept, kept_state)),
+        )
 
     run()
     deliver_rest()
-    run()
-    return t.spark.read.parquet(path)
+    with monitor.progress_totals(t.spark) as totals:
+        late = totals.of(run()[1]).rows_dropped_late
+    return t.spark.read.parquet(path).withColumn("late_events", F.lit(late).cast("bigint"))
 
 
 @query("stream_checkpoint_resume", EVENTS_SQL)
@@ -279,14 +325,14 @@ def stream_tumbling_agg(t: Tables):
     """Approximate distinct users per source and hour, sorted, in complete mode; against exact ones."""
     path, state = fresh(t, "hourly-users", "hourly-users-state")
     hourly = hourly_active_users(stream_events(t), "ts", "event_type", "user_id", error=0.01)
-    run_to_end(for_each_batch(hourly.orderBy("hour", "window", "event_type"), replace_result(path), state, "complete"))
+    run_to_end(for_each_batch(hourly.orderBy("hour", "window", "event_type"), append_batches(path), state, "complete"))
     start = stamp(F.col("window.start")).alias("window_start")
     exact = (
         t.events.groupBy("event_type", F.window("ts", "1 hour").alias("window"))
         .agg(F.count_distinct("user_id").alias("exact_users"))
         .select("event_type", start, "exact_users")
     )
-    approx = t.spark.read.parquet(path).select("event_type", start, "hour", "active_users")
+    approx = newest_batch(t.spark, path).select("event_type", start, "hour", "active_users")
     gap = F.abs(F.col("active_users") - F.col("exact_users")) / F.col("exact_users")
     return approx.join(exact, ["event_type", "window_start"]).select(
         "event_type",
@@ -306,12 +352,9 @@ def stream_tumbling_agg(t: Tables):
     """,
 )
 def hourly_activity_stream(t: Tables):
-    """Exact distinct users per source and hour: state per user key, counted in the sink."""
-    path, state = fresh(t, "hourly-exact", "hourly-exact-state")
-    keys = hourly_user_keys(stream_events(t), "ts", "event_type", "user_id")
-    sink = replace_result(path, lambda batch: count_users(batch, "event_type", "window"))
-    run_to_end(for_each_batch(keys, sink, state, "complete"))
-    return t.spark.read.parquet(path).select(
+    """Exact distinct users per source and hour: each user key is given out once, then counted."""
+    keys = run_to_files(t, new_hourly_users(many_batches(t), "ts", "event_type", "user_id"), "hourly-exact")
+    return count_users(keys, "event_type", "window").select(
         "event_type", stamp(F.col("window.start")).alias("window_start"), "active_users"
     )
 
@@ -339,10 +382,10 @@ def hourly_activity_closed(t: Tables):
 def stream_group_agg(t: Tables):
     """Running approximate distinct users against the exact batch count."""
     path, state = fresh(t, "running-users", "running-users-state")
-    running = running_users(stream_events(t), "event_type", "user_id", error=0.01)
-    run_to_end(for_each_batch(running, replace_result(path), state, "complete"))
+    running = running_users(many_batches(t), "event_type", "user_id", error=0.01)
+    run_to_end(for_each_batch(running, append_batches(path), state, "complete"))
     exact = t.events.groupBy("event_type").agg(F.count_distinct("user_id").alias("exact"))
-    both = t.spark.read.parquet(path).join(exact, "event_type")
+    both = newest_batch(t.spark, path).join(exact, "event_type")
     gap = F.abs(F.col("active_users") - F.col("exact")) / F.col("exact")
     return both.select("event_type", (gap <= 0.05).alias("approx_within_5_percent"))
 
@@ -352,12 +395,9 @@ def stream_group_agg(t: Tables):
     "SELECT event_type, count(DISTINCT user_id) AS active_users FROM events GROUP BY 1",
 )
 def traffic_stream(t: Tables):
-    """Exact running distinct users per source."""
-    path, state = fresh(t, "traffic", "traffic-state")
-    keys = running_user_keys(stream_events(t), "event_type", "user_id")
-    sink = replace_result(path, lambda batch: count_users(batch, "event_type"))
-    run_to_end(for_each_batch(keys, sink, state, "complete"))
-    return t.spark.read.parquet(path)
+    """Exact running distinct users per source: a trigger gives out the new ones."""
+    keys = run_to_files(t, new_users(many_batches(t), "event_type", "user_id"), "traffic")
+    return count_users(keys, "event_type")
 
 
 @query(
@@ -370,14 +410,14 @@ def traffic_stream(t: Tables):
 )
 def stream_output_modes(t: Tables):
     """The same counts by the rows of append mode and the groups of complete and update mode."""
-    appended = run_to_files(t, stream_events(t).select("event_type"), "appended")
+    appended = run_to_files(t, many_batches(t).select("event_type"), "appended")
     counts = [
         appended.groupBy("event_type").agg(count_rows()).select(F.lit("append").alias("mode"), "*")
     ]
     for mode in ("complete", "update"):
         path, state = fresh(t, mode, f"{mode}-state")
-        totals = stream_events(t).groupBy("event_type").agg(count_rows())
-        # One batch holds all input here, so the last update of a group is its total.
+        totals = many_batches(t).groupBy("event_type").agg(count_rows())
+        # The last that a batch says of a group is its total.
         run_to_end(for_each_batch(totals, append_batches(path), state, mode))
         rows = t.spark.read.parquet(path)
         newest = rows.groupBy("event_type").agg(F.max_by("n", "batch").alias("n"))
@@ -400,16 +440,19 @@ def stream_trigger(t: Tables):
 
 @query(
     "stream_monitor",
-    "SELECT 'monitored' AS name, FALSE AS active, count(*) AS n_rows FROM events",
+    "SELECT 'monitored' AS name, FALSE AS active, count(*) AS n_rows, TRUE AS many_batches FROM events",
 )
 def stream_monitor(t: Tables):
     """Name, state and rows read of a finished query, as its progress reports tell."""
     path, state = fresh(t, "monitored", "monitored-state")
-    done = run_to_end(to_files(stream_events(t).select(*EVENT_COLUMNS), path, state, "monitored"))
+    name = f"monitored_{uuid.uuid4().hex[:8]}"
+    with monitor.progress_totals(t.spark) as totals:
+        done = run_to_end(to_files(many_batches(t).select(*EVENT_COLUMNS), path, state, name))
+        read = totals.of(done)
     seen = monitor.describe(done)
-    n_rows = sum(p["numInputRows"] for p in done.recentProgress)
     return t.spark.createDataFrame(
-        [(seen["name"], seen["active"], n_rows)], "name string, active boolean, n_rows bigint"
+        [(seen["name"].split("_")[0], seen["active"], read.rows_read, read.batches >= 4)],
+        "name string, active boolean, n_rows bigint, many_batches boolean",
     )
 
 
@@ -483,8 +526,10 @@ def stream_payload_parse(t: Tables):
 @query("bronze_parse", BRONZE_SQL)
 def bronze_parse(t: Tables):
     """Messages to typed, null-free rows in folders by date, which later reads prune."""
-    parsed = parse_payload(messages(stream_events(t)))
-    return shown_bronze(run_to_files(t, parsed, "bronze", partition_by=["year", "month", "day"]))
+    path, state = fresh(t, "bronze", "bronze-state")
+    handle = append_batches(path, partition_by=["year", "month", "day"])
+    run_to_end(for_each_batch(parse_payload(messages(stream_events(t))), handle, state))
+    return shown_bronze(t.spark.read.parquet(path))
 
 
 @query(

@@ -20,6 +20,10 @@ DEFAULT_SETTINGS = {
     # key's rows compress well, so the bound for splitting it is low as well.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
+    # Streaming state of any size, off the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
@@ -89,11 +93,3 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     path = scratch_path(frame.sparkSession, label)
     frame.write.parquet(path)
     return frame.sparkSession.read.parquet(path)
-
-
-# Keeps streaming state off the executor heap, for state of any size.
-LARGE_STATE = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-}

@@ -41,14 +41,32 @@ def hourly_active_users(
     )
 
 
-def hourly_user_keys(
+def new_hourly_users(
     events: DataFrame, time: str, source: str, user: str, lateness: str = "2 hours"
 ) -> DataFrame:
-    """One row per (source, hour, user): state for an exact distinct count.
+    """Each (source, hour, user) once, when first seen (append mode).
+
+    The rows given out so far, counted with ``count_users``, are the exact distinct
+    users. A trigger gives out new keys only, and state goes when its hour has
+    closed. Keying the state by user as well spreads a source with a large share
+    of the rows over all state partitions.
+    """
+    keyed = events.withWatermark(time, lateness).select(source, F.window(time, "1 hour").alias("window"), user)
+    return keyed.dropDuplicates([source, "window", user])
 
-    Finish with ``count_users`` in the sink. Keying the state by user as well
-    spreads a source with a large share of the rows over all state partitions.
+
+def new_users(events: DataFrame, source: str, user: str) -> DataFrame:
+    """Each (source, user) once, when first seen: ``new_hourly_users`` without an end.
+
+    The state has a row for each key, which an exact count so far cannot do without.
     """
+    return events.select(source, user).dropDuplicates([source, user])
+
+
+def hourly_user_keys(
+    events: DataFrame, time: str, source: str, user: str, lateness: str = "2 hours"
+) -> DataFrame:
+    """One row per (source, hour, user), with its events: state for ``closed_hour_users``."""
     return (
         events.withWatermark(time, lateness)
         .groupBy(source, F.window(time, "1 hour"), user)
@@ -75,13 +93,8 @@ def running_users(events: DataFrame, source: str, user: str, error: float = 0.05
     return events.groupBy(source).agg(F.approx_count_distinct(user, error).alias("active_users"))
 
 
-def running_user_keys(events: DataFrame, source: str, user: str) -> DataFrame:
-    """One row per (source, user): state for an exact running distinct count."""
-    return events.groupBy(source, user).agg(F.count(F.lit(1)).alias("n_events"))
-
-
 def count_users(user_keys: DataFrame, *group: str | Column) -> DataFrame:
-    """Number of user keys per group; for batches of the ``*_user_keys`` frames."""
+    """Number of user keys per group; for what the ``new_*users`` frames gave out."""
     return user_keys.groupBy(*group).agg(F.count(F.lit(1)).alias("active_users"))
 
 

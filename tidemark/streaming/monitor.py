@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import threading
+from collections import defaultdict
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+
 from pyspark.sql import SparkSession
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
 def describe(query: StreamingQuery) -> dict:
@@ -17,17 +23,64 @@ def describe(query: StreamingQuery) -> dict:
     }
 
 
-def rows_dropped_late(query: StreamingQuery) -> int:
-    """Rows behind the watermark that stateful operators dropped so far.
+@dataclass
+class Totals:
+    """What a run has read, and dropped behind the watermark, over all its batches.
 
-    A windowed aggregate combines rows before they reach its state, so this
-    counts combined rows.
+    A windowed aggregate combines rows before they reach its state, so for one
+    the dropped rows are combined rows.
     """
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+
+    batches: int = 0
+    rows_read: int = 0
+    rows_dropped_late: int = 0
+
+
+class ProgressTotals(StreamingQueryListener):
+    """Adds up the progress reports of each run; a query keeps the latest ones only."""
+
+    def __init__(self) -> None:
+        self._totals: dict[str, Totals] = defaultdict(Totals)
+        self._ended: set[str] = set()
+        self._news = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        with self._news:
+            totals = self._totals[str(progress.runId)]
+            totals.batches += 1
+            totals.rows_read += progress.numInputRows
+            totals.rows_dropped_late += sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+
+    def onQueryTerminated(self, event) -> None:
+        with self._news:
+            self._ended.add(str(event.runId))
+            self._news.notify_all()
+
+    def of(self, query: StreamingQuery, seconds: float = 60) -> Totals:
+        """Totals of a run that has ended; its last reports may take a moment to come."""
+        run = str(query.runId)
+        with self._news:
+            if not self._news.wait_for(lambda: run in self._ended, seconds):
+                raise TimeoutError(f"no report of the end of {query.name or query.id} in {seconds} s")
+            return self._totals[run]
+
+
+@contextmanager
+def progress_totals(spark: SparkSession) -> Iterator[ProgressTotals]:
+    """Totals of the queries that are started inside the ``with`` block."""
+    listener = ProgressTotals()
+    spark.streams.addListener(listener)
+    try:
+        yield listener
+    finally:
+        spark.streams.removeListener(listener)
 
 
 def find(spark: SparkSession, name: str) -> StreamingQuery | None:
@@ -36,7 +89,8 @@ def find(spark: SparkSession, name: str) -> StreamingQuery | None:
 
 
 def stop_all(spark: SparkSession, seconds: int = 60) -> None:
-    """Stop every active query and wait for each."""
+    """Stop every active query and wait for each; fail if one goes on."""
     for query in spark.streams.active:
         query.stop()
-        query.awaitTermination(seconds)
+        if not query.awaitTermination(seconds):
+            raise TimeoutError(f"streaming query {query.name or query.id} did not stop in {seconds} s")

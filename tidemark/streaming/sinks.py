@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from tidemark.sources.writers import write_parquet
+
 
 def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     """Run every interval, or (None) take all that is there and stop."""
@@ -85,29 +88,37 @@ def for_each_batch(
     return _triggered(writer, every).start()
 
 
-def append_batches(path: str) -> Callable[[DataFrame, int], None]:
-    """Batch handler: each batch in its own folder, written once however often it runs."""
+def append_batches(
+    path: str, partition_by: Sequence[str] = ()
+) -> Callable[[DataFrame, int], None]:
+    """Batch handler: each batch in its own folder, written once however often it runs.
+
+    Inside it, rows are rebalanced by the folders of ``partition_by``, so a batch
+    leaves few files in each, whatever the number of its tasks.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        write_parquet(batch, f"{path}/batch={batch_id}", partition_by=partition_by)
 
     return handle
 
 
-def replace_result(
-    path: str, finish: Callable[[DataFrame], DataFrame] = lambda frame: frame
-) -> Callable[[DataFrame, int], None]:
-    """Batch handler for complete mode: the latest full result, after ``finish``."""
+def newest_batch(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the last batch that ``append_batches`` wrote: complete mode's result.
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        finish(batch).write.mode("overwrite").parquet(path)
-
-    return handle
+    Earlier results stay, so a reader never finds the result half-written. Only
+    the newest folder is opened for rows.
+    """
+    rows = spark.read.parquet(path)
+    newest = rows.agg(F.max("batch")).first()[0]
+    return rows.filter(F.col("batch") == newest).drop("batch")
 
 
-def run_to_end(query: StreamingQuery, seconds: int = 3600) -> StreamingQuery:
-    """Wait for an available-now query; fail if it does not end in time."""
-    if not query.awaitTermination(seconds):
+def run_to_end(query: StreamingQuery, seconds: int | None = None) -> StreamingQuery:
+    """Wait for an available-now query, for ``seconds`` at most if given."""
+    if seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(seconds):
         query.stop()
         raise TimeoutError(f"streaming query {query.name} did not end in {seconds} s")
     return query

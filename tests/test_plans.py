@@ -171,7 +171,7 @@ def test_hot_target_key_is_split_in_a_merge(spark, small_skew_sizes):
 def test_hot_device_is_split_in_the_sparse_summary(spark, small_skew_sizes):
     from tidemark.plans.sensors import summarise_latest
 
-    summary = summarise_latest(hot_rows(spark), ["k", "tag"], "ts", "value", 300)
+    summary = summarise_latest(hot_rows(spark), ["k", "tag"], "ts", "value", 300, run_seconds=300 * 10**6)
     assert len(summary.collect()) == 120_000
     assert "SortMergeJoin(skew=true)" in plan_of(summary)
 
@@ -180,7 +180,7 @@ def test_hot_period_is_split_in_a_running_maximum(spark, small_skew_sizes):
     from tidemark.operators.windows import running_max
 
     rows = hot_rows(spark).withColumn("day", F.to_date(F.timestamp_seconds(F.col("k") * 300)))
-    result = running_max(rows, [F.month("day")], "day", "value", "m")
+    result = running_max(rows, [F.month("day")], "day", "value", "m", F.date_trunc("week", "day"))
     assert len(result.collect()) == 120_000
     assert "SortMergeJoin(skew=true)" in plan_of(result)
 

@@ -11,6 +11,7 @@ from tidemark.functions.numbers import parse_reading
 from tidemark.functions.times import label_bucket, stamp
 from tidemark.operators.windows import latest_per_slot
 from tidemark.plans.sensors import (
+    catch_up,
     epoch,
     grid,
     latest_descriptions,
@@ -20,6 +21,7 @@ from tidemark.plans.sensors import (
     summarise_latest,
     upsert_rollup,
     upsert_tags,
+    whole_periods,
 )
 
 START = datetime(2024, 1, 1)
@@ -230,7 +232,7 @@ def test_upsert_rollup_replaces_and_adds(spark):
     assert got == {9: (1.0, 1.0), 10: (2.0, None), 11: (2.0, None)}
 
 
-def test_sparse_summary_takes_the_last_reading_and_a_mode_over_all_buckets(spark):
+def test_sparse_summary_takes_the_last_reading_and_a_mode_of_the_run(spark):
     rows = [
         ("a", "x", at(10), 1, 1.0),
         ("a", "x", at(20), 2, 4.0),
@@ -242,8 +244,47 @@ def test_sparse_summary_takes_the_last_reading_and_a_mode_over_all_buckets(spark
     assert [(r.window_end, r.last_value, r.mode_value) for r in got] == [
         (at(300), 4.0, 4.0),
         (at(600), 4.0, 4.0),
-        (at(900), 6.0, 4.0),
+        (at(900), 6.0, 6.0),
     ]
+    long_run = summarise_latest(frame, KEYS, "ts", "value", 300, ["id"], run_seconds=86_400)
+    assert {r.mode_value for r in long_run.collect()} == {4.0}
+    with pytest.raises(ValueError):
+        summarise_latest(frame, KEYS, "ts", "value", 300, ["id"], run_seconds=500)
+
+
+def test_one_sparse_job_equals_a_chain_of_runs(spark):
+    rows = [("a", "x", at(i * 97), i, float(i % 3)) for i in range(60)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    whole = summarise_latest(frame, KEYS, "ts", "value", 300, ["id"], run_seconds=900)
+    chain = []
+    for start in range(0, 60 * 97, 900):
+        inside = frame.filter((F.col("ts") >= F.lit(at(start))) & (F.col("ts") < F.lit(at(start + 900))))
+        chain += summarise_latest(inside, KEYS, "ts", "value", 300, ["id"], run_seconds=900).collect()
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, chain))
+
+
+def test_two_half_runs_equal_one_run_and_read_only_their_range(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [(rng.choice("ab"), "x", at(rng.randint(0, 40_000)), i, rng.random()) for i in range(400)]
+    path = str(tmp_path / "readings")
+    spark.createDataFrame(rows, SCHEMA).write.parquet(path)
+    frame = spark.read.parquet(path)
+    early = frame.filter(F.col("ts") < F.lit(at(19_000)))
+    empty = rollup(summarise_latest(frame, KEYS, "ts", "value", 300, ["id"]), KEYS, 3600).limit(0)
+    half = catch_up(empty, early, KEYS, "ts", "value", 3600, ["id"])
+    half.write.parquet(str(tmp_path / "half"))
+    full = catch_up(spark.read.parquet(str(tmp_path / "half")), frame, KEYS, "ts", "value", 3600, ["id"])
+    whole = rollup(summarise_latest(frame, KEYS, "ts", "value", 300, ["id"]), KEYS, 3600)
+    assert sorted(map(tuple, full.collect())) == sorted(map(tuple, whole.collect()))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts," in full._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranges_follow_the_data(spark):
+    stamps = [(datetime(2023, 5, 3, 7),), (datetime(2024, 3, 9, 23, 59, 59),)]
+    frame = spark.createDataFrame(stamps, "ts timestamp_ntz")
+    start, end = whole_periods(frame, "ts", 86_400)
+    assert (start, end) == (epoch("2023-05-03 00:00:00"), epoch("2024-03-10 00:00:00"))
+    assert whole_periods(frame.limit(0), "ts", 86_400) == (0, 0)
 
 
 def test_pending_windows(spark):
@@ -267,6 +308,10 @@ def test_latest_descriptions_and_partial_upsert(spark):
     )
     got = {r.devicetag: (r.device, r.description) for r in upsert_tags(target, *tags).collect()}
     assert got == {"a~x": ("A", "new"), "z~x": ("z", "kept"), "b~x": ("b", "bee")}
+    later = spark.createDataFrame([("a", "x", at(9), "newest"), ("b", "x", at(-9), "older")], schema)
+    both = [*tags, latest_descriptions(later, KEYS, "ts", "text")]
+    got = {r.devicetag: r.description for r in upsert_tags(target, *both).collect()}
+    assert got == {"a~x": "newest", "z~x": "kept", "b~x": "bee"}
 
 
 def test_grid_and_slots(spark):

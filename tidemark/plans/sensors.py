@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import epoch_seconds, label_bucket, moment, sane_time
@@ -26,6 +27,24 @@ def epoch(text: str) -> int:
     return int(datetime.fromisoformat(text).replace(tzinfo=timezone.utc).timestamp())
 
 
+def at_second(readings: DataFrame, time: str, second: int) -> Column:
+    """A fixed second in the type of the time column, so that filters on it reach the scan."""
+    return F.timestamp_seconds(F.lit(second)).cast(readings.schema[time].dataType)
+
+
+def whole_periods(readings: DataFrame, time: str, seconds: int) -> tuple[int, int]:
+    """Start and end, in epoch seconds, of the whole periods that hold all stamps.
+
+    An empty table has the empty range at 0.
+    """
+    low, high = readings.agg(
+        F.min(epoch_seconds(F.col(time))).alias("low"), F.max(epoch_seconds(F.col(time))).alias("high")
+    ).first()
+    if low is None:
+        return 0, 0
+    return low // seconds * seconds, (high // seconds + 1) * seconds
+
+
 def observed_slots(
     readings: DataFrame,
     keys: Sequence[str],
@@ -38,8 +57,7 @@ def observed_slots(
 ) -> DataFrame:
     """(keys, slot, value): last reading per slot of ``[start, end)``, slots from 0."""
     inside = readings.filter(
-        (F.col(time) >= F.timestamp_seconds(F.lit(start)).cast(readings.schema[time].dataType))
-        & (F.col(time) < F.timestamp_seconds(F.lit(end)).cast(readings.schema[time].dataType))
+        (F.col(time) >= at_second(readings, time, start)) & (F.col(time) < at_second(readings, time, end))
     )
     slot = F.floor((epoch_seconds(F.col(time)) - start) / slot_seconds)
     last = F.max_by(value, total_order(time, *tiebreak))
@@ -168,20 +186,31 @@ def summarise_latest(
     value: str,
     seconds: int,
     tiebreak: Sequence[str] = (),
+    run_seconds: int | None = None,
 ) -> DataFrame:
     """Sparse summary: the last reading of each bucket stands for all measures.
 
-    The mode is taken per key over all its buckets. No gaps are filled. Readings
-    without a full key are left out.
+    The mode is that of the buckets of one run, ``run_seconds`` long and counted
+    from the epoch. A run is a bucket unless it is given, and then the mode is its
+    reading; published rows of closed runs never change. No gaps are filled.
+    Readings without a full key are left out.
     """
+    run_seconds = seconds if run_seconds is None else run_seconds
+    if run_seconds % seconds:
+        raise ValueError("a run must hold whole buckets")
     named = readings.na.drop(subset=list(keys))
     slots = latest_per_slot(named, keys, time, value, seconds, tiebreak)
-    per_value = slots.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
-    modes = per_value.groupBy(*keys).agg(
-        F.max(F.struct(F.col("n"), F.col(value))).getField(value).alias("mode_value")
-    )
+    if run_seconds == seconds:
+        with_mode = slots.withColumn("mode_value", F.col(value))
+    else:
+        slots = slots.withColumn("_run", F.floor(F.col("slot") / run_seconds))
+        per_value = slots.groupBy(*keys, "_run", value).agg(F.count(F.lit(1)).alias("n"))
+        modes = per_value.groupBy(*keys, "_run").agg(
+            F.max(F.struct(F.col("n"), F.col(value))).getField(value).alias("mode_value")
+        )
+        with_mode = left_lookup(slots, modes, [*keys, "_run"], "inner")
     v = F.col(value).cast("double")
-    return left_lookup(slots, modes, keys, "inner").select(
+    return with_mode.select(
         *keys,
         F.timestamp_seconds(F.col("slot") + seconds).alias("window_end"),
         v.alias("first_value"),
@@ -269,21 +298,51 @@ def pending_windows(
     )
 
 
+def catch_up(
+    target: DataFrame,
+    readings: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    value: str,
+    seconds: int,
+    tiebreak: Sequence[str] = (),
+    bucket_seconds: int = 300,
+) -> DataFrame:
+    """A rolled-up table after the readings since its last period were summed up and merged.
+
+    The last stamp of ``target`` is where the pending range begins: its period is
+    computed again, as it may have been open, and only readings from there on are
+    read (the range reaches the scan). An empty target takes all readings.
+    """
+    last = target.filter(sane_time(F.col("window_end"))).agg(F.max(F.unix_timestamp("window_end"))).first()[0]
+    if last is not None:
+        readings = readings.filter(F.col(time) >= at_second(readings, time, last - seconds))
+    pending = rollup(summarise_latest(readings, keys, time, value, bucket_seconds, tiebreak), keys, seconds)
+    return upsert_rollup(target, pending, keys)
+
+
 def latest_descriptions(
     readings: DataFrame, keys: Sequence[str], time: str, text: str, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
-    """(keys, description, devicetag): each key's newest description."""
+    """(keys, description, seen, devicetag): each key's newest description and its stamp."""
     newest = F.max_by(text, total_order(time, *tiebreak)).alias("description")
     tag = F.concat(F.col(keys[0]).cast("string"), F.lit("~"), F.col(keys[1]).cast("string"))
-    return readings.groupBy(*keys).agg(newest).select(*keys, "description", tag.alias("devicetag"))
+    latest = readings.groupBy(*keys).agg(newest, F.max(time).alias("seen"))
+    return latest.select(*keys, "description", "seen", tag.alias("devicetag"))
 
 
-def upsert_tags(target: DataFrame, *sources: DataFrame) -> DataFrame:
-    """Tag dimension after a merge that updates only the description."""
-    merged = sources[0]
-    for source in sources[1:]:
-        merged = merged.union(source)
-    return merge_upsert(target, merged.distinct(), ["devicetag"], ["description"])
+def upsert_tags(target: DataFrame, *sources: DataFrame, time: str = "seen") -> DataFrame:
+    """Tag dimension after a merge that updates only the description.
+
+    The sources, feeds of ``latest_descriptions``, may both know a tag: the newest
+    description counts, by ``time``; of equally new ones the larger text. They are
+    read more than once: pass them stored if they are costly.
+    """
+    merged = reduce(DataFrame.unionByName, sources)
+    rest = [c for c in merged.columns if c not in ("devicetag", time)]
+    newest = F.max_by(F.struct(*rest), F.struct(time, "description")).alias("_row")
+    latest = merged.groupBy("devicetag").agg(newest).select("_row.*", "devicetag")
+    return merge_upsert(target.drop(time), latest, ["devicetag"], ["description"])
 
 
 def with_audit(summary: DataFrame, keys: Sequence[str], process: str) -> DataFrame:

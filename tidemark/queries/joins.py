@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import epoch_seconds
 from tidemark.operators.joins import carry_previous, merged_outer
-from tidemark.plans.sensors import epoch, grid, observed_slots
+from tidemark.plans.sensors import at_second, epoch, grid, observed_slots, whole_periods
 from tidemark.queries.registry import Tables, query
 
 
@@ -114,17 +113,19 @@ def join_left_outer(t: Tables):
     "join_cross",
     """
     SELECT user_id, event_type, d AS day_number
-    FROM (SELECT DISTINCT user_id, event_type FROM events), generate_series(0, 29) AS g(d)
+    FROM (SELECT DISTINCT user_id, event_type FROM events),
+         (SELECT unnest(range(0, date_diff('day', min(ts), max(ts)) + 1)) AS d FROM events)
     """,
 )
 def join_cross(t: Tables):
-    """Every key with every day of the grid; days are generated per key."""
-    return grid(t.events, ["user_id", "event_type"], 0, 29).withColumnRenamed("slot", "day_number")
+    """Every key with every day from the first to the last; days are generated per key."""
+    start, end = whole_periods(t.events, "ts", DAY)
+    days = grid(t.events, ["user_id", "event_type"], 0, (end - start) // DAY - 1)
+    return days.withColumnRenamed("slot", "day_number")
 
 
-JANUARY = epoch("2024-01-01 00:00:00")
 MIDDLE = epoch("2024-01-16 00:00:00")
-FEBRUARY = epoch("2024-01-31 00:00:00")
+DAY = 86_400
 
 
 @query(
@@ -134,24 +135,25 @@ FEBRUARY = epoch("2024-01-31 00:00:00")
                   WHERE ts < TIMESTAMP '2024-01-16' GROUP BY ALL),
     cur AS (SELECT user_id, event_type, date_diff('day', TIMESTAMP '2024-01-16', ts) AS slot,
                    arg_max(value, (ts, event_id)) AS value
-            FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND ts < TIMESTAMP '2024-01-31' GROUP BY ALL),
+            FROM events WHERE ts >= TIMESTAMP '2024-01-16' GROUP BY ALL),
     keys AS (SELECT user_id, event_type FROM prev UNION SELECT user_id, event_type FROM cur)
     SELECT user_id, event_type, slot,
            CASE WHEN value IS NULL AND slot = 0 THEN coalesce(before, 0) ELSE value END AS value
-    FROM keys CROSS JOIN (SELECT unnest(range(0, 15)) AS slot)
+    FROM keys CROSS JOIN (SELECT unnest(range(0, date_diff('day', TIMESTAMP '2024-01-16', max(ts)) + 1)) AS slot FROM events)
     LEFT JOIN cur USING (user_id, event_type, slot) LEFT JOIN prev USING (user_id, event_type)
     """,
 )
 def join_carry_previous(t: Tables):
-    """Day grid of the second half-month, its first day seeded from the first half."""
+    """Day grid from mid-January to the last day, its first day seeded from before."""
     keys = ["user_id", "event_type"]
-    slots = observed_slots(t.events, keys, "ts", "value", MIDDLE, FEBRUARY, 86_400, ["event_id"])
+    end = max(whole_periods(t.events, "ts", DAY)[1], MIDDLE + DAY)
+    slots = observed_slots(t.events, keys, "ts", "value", MIDDLE, end, DAY, ["event_id"])
     state = (
-        t.events.filter(epoch_seconds(F.col("ts")) < MIDDLE)
+        t.events.filter(F.col("ts") < at_second(t.events, "ts", MIDDLE))
         .groupBy(*keys)
         .agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"))
     )
     known = slots.select(*keys).union(state.select(*keys))
-    full = grid(known, keys, 0, 14).join(slots, [*keys, "slot"], "left")
+    full = grid(known, keys, 0, (end - MIDDLE) // DAY - 1).join(slots, [*keys, "slot"], "left")
     marked = full.withColumn("is_first", F.col("slot") == 0)
     return carry_previous(marked, state, keys, "value", "is_first").drop("is_first")

@@ -7,9 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.times import epoch_seconds, stamp
+from tidemark.functions.times import stamp
 from tidemark.plans.sensors import (
     MEASURES,
+    at_second,
+    catch_up,
     epoch,
     latest_descriptions,
     pending_windows,
@@ -18,15 +20,14 @@ from tidemark.plans.sensors import (
     summarise_latest,
     upsert_rollup,
     upsert_tags,
+    whole_periods,
     with_audit,
 )
 from tidemark.queries.registry import Tables, query
 from tidemark.session import stored
 
 KEYS = ["user_id", "event_type"]
-JANUARY = epoch("2024-01-01 00:00:00")
 MIDDLE = epoch("2024-01-16 00:00:00")
-FEBRUARY = epoch("2024-01-31 00:00:00")
 HOUR, DAY = 3600, 86_400
 
 
@@ -41,30 +42,34 @@ def shown(summary: DataFrame, keys=KEYS, time: str = "window_end") -> DataFrame:
 def half_month_state(t: Tables) -> DataFrame:
     """Value each key holds at the middle of the month."""
     return (
-        t.events.filter(epoch_seconds(F.col("ts")) < MIDDLE)
+        t.events.filter(F.col("ts") < at_second(t.events, "ts", MIDDLE))
         .groupBy(*KEYS)
         .agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"))
     )
 
 
-# Dense grid, filled forward, as plain SQL says it.
+# Dense grid, filled forward, as plain SQL says it: windows of ``per`` slots from ``start``
+# to the day after the newest event.
 GAPFILL_SQL = """
-    WITH slots AS (
-        SELECT user_id, event_type, date_diff('second', {start}, date_trunc('second', ts)) // {slot} AS slot,
+    WITH span AS (SELECT s, date_diff('second', s, e) // {slot} AS n_slots
+                  FROM (SELECT {start} AS s, date_trunc('day', max(ts)) + INTERVAL 1 DAY AS e FROM events)),
+    size AS (SELECT s, n_slots, {per} AS per FROM span),
+    slots AS (
+        SELECT user_id, event_type, date_diff('second', s, date_trunc('second', ts)) // {slot} AS slot,
                arg_max(value, (ts, event_id)) AS value
-        FROM events WHERE ts >= {start} AND ts < TIMESTAMP '2024-01-31' GROUP BY ALL),
+        FROM events, size WHERE ts >= s GROUP BY ALL),
     prev AS (SELECT user_id, event_type, arg_max(value, (ts, event_id)) AS before
-             FROM events WHERE ts < {start} GROUP BY ALL),
+             FROM events, size WHERE ts < s GROUP BY ALL),
     keys AS (SELECT user_id, event_type, min(w) AS w0 FROM (
-                 SELECT user_id, event_type, slot // {per} AS w FROM slots
+                 SELECT user_id, event_type, slot // per AS w FROM slots, size
                  UNION ALL SELECT user_id, event_type, 0 FROM prev) GROUP BY ALL),
-    grid AS (SELECT user_id, event_type, w0, g.slot AS slot
-             FROM keys, (SELECT unnest(range(0, {n} * {per})) AS slot) g WHERE g.slot >= w0 * {per}),
-    seeded AS (SELECT user_id, event_type, slot,
-                   CASE WHEN value IS NULL AND slot = w0 * {per} THEN coalesce(before, 0) ELSE value END AS value
+    grid AS (SELECT user_id, event_type, w0, per, g.slot AS slot
+             FROM keys, (SELECT per, unnest(range(0, n_slots)) AS slot FROM size) g WHERE g.slot >= w0 * per),
+    seeded AS (SELECT user_id, event_type, slot, per,
+                   CASE WHEN value IS NULL AND slot = w0 * per THEN coalesce(before, 0) ELSE value END AS value
                FROM grid LEFT JOIN slots USING (user_id, event_type, slot)
                LEFT JOIN prev USING (user_id, event_type)),
-    filled AS (SELECT user_id, event_type, slot, slot // {per} AS w,
+    filled AS (SELECT user_id, event_type, slot, slot // per AS w,
                    last_value(value IGNORE NULLS) OVER (PARTITION BY user_id, event_type ORDER BY slot) AS v
                FROM seeded),
     measures AS (SELECT user_id, event_type, w, arg_min(v, slot) AS first_value, arg_max(v, slot) AS last_value,
@@ -74,26 +79,28 @@ GAPFILL_SQL = """
                    row_number() OVER (PARTITION BY user_id, event_type, w ORDER BY count(*) DESC, v DESC) AS rn
               FROM filled GROUP BY user_id, event_type, w, v)
     SELECT user_id, event_type,
-           strftime({start} + to_seconds((w + 1) * {per} * {slot}), '%Y-%m-%d %H:%M:%S') AS window_end,
+           strftime(s + to_seconds(((w + 1) * per * {slot})::BIGINT), '%Y-%m-%d %H:%M:%S') AS window_end,
            first_value, last_value, min_value, max_value, mode_value, avg_value
-    FROM measures JOIN modes USING (user_id, event_type, w) WHERE rn = 1
+    FROM measures JOIN modes USING (user_id, event_type, w), size WHERE rn = 1
 """
 
 
 @query(
     "silver_gapfill_5min",
-    GAPFILL_SQL.format(start="TIMESTAMP '2024-01-16'", slot=3600, per=360, n=1),
+    GAPFILL_SQL.format(start="TIMESTAMP '2024-01-16'", slot=3600, per="n_slots"),
 )
 def silver_gapfill(t: Tables):
-    """One window: the second half-month on an hourly grid, seeded by the first half."""
+    """One window: from the middle of January to the last day, hourly, seeded by what was before."""
+    _, end = whole_periods(t.events, "ts", DAY)
+    end = max(end, MIDDLE + DAY)
     summary = summarise_held(
         t.events,
         KEYS,
         "ts",
         "value",
         MIDDLE,
-        FEBRUARY,
-        window_seconds=FEBRUARY - MIDDLE,
+        end,
+        window_seconds=end - MIDDLE,
         slot_seconds=HOUR,
         previous=half_month_state(t),
         tiebreak=["event_id"],
@@ -103,17 +110,18 @@ def silver_gapfill(t: Tables):
 
 @query(
     "catch_up_windows",
-    GAPFILL_SQL.format(start="TIMESTAMP '2024-01-01'", slot=600, per=144, n=30),
+    GAPFILL_SQL.format(start="(SELECT date_trunc('day', min(ts)) FROM events)", slot=600, per=144),
 )
 def silver_gapfill_windows(t: Tables):
-    """All daily windows of the month in one job, on a 10-minute grid."""
+    """All daily windows of all events in one job, on a 10-minute grid."""
+    start, end = whole_periods(t.events, "ts", DAY)
     summary = summarise_held(
         t.events,
         KEYS,
         "ts",
         "value",
-        JANUARY,
-        FEBRUARY,
+        start,
+        end,
         window_seconds=DAY,
         slot_seconds=600,
         tiebreak=["event_id"],
@@ -121,110 +129,111 @@ def silver_gapfill_windows(t: Tables):
     return shown(summary)
 
 
-def sparse_summary(t: Tables, seconds: int = 300) -> DataFrame:
+def sparse_summary(t: Tables, seconds: int = 300, run_seconds: int | None = None) -> DataFrame:
     """Last reading per tag and bucket."""
-    return summarise_latest(t.events, KEYS, "ts", "value", seconds, ["event_id"])
+    return summarise_latest(t.events, KEYS, "ts", "value", seconds, ["event_id"], run_seconds)
 
 
 LATEST_SQL = """
     latest AS (SELECT user_id, event_type, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
                       arg_max(value, (ts, event_id)) AS v FROM events GROUP BY ALL),
-    modes AS (SELECT user_id, event_type, v AS mode_value,
-                     row_number() OVER (PARTITION BY user_id, event_type ORDER BY count(*) DESC, v DESC NULLS LAST) AS rn
-              FROM latest GROUP BY user_id, event_type, v),
     silver AS (SELECT user_id, event_type, window_end, v AS first_value, v AS last_value, v AS min_value,
-                      v AS max_value, mode_value, v AS avg_value
-               FROM latest JOIN modes USING (user_id, event_type) WHERE rn = 1)
+                      v AS max_value, v AS mode_value, v AS avg_value FROM latest)
+"""
+SHOWN_SQL = """
+    SELECT user_id, event_type, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, first_value, last_value,
+           min_value, max_value, mode_value, round(avg_value, 10) AS avg_value
 """
 
 
+@query("silver_actionable_5min", f"WITH {LATEST_SQL} {SHOWN_SQL} FROM silver")
+def silver_actionable(t: Tables):
+    """Run per window, so the mode is that window's."""
+    return shown(sparse_summary(t))
+
+
 @query(
-    "silver_actionable_5min",
+    "silver_actionable_day_runs",
     f"""
-    WITH {LATEST_SQL}
-    SELECT user_id, event_type, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, first_value, last_value,
-           min_value, max_value, mode_value, round(avg_value, 10) AS avg_value FROM silver
+    WITH {LATEST_SQL},
+    modes AS (SELECT user_id, event_type, date_trunc('day', window_end - INTERVAL 5 MINUTE) AS run, v AS mode_value,
+                     row_number() OVER (PARTITION BY user_id, event_type, date_trunc('day', window_end - INTERVAL 5 MINUTE)
+                                        ORDER BY count(*) DESC, v DESC NULLS LAST) AS rn
+              FROM latest GROUP BY user_id, event_type, date_trunc('day', window_end - INTERVAL 5 MINUTE), v),
+    by_run AS (SELECT s.* REPLACE (m.mode_value AS mode_value) FROM silver s JOIN modes m
+               ON s.user_id = m.user_id AND s.event_type = m.event_type
+                  AND date_trunc('day', s.window_end - INTERVAL 5 MINUTE) = m.run WHERE rn = 1)
+    {SHOWN_SQL} FROM by_run
     """,
 )
-def silver_actionable(t: Tables):
-    return shown(sparse_summary(t))
+def silver_actionable_day_runs(t: Tables):
+    """Run per day: the mode of a day's buckets."""
+    return shown(sparse_summary(t, run_seconds=DAY))
 
 
 def _rollup_cte(name: str, source: str, unit: str, label: str = "end") -> str:
     shift = f" + INTERVAL 1 {unit}" if label == "end" else ""
     bucket = f"time_bucket(INTERVAL 1 {unit}, window_end - INTERVAL 1 SECOND){shift}"
     return f"""
-    {name}_m AS (SELECT event_type, {bucket} AS b, mode_value,
-                   row_number() OVER (PARTITION BY event_type, {bucket}
+    {name}_m AS (SELECT user_id, event_type, {bucket} AS b, mode_value,
+                   row_number() OVER (PARTITION BY user_id, event_type, {bucket}
                                       ORDER BY count(*) DESC, mode_value DESC NULLS LAST) AS rn
-                 FROM {source} GROUP BY event_type, {bucket}, mode_value),
-    {name} AS (SELECT s.event_type, s.b AS window_end, first_value, last_value, min_value, max_value, mode_value, avg_value
-               FROM (SELECT event_type, {bucket} AS b, arg_min(first_value, window_end) AS first_value,
+                 FROM {source} GROUP BY user_id, event_type, {bucket}, mode_value),
+    {name} AS (SELECT s.user_id, s.event_type, s.b AS window_end, first_value, last_value, min_value, max_value, mode_value, avg_value
+               FROM (SELECT user_id, event_type, {bucket} AS b, arg_min(first_value, window_end) AS first_value,
                             arg_max(last_value, window_end) AS last_value, min(min_value) AS min_value,
                             max(max_value) AS max_value, avg(avg_value) AS avg_value
                      FROM {source} GROUP BY ALL) s
-               JOIN {name}_m m ON s.event_type = m.event_type AND s.b = m.b AND rn = 1)"""
-
-
-# Device summaries per event type alone: dense enough for several stamps per hour.
-TYPE_SQL = """
-    latest AS (SELECT event_type, time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE AS window_end,
-                      arg_max(value, (ts, event_id)) AS v FROM events GROUP BY ALL),
-    silver AS (SELECT event_type, window_end, v AS first_value, v AS last_value, v AS min_value,
-                      v AS max_value, round(v, 0) AS mode_value, v AS avg_value FROM latest)
-"""
+               JOIN {name}_m m ON s.user_id = m.user_id AND s.event_type = m.event_type AND s.b = m.b AND rn = 1)"""
 
 
-def type_summary(t: Tables) -> DataFrame:
-    """5-minute summaries per event type; the mode is taken on whole numbers so that it repeats."""
-    summary = summarise_latest(t.events, ["event_type"], "ts", "value", 300, ["event_id"])
-    return summary.withColumn("mode_value", F.round("last_value", 0))
+HOURLY_CTES = f"{LATEST_SQL}, {_rollup_cte('hourly', 'silver', 'HOUR')}"
 
 
-def _shown_sql(ctes: str, source: str) -> str:
-    return f"""
-    WITH {ctes}
-    SELECT event_type, strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, first_value, last_value, min_value,
-           max_value, mode_value, round(avg_value, 10) AS avg_value FROM {source}
-    """
-
-
-@query("rollup_hour", _shown_sql(f"{TYPE_SQL}, {_rollup_cte('hourly', 'silver', 'HOUR')}", "hourly"))
+@query("rollup_hour", f"WITH {HOURLY_CTES} {SHOWN_SQL} FROM hourly")
 def rollup_hour(t: Tables):
-    return shown(rollup(type_summary(t), ["event_type"], HOUR), ["event_type"])
-
-
-DAY_CTES = f"{TYPE_SQL}, {_rollup_cte('hourly', 'silver', 'HOUR')}"
+    """Sparse 5-minute rows to hours, for each device and tag."""
+    return shown(rollup(sparse_summary(t), KEYS, HOUR))
 
 
-@query("rollup_day", _shown_sql(f"{DAY_CTES}, {_rollup_cte('daily', 'hourly', 'DAY', 'start')}", "daily"))
+@query("rollup_day", f"WITH {HOURLY_CTES}, {_rollup_cte('daily', 'hourly', 'DAY', 'start')} {SHOWN_SQL} FROM daily")
 def rollup_day(t: Tables):
     """Hours to days, labelled by the day's start."""
-    hourly = rollup(type_summary(t), ["event_type"], HOUR)
-    return shown(rollup(hourly, ["event_type"], DAY, label="start"), ["event_type"])
+    hourly = rollup(sparse_summary(t), KEYS, HOUR)
+    return shown(rollup(hourly, KEYS, DAY, label="start"))
 
 
-@query("rollup_day_end", _shown_sql(f"{DAY_CTES}, {_rollup_cte('daily', 'hourly', 'DAY', 'end')}", "daily"))
+@query("rollup_day_end", f"WITH {HOURLY_CTES}, {_rollup_cte('daily', 'hourly', 'DAY', 'end')} {SHOWN_SQL} FROM daily")
 def rollup_day_end(t: Tables):
     """Hours to days, labelled by the day's end."""
-    hourly = rollup(type_summary(t), ["event_type"], HOUR)
-    return shown(rollup(hourly, ["event_type"], DAY, label="end"), ["event_type"])
+    hourly = rollup(sparse_summary(t), KEYS, HOUR)
+    return shown(rollup(hourly, KEYS, DAY, label="end"))
 
 
-@query(
-    "upsert_rollup",
-    _shown_sql(f"{TYPE_SQL}, {_rollup_cte('hourly', 'silver', 'HOUR')}", "hourly"),
-)
+@query("upsert_rollup", f"WITH {HOURLY_CTES} {SHOWN_SQL} FROM hourly")
 def merged_rollup(t: Tables):
     """An hourly table of the first 20 days, stale from the 11th on, brought up to date."""
-    hourly = stored(rollup(type_summary(t), ["event_type"], HOUR), "hourly")
+    hourly = stored(rollup(sparse_summary(t), KEYS, HOUR), "hourly")
     end = F.col("window_end")
     day_11 = F.lit("2024-01-11 00:00:00").cast("timestamp")
     day_21 = F.lit("2024-01-21 00:00:00").cast("timestamp")
     stale = F.when(end > day_11, F.lit(None).cast("double")).otherwise(F.col("last_value"))
     target = hourly.filter(end <= day_21).withColumn("last_value", stale)
     source = hourly.filter(end > day_11)
-    return shown(upsert_rollup(target, source, ["event_type"]), ["event_type"])
+    return shown(upsert_rollup(target, source, KEYS))
+
+
+@query("catch_up_from_target", f"WITH {HOURLY_CTES} {SHOWN_SQL} FROM hourly")
+def catch_up_from_target(t: Tables):
+    """An hourly table that holds the first half of the events, brought up to the newest hour.
+
+    The range from the target's last stamp on is all that is read of the events.
+    """
+    begin, end = whole_periods(t.events, "ts", HOUR)
+    middle = (begin + (end - begin) // 2) // HOUR * HOUR
+    inside = F.col("ts") < at_second(t.events, "ts", middle)
+    target = stored(rollup(summarise_latest(t.events.filter(inside), KEYS, "ts", "value", 300, ["event_id"]), KEYS, HOUR), "hourly")
+    return shown(catch_up(target, t.events, KEYS, "ts", "value", HOUR, ["event_id"]))
 
 
 @query(
@@ -260,15 +269,13 @@ def incremental_range(t: Tables):
 )
 def tag_dimension(t: Tables):
     """First half-month's tags, then the second half's newest descriptions from two sources."""
-    seconds = epoch_seconds(F.col("ts"))
+    middle = at_second(t.events, "ts", MIDDLE)
     actionable = F.col("event_type").isin("purchase", "signup")
-    recent = t.events.filter(seconds >= MIDDLE)
-    target = latest_descriptions(t.events.filter(seconds < MIDDLE), KEYS, "ts", "props", ["event_id"])
-    sources = [
-        latest_descriptions(recent.filter(part), KEYS, "ts", "props", ["event_id"])
-        for part in (actionable, ~actionable)
-    ]
-    return upsert_tags(target, *sources)
+    older, recent = t.events.filter(F.col("ts") < middle), t.events.filter(F.col("ts") >= middle)
+    target = stored(latest_descriptions(older, KEYS, "ts", "props", ["event_id"]), "tags")
+    newest = stored(latest_descriptions(recent, KEYS, "ts", "props", ["event_id"]), "new-tags")
+    # Two feeds that both know the actionable tags.
+    return upsert_tags(target, newest, newest.filter(actionable))
 
 
 @query(

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.times import label_bucket, stamp
 from tidemark.operators.windows import forward_fill, latest_per_slot, running_max
-from tidemark.plans.sensors import grid, observed_slots
-from tidemark.queries.joins import FEBRUARY, JANUARY
+from tidemark.plans.sensors import grid, observed_slots, whole_periods
 from tidemark.queries.registry import Tables, query
 
 KEYS = ["user_id", "event_type"]
+DAY = 86_400
 
 
 @query(
@@ -44,10 +44,11 @@ def win_first_value_desc(t: Tables):
 @query(
     "win_forward_fill",
     """
-    WITH slots AS (SELECT user_id, event_type, date_diff('day', TIMESTAMP '2024-01-01', ts) AS slot,
-                          arg_max(value, (ts, event_id)) AS value FROM events GROUP BY ALL),
+    WITH span AS (SELECT min(ts) AS low, max(ts) AS high FROM events),
+    slots AS (SELECT user_id, event_type, date_diff('day', low, ts) AS slot,
+                     arg_max(value, (ts, event_id)) AS value FROM events, span GROUP BY ALL),
     full_grid AS (SELECT user_id, event_type, slot FROM (SELECT DISTINCT user_id, event_type FROM events),
-                  (SELECT unnest(range(0, 30)) AS slot))
+                  (SELECT unnest(range(0, date_diff('day', low, high) + 1)) AS slot FROM span))
     SELECT user_id, event_type, slot,
            last_value(value IGNORE NULLS) OVER (PARTITION BY user_id, event_type ORDER BY slot
                ROWS BETWEEN 5 PRECEDING AND CURRENT ROW) AS filled
@@ -56,8 +57,9 @@ def win_first_value_desc(t: Tables):
 )
 def win_forward_fill(t: Tables):
     """Daily grid, gaps filled from at most five days before, in chunks of a week."""
-    slots = observed_slots(t.events, KEYS, "ts", "value", JANUARY, FEBRUARY, 86_400, ["event_id"])
-    full = grid(slots, KEYS, 0, 29).join(slots, [*KEYS, "slot"], "left")
+    start, end = whole_periods(t.events, "ts", DAY)
+    slots = observed_slots(t.events, KEYS, "ts", "value", start, end, DAY, ["event_id"])
+    full = grid(slots, KEYS, 0, (end - start) // DAY - 1).join(slots, [*KEYS, "slot"], "left")
     filled = forward_fill(full, KEYS, "slot", "value", "filled", max_gap=5, chunk=7)
     return filled.select(*KEYS, "slot", "filled")
 

@@ -25,7 +25,9 @@ from tidemark.plans.clickstream import (
 )
 from tidemark.session import pin_session, scratch_path, shared_folder, stored
 from tidemark.sources.readers import (
+    parts_of_size,
     range_partitioned,
+    stride_partitioned,
     read_delimited,
     read_json,
     schema_as_ddl,
@@ -133,7 +135,9 @@ def test_partitions_tables_and_compaction(spark, tmp_path):
     rows = spark.range(100).withColumn("k", F.col("id") % 4)
     write_parquet(rows, str(tmp_path / "p"), partition_by=["k"])
     assert spark.read.parquet(str(tmp_path / "p")).filter("k = 2").count() == 25
-    compact(rows.repartition(20), str(tmp_path / "small"), ["k", "id"], files=2)
+    rows.repartition(20).write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
+    compact(many, str(tmp_path / "small"), ["k", "id"], file_bytes=parts_of_size(many, 1) // 2 + 1)
     read = spark.read.parquet(str(tmp_path / "small"))
     assert read.count() == 100 and with_source_file(read).select("source_file").distinct().count() == 2
     hot = spark.range(9000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")))
@@ -264,3 +268,12 @@ def test_udfs_travel_by_value(tmp_path):
             f"f = pickle.load(open({str(path)!r}, 'rb')); assert f({value!r}) == {expected!r}"
         )
         subprocess.run([sys.executable, "-c", code], check=True, cwd="/", timeout=60)
+
+
+def test_strides_lose_no_row(spark):
+    rows = [(k,) for k in (-5, 0, 1, 50, 99, 100, 1000, None)]
+    frame = spark.createDataFrame(rows, "k long")
+    parts = stride_partitioned(frame, "k", 0, 99, 4).select(F.spark_partition_id().alias("p"), "k").collect()
+    assert sorted((r.k is not None, r.k or 0) for r in parts) == sorted((k is not None, k or 0) for (k,) in rows)
+    at = {r.k: r.p for r in parts}
+    assert (at[-5], at[0], at[50], at[99], at[1000], at[None]) == (0, 0, 2, 3, 3, 0)

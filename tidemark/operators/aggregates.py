@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import left_lookup
+from tidemark.operators.joins import left_lookup, quoted
 from tidemark.session import stored
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
@@ -62,12 +62,12 @@ def describe_columns(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     totals = frame.agg(
         *[
             F.struct(
-                F.lit(c).alias("column_name"), *[fn(F.col(c)).alias(m) for m, fn in measures.items()]
+                F.lit(c).alias("column_name"), *[fn(F.col(q)).alias(m) for m, fn in measures.items()]
             ).alias(c)
-            for c in columns
+            for c, q in zip(columns, quoted(columns))
         ]
     )
-    return totals.select(F.inline(F.array(*columns)))
+    return totals.select(F.inline(F.array(*quoted(columns))))
 
 
 def null_counts(frame: DataFrame) -> DataFrame:
@@ -181,8 +181,9 @@ def first_rows(frame: DataFrame, keys: Sequence[str], *order: str) -> DataFrame:
     would sort every row of a key in one task.
     """
     rest = [c for c in frame.columns if c not in keys]
-    row = F.min_by(F.struct(*rest), total_order(*order)).alias("row")
-    return frame.groupBy(*keys).agg(row).select(*keys, "row.*").select(*frame.columns)
+    row = F.min_by(F.struct(*quoted(rest)), total_order(*quoted(order))).alias("row")
+    firsts = frame.groupBy(*quoted(keys)).agg(row).select(*quoted(keys), "row.*")
+    return firsts.select(*quoted(frame.columns))
 
 
 def keep_first_copy(frame: DataFrame, id_column: str, *normalised: Column) -> DataFrame:

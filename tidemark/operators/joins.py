@@ -15,6 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def quoted(names: Sequence[str]) -> list[str]:
+    """Names as they are, also with dots in them."""
+    return [f"`{name.replace('`', '``')}`" for name in names]
+
+
 def merged_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer join on shared names, one column per key whichever side has it."""
     return left.join(right, list(keys), "full_outer")
@@ -34,10 +39,10 @@ def left_lookup(
     """
     names = [f"_key{i}" for i in range(len(keys))]
     renamed = lookup.select(
-        *[F.col(k).alias(n) for k, n in zip(keys, names)],
-        *[c for c in lookup.columns if c not in keys],
+        *[F.col(k).alias(n) for k, n in zip(quoted(keys), names)],
+        *quoted([c for c in lookup.columns if c not in keys]),
     )
-    match = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    match = reduce(and_, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(quoted(keys), names)])
     return frame.join(renamed, match, how).drop(*names)
 
 

@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.joins import left_lookup
+from tidemark.operators.joins import left_lookup, quoted
 
 
 def merge_upsert(
@@ -43,24 +43,24 @@ def merge_upsert(
     if unknown:
         raise ValueError(f"cannot update {sorted(unknown)}")
 
-    source = source.select(*columns)
-    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    source = source.select(*quoted(columns))
+    complete = reduce(and_, [F.col(k).isNotNull() for k in quoted(keys)])
     change = unique_per_key(source.filter(complete), keys, "_new")
 
     found = F.col("_new").isNotNull()
     kept = left_lookup(target, change, keys).select(
         *[
-            F.when(found, F.col("_new").getField(c)).otherwise(F.col(c)).alias(c)
+            F.when(found, F.col("_new").getField(c)).otherwise(F.col(q)).alias(c)
             if c in updated
-            else F.col(c)
-            for c in columns
+            else F.col(q)
+            for c, q in zip(columns, quoted(columns))
         ]
     )
     present = left_lookup(
-        target.select(*keys), source.filter(complete).select(*keys), keys, "left_semi"
+        target.select(*quoted(keys)), source.filter(complete).select(*quoted(keys)), keys, "left_semi"
     ).distinct()
-    added = change.join(present, list(keys), "left_anti").select(*keys, "_new.*")
-    return kept.unionByName(added).unionByName(source.filter(~complete)).select(*columns)
+    added = change.join(present, list(keys), "left_anti").select(*quoted(keys), "_new.*")
+    return kept.unionByName(added).unionByName(source.filter(~complete)).select(*quoted(columns))
 
 
 def unique_per_key(frame: DataFrame, keys: Sequence[str], alias: str) -> DataFrame:
@@ -69,8 +69,8 @@ def unique_per_key(frame: DataFrame, keys: Sequence[str], alias: str) -> DataFra
     The check groups on the keys, so a later join on them needs no new exchange.
     """
     rest = [c for c in frame.columns if c not in keys]
-    grouped = frame.groupBy(*keys).agg(
-        F.any_value(F.struct(*rest)).alias(alias), F.count(F.lit(1)).alias("_copies")
+    grouped = frame.groupBy(*quoted(keys)).agg(
+        F.any_value(F.struct(*quoted(rest))).alias(alias), F.count(F.lit(1)).alias("_copies")
     )
     repeated = F.raise_error(F.lit(f"merge source repeats a key ({', '.join(keys)})"))
     single = F.when(F.col("_copies") == 1, F.lit(True)).otherwise(repeated.cast("boolean"))

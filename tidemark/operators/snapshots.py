@@ -1,90 +1,50 @@
-"""Versioned tables as Parquet folders: one folder per version plus a commit list.
+"""Versions of a table as ordinary partition columns.
 
-``<root>/data/version=N`` holds a version's rows, with its own schema.
-``<root>/commits`` has one row per version and is written after the data, so a
-job that dies half-way leaves no visible version. A table has one writer at a
-time.
+A table is a folder of Parquet files partitioned by ``version`` and
+``committed_at``. Reading a version, the state at a time, the history and expiry
+are filters and groupings over these columns; they open only the folders they
+need. A version with another schema goes into a folder of its own.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tidemark.functions.times import moment
 
-COMMIT_SCHEMA = "version long, committed_at timestamp, n_rows long, columns string"
+VERSION_COLUMNS = ("version", "committed_at")
 
 
-def _data(root: str, version: int) -> str:
-    return f"{root}/data/version={version}"
+def write_version(frame: DataFrame, root: str, version: int, committed_at: datetime) -> None:
+    """Write ``frame`` as a version; earlier ones stay, the same one is replaced."""
+    stamped = frame.withColumn("committed_at", moment(committed_at))
+    stamped.write.mode("overwrite").partitionBy("committed_at").parquet(f"{root}/version={version}")
 
 
-def history(spark: SparkSession, root: str) -> DataFrame:
-    """All committed versions."""
-    try:
-        return spark.read.schema(COMMIT_SCHEMA).parquet(f"{root}/commits")
-    except AnalysisException:
-        return spark.createDataFrame([], COMMIT_SCHEMA)
+def all_versions(spark: SparkSession, root: str, keep_from: int = 0) -> DataFrame:
+    """Rows of all versions from ``keep_from`` on, with ``version`` and ``committed_at``.
 
+    Expiry is the filter: the folders of earlier versions are not opened and can
+    be removed whenever no reader is left.
+    """
+    return spark.read.parquet(root).filter(F.col("version") >= keep_from)
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    return history(spark, root).agg(F.max("version")).first()[0]
 
+def history(versions: DataFrame) -> DataFrame:
+    """``version, committed_at, n_rows``; Parquet footers are all that is read."""
+    return versions.groupBy(*VERSION_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))
 
-def write_version(frame: DataFrame, root: str, committed_at: datetime | None = None) -> int:
-    """Commit ``frame`` as the next version and return its number.
 
-    Earlier versions stay readable. The schema may differ from theirs.
-    """
-    spark = frame.sparkSession
-    last = latest_version(spark, root)
-    version = 0 if last is None else last + 1
-    frame.write.mode("overwrite").parquet(_data(root, version))
-    # Counting written Parquet reads only the footers.
-    n_rows = spark.read.parquet(_data(root, version)).count()
-    at = moment(committed_at or datetime.now(timezone.utc))
-    commit = spark.range(1).select(
-        F.lit(version).cast("long").alias("version"),
-        at.alias("committed_at"),
-        F.lit(n_rows).cast("long").alias("n_rows"),
-        F.lit(frame.schema.simpleString()).alias("columns"),
-    )
-    commit.write.mode("append").parquet(f"{root}/commits")
-    return version
-
-
-def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """Rows of one version, by default the latest."""
-    known = history(spark, root)
-    if version is None:
-        version = latest_version(spark, root)
-    if version is None or known.filter(F.col("version") == version).isEmpty():
-        raise ValueError(f"no version {version} at {root}")
-    return spark.read.parquet(_data(root, version))
-
-
-def read_as_of(spark: SparkSession, root: str, when: datetime) -> DataFrame:
-    """Rows of the last version committed at or before ``when``."""
-    found = history(spark, root).filter(F.col("committed_at") <= moment(when))
-    version = found.agg(F.max("version")).first()[0]
-    if version is None:
-        raise ValueError(f"no version at {root} as of {when}")
-    return spark.read.parquet(_data(root, version))
-
-
-def expire_versions(spark: SparkSession, root: str, new_root: str, keep_from: int) -> None:
-    """Copy versions ``keep_from`` and later to ``new_root``; the old root can then go.
-
-    Writing to a new root keeps readers of the old one safe while the copy runs.
-    Version numbers and commit times are kept.
-    """
-    kept = history(spark, root).filter(F.col("version") >= keep_from)
-    for (version,) in kept.select("version").orderBy("version").collect():
-        spark.read.parquet(_data(root, version)).write.mode("overwrite").parquet(
-            _data(new_root, version)
-        )
-    kept.coalesce(1).write.mode("overwrite").parquet(f"{new_root}/commits")
+def read_version(versions: DataFrame, version: int) -> DataFrame:
+    """Rows of one version, none if there is no such version."""
+    return versions.filter(F.col("version") == version).drop(*VERSION_COLUMNS)
+
+
+def read_as_of(versions: DataFrame, when: datetime | None = None) -> DataFrame:
+    """Rows of the last version committed at or before ``when``, by default of the last."""
+    known = versions if when is None else versions.filter(F.col("committed_at") <= moment(when))
+    newest = known.agg(F.max("version")).scalar()
+    return versions.filter(F.col("version") == newest).drop(*VERSION_COLUMNS)

@@ -35,17 +35,16 @@ def running_max(
     order: str,
     value: str,
     alias: str,
-    chunk: Column | None = None,
+    chunk: Column,
 ) -> DataFrame:
     """Maximum so far within each key, peers in ``order`` included.
 
     Rows are reduced to one per (key, order value) before the window, and the
     result is joined back. ``chunk``, a coarser form of ``order`` such as its
-    day, cuts a key with very many order values: the maximum of the chunks
+    day, cuts keys with very many order values: the maximum of the chunks
     before, found from one row per chunk, is put in front of each chunk.
     """
     names = [f"_key{i}" for i in range(len(keys))]
-    chunk = F.lit(0) if chunk is None else chunk
     keyed = frame.select("*", *[k.alias(n) for k, n in zip(keys, names)])
     peaks = keyed.groupBy(*names, chunk.alias("_chunk"), order).agg(F.max(value).alias("_peak"))
     before = Window.partitionBy(*names).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import file_name, file_number
 from tidemark.operators.aggregates import total_order
+from tidemark.sources.writers import write_parquet
 
 # Headerless tick files.
 TICK_SCHEMA = "Idx int, Volume int, StockName string, StockPrice double, timestamp timestamp"
@@ -22,9 +23,14 @@ def with_file_id(ticks: DataFrame) -> DataFrame:
     return ticks.select("*", file_number(name).alias("file_id"))
 
 
-def split_by_symbol(ticks: DataFrame, symbols: Sequence[str], column: str = "symbol") -> dict[str, DataFrame]:
-    """One frame per symbol; each is a filter that reaches the scan."""
-    return {s: ticks.filter(F.col(column) == s) for s in symbols}
+def write_by_symbol(ticks: DataFrame, path: str, column: str = "symbol") -> None:
+    """One write for all symbols: each has a folder, which is its table."""
+    write_parquet(ticks, path, partition_by=[column])
+
+
+def read_symbol(spark: SparkSession, path: str, symbol: str, column: str = "symbol") -> DataFrame:
+    """The table of one symbol; no other folder is opened."""
+    return spark.read.parquet(path).filter(F.col(column) == symbol).drop(column)
 
 
 def ohlc(

@@ -54,9 +54,30 @@ def tail_rows(t: Tables):
     return t.events.orderBy(F.desc("ts"), F.desc("event_id")).limit(25).select("event_id", "value")
 
 
-@query("action_count_take", "SELECT count(*) AS n, min(o_orderkey) AS first_key FROM orders")
+@query(
+    "action_count_take",
+    """
+    SELECT count(*) AS n, min(o_orderkey) AS first_key, min(o_orderkey) AS head_key,
+           (SELECT sum(o_orderkey)::BIGINT FROM (SELECT o_orderkey FROM orders ORDER BY 1 LIMIT 5)) AS taken,
+           (SELECT sum(o_orderkey)::BIGINT FROM (SELECT o_orderkey FROM orders ORDER BY 1 DESC LIMIT 5)) AS last,
+           (SELECT count(*) FROM (SELECT DISTINCT o_orderpriority FROM orders)) AS collected
+    FROM orders
+    """,
+)
 def action_count_take(t: Tables):
-    return t.orders.agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"))
+    """The actions that bring few rows to the driver, and a count."""
+    keys = t.orders.select("o_orderkey").orderBy("o_orderkey")
+    row = (
+        t.orders.count(),
+        keys.first()["o_orderkey"],
+        keys.head()["o_orderkey"],
+        sum(r["o_orderkey"] for r in keys.take(5)),
+        sum(r["o_orderkey"] for r in keys.tail(5)),
+        len(t.orders.select("o_orderpriority").distinct().collect()),
+    )
+    return t.spark.createDataFrame(
+        [row], "n long, first_key long, head_key long, taken long, last long, collected long"
+    )
 
 
 @query(

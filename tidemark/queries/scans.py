@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from tidemark.queries.registry import Tables, query
 from tidemark.session import scratch_path
 from tidemark.sources.readers import (
-    range_partitioned,
+    parts_of_size,
     read_delimited,
     read_json,
     schema_as_ddl,
+    stride_partitioned,
     with_source_file,
 )
 from tidemark.sources.writers import write_csv, write_documents, write_json, write_parquet
@@ -164,18 +165,18 @@ def scan_sql(t: Tables):
 @query(
     "scan_range",
     """
-    SELECT m AS month_number, coalesce(n, 0) AS n_orders
+    SELECT coalesce(m, k) AS month_number, coalesce(n, 0) AS n_orders
     FROM generate_series(0, 119) AS g(m)
-    LEFT JOIN (SELECT (year(o_orderdate) - 1992) * 12 + month(o_orderdate) - 1 AS k, count(*) AS n
+    FULL JOIN (SELECT (year(o_orderdate) - 1992) * 12 + month(o_orderdate) - 1 AS k, count(*) AS n
                FROM orders GROUP BY 1) ON k = m
     """,
 )
 def scan_range(t: Tables):
-    """Orders per month of ten years, months without orders included."""
+    """Orders per month of ten years, months without orders included, and of other months with any."""
     month = (F.year("o_orderdate") - 1992) * 12 + F.month("o_orderdate") - 1
     counts = t.orders.groupBy(month.cast("bigint").alias("month_number")).count()
     months = t.spark.range(0, 120, 1).select(F.col("id").alias("month_number"))
-    return months.join(counts, "month_number", "left").select(
+    return months.join(counts, "month_number", "full").select(
         "month_number", F.coalesce("count", F.lit(0)).cast("bigint").alias("n_orders")
     )
 
@@ -219,8 +220,13 @@ def source_file_path(t: Tables):
     """,
 )
 def jdbc_partitioned_scan(t: Tables):
-    """A filtered table split in contiguous key ranges; the filter reaches the scan."""
+    """A filtered table split in strides of its key; the filter reaches the scan.
+
+    The bounds come from the key, the number of partitions from the planned bytes.
+    """
+    low, high = t.orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
     wanted = t.orders.filter("o_orderstatus <> 'P' AND o_totalprice > 1000")
-    return range_partitioned(wanted, 8, "o_orderkey").select(
+    n = parts_of_size(wanted, 128 << 20)
+    return stride_partitioned(wanted, "o_orderkey", low or 0, high or 0, n).select(
         "o_orderkey", "o_custkey", "o_totalprice"
     )

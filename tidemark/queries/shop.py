@@ -147,9 +147,8 @@ def dedup_people(t: Tables):
 )
 def purchase_revenue(t: Tables):
     """Revenue of the events that have one."""
-    amount = F.when(F.col("event_type") == "purchase", F.col("value"))
     events = t.events.select("event_id", "user_id", "event_type", "value")
-    return with_revenue(events, amount, "value")
+    return with_revenue(events.filter("event_type = 'purchase'"), F.col("value"), "value")
 
 
 @query(

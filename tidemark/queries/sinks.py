@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.queries.registry import Tables, query
@@ -20,7 +22,7 @@ from tidemark.sources.writers import (
     write_table,
 )
 
-ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate"]
 ORDERS_SQL = f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders"
 
 
@@ -142,20 +144,32 @@ CATALOGUED = ["customer", "orders", "part", "supplier"]
 @query(
     "table_catalog",
     " UNION ALL ".join(
-        f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in CATALOGUED
+        f"SELECT '{n}' AS table_name, 'EXTERNAL' AS kind, 'parquet' AS provider, count(*) AS n_rows FROM {n}"
+        for n in CATALOGUED
     ),
 )
 def table_catalog(t: Tables):
-    """Row counts of the catalogue's tables of this shop, found by listing them."""
-    t.views(*CATALOGUED)
-    names = sorted({x.name for x in t.spark.catalog.listTables()} & set(CATALOGUED))
-    counts = None
-    for name in names:
-        one = t.spark.table(name).agg(
-            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows")
-        ).select("table_name", "n_rows")
-        counts = one if counts is None else counts.union(one)
-    return counts
+    """Named tables of this shop, found by listing them, described, and counted."""
+    prefix = _fresh_name("shop")
+    for name in CATALOGUED:
+        create_external_table(t.spark, f"{prefix}_{name}", t.path(name))
+    listed = sorted(x.name for x in t.spark.catalog.listTables() if x.name.startswith(f"{prefix}_"))
+    counts = []
+    for name in listed:
+        described = t.spark.sql(f"DESCRIBE EXTENDED {name}").filter("col_name IN ('Type', 'Provider')")
+        facts = described.agg(
+            F.max(F.when(F.col("col_name") == "Type", F.col("data_type"))).alias("kind"),
+            F.max(F.when(F.col("col_name") == "Provider", F.col("data_type"))).alias("provider"),
+        ).first()
+        counts.append(
+            t.spark.table(name).agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(name.removeprefix(f"{prefix}_")).alias("table_name"),
+                F.lit(facts["kind"]).alias("kind"),
+                F.lower(F.lit(facts["provider"])).alias("provider"),
+                "n_rows",
+            )
+        )
+    return reduce(DataFrame.union, counts)
 
 
 @query(
@@ -166,5 +180,5 @@ def compact_cluster(t: Tables):
     """Many small files rewritten as few, clustered by device and tag."""
     small, path = scratch_path(t.spark, "events-small"), scratch_path(t.spark, "events-compact")
     t.events.select("event_id", "user_id", "event_type", "value").repartition(32).write.parquet(small)
-    compact(t.spark.read.parquet(small), path, ["user_id", "event_type"], files=4)
+    compact(t.spark.read.parquet(small), path, ["user_id", "event_type"])
     return t.spark.read.parquet(path)

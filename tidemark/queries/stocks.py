@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +13,9 @@ from tidemark.plans.stocks import (
     TICK_SCHEMA,
     ohlc,
     portfolio_value,
+    read_symbol,
     scaled_ohlc,
-    split_by_symbol,
+    write_by_symbol,
 )
 from tidemark.queries.registry import Tables, query
 from tidemark.session import scratch_path
@@ -90,16 +93,16 @@ def stock_scaled_ohlc(t: Tables):
     """,
 )
 def stock_split(t: Tables):
-    """One table per symbol, each written on its own and read back."""
-    report = None
-    for symbol, rows in split_by_symbol(ticks(t), list(SHARES)).items():
-        path = scratch_path(t.spark, f"ticks-{symbol}")
-        rows.write.parquet(path)
-        one = t.spark.read.parquet(path).agg(
-            F.count(F.lit(1)).alias("n_ticks"), F.round(F.sum("l_extendedprice"), 2).alias("total")
-        ).select(F.lit(symbol).alias("symbol"), "n_ticks", "total")
-        report = one if report is None else report.union(one)
-    return report
+    """One table per symbol: a folder each, from one scan and one write."""
+    path = scratch_path(t.spark, "ticks-by-symbol")
+    write_by_symbol(ticks(t), path)
+    tables = [
+        read_symbol(t.spark, path, symbol)
+        .agg(F.count(F.lit(1)).alias("n_ticks"), F.round(F.sum("l_extendedprice"), 2).alias("total"))
+        .select(F.lit(symbol).alias("symbol"), "n_ticks", "total")
+        for symbol in SHARES
+    ]
+    return reduce(DataFrame.union, tables)
 
 
 def write_tick_files(t: Tables, path: str) -> None:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import stamp
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.snapshots import (
-    expire_versions,
+    all_versions,
     history,
     read_as_of,
     read_version,
@@ -61,53 +62,47 @@ def partly_upserted(t: Tables):
     return merge_upsert(*old_and_new(t), ["o_orderkey"], ["o_orderstatus"])
 
 
-def three_versions(t: Tables) -> str:
-    """All orders; then only finished ones; then per-priority counts (another schema)."""
+def three_versions(t: Tables, keep_from: int = 0) -> DataFrame:
+    """All orders; then only finished ones; then only the dear ones of these."""
     root = scratch_path(t.spark, "orders-versions")
     orders = t.orders.select(*COLUMNS)
-    write_version(orders, root, datetime(2024, 1, 1, 12))
-    write_version(orders.filter("o_orderstatus = 'F'"), root, datetime(2024, 1, 2, 12))
-    write_version(
-        t.orders.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n")),
-        root,
-        datetime(2024, 1, 3, 12),
-    )
-    return root
+    finished = orders.filter("o_orderstatus = 'F'")
+    write_version(orders, root, 0, datetime(2024, 1, 1, 12))
+    write_version(finished, root, 1, datetime(2024, 1, 2, 12))
+    write_version(finished.filter("o_totalprice > 100000"), root, 2, datetime(2024, 1, 3, 12))
+    return all_versions(t.spark, root, keep_from)
 
 
 FIRST_SQL = f"SELECT {', '.join(COLUMNS)} FROM orders"
 
 
-@query(
-    "snapshot_write",
-    "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1",
-)
+@query("snapshot_write", f"{FIRST_SQL} WHERE o_orderstatus = 'F' AND o_totalprice > 100000")
 def snapshot_write(t: Tables):
-    """The latest version after three overwrites."""
-    return read_version(t.spark, three_versions(t))
+    """The latest version after three."""
+    return read_as_of(three_versions(t))
 
 
 @query("read_version_as_of", FIRST_SQL)
 def read_version_as_of(t: Tables):
-    return read_version(t.spark, three_versions(t), 0)
+    return read_version(three_versions(t), 0)
 
 
 @query("read_time_as_of", f"{FIRST_SQL} WHERE o_orderstatus = 'F'")
 def read_time_as_of(t: Tables):
     """The version current at noon of the second day and some hours."""
-    return read_as_of(t.spark, three_versions(t), datetime(2024, 1, 2, 18))
+    return read_as_of(three_versions(t), datetime(2024, 1, 2, 18))
 
 
 @query(
     "history",
     """
-    SELECT 0::BIGINT AS version, '2024-01-01 12:00:00' AS committed_at, count(*) AS n_rows FROM orders
+    SELECT 0::INTEGER AS version, '2024-01-01 12:00:00' AS committed_at, count(*) AS n_rows FROM orders
     UNION ALL SELECT 1, '2024-01-02 12:00:00', count(*) FROM orders WHERE o_orderstatus = 'F'
-    UNION ALL SELECT 2, '2024-01-03 12:00:00', count(DISTINCT o_orderpriority) FROM orders
+    UNION ALL SELECT 2, '2024-01-03 12:00:00', count(*) FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 100000
     """,
 )
 def version_list(t: Tables):
-    return history(t.spark, three_versions(t)).select(
+    return history(three_versions(t)).select(
         "version", stamp(F.col("committed_at")).alias("committed_at"), "n_rows"
     )
 
@@ -117,21 +112,18 @@ def version_list(t: Tables):
     "SELECT p_partkey, len(string_split(p_name, ' '))::INTEGER AS words FROM part",
 )
 def schema_change_overwrite(t: Tables):
-    """An array column becomes its size in the next version; the array stays readable in the first."""
-    root = scratch_path(t.spark, "part-versions")
+    """An array column becomes its size: the new schema has a folder of its own, the old stays readable."""
+    arrays, sizes = (scratch_path(t.spark, n) for n in ("part-arrays", "part-sizes"))
     words = t.part.select("p_partkey", F.split("p_name", " ").alias("words"))
-    write_version(words, root)
-    first = read_version(t.spark, root, 0)
-    write_version(first.withColumn("words", F.size("words")), root)
-    return read_version(t.spark, root)
+    write_version(words, arrays, 0, datetime(2024, 1, 1))
+    first = read_version(all_versions(t.spark, arrays), 0)
+    write_version(first.withColumn("words", F.size("words")), sizes, 1, datetime(2024, 1, 2))
+    return read_as_of(all_versions(t.spark, sizes))
 
 
-@query(
-    "expire_versions",
-    f"{FIRST_SQL} WHERE o_orderstatus = 'F'",
-)
+@query("expire_versions", f"{FIRST_SQL} WHERE o_orderstatus = 'F'")
 def expired(t: Tables):
-    """Version 1 read from the copy that keeps versions 1 and 2."""
-    root, kept = three_versions(t), scratch_path(t.spark, "orders-kept")
-    expire_versions(t.spark, root, kept, keep_from=1)
-    return read_version(t.spark, kept, 1)
+    """The oldest version that is left when the first has expired."""
+    kept = three_versions(t, keep_from=1)
+    oldest = kept.agg(F.min("version")).scalar()
+    return kept.filter(F.col("version") == oldest).select(*COLUMNS)

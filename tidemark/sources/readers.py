@@ -63,3 +63,27 @@ def range_partitioned(frame: DataFrame, partitions: int, *columns: str) -> DataF
     """
     numbered = frame.withColumn("_row", F.monotonically_increasing_id())
     return numbered.repartitionByRange(partitions, *columns, "_row").drop("_row")
+
+
+def parts_of_size(frame: DataFrame, part_bytes: int) -> int:
+    """How many parts of about so many bytes the planner expects a frame to have.
+
+    For files that is their size, less what it knows of filters and columns.
+    """
+    planned = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(1, -(-planned // part_bytes))
+
+
+def stride_partitioned(
+    frame: DataFrame, column: str, lower: int, upper: int, partitions: int
+) -> DataFrame:
+    """Split rows by equal strides of a whole-number column from ``lower`` to ``upper``.
+
+    As a partitioned database scan does: the bounds only set the strides. Rows
+    outside them go to the first or last partition, nulls to the first, and none
+    is left out. Filter before calling, so that the filter reaches the source.
+    """
+    stride = max(1, -(-(upper - lower + 1) // partitions))
+    number = F.floor((F.col(column) - F.lit(lower)) / F.lit(stride))
+    inside = F.greatest(F.lit(0), F.least(F.lit(partitions - 1), F.coalesce(number, F.lit(0))))
+    return frame.repartitionById(partitions, inside.cast("int"))

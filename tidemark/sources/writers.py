@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.sources.readers import range_partitioned
+from tidemark.sources.readers import parts_of_size, range_partitioned
 
 
 def write_parquet(
@@ -95,12 +95,16 @@ def keyed_json(frame: DataFrame, key_columns: Sequence[str], sep: str = "~") ->
 
 
 def compact(
-    frame: DataFrame, path: str, cluster_by: Sequence[str], files: int, mode: str = "overwrite"
+    frame: DataFrame,
+    path: str,
+    cluster_by: Sequence[str],
+    file_bytes: int = 1 << 30,
+    mode: str = "overwrite",
 ) -> None:
-    """Rewrite many small files as ``files`` larger ones, clustered by key.
+    """Rewrite many small files as larger ones of about ``file_bytes``, clustered by key.
 
     Range partitioning on the cluster columns gives files narrow min/max bounds,
     which lets later scans skip row groups.
     """
-    clustered = range_partitioned(frame, files, *cluster_by)
+    clustered = range_partitioned(frame, parts_of_size(frame, file_bytes), *cluster_by)
     clustered.sortWithinPartitions(*cluster_by).write.mode(mode).parquet(path)

@@ -38,6 +38,11 @@ HEADLINE = [
     "win_running_max",
     "hourly_activity_stream",
     "bronze_parse",
+    "agg_approx_distinct",
+    "join_carry_previous",
+    "box_stats",
+    "stream_group_agg",
+    "catch_up_from_target",
 ]
 
 

@@ -29,8 +29,8 @@ MOST_REPEATED_PERCENT = 20
 
 ORDER = 5
 # Half-widths of the band in robust standard deviations of the log perplexity.
-LOWER_WIDTH, UPPER_WIDTH = 8.0, 8.0
-LEAST_SPREAD = 0.04
+LOWER_WIDTH, UPPER_WIDTH = 6.0, 6.0
+LEAST_SPREAD = 0.03
 # Keys gathered in a task before they are combined.
 KEYS_AT_ONCE = 1 << 22
 # Model entries sent to all executors, 12 bytes each; a larger model is joined.

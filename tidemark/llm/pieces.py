@@ -27,16 +27,20 @@ ASCII_RARE_SPACE = [c for c in RARE_SPACE if c.isascii()]
 # Marks that are a pre-token of their own between a letter and white space.
 MARKS = frozenset(".,;:!?")
 
-PIECES_KEPT = 250_000  # of the latest, and as many from before
+PIECES_KEPT = 400_000  # of the latest, and as many from before
 LONGEST_KEPT = 100
 
 
+def is_plain_word(piece: str) -> bool:
+    """Whether a piece is letters that all versions of Unicode know as such."""
+    return piece.isalpha() and (piece.isascii() or max(piece) < "\u0530")
+
+
 class PieceIds(dict):
     """Ids of a piece as little-endian unsigned 32-bit integers, encoded when first met.
 
     A word with one mark behind it is taken apart, so that the word is met less
-    often for the first time; ``is_word`` says which pieces are letters, whatever
-    normalisation does to them. The pieces used since the table was last full stay
+    often for the first time. The pieces used since the table was last full stay
     when it is full again.
     """
 
@@ -44,10 +48,10 @@ class PieceIds(dict):
         self,
         encode: Callable[[str], list[int]],
         mark: Callable[[str], bytes] | None = None,
-        is_word: Callable[[str], bool] = str.isalpha,
+        is_word: Callable[[str], bool] | None = None,
     ):
         super().__init__()
-        self.encode, self.mark, self.is_word = encode, mark or self.__getitem__, is_word
+        self.encode, self.mark, self.is_word = encode, mark or self.__getitem__, is_word or is_plain_word
         self.earlier: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
@@ -115,50 +119,69 @@ def byte_alphabet() -> str:
     return "".join(table[b] for b in range(256))
 
 
-def _coder(tokenizer: Tokenizer) -> Callable[[str], list[int]]:
-    """Ids of a piece: normalise, split and merge by the library's own parts."""
-    merge, split, normalizer = tokenizer.model.tokenize, tokenizer.pre_tokenizer, tokenizer.normalizer
+def _split_coder(tokenizer: Tokenizer) -> Callable[[str], list[int]]:
+    """Ids of a piece in normal form: split and merge by the library's own parts."""
+    merge, split = tokenizer.model.tokenize, tokenizer.pre_tokenizer
     to_alphabet = dict(enumerate(byte_alphabet()))
 
     def encode(piece: str) -> list[int]:
-        text = normalizer.normalize_str(piece) if normalizer and not _plain(piece) else piece
-        if normalizer and text is piece:
-            text = piece.lower()
-        word = text[1:] if text[:1] == " " and not normalizer else text
-        if word.isalpha():  # one pre-token
-            if not text.isascii() or text is not word:
-                text = text.encode().decode("latin-1").translate(to_alphabet)
-            return [t.id for t in merge(text)]
-        return [t.id for part, _ in split.pre_tokenize_str(text) for t in merge(part)]
+        word = piece[1:] if piece[:1] == " " else piece
+        if is_plain_word(word):  # one pre-token
+            if not piece.isascii() or piece is not word:
+                piece = piece.encode().decode("latin-1").translate(to_alphabet)
+            return [t.id for t in merge(piece)]
+        return [t.id for part, _ in split.pre_tokenize_str(piece) for t in merge(part)]
 
     return encode
 
 
-def _plain(piece: str) -> bool:
-    """Whether lower case is all the normalisation there can be."""
-    return piece.isascii() and piece.isalpha()
+def _whole_coder(tokenizer: Tokenizer) -> Callable[[str], list[int]]:
+    """Ids of any string, by the library as a whole."""
+    tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+    return lambda piece: tokenizer.encode(piece, add_special_tokens=False).ids
 
 
 @lru_cache(maxsize=4)
 def spaced_coder(vocabulary: bytes) -> Callable[[str], bytes]:
     """Ids of a text by a byte-level vocabulary (tokenizers JSON) that keeps white space."""
-    return spaced_ids(_coder(Tokenizer.from_str(vocabulary.decode())))
+    return spaced_ids(_split_coder(Tokenizer.from_str(vocabulary.decode())))
 
 
 @lru_cache(maxsize=4)
 def word_coder(vocabulary: bytes) -> Callable[[str], bytes]:
-    """Ids of a text by a vocabulary (tokenizers JSON) that drops white space."""
-    def is_word(piece: str) -> bool:
-        return unicodedata.normalize("NFC", piece).lower().isalpha()
+    """Ids of a text by a vocabulary (tokenizers JSON) that drops white space and case.
+
+    Nearly all texts are in normal form NFC, before and after lower case: these are
+    lowered as a whole, so that their words need no normalisation one by one and
+    are in the table once, however written.
+    """
+    tokenizer = Tokenizer.from_str(vocabulary.decode())
+    lowered = PieceIds(_split_coder(tokenizer)).__getitem__
+    others = PieceIds(_whole_coder(tokenizer), is_word=lambda piece: False).__getitem__
+    normal = tokenizer.normalizer.normalize_str
+    # Lowered by what stands around them, or otherwise by the library.
+    odd = {"Σ", "İ"} | {c for c in map(chr, range(0x110000)) if c != c.lower() != normal(c)}
+    common = re.compile("[\0-\u052f]*").fullmatch
+    odd_and_common = [c for c in map(chr, range(0x530)) if c in odd or unicodedata.category(c) == "Cn"]
+
+    def has_odd_capital(text: str) -> bool:
+        """Also true of characters that are not known here, as the library may know them."""
+        if common(text):
+            return any(c in text for c in odd_and_common)
+        return any(c in odd or unicodedata.category(c) == "Cn" for c in set(text))
 
-    ids = PieceIds(_coder(Tokenizer.from_str(vocabulary.decode())), is_word=is_word).__getitem__
     # ASCII white space only: other white space is left to the library.
     cut = re.compile("[^\t\n\v\f\r ]+").findall
-    # In ASCII, split() also cuts at these, which are no white space here.
-    separators = re.compile("[\x1c-\x1f]").search
 
     def code(text: str) -> bytes:
-        words = text.split() if text.isascii() and not separators(text) else cut(text)
-        return b"".join(map(ids, words))
+        # split() also cuts at these, which are no white space here.
+        words = str.split if not any(c in text for c in "\x1c\x1d\x1e\x1f") else cut
+        if text.isascii():
+            return b"".join(map(lowered, words(text.lower())))
+        if not has_odd_capital(text):
+            lower = text.lower()
+            if unicodedata.is_normalized("NFC", text) and unicodedata.is_normalized("NFC", lower):
+                return b"".join(map(lowered, words(lower)))
+        return b"".join(map(others, words(text)))
 
     return code

@@ -34,7 +34,7 @@ LEAST_SPREAD = 0.03
 # Keys gathered in a task before they are combined.
 KEYS_AT_ONCE = 1 << 22
 # Model entries sent to all executors, 12 bytes each; a larger model is joined.
-BROADCAST_ENTRIES = 8_000_000
+BROADCAST_ENTRIES = 4_000_000
 
 
 # --- rules -----------------------------------------------------------------

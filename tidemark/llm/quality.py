@@ -31,8 +31,8 @@ ORDER = 5
 # Half-widths of the band in robust standard deviations of the log perplexity.
 LOWER_WIDTH, UPPER_WIDTH = 6.0, 6.0
 LEAST_SPREAD = 0.03
-# Keys gathered in a task before they are combined.
-KEYS_AT_ONCE = 1 << 22
+# Keys that a task holds at a time, besides those that it has combined.
+KEYS_AT_ONCE = 1 << 20
 # Model entries sent to all executors, 12 bytes each; a larger model is joined.
 BROADCAST_ENTRIES = 4_000_000
 
@@ -92,6 +92,26 @@ def ngram_keys(text: bytes, order: int = ORDER) -> np.ndarray:
     return keys
 
 
+def key_blocks(texts: Iterable[bytes], order: int) -> Iterator[list[tuple[int, np.ndarray]]]:
+    """The keys of texts in blocks of up to ``KEYS_AT_ONCE``, with each text's number.
+
+    A longer text is cut; the parts overlap, so that its n-grams are all there once.
+    """
+    block: list[tuple[int, np.ndarray]] = []
+    held = 0
+    for number, text in enumerate(texts):
+        for at in range(0, len(text), KEYS_AT_ONCE):
+            lead = min(at, order - 1)
+            keys = ngram_keys(text[at - lead : at + KEYS_AT_ONCE], order)[lead:]
+            if held + len(keys) > KEYS_AT_ONCE and block:
+                yield block
+                block, held = [], 0
+            block.append((number, keys))
+            held += len(keys)
+    if block:
+        yield block
+
+
 def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """``lang, key, n``: how often each n-gram of bytes occurs in each language.
 
@@ -101,26 +121,24 @@ def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-        waiting: dict[str, list[np.ndarray]] = {}
-        sizes: Counter = Counter()
 
-        def combine(lang):
-            keys, n = np.unique(np.concatenate(waiting.pop(lang)), return_counts=True)
+        def combine(lang, found):
+            keys, n = np.unique(found, return_counts=True)
             if lang in totals:
                 old, old_n = totals[lang]
                 merged, place = np.unique(np.concatenate([old, keys]), return_inverse=True)
                 n = np.bincount(place, np.concatenate([old_n, n])).astype(np.int64)
                 keys = merged
-            totals[lang], sizes[lang] = (keys, n), 0
+            totals[lang] = keys, n
 
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), bytes_of(batch.column("text"))):
-                waiting.setdefault(lang, []).append(ngram_keys(text, order))
-                sizes[lang] += len(text)
-                if sizes[lang] >= KEYS_AT_ONCE:
-                    combine(lang)
-        for lang in list(waiting):
-            combine(lang)
+            langs = batch.column("lang").to_pylist()
+            for block in key_blocks(bytes_of(batch.column("text")), order):
+                by_lang: dict[str, list[np.ndarray]] = {}
+                for number, keys in block:
+                    by_lang.setdefault(langs[number], []).append(keys)
+                for lang, found in by_lang.items():
+                    combine(lang, np.concatenate(found))
         for lang, (keys, n) in totals.items():
             for at in range(0, len(keys), 100_000):
                 some = keys[at : at + 100_000]
@@ -213,21 +231,17 @@ def score_by_arrays(docs: DataFrame, model: DataFrame, order: int = ORDER) -> Da
 
     def kernel(batch: pa.RecordBatch) -> dict:
         texts, langs = bytes_of(batch.column("text")), batch.column("lang").to_pylist()
-        result: list[float | None] = [None] * len(texts)
-        for lang in set(langs):
-            rows = [i for i, (own, t) in enumerate(zip(langs, texts)) if own == lang and t]
-            if not rows:
-                continue
-            keys, logs = shared.value[lang]
-            found = np.concatenate([ngram_keys(texts[i], order) for i in rows])
-            different, place = np.unique(found, return_inverse=True)
-            values = logs[np.searchsorted(keys, different.view(np.int64))][place]
-            sizes = np.array([len(texts[i]) for i in rows])
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            sums = np.add.reduceat(values.astype(np.float64), starts)
-            for i, nll in zip(rows, (-sums / sizes).tolist()):
-                result[i] = nll
-        return {"nll": result}
+        sums = [0.0] * len(texts)
+        for block in key_blocks(texts, order):
+            for lang in {langs[number] for number, _ in block}:
+                keys, logs = shared.value[lang]
+                own = [(number, found) for number, found in block if langs[number] == lang]
+                found = np.concatenate([f for _, f in own])
+                values = logs[np.searchsorted(keys, found.view(np.int64))].astype(np.float64)
+                starts = np.cumsum([0, *(len(f) for _, f in own)])[:-1]
+                for (number, _), total in zip(own, np.add.reduceat(values, starts).tolist()):
+                    sums[number] += total
+        return {"nll": [-s / len(t) if t else None for s, t in zip(sums, texts)]}
 
     keep = tuple(c for c in docs.columns if c != "text")
     return map_batches(docs, kernel, "nll double", keep=keep)
@@ -243,8 +257,8 @@ def score_by_join(docs: DataFrame, model: DataFrame, order: int = ORDER) -> Data
         for batch in batches:
             columns = [batch.column(c) for c in ("row", "lang")]
             for i, text in enumerate(bytes_of(batch.column("text"))):
-                if text:
-                    keys, n = np.unique(ngram_keys(text, order), return_counts=True)
+                for block in key_blocks([text], order):
+                    keys, n = np.unique(block[0][1], return_counts=True)
                     at = pa.array(np.full(len(keys), i))
                     arrays = [*(c.take(at) for c in columns), pa.array(keys.view(np.int64)), pa.array(n)]
                     yield pa.RecordBatch.from_arrays(arrays, names=["row", "lang", "key", "n"])

@@ -32,7 +32,7 @@ MOST_WEIGHT = 6.0
 EDIT_FACTOR = 0.7  # weight left for each edit
 WINDOW = 15  # words
 STATES_KEPT = 50_000
-WORDS_KEPT = 400_000
+WORDS_KEPT = 200_000
 
 _QUOTED = re.compile("\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|«[^»\n]{1,400}»|„[^“”\n]{1,400}[“”]")
 _WORD = re.compile(r"\S+")

@@ -126,6 +126,18 @@ def test_odd_perplexity_is_rejected_and_the_others_kept(spark, words):
     assert not kept.pop(1000) and all(kept.values())
 
 
+def test_band_is_no_wider_than_a_few_times_the_scores(spark):
+    rng = random.Random(9)
+    rows = [(i, "en", rng.gauss(1.4, 0.03), 1000, False) for i in range(1000)]
+    rows += [(2000 + i, "en", 1.4 + off, 1000, False) for i, off in enumerate((-0.15, 0.15, -0.2, 0.2))]
+    rows += [(3000, "en", 1.5, 60, False), (3001, "en", 9.9, 1000, True)]
+    scored = spark.createDataFrame(rows, "doc_id long, lang string, nll double, n_bytes int, base_failed boolean")
+    judged = scored.join(quality.bands(scored), "lang").filter(quality.outside_band())
+    outside = {r["doc_id"] for r in judged.collect()}
+    assert {2000, 2001, 2002, 2003} <= outside and 3000 not in outside
+    assert len(outside - {3001}) <= 4 + 10
+
+
 # --- toxicity ----------------------------------------------------------------
 
 

@@ -28,9 +28,11 @@ LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 
 ORDER = 5
-# Half-widths of the band in robust standard deviations of the log perplexity.
-LOWER_WIDTH, UPPER_WIDTH = 6.0, 6.0
-LEAST_SPREAD = 0.03
+# A band reaches so many times as far from the median as the score that this share
+# of all scores of the language lies beyond, on either side; for a bell curve that
+# is 3.1 standard deviations.
+TAIL_SHARE, REACH = 0.15, 3.0
+LEAST_DISTANCE = 0.01
 # Keys that a task holds at a time, besides those that it has combined.
 KEYS_AT_ONCE = 1 << 20
 # Model entries sent to all executors, 12 bytes each; a larger model is joined.
@@ -272,28 +274,42 @@ def score_by_join(docs: DataFrame, model: DataFrame, order: int = ORDER) -> Data
 
 
 def bands(scored: DataFrame) -> DataFrame:
-    """``lang, middle, spread, spread_of_one``: what a language's band is made of.
+    """``lang, middle, low, high, low_of_one, high_of_one``: what a language's band is made of.
 
-    ``middle`` is the median log perplexity, ``spread`` the robust deviation from it
-    (1.4826 times the median distance), ``spread_of_one`` that of a text of one
-    byte, as means over n bytes vary by its n-th root more. All over the documents
-    that pass the rules; a language without any has no band.
+    ``middle`` is the median log perplexity. ``low`` and ``high`` are the distances
+    from it that ``TAIL_SHARE`` of the scores lie beyond. The ones ``of_one`` are
+    those of a text of one byte, as means over n bytes vary by its n-th root more.
+    All over the documents that pass the rules; a language without any has no band.
     """
     good = scored.filter(~F.col("base_failed") & F.col("nll").isNotNull())
     middle = good.groupBy("lang").agg(F.percentile_approx("nll", 0.5, 10_000).alias("middle"))
-    off = F.abs(F.col("nll") - F.col("middle"))
+    off = F.col("nll") - F.col("middle")
     around = checked_lookup(good, middle, ["lang"], "inner")
+
+    def beyond(distance: Column) -> Column:
+        return F.percentile_approx(distance, 1 - TAIL_SHARE, 10_000)
+
     return around.groupBy("lang", "middle").agg(
-        (1.4826 * F.percentile_approx(off, 0.5, 10_000)).alias("spread"),
-        (1.4826 * F.percentile_approx(off * F.sqrt("n_bytes"), 0.5, 10_000)).alias("spread_of_one"),
+        beyond(-off).alias("low"),
+        beyond(off).alias("high"),
+        beyond(-off * F.sqrt("n_bytes")).alias("low_of_one"),
+        beyond(off * F.sqrt("n_bytes")).alias("high_of_one"),
     )
 
 
 def outside_band() -> Column:
-    """Below or above the band of the language, which is wider for short texts."""
-    width = F.greatest(F.col("spread"), F.lit(LEAST_SPREAD)) + F.col("spread_of_one") / F.sqrt(F.greatest("n_bytes", F.lit(1)))
-    low, high = F.col("middle") - LOWER_WIDTH * width, F.col("middle") + UPPER_WIDTH * width
-    return F.coalesce(~F.col("nll").between(low, high), F.lit(False))
+    """Below or above the band of the language, which is wider for short texts.
+
+    Its width is that of the language or, if larger, that of the text's length; the
+    first holds what length adds already, so they are not summed.
+    """
+    root = F.sqrt(F.greatest("n_bytes", F.lit(1)))
+
+    def distance(side: str) -> Column:
+        return REACH * F.greatest(F.lit(LEAST_DISTANCE), F.col(side), F.col(f"{side}_of_one") / root)
+
+    off = F.col("nll") - F.col("middle")
+    return F.coalesce(~off.between(-distance("low"), distance("high")), F.lit(False))
 
 
 def quality(

@@ -13,6 +13,7 @@ import corpus_pipeline
 from check_oracles import check
 from tidemark.llm import quality, simhash
 from tidemark.llm.queries import ORACLES, QUERIES
+from tidemark.llm.shared import numbered, without_rows
 from tidemark.queries.registry import TABLE_NAMES
 
 ROOT = pathlib.Path(__file__).resolve().parents[2]
@@ -68,6 +69,20 @@ def test_stages_drop_what_their_operators_say(spark, edge_docs, tmp_path):
     assert sizes[1] < sizes[0] and sizes[3] < sizes[2]
 
 
+def test_rows_are_dropped_by_the_number_they_were_judged_by(spark, tmp_path):
+    path, cores = str(tmp_path / "docs"), "spark.sql.files.minPartitionNum"
+    spark.range(400).withColumn("bad", F.col("id") % 7 == 0).repartition(8).write.parquet(path)
+    try:
+        spark.conf.set(cores, "1")
+        rows = numbered(spark.read.parquet(path))
+        kept = without_rows(rows, rows.filter("bad"))
+        spark.conf.set(cores, "1000")  # as if more cores had joined: the files are split otherwise
+        got = kept.collect()
+    finally:
+        spark.conf.unset(cores)
+    assert sorted(r["id"] for r in got) == [i for i in range(400) if i % 7]
+
+
 def test_stages_of_no_documents(spark, no_docs, tmp_path):
     labels = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
     labels.write.parquet(str(tmp_path / "labels.parquet"))

@@ -90,12 +90,13 @@ def map_batches(
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, which tells its rows apart.
+    """``docs`` with ``_row``, which tells its rows apart, stored with its rows.
 
-    The number follows from the place in the table, so ``docs`` should be read from
-    files, as the stages of a pipeline are: then it is the same each time.
+    The number follows from how the files are split among tasks, which may change
+    from one read to the next (with the cores registered at the moment), so it is
+    given out once and read back afterwards.
     """
-    return docs.withColumn("_row", F.monotonically_increasing_id())
+    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
 
 
 def without_rows(docs: DataFrame, dropped: DataFrame, most_rows: int = 1_000_000) -> DataFrame:

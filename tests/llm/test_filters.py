@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import licenses, quality, toxicity
+from tidemark.llm import licenses, quality, toxicity, word_model
 
 
 def slow_counts(text):
@@ -138,6 +138,51 @@ def test_band_is_no_wider_than_a_few_times_the_scores(spark):
     assert len(outside - {3001}) <= 4 + 10
 
 
+def word_docs(words):
+    rng = random.Random(12)
+    after = {w: rng.sample(words, 3) for w in words}
+
+    def prose(n):
+        text = [rng.choice(words)]
+        while len(text) < n:
+            text.append(rng.choice(after[text[-1]]))
+        return text
+
+    rows = [(i, " ".join(prose(rng.randint(80, 160))), "en") for i in range(400)]
+    for i in range(5):
+        mixed = prose(120)
+        rng.shuffle(mixed)
+        rows.append((1000 + i, " ".join(mixed), "en"))
+    return rows + [(2000, None, "en"), (2001, "one", None), (2002, "two words", None)]
+
+
+def test_word_scores_are_those_of_plain_counts(spark, words):
+    rows = word_docs(words)
+    docs = spark.createDataFrame(rows, "row long, text string, lang string").repartition(5)
+    got = {r["row"]: r["word_nll"] for r in word_model.score_words(docs).collect()}
+    firsts, pairs = Counter(), Counter()
+    split = {i: [(lang, w) for w in (text or "").split()] for i, text, lang in rows}
+    for text in split.values():
+        firsts.update(text[:-1])
+        pairs.update(zip(text, text[1:]))
+    assert got.keys() == {i for i, text in split.items() if len(text) > 1}
+    for i, nll in got.items():
+        text = split[i]
+        own, own_pairs = Counter(text[:-1]), Counter(zip(text, text[1:]))
+        logs = [
+            math.log((pairs[a, b] - own_pairs[a, b] + 0.1) / (firsts[a] - own[a] + 0.1 * len(firsts)))
+            for a, b in zip(text, text[1:])
+        ]
+        assert math.isclose(nll, -sum(logs) / len(logs), rel_tol=1e-9)
+
+
+def test_mixed_words_are_rejected(spark, words):
+    docs = spark.createDataFrame(word_docs(words), "doc_id long, text string, lang string")
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality(docs).collect()}
+    assert not any(kept[1000 + i] for i in range(5))
+    assert sum(kept[i] for i in range(400)) >= 390
+
+
 # --- toxicity ----------------------------------------------------------------
 
 

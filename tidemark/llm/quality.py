@@ -4,7 +4,8 @@ The language model is an interpolated modified Kneser-Ney model over the bytes
 of the texts, one for each language. Spark counts the n-grams of all documents;
 an n-gram of up to seven bytes is its own exact 64-bit key. The probabilities of
 all n-grams that occur are kept in arrays sorted by key. A document's perplexity
-is compared with the band of its language.
+is compared with the band of its language; so is that by pairs of words
+(``word_model``), which tells word order and wrong words.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import bytes_of, checked_lookup, map_batches, prepare
+from tidemark.llm.word_model import score_words
 from tidemark.operators.joins import left_lookup
 from tidemark.session import stored
 
@@ -33,6 +35,8 @@ ORDER = 5
 # is 3.1 standard deviations.
 TAIL_SHARE, REACH = 0.15, 3.0
 LEAST_DISTANCE = 0.01
+# Scores of pairs of words have longer tails, as there are far fewer words than bytes.
+WORD_REACH = 4.0
 # Keys that a task holds at a time, besides those that it has combined.
 KEYS_AT_ONCE = 1 << 20
 # Model entries sent to all executors, 12 bytes each; a larger model is joined.
@@ -273,17 +277,17 @@ def score_by_join(docs: DataFrame, model: DataFrame, order: int = ORDER) -> Data
     return docs.drop("text").join(sums, "row", "left")
 
 
-def bands(scored: DataFrame) -> DataFrame:
+def bands(scored: DataFrame, nll: str = "nll", size: str = "n_bytes") -> DataFrame:
     """``lang, middle, low, high, low_of_one, high_of_one``: what a language's band is made of.
 
     ``middle`` is the median log perplexity. ``low`` and ``high`` are the distances
     from it that ``TAIL_SHARE`` of the scores lie beyond. The ones ``of_one`` are
-    those of a text of one byte, as means over n bytes vary by its n-th root more.
-    All over the documents that pass the rules; a language without any has no band.
+    those of a text of size one, as means over n bytes (words) vary by its n-th root
+    more. All over the documents that pass the rules; a language without any has no band.
     """
-    good = scored.filter(~F.col("base_failed") & F.col("nll").isNotNull())
-    middle = good.groupBy("lang").agg(F.percentile_approx("nll", 0.5, 10_000).alias("middle"))
-    off = F.col("nll") - F.col("middle")
+    good = scored.filter(~F.col("base_failed") & F.col(nll).isNotNull())
+    middle = good.groupBy("lang").agg(F.percentile_approx(nll, 0.5, 10_000).alias("middle"))
+    off = F.col(nll) - F.col("middle")
     around = checked_lookup(good, middle, ["lang"], "inner")
 
     def beyond(distance: Column) -> Column:
@@ -292,26 +296,34 @@ def bands(scored: DataFrame) -> DataFrame:
     return around.groupBy("lang", "middle").agg(
         beyond(-off).alias("low"),
         beyond(off).alias("high"),
-        beyond(-off * F.sqrt("n_bytes")).alias("low_of_one"),
-        beyond(off * F.sqrt("n_bytes")).alias("high_of_one"),
+        beyond(-off * F.sqrt(size)).alias("low_of_one"),
+        beyond(off * F.sqrt(size)).alias("high_of_one"),
     )
 
 
-def outside_band() -> Column:
+def outside_band(nll: str = "nll", size: str = "n_bytes", reach: float = REACH) -> Column:
     """Below or above the band of the language, which is wider for short texts.
 
     Its width is that of the language or, if larger, that of the text's length; the
     first holds what length adds already, so they are not summed.
     """
-    root = F.sqrt(F.greatest("n_bytes", F.lit(1)))
+    root = F.sqrt(F.greatest(size, F.lit(1)))
 
     def distance(side: str) -> Column:
-        return REACH * F.greatest(F.lit(LEAST_DISTANCE), F.col(side), F.col(f"{side}_of_one") / root)
+        return reach * F.greatest(F.lit(LEAST_DISTANCE), F.col(side), F.col(f"{side}_of_one") / root)
 
-    off = F.col("nll") - F.col("middle")
+    off = F.col(nll) - F.col("middle")
     return F.coalesce(~off.between(-distance("low"), distance("high")), F.lit(False))
 
 
+BAND = ("middle", "low", "high", "low_of_one", "high_of_one")
+
+
+def text_row() -> Column:
+    """The same number for equal text and language: such rows have equal word scores."""
+    return F.xxhash64("text", "lang", F.octet_length("text"), F.lit(1))
+
+
 def quality(
     docs: DataFrame,
     order: int = ORDER,
@@ -325,7 +337,7 @@ def quality(
     Null texts count as empty: they have no words, fail the rules and have a null
     perplexity. Null languages are one language. Rows with equal or null
     ``doc_id`` are judged each for itself; other columns are not used. The model
-    counts all documents, whatever the rules say of them. A model over
+    counts all documents, whatever the rules say of them. A model of bytes over
     ``broadcast_entries`` n-grams is joined instead of being sent to all
     executors, with the same result.
     """
@@ -342,18 +354,29 @@ def quality(
     small = model.count() <= broadcast_entries
     counted = map_batches(
         texts, kernel, ", ".join(f"{n} long" for n in names), keep=("_carry", "text", "lang")
-    ).withColumns({"base_failed": base_failed(), "n_bytes": F.octet_length(F.coalesce("text", F.lit("")))})
+    ).withColumns(
+        {
+            "base_failed": base_failed(),
+            "n_bytes": F.octet_length(F.coalesce("text", F.lit(""))),
+            "text_row": text_row(),
+        }
+    )
     if small:
         scored = score_by_arrays(counted, model, order)
     else:
         numbered = stored(counted.withColumn("row", F.monotonically_increasing_id()), "numbered")
         scored = score_by_join(numbered, model, order).drop("row")
-    scored = stored(scored, "scored")
+    words = stored(score_words(texts.withColumn("row", text_row())), "word-scores")
+    scored = stored(left_lookup(scored, words.withColumnRenamed("row", "text_row"), ["text_row"]), "scored")
     judged = checked_lookup(scored, bands(scored), ["lang"], "left")
+    judged = judged.withColumn("_outside", outside_band()).drop(*BAND)
+    judged = checked_lookup(judged, bands(scored, "word_nll", "n_words"), ["lang"], "left")
+    odd = F.col("_outside") | outside_band("word_nll", "n_words", WORD_REACH)
     return judged.select(
         *[F.col("_carry").getField(c).alias(c) for c in carry],
         *names,
         "base_failed",
-        (~F.col("base_failed") & ~outside_band()).alias("kept"),
+        (~F.col("base_failed") & ~odd).alias("kept"),
         F.exp("nll").alias("perplexity"),
+        F.exp("word_nll").alias("word_perplexity"),
     )

@@ -309,6 +309,12 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark):
     assert licenses.scan_licenses(files.limit(0)).count() == 0
 
 
+def test_headers_without_the_word_license_are_found(spark):
+    rows = [(1, "a text.\nDistributed under the GPL v3\nmore"), (2, "CC BY 4.0"), (3, "Nothing of it.")]
+    found = licenses.own_licenses(spark.createDataFrame(rows, "file long, text string")).collect()
+    assert {r["file"]: r["license"] for r in found} == {1: "GPL-3.0", 2: "CC-BY-4.0"}
+
+
 def slow_licenses(texts):
     import re
 

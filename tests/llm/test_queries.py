@@ -33,6 +33,15 @@ def test_query(spark, con, name):
     assert problem is None
 
 
+def test_sources_have_license_files_at_several_depths(spark):
+    rows = QUERIES["op6_licenses"](spark, SMALL).collect()
+    holders = [r["path"].split("/") for r in rows if "/LICENSE-" in r["path"]]
+    assert {len(parts) for parts in holders} == {2, 3, 4}
+    assert len({parts[0] for parts in holders}) > 0.7 * len({r["path"].split("/")[0] for r in rows})
+    above = [r for r in rows if r["inherited_from"] and r["inherited_from"] != r["path"].rpartition("/")[0]]
+    assert above and all(r["path"].startswith(r["inherited_from"] + "/") for r in above)
+
+
 def test_entry_points_have_the_queries():
     assert {*QUERIES, "pipeline"} <= set(entry_points.queries())
     assert set(ORACLES) <= set(entry_points.oracle_sql())

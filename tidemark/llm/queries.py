@@ -96,16 +96,17 @@ def token_file_offsets(t: Tables) -> DataFrame:
 
 @query("op6_licenses")
 def license_scan(t: Tables) -> DataFrame:
-    """License of every document, its own or its directory's.
+    """License of every document, its own or its nearest directory's.
 
-    The table has no paths. Its stand-in is source / hundred of the id / id; the
-    document at the start of a hundred is that directory's license file.
+    The table has no paths. Its stand-in has a tree for each source, directories by
+    thousand and hundred of the id in it; a hash of the id puts a document at one of
+    these three depths and makes one in four a license file there.
     """
-    hundred = F.floor(F.col("doc_id") / 100).cast("string")
-    name = F.when(F.col("doc_id") % 100 == 0, F.lit("LICENSE")).otherwise(F.col("doc_id").cast("string"))
-    files = t.documents.select(
-        F.col("doc_id").alias("file"), F.concat_ws("/", "source", hundred, name).alias("path"), "text"
-    )
+    thousand, hundred = (F.floor(F.col("doc_id") / n).cast("string") for n in (1000, 100))
+    depth, kind = (F.pmod(F.xxhash64("doc_id", F.lit(i)), F.lit(n)) for i, n in ((1, 3), (2, 4)))
+    name = F.concat(F.when(kind == 0, F.lit("LICENSE-")).otherwise(F.lit("")), F.col("doc_id").cast("string"))
+    path = F.concat_ws("/", "source", F.when(depth > 0, thousand), F.when(depth > 1, hundred), name)
+    files = t.documents.select(F.col("doc_id").alias("file"), path.alias("path"), "text")
     return licenses.scan_licenses(files).withColumnRenamed("file", "doc_id")
 
 

@@ -14,14 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     byte_bpe,
     chat,
     chunk_dedup,
+    language_id,
     licenses,
     lz_fingerprint,
     packing,
     quality,
     simhash,
+    spelling,
     token_files,
     toxicity,
 )
@@ -33,6 +36,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SEQUENCE_TOKENS = 1024
+# Words that lose a character, one in so many.
+SLIPS = 97
 
 
 def query(name: str, sql: str | None = None):
@@ -157,3 +162,23 @@ def formatted_chats(t: Tables) -> DataFrame:
     )
     rows = t.conversations.select("conv_id", "turn", "role", "text").unionByName(extra)
     return chat.read_back(chat.format_conversations(rows))
+
+
+@query("op11_language_id")
+def language_predictions(t: Tables) -> DataFrame:
+    """Language of every document, learnt from those that are not held out."""
+    return language_id.identify_documents(t.documents)
+
+
+@query("op12_spelling_variants")
+def word_variants(t: Tables) -> DataFrame:
+    """Near words of every word of the documents, some of which lose a character."""
+    return spelling.document_variants(t.documents, SLIPS)
+
+
+@query("op13_token_alignment")
+def token_alignments(t: Tables) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in every document."""
+    return alignment.alignment_digests(
+        t.documents, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    )

@@ -178,7 +178,7 @@ def test_word_scores_are_those_of_plain_counts(spark, words):
 
 def test_mixed_words_are_rejected(spark, words):
     docs = spark.createDataFrame(word_docs(words), "doc_id long, text string, lang string")
-    kept = {r["doc_id"]: r["kept"] for r in quality.quality(docs).collect()}
+    kept = {r["doc_id"]: r["kept"] for r in quality.quality(docs, words=True).collect()}
     assert not any(kept[1000 + i] for i in range(5))
     assert sum(kept[i] for i in range(400)) >= 390
 

@@ -1,0 +1,117 @@
+"""Language identification against a plain count of n-grams, and held-out accuracy."""
+
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from tidemark.llm import language_id
+from tidemark.llm.queries import QUERIES
+
+BITS = 10
+
+
+def plain_features(text):
+    """The features of a text, one n-gram after another."""
+    padded = text.lower() + "  "
+    found = []
+    for order in language_id.ORDERS:
+        for i in range(len(padded) - 2):
+            h = 0
+            for j, c in enumerate(padded[i : i + order]):
+                h = ord(c) if j == 0 else (h * 0x01000193 + ord(c)) % 2**32
+            h = (h + (order << 27)) % 2**32
+            h = (h ^ (h >> 15)) * 0x2C1B3C6D % 2**32
+            h = (h ^ (h >> 12)) * 0x297A2D39 % 2**32
+            found.append(h >> (32 - BITS))
+    return found
+
+
+def plain_posterior(rows, text):
+    """Probabilities by the textbook formula, learnt from (text, lang)."""
+    languages = sorted({lang for _, lang in rows})
+    scores = []
+    for lang in languages:
+        own = [t for t, x in rows if x == lang]
+        counts = Counter(f for t in own for f in plain_features(t))
+        total = sum(counts.values()) + language_id.SMOOTHING * 2**BITS
+        logs = sum(math.log((counts[f] + language_id.SMOOTHING) / total) for f in plain_features(text))
+        scores.append(logs / len(language_id.ORDERS) + math.log(len(own) / len(rows)))
+    odds = np.exp(np.array(scores) - max(scores))
+    return dict(zip(languages, odds / odds.sum()))
+
+
+ROWS = [
+    ("The river runs past the old mill.", "en"),
+    ("A bird sat on the wall, and then it was gone", "en"),
+    ("Der Fluss läuft an der alten Mühle vorbei", "de"),
+    ("ein Vogel saß auf der Mauer", "de"),
+    ("", "de"),
+    ("LE MOULIN EST VIEUX 😀", "fr"),
+]
+
+
+@pytest.mark.parametrize("size", [7, 1 << 19])
+def test_posterior_is_the_textbook_one(spark, monkeypatch, size):
+    """Also with texts cut into parts of seven characters."""
+    monkeypatch.setattr(language_id, "CHARS_AT_ONCE", size)
+    docs = spark.createDataFrame([*ROWS, (None, "es"), ("sin idioma", None)], "text string, lang string")
+    model = language_id.learn_languages(docs.coalesce(1), BITS)
+    assert model.languages == ["de", "en", "fr"]
+    for text in ["old wall", "Mühle", "x", "der the le", "İSTANBUL ß"]:
+        got = dict(zip(model.languages, model.posterior([text, ROWS[0][0], text])[2]))
+        wanted = plain_posterior(ROWS, text)
+        assert got == pytest.approx(wanted, rel=1e-4, abs=1e-9)
+
+
+def test_parts_hold_every_ngram_once():
+    texts = ["abcdefgh", "", "xy", "z" * 20]
+    for size in (1, 3, 5, 100):
+        found = Counter()
+        for numbers, parts in language_id.blocks(texts, size):
+            keys, begins, ends = language_id.feature_rows(parts, BITS)
+            for number, x, y in zip(numbers, begins, ends):
+                found.update((number, f) for k in keys for f in k[x:y].tolist())
+        assert found == Counter((i, f) for i, t in enumerate(texts) for f in plain_features(t))
+
+
+def test_more_languages_than_the_matrix_holds_fold_the_features(spark):
+    docs = spark.createDataFrame([(f"text {i} of {i * 7}", f"l{i}") for i in range(40)], "text string, lang string")
+    model = language_id.learn_languages(docs, BITS, most_entries=2_000)
+    assert model.logs.shape == (32, 40)
+    assert np.exp(model.logs).sum(axis=0) == pytest.approx(np.ones(40), rel=1e-4)
+
+
+def test_held_out_documents(spark):
+    """Held-out labels are never learnt from, and are found."""
+    got = QUERIES["op11_language_id"](spark, SMALL)
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = got.join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) == docs.count()
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    held = [r for r in rows if r["held_out"]]
+    assert sum(r["lang"] == r["lang_pred"] for r in held) >= 0.97 * len(held)
+    changed = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit("xx")).otherwise(F.col("lang")))
+    again = language_id.identify_documents(changed.withColumn("source", F.lit(None).cast("string")))
+    assert sorted(again.collect()) == sorted(got.collect())
+
+
+def test_edges(spark, edge_docs, no_docs):
+    rows = language_id.identify_documents(edge_docs).collect()
+    assert len(rows) == edge_docs.count()
+    texts = {r["doc_id"]: r["text"] for r in edge_docs.collect()}
+    languages = {r["lang"] for r in edge_docs.select("lang").collect()}
+    for r in rows:
+        lettered = any(c.isalpha() for c in texts[r["doc_id"]] or "") if r["doc_id"] is not None else None
+        if lettered is not None:
+            assert (r["lang_pred"] == "und") == (not lettered)
+        assert 0 <= r["score"] <= 1 and r["lang_pred"] in languages | {"und"}
+    assert len({(r["lang_pred"], r["score"]) for r in rows if r["doc_id"] == 4}) == 1
+    assert not any(r["held_out"] for r in rows if r["doc_id"] is None)
+    assert language_id.identify_documents(no_docs).collect() == []
+    unlabelled = language_id.identify_documents(edge_docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {(r["lang_pred"], r["score"]) for r in unlabelled.collect()} == {("und", 0.0)}

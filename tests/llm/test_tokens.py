@@ -1,6 +1,7 @@
 """Tokenizers against the libraries' own results, token files and packing."""
 
 import base64
+import json
 import random
 import zlib
 
@@ -118,6 +119,50 @@ def test_token_files_have_row_indexes_and_bloom_filters(spark, edge_docs, tmp_pa
     assert "EqualTo(doc_id,105)" in found._jdf.queryExecution().executedPlan().toString()
 
 
+def counts_of(lengths, capacity):
+    return np.bincount(lengths, minlength=capacity + 1)
+
+
+def fewest_bins(lengths, capacity):
+    """The optimum, by trying all ways to put the longest piece left into an open bin or a new one."""
+    ordered, best = sorted(lengths, reverse=True), len(lengths)
+
+    def place(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(ordered):
+            best = len(rooms)
+            return
+        for k in {r: k for k, r in enumerate(rooms) if r >= ordered[i]}.values():
+            place(i + 1, [*rooms[:k], rooms[k] - ordered[i], *rooms[k + 1 :]])
+        place(i + 1, [*rooms, capacity - ordered[i]])
+
+    place(0, [])
+    return best
+
+
+def test_small_packings_against_all_ways_to_pack(spark):
+    rng = random.Random(2)
+    for _ in range(60):
+        capacity = rng.choice([10, 12, 30])
+        lengths = [rng.randint(1, capacity) for _ in range(rng.randint(1, 11))]
+        _, _, n = packing.best_fit_decreasing(lengths, capacity)
+        best = fewest_bins(lengths, capacity)
+        assert packing.lower_bound(counts_of(lengths, capacity), capacity) <= best <= n <= best + 1
+
+
+def test_rounds_come_close_to_the_bound_of_all_pieces(spark):
+    """Uniform lengths in four groups: gaps of groups that meet their own bound are offered too."""
+    rng = random.Random(13)
+    lengths = [rng.randint(1, 1024) for _ in range(20_000)]
+    frame = spark.createDataFrame(list(enumerate(lengths)), "item long, length int")
+    places, n, least = packing.pack_pieces(frame, 1024)
+    assert least == packing.lower_bound(counts_of(lengths, 1024), 1024)
+    assert n == places.select("sequence_id").distinct().count()
+    assert n <= 1.001 * least
+
+
 def test_lower_bound_never_exceeds_a_packing_and_is_met_by_easy_ones():
     rng = random.Random(5)
     for _ in range(200):
@@ -128,9 +173,9 @@ def test_lower_bound_never_exceeds_a_packing_and_is_met_by_easy_ones():
         assert used.max() <= capacity and len(set(bins.tolist())) == n
         taken = {(b, o + i) for b, o, size in zip(bins, offsets, lengths) for i in range(size)}
         assert len(taken) == sum(lengths)
-        assert packing.lower_bound(np.array(lengths), capacity) <= n
-    assert packing.lower_bound(np.array([6, 6, 6]), 10) == 3  # the sum alone says 2
-    assert packing.lower_bound(np.array([4, 4, 4, 4]), 10) == 2
+        assert packing.lower_bound(counts_of(lengths, capacity), capacity) <= n
+    assert packing.lower_bound(counts_of([6, 6, 6], 10), 10) == 3  # the sum alone says 2
+    assert packing.lower_bound(counts_of([4, 4, 4, 4], 10), 10) == 2
 
 
 def test_packing_places_every_piece_once_over_several_rounds(spark):
@@ -138,7 +183,8 @@ def test_packing_places_every_piece_once_over_several_rounds(spark):
     lengths = [rng.randint(1, 100) for _ in range(3000)] + [100] * 50
     pieces_frame = spark.createDataFrame(list(enumerate(lengths)), "item long, length int")
     for per_group in (100_000, 200):
-        got = packing.pack_pieces(pieces_frame, 100, pieces_per_group=per_group).collect()
+        places, n, least = packing.pack_pieces(pieces_frame, 100, pieces_per_group=per_group)
+        got = places.collect()
         assert sorted(r["item"] for r in got) == list(range(len(lengths)))
         sequences = {}
         for r in got:
@@ -149,7 +195,25 @@ def test_packing_places_every_piece_once_over_several_rounds(spark):
                 assert offset == at
                 at += length
             assert at <= 100
-        assert len(sequences) <= 1.03 * packing.lower_bound(np.array(lengths), 100)
+        assert len(sequences) == n and least <= n <= 1.01 * least
+
+
+def test_entries_that_are_not_merged_to_themselves_are_left_to_the_library():
+    """Ranks stand for merges only if every entry is what its own text is merged to."""
+    name = "byte_bpe_50k.json"
+    whole = json.loads(vocabulary(name))
+    ranked = pieces._ranked_coder(Tokenizer.from_str(json.dumps(whole)))
+    assert "_ranked_coder" in ranked.__qualname__
+    whole["model"]["merges"][300:302] = whole["model"]["merges"][301:299:-1]
+    whole["model"]["merges"].pop(0)
+    other = pieces._ranked_coder(Tokenizer.from_str(json.dumps(whole)))
+    assert "_split_coder" in other.__qualname__
+
+
+@pytest.mark.parametrize("text", [" word", "word", " naïveté", "Straße", "русский", " x" * 3, "aaaaaaaaaaaaaaaa", "ﬁ"])
+def test_words_by_rank_are_those_by_merges(text):
+    tokenizer = Tokenizer.from_str(vocabulary("byte_bpe_50k.json").decode())
+    assert pieces._ranked_coder(tokenizer)(text) == pieces._split_coder(tokenizer)(text)
 
 
 def test_documents_are_cut_and_packed(spark, edge_docs, no_docs):
@@ -175,7 +239,7 @@ def test_sequences_are_filled_with_the_ids_of_their_pieces(spark, edge_docs):
 
     cut = packing.cut_documents(edge_docs, vocabulary("byte_bpe_50k.json"), 2, 64)
     cut = stored(cut.withColumn("item", F.monotonically_increasing_id()), "cut")
-    places = stored(packing.pack_pieces(cut.select("item", "length"), 64), "places")
+    places = stored(packing.pack_pieces(cut.select("item", "length"), 64)[0], "places")
     filled = {r["sequence_id"]: bytes(r["ids"]) for r in packing.fill_sequences(cut, places).collect()}
     for r in cut.join(places, "item").collect():
         at = 4 * r["offset"]

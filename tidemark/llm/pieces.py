@@ -13,6 +13,7 @@ import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
 
+import tiktoken
 from tokenizers import Tokenizer
 
 # The characters with the Unicode property White_Space.
@@ -135,6 +136,39 @@ def _split_coder(tokenizer: Tokenizer) -> Callable[[str], list[int]]:
     return encode
 
 
+def _ranked_coder(tokenizer: Tokenizer) -> Callable[[str], list[int]]:
+    """As ``_split_coder``, merging by rank, for a vocabulary whose ids are in the order of its merges.
+
+    Merging the pair whose result has the lowest id is the same as following the
+    list of merges if every entry is what its own text is merged to. Both are
+    checked; a vocabulary of another kind is left to the library's merges.
+    """
+    by_merges = _split_coder(tokenizer)
+    alphabet = byte_alphabet()
+    to_byte = {ord(c): b for b, c in enumerate(alphabet)}
+    special = set(tokenizer.get_added_tokens_decoder())
+    entries = {e: i for e, i in tokenizer.get_vocab(with_added_tokens=True).items() if i not in special}
+    single = [entries.get(c) for c in alphabet]
+    merge = tokenizer.model.tokenize
+    if (
+        None in single
+        or any(ord(c) not in to_byte for e in entries for c in e)
+        or max(single) >= min((i for e, i in entries.items() if len(e) > 1), default=len(entries))
+        or any([t.id for t in merge(e)] != [i] for e, i in entries.items())
+    ):
+        return by_merges
+    ranks = {e.translate(to_byte).encode("latin-1"): i for e, i in entries.items()}
+    by_rank = tiktoken.Encoding("ranked", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+    one_piece = by_rank.encode_ordinary
+
+    def encode(piece: str) -> list[int]:
+        if is_plain_word(piece[1:] if piece[:1] == " " else piece):  # one pre-token
+            return one_piece(piece)
+        return by_merges(piece)
+
+    return encode
+
+
 def _whole_coder(tokenizer: Tokenizer) -> Callable[[str], list[int]]:
     """Ids of any string, by the library as a whole."""
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
@@ -144,7 +178,7 @@ def _whole_coder(tokenizer: Tokenizer) -> Callable[[str], list[int]]:
 @lru_cache(maxsize=4)
 def spaced_coder(vocabulary: bytes) -> Callable[[str], bytes]:
     """Ids of a text by a byte-level vocabulary (tokenizers JSON) that keeps white space."""
-    return spaced_ids(_split_coder(Tokenizer.from_str(vocabulary.decode())))
+    return spaced_ids(_ranked_coder(Tokenizer.from_str(vocabulary.decode())))
 
 
 @lru_cache(maxsize=4)

@@ -4,14 +4,14 @@ The language model is an interpolated modified Kneser-Ney model over the bytes
 of the texts, one for each language. Spark counts the n-grams of all documents;
 an n-gram of up to seven bytes is its own exact 64-bit key. The probabilities of
 all n-grams that occur are kept in arrays sorted by key. A document's perplexity
-is compared with the band of its language; so is that by pairs of words
-(``word_model``), which tells word order and wrong words.
+is compared with the band of its language; so is, on request, that by pairs of
+words (``word_model``), which tells word order and wrong words.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -329,6 +329,7 @@ def quality(
     order: int = ORDER,
     broadcast_entries: int = BROADCAST_ENTRIES,
     carry: Sequence[str] = ("doc_id",),
+    words: bool = False,
 ) -> DataFrame:
     """The ``carry`` columns, counts, perplexity and verdict for every row of ``docs``.
 
@@ -339,7 +340,9 @@ def quality(
     ``doc_id`` are judged each for itself; other columns are not used. The model
     counts all documents, whatever the rules say of them. A model of bytes over
     ``broadcast_entries`` n-grams is joined instead of being sent to all
-    executors, with the same result.
+    executors, with the same result. ``words`` has the verdict look at pairs of
+    words as well and adds their perplexity; its exchanges are several times the
+    size of the texts.
     """
     prepare(docs.sparkSession)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -366,17 +369,20 @@ def quality(
     else:
         numbered = stored(counted.withColumn("row", F.monotonically_increasing_id()), "numbered")
         scored = score_by_join(numbered, model, order).drop("row")
-    words = stored(score_words(texts.withColumn("row", text_row())), "word-scores")
-    scored = stored(left_lookup(scored, words.withColumnRenamed("row", "text_row"), ["text_row"]), "scored")
+    if words:
+        by_pairs = stored(score_words(texts.withColumn("row", text_row())), "word-scores")
+        scored = left_lookup(scored, by_pairs.withColumnRenamed("row", "text_row"), ["text_row"])
+    scored = stored(scored, "scored")
     judged = checked_lookup(scored, bands(scored), ["lang"], "left")
-    judged = judged.withColumn("_outside", outside_band()).drop(*BAND)
-    judged = checked_lookup(judged, bands(scored, "word_nll", "n_words"), ["lang"], "left")
-    odd = F.col("_outside") | outside_band("word_nll", "n_words", WORD_REACH)
+    judged = judged.withColumn("_odd", outside_band()).drop(*BAND)
+    if words:
+        judged = checked_lookup(judged, bands(scored, "word_nll", "n_words"), ["lang"], "left")
+        judged = judged.withColumn("_odd", F.col("_odd") | outside_band("word_nll", "n_words", WORD_REACH))
     return judged.select(
         *[F.col("_carry").getField(c).alias(c) for c in carry],
         *names,
         "base_failed",
-        (~F.col("base_failed") & ~odd).alias("kept"),
+        (~F.col("base_failed") & ~F.col("_odd")).alias("kept"),
         F.exp("nll").alias("perplexity"),
-        F.exp("word_nll").alias("word_perplexity"),
+        *([F.exp("word_nll").alias("word_perplexity")] if words else []),
     )

@@ -12,6 +12,7 @@ from tidemark.queries import (  # noqa: F401
     sensors,
     sinks,
     shop,
+    sketches,
     stocks,
     streams,
     text,

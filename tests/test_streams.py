@@ -7,11 +7,14 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.messages import parse_payload
+from tidemark.operators.sketches import distinct_estimate, unite_sketches
+from tidemark.plans.messages import accepted, parse_payload, rejected, split_payload
+from tidemark.plans.sensors import rollup, summarise_latest
 from tidemark.plans.stocks import TICK_SCHEMA, ohlc, portfolio_value, with_file_id
 from tidemark.streaming import monitor
 from tidemark.streaming.jobs import (
     count_users,
+    each_once,
     exploded_with,
     hourly_active_users,
     new_hourly_users,
@@ -20,6 +23,9 @@ from tidemark.streaming.jobs import (
 )
 from tidemark.streaming.sinks import (
     append_batches,
+    append_keys,
+    append_sketches,
+    distinct_keys,
     for_each_batch,
     newest_batch,
     run_to_end,
@@ -27,6 +33,7 @@ from tidemark.streaming.sinks import (
     to_memory,
 )
 from tidemark.streaming.sources import csv_ingest, file_stream
+from tidemark.streaming.upserts import upsert_periods
 
 START = datetime(2024, 1, 1)
 SCHEMA = "ts timestamp, source string, user string"
@@ -248,3 +255,139 @@ def test_state_is_off_the_heap(spark, folder):
     assert "rocksdbCommitWriteBatchLatency" in str(done.lastProgress) or "rocksdb" in str(done.lastProgress)
     counted = count_users(spark.read.parquet(out), "source")
     assert {r.source: r.active_users for r in counted.collect()} == {"a": 7, "b": 7}
+
+
+# --- keys and sketches by batch, replays, rejects, upserts -----------------------------------
+
+
+def test_late_users_count_in_the_files_of_keys_and_sketches(spark, folder):
+    """Five files, the last five hours behind the watermark: a stream with state would drop its row."""
+    source, keys, sketches, first = folder("in"), folder("keys"), folder("sketches"), folder("first")
+    for rows in ([(0, "a", "u")], [(60, "a", "v")], [(300, "a", "u")], [(600, "a", "w")], [(5, "a", "late"), (601, "a", "w")]):
+        write_events(spark, source, rows)
+
+    def stream():
+        events = file_stream(spark, source, SCHEMA, files_per_trigger=1)
+        return events.withColumn("hour", F.date_trunc("hour", "ts"))
+
+    run_to_end(for_each_batch(stream(), append_keys(keys, ["source", "hour", "user"]), folder("s1")))
+    run_to_end(for_each_batch(stream(), append_sketches(sketches, ["source", "hour"], "user"), folder("s2")))
+    with monitor.progress_totals(spark) as seen:
+        late = seen.of(run_to_end(to_files(new_hourly_users(stream(), "ts", "source", "user"), first, folder("s3"))))
+    batch = spark.read.parquet(source).groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(F.count_distinct("user"))
+    expected = sorted(map(tuple, batch.collect()))
+    counted = count_users(distinct_keys(spark, keys), "hour").collect()
+    assert sorted(map(tuple, counted)) == expected and expected[0][1] == 2
+    united = unite_sketches(spark.read.parquet(sketches), ["hour"]).select("hour", distinct_estimate())
+    assert sorted(map(tuple, united.collect())) == expected
+    assert late.rows_dropped_late == 1 and spark.read.parquet(first).filter("user = 'late'").isEmpty()
+
+
+def test_a_repeated_batch_of_keys_replaces_itself(spark, folder):
+    rows = spark.createDataFrame([("a", "u"), ("a", "u"), ("b", None)], "source string, user string")
+    for _ in range(2):
+        append_keys(folder("keys"), ["source", "user"])(rows, 4)
+        append_sketches(folder("sketches"), ["source"], "user")(rows, 4)
+    assert sorted(map(tuple, spark.read.parquet(folder("keys")).collect()), key=str) == [("a", "u", 4), ("b", None, 4)]
+    assert spark.read.parquet(folder("sketches")).count() == 2
+
+
+def test_messages_sent_twice_are_kept_once_with_bounded_state(spark, folder):
+    source, out, state = folder("in"), folder("out"), folder("state")
+    rows_of_state = []
+    for hour in range(8):
+        rows = [(60 * hour + m, "a", f"u{m}") for m in range(0, 60, 5)]
+        again = [(60 * (hour - 1) + m, "a", f"u{m}") for m in range(30, 60, 5)] if hour else []
+        write_events(spark, source, rows + again)
+        stream = file_stream(spark, source, SCHEMA, files_per_trigger=1)
+        once = each_once(stream, ["source", "user", "ts"], "ts", "1 hour")
+        done = run_to_end(to_files(once, out, state))
+        rows_of_state.append(done.lastProgress.stateOperators[0].numRowsTotal)
+    written = spark.read.parquet(out)
+    assert written.count() == written.distinct().count() == 8 * 12
+    # One row a key of the last hours: it does not grow with the stream, and falls when time passes.
+    assert max(rows_of_state) <= 3 * 12 and rows_of_state[-1] <= rows_of_state[2]
+    write_events(spark, source, [(60 * 40, "a", "end")])
+    stream = file_stream(spark, source, SCHEMA, files_per_trigger=1)
+    done = run_to_end(to_files(each_once(stream, ["source", "user", "ts"], "ts", "1 hour"), out, state))
+    assert done.lastProgress.stateOperators[0].numRowsTotal <= 1
+
+
+MESSAGE = {
+    "deviceName": "d", "tagName": "t", "deviceID": "1", "success": True, "datatype": "double",
+    "timestamp": 1704067200000, "value": "1.5", "registerId": "r", "description": "x",
+}
+
+
+def test_rejected_messages_are_kept_with_their_reason(spark, folder, capsys):
+    messages = [
+        json.dumps(MESSAGE),
+        json.dumps({**MESSAGE, "value": None, "tagName": None}),
+        json.dumps({**MESSAGE, "timestamp": "yesterday"}),
+        "{" + json.dumps(MESSAGE),
+        "",
+        "[]",
+        None,
+        json.dumps({**MESSAGE, "unknown": 1}),
+    ]
+    frame = spark.createDataFrame([(m if m is None else bytearray(m.encode()),) for m in messages], "value binary")
+    split = split_payload(frame)
+    split.explain("extended")
+    physical = capsys.readouterr().out.split("== Physical Plan ==")[1]
+    assert physical.count("from_json") == 1
+    for _ in range(2):
+        append_batches(folder("out"), ["kind", "year", "month", "day"])(split, 0)
+    written = spark.read.schema(split.schema).parquet(folder("out"))
+    good, expected = accepted(written).drop("batch"), parse_payload(frame)
+    assert sorted(good.columns) == sorted(expected.columns) and good.count() == 2
+    assert sorted(map(str, good.collect())) == sorted(map(str, expected.select(good.columns).collect()))
+    raws = {None if r.raw is None else bytes(r.raw).decode(): r.reason for r in rejected(written).collect()}
+    assert raws == {
+        messages[1]: "missing tagName value",
+        messages[2]: "malformed",
+        messages[3]: "malformed",
+        "": "malformed",
+        "[]": "malformed",
+        None: "empty",
+    }
+
+
+def hourly_of(spark, rows):
+    readings = spark.createDataFrame(rows, "device string, ts timestamp, id bigint, value double")
+    return rollup(summarise_latest(readings, ["device"], "ts", "value", 300, ["id"]), ["device"], 3600)
+
+
+def test_hours_merged_by_a_stream_equal_the_batch_result(spark, folder):
+    """Five batches: late readings by a day, a replayed batch, a hot device, an hour split over batches."""
+    batches = [
+        [("a", START + timedelta(hours=h, minutes=m), 100 * h + m, float(m % 7)) for h in hours for m in range(0, 60, 4)]
+        for hours in ([0, 1], [1, 2, 30], [50], [55], [56])
+    ]
+    batches[2] += [("a", START + timedelta(hours=1, minutes=1), 9_001, 99.0), ("b", START + timedelta(hours=2), 9_002, None)]
+    batches[4] += [("a", START + timedelta(hours=30, minutes=59), 9_003, -5.0)]  # a day late
+    source, readings, table = folder("in"), folder("readings"), folder("hours")
+    schema = "device string, ts timestamp, id bigint, value double"
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    handle = upsert_periods(readings, table, ["device"], "ts", "value", 3600, ["id"])
+    days_written = []
+
+    def watched(batch, batch_id):
+        handle(batch, batch_id)
+        files = spark.read.parquet(table).select("day", F.col("_metadata.file_name").alias("f")).distinct()
+        days_written.append({(r.day, r.f) for r in files.collect()})
+        if batch_id == 1:
+            handle(batch, batch_id)  # sent again
+
+    run_to_end(for_each_batch(file_stream(spark, source, schema, files_per_trigger=1), watched, folder("state")))
+    assert len(days_written) == 5
+    expected = hourly_of(spark, [r for rows in batches for r in rows])
+    got = spark.read.parquet(table).select(expected.columns)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+    # Replaying an old batch changes no file.
+    handle(spark.createDataFrame(batches[0], schema), 0)
+    files = spark.read.parquet(table).select("day", F.col("_metadata.file_name").alias("f")).distinct()
+    assert {(r.day, r.f) for r in files.collect()} == days_written[-1]
+    # The fourth batch is of the third day only: the files of the others stay.
+    third = (START + timedelta(days=2)).date()
+    assert {x for x in days_written[2] if x[0] != third} == {x for x in days_written[3] if x[0] != third}

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import epoch_seconds, label_bucket, moment, sane_time
@@ -18,6 +18,8 @@ from tidemark.operators.aggregates import total_order
 from tidemark.operators.joins import left_lookup
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.windows import latest_per_slot
+from tidemark.session import stored
+from tidemark.sources.partitioned import high_water_mark, merge_into_partitions
 
 MEASURES = ("first_value", "last_value", "min_value", "max_value", "mode_value", "avg_value")
 
@@ -282,12 +284,23 @@ def pending_windows(
 
     Starts at the last stamp in ``target``, or at ``initial`` if it is empty.
     Stamps in the far future are ignored: one corrupt stamp would otherwise stop
-    the job for good.
+    the job for good. Reads the column; ``pending_after`` takes the last stamp
+    from file footers instead.
     """
     last = target.filter(sane_time(F.col(time).cast("timestamp"))).agg(
-        F.max(F.col(time).cast("timestamp")).alias("last")
+        F.unix_timestamp(F.max(F.col(time).cast("timestamp"))).alias("last")
     )
-    begin = epoch_seconds(F.coalesce("last", moment(initial)))
+    return _windows_after(last, initial, now, seconds)
+
+
+def pending_after(spark: SparkSession, path: str, initial: datetime, now: datetime, seconds: int) -> DataFrame:
+    """``pending_windows`` of a table in days (``with_day``) at ``path``, whose rows are not read."""
+    last = high_water_mark(spark, path, "end_second", sane_day())
+    return _windows_after(spark.createDataFrame([(last,)], "last bigint"), initial, now, seconds)
+
+
+def _windows_after(last: DataFrame, initial: datetime, now: datetime, seconds: int) -> DataFrame:
+    begin = F.coalesce("last", F.unix_timestamp(moment(initial)))
     count = F.floor((F.unix_timestamp(moment(now)) - begin) / seconds)
     steps = F.when(count > 0, F.sequence(F.lit(1).cast("bigint"), count)).otherwise(
         F.array().cast("array<bigint>")
@@ -307,18 +320,101 @@ def catch_up(
     seconds: int,
     tiebreak: Sequence[str] = (),
     bucket_seconds: int = 300,
+    start: int | None = None,
 ) -> DataFrame:
     """A rolled-up table after the readings since its last period were summed up and merged.
 
     The last stamp of ``target`` is where the pending range begins: its period is
     computed again, as it may have been open, and only readings from there on are
-    read (the range reaches the scan). An empty target takes all readings.
+    read (the range reaches the scan). An empty target takes all readings. ``start``
+    (epoch seconds) begins the range earlier, for readings that came late.
     """
     last = target.filter(sane_time(F.col("window_end"))).agg(F.max(F.unix_timestamp("window_end"))).first()[0]
     if last is not None:
-        readings = readings.filter(F.col(time) >= at_second(readings, time, last - seconds))
+        begin = last - seconds if start is None else min(start // seconds * seconds, last - seconds)
+        readings = readings.filter(F.col(time) >= at_second(readings, time, begin))
     pending = rollup(summarise_latest(readings, keys, time, value, bucket_seconds, tiebreak), keys, seconds)
-    return upsert_rollup(target, pending, keys)
+    return upsert_rollup(target, stored(pending, "pending"), keys)
+
+
+def with_day(summary: DataFrame, time: str = "window_end") -> DataFrame:
+    """The day a period lies in, as ``day``, and its end as epoch seconds, whose maximum stands in file footers."""
+    second = F.unix_timestamp(time)
+    return summary.withColumns({"end_second": second, "day": F.to_date(F.timestamp_seconds(second - 1))})
+
+
+def sane_day(day: str = "day") -> Column:
+    """Days of ``sane_time``, as a filter on the folders of ``with_day`` tables."""
+    return (F.col(day) >= F.lit("1970-01-01").cast("date")) & (F.col(day) < F.lit("2339-03-21").cast("date"))
+
+
+def held_at(spark: SparkSession, path: str, keys: Sequence[str], second: int) -> DataFrame:
+    """(keys, value): what each key held when the period that ends at ``second`` had ended."""
+    rows = spark.read.parquet(path)
+    day = F.to_date(F.timestamp_seconds(F.lit(second - 1)))
+    ended = rows.filter((F.col("day") == day) & (F.col("end_second") == second))
+    return ended.select(*keys, F.col("last_value").alias("value"))
+
+
+def catch_up_held(
+    spark: SparkSession,
+    path: str,
+    readings: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    value: str,
+    first: int,
+    until: int,
+    window_seconds: int,
+    slot_seconds: int = 1,
+    tiebreak: Sequence[str] = (),
+    start: int | None = None,
+    batch_id: int | str | None = None,
+) -> tuple[int, int] | None:
+    """Bring a gap-filled table at ``path`` up to date: all whole windows that are pending, in one job.
+
+    The range begins where the table's newest window ends (taken from file
+    footers), or at ``first`` if there is no table, and holds the whole windows up
+    to ``until``. Keys go on with the values that the table's last window left
+    them with. ``start``, an end of a window, computes again from there, with what
+    was held then, for readings that came late; windows after the range are then
+    not changed. Only the days of the range are read and written. Returns the
+    range in epoch seconds, or None if nothing is pending.
+    """
+    newest = high_water_mark(spark, path, "end_second", sane_day())
+    begin = first if newest is None else newest if start is None else start
+    end = begin + (until - begin) // window_seconds * window_seconds
+    if end <= begin:
+        return None
+    previous = None if newest is None else held_at(spark, path, keys, begin)
+    pending = summarise_held(
+        readings, keys, time, value, begin, end, window_seconds, slot_seconds, previous, tiebreak
+    )
+    merge_into_partitions(spark, path, with_day(pending), [*keys, "window_end"], ["day"], batch_id)
+    return begin, end
+
+
+def roll_up_range(
+    spark: SparkSession,
+    fine_path: str,
+    coarse_path: str,
+    keys: Sequence[str],
+    begin: int,
+    end: int,
+    seconds: int,
+    batch_id: int | str | None = None,
+) -> None:
+    """Sum up the periods that ``(begin, end]`` of a finer table touches, and merge them into a coarser one.
+
+    Both tables are in days (``with_day``); only those of the range are read and
+    written, so ``seconds`` must divide a day.
+    """
+    low, high = begin // seconds * seconds, -(-end // seconds) * seconds
+    rows = spark.read.parquet(fine_path)
+    first_day, last_day = (F.to_date(F.timestamp_seconds(F.lit(s))) for s in (low, high - 1))
+    inside = F.col("day").between(first_day, last_day) & (F.col("end_second") > low) & (F.col("end_second") <= high)
+    coarse = rollup(rows.filter(inside).drop("end_second", "day"), keys, seconds)
+    merge_into_partitions(spark, coarse_path, with_day(coarse), [*keys, "window_end"], ["day"], batch_id)
 
 
 def latest_descriptions(

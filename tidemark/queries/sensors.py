@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import stamp
+from tidemark.plans.messages import parse_payload, readings
 from tidemark.plans.sensors import (
     MEASURES,
     at_second,
     catch_up,
+    catch_up_held,
     epoch,
     latest_descriptions,
-    pending_windows,
+    pending_after,
+    roll_up_range,
     rollup,
     summarise_held,
     summarise_latest,
@@ -22,9 +25,13 @@ from tidemark.plans.sensors import (
     upsert_tags,
     whole_periods,
     with_audit,
+    with_day,
 )
 from tidemark.queries.registry import Tables, query
-from tidemark.session import stored
+from tidemark.queries.streams import messages
+from tidemark.session import scratch_path, stored
+from tidemark.sources.partitioned import merge_into_partitions
+from tidemark.sources.writers import write_parquet
 
 KEYS = ["user_id", "event_type"]
 MIDDLE = epoch("2024-01-16 00:00:00")
@@ -246,14 +253,77 @@ def catch_up_from_target(t: Tables):
     """,
 )
 def incremental_range(t: Tables):
-    """Hours still to be computed after the last hour with events."""
-    target = t.events.select(F.date_trunc("hour", "ts").alias("hour"))
-    windows = pending_windows(
-        target, "hour", datetime(2021, 1, 1), datetime(2024, 2, 2, 6, 30), HOUR
-    )
+    """Hours still to be computed after the last hour with events, which file footers tell."""
+    path = scratch_path(t.spark, "hours-seen")
+    hours = t.events.select(F.date_trunc("hour", "ts").cast("timestamp").alias("window_end")).distinct()
+    write_parquet(with_day(hours), path, partition_by=["day"])
+    windows = pending_after(t.spark, path, datetime(2021, 1, 1), datetime(2024, 2, 2, 6, 30), HOUR)
     return windows.select(*[stamp(F.col(c)).alias(c) for c in windows.columns])
 
 
+def merged_days(t: Tables, path: str) -> DataFrame:
+    return shown(t.spark.read.parquet(path))
+
+
+@query("merge_into_partitions", f"WITH {HOURLY_CTES} {SHOWN_SQL} FROM hourly")
+def merged_in_place(t: Tables):
+    """An hourly table in days: the first 20 days, stale from the 11th on, then all hours since in two merges.
+
+    A merge rewrites the days that its rows fall in; the second is sent twice.
+    """
+    path = scratch_path(t.spark, "hourly-days")
+    hourly = stored(with_day(rollup(sparse_summary(t), KEYS, HOUR)), "hourly")
+    by_key = [*KEYS, "window_end"]
+
+    def days(low: str, high: str) -> DataFrame:
+        return hourly.filter(F.col("day").between(F.lit(low).cast("date"), F.lit(high).cast("date")))
+
+    old = days("1970-01-01", "2024-01-20")
+    stale = F.when(F.col("day") > F.lit("2024-01-10").cast("date"), F.lit(None)).otherwise(F.col("last_value"))
+    merge_into_partitions(t.spark, path, old.withColumn("last_value", stale), by_key, ["day"], "old")
+    merge_into_partitions(t.spark, path, days("2024-01-11", "2024-01-15"), by_key, ["day"], 1)
+    for _ in range(2):
+        merge_into_partitions(t.spark, path, days("2024-01-16", "9999-01-01"), by_key, ["day"], 2)
+    return merged_days(t, path)
+
+
+WINDOW, SLOT, TAGS = 21_600, 600, "p"
+
+GAPFILLED_DAYS_SQL = f"""
+    WITH windows AS ({GAPFILL_SQL.format(start="(SELECT date_trunc('day', min(ts)) FROM events)", slot=SLOT, per=WINDOW // SLOT)
+                      .replace("WHERE ts >= s", f"WHERE ts >= s AND event_type LIKE '{TAGS}%'")
+                      .replace("round(avg(v), 10)", "avg(v)")}),
+    silver AS (SELECT * REPLACE (window_end::TIMESTAMP AS window_end) FROM windows),
+    {_rollup_cte('daily', 'silver', 'DAY')}
+    {SHOWN_SQL} FROM daily
+"""
+
+
+@query("catch_up_gapfilled", GAPFILLED_DAYS_SQL)
+def catch_up_gapfilled(t: Tables):
+    """From messages to days without gaps: two runs, the second from where the first one's table ends.
+
+    Messages become readings of the tags with a prefix; all windows that are
+    pending are filled from what the table's last window holds and merged into its
+    days; so are the daily rows of these windows.
+    """
+    silver, daily = (scratch_path(t.spark, name) for name in ("silver", "daily"))
+    keys = ["device", "tag"]
+    begin, end = whole_periods(t.events, "ts", DAY)
+    middle = begin + (end - begin) // 2 // WINDOW * WINDOW
+    for until in (middle, end):
+        arrived = t.events.filter(F.col("ts") < at_second(t.events, "ts", until))
+        read = readings(parse_payload(messages(arrived, broken=None)), TAGS).withColumn("id", F.col("id").cast("bigint"))
+        done = catch_up_held(
+            t.spark, silver, read, keys, "ts", "value", begin, until, WINDOW, SLOT, ["id"], batch_id=until
+        )
+        if done:
+            roll_up_range(t.spark, silver, daily, keys, *done, DAY, batch_id=until)
+    days = t.spark.read.parquet(daily)
+    named = days.withColumns({"user_id": F.col("device").cast("bigint"), "event_type": F.col("tag")})
+    return shown(named)
+
+
 @query(
     "tag_dimension",
     """

@@ -6,13 +6,14 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.times import epoch_seconds, stamp
 from tidemark.operators.aggregates import count_rows
-from tidemark.plans.messages import between, parse_payload
+from tidemark.operators.sketches import distinct_estimate, unite_sketches
+from tidemark.plans.messages import accepted, between, parse_payload, rejected, split_payload
 from tidemark.queries.registry import Tables, query
 from tidemark.session import scratch_path
 from tidemark.sources.writers import write_csv, write_json, write_parquet
@@ -20,6 +21,7 @@ from tidemark.streaming import monitor
 from tidemark.streaming.jobs import (
     closed_hour_users,
     count_users,
+    each_once,
     exploded_with,
     filter_and_flag,
     hourly_active_users,
@@ -30,6 +32,9 @@ from tidemark.streaming.jobs import (
 )
 from tidemark.streaming.sinks import (
     append_batches,
+    append_keys,
+    append_sketches,
+    distinct_keys,
     for_each_batch,
     newest_batch,
     run_to_end,
@@ -38,6 +43,7 @@ from tidemark.streaming.sinks import (
     to_table,
 )
 from tidemark.streaming.sources import csv_ingest, file_stream
+from tidemark.streaming.upserts import upsert_periods
 
 EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
 EVENTS_SQL = f"SELECT {', '.join(EVENT_COLUMNS)} FROM events"
@@ -61,6 +67,14 @@ DELIVERIES = 5
 _delivered: dict[tuple[str, str], str] = {}
 
 
+def delivery_number(t: Tables) -> Column:
+    """The delivery an event comes in: about as many in each, oldest first."""
+    shares = [i / DELIVERIES for i in range(1, DELIVERIES)]
+    seconds = epoch_seconds(F.col("ts"))
+    cuts = t.events.agg(F.percentile_approx(seconds, shares)).first()[0] or []
+    return F.coalesce(sum([F.when(seconds > cut, 1).otherwise(0) for cut in cuts], F.lit(0)), F.lit(0))
+
+
 def delivered_events(t: Tables) -> str:
     """A folder to which the events came in ``DELIVERIES`` deliveries, oldest first.
 
@@ -70,12 +84,10 @@ def delivered_events(t: Tables) -> str:
     key = t.spark.sparkContext.applicationId, t.folder
     if key not in _delivered:
         (folder,) = fresh(t, "delivered")
-        shares = [i / DELIVERIES for i in range(1, DELIVERIES)]
-        seconds = epoch_seconds(F.col("ts"))
-        cuts = t.events.agg(F.percentile_approx(seconds, shares)).first()[0] or []
-        number = sum([F.when(seconds > cut, 1).otherwise(0) for cut in cuts], F.lit(0))
-        for i in range(len(cuts) + 1):
-            t.events.filter(F.coalesce(number, F.lit(0)) == i).coalesce(1).write.mode("append").parquet(folder)
+        numbered = t.events.withColumn("_delivery", delivery_number(t))
+        for i in range(DELIVERIES):
+            rows = numbered.filter(F.col("_delivery") == i).drop("_delivery")
+            rows.repartition(1).write.mode("append").parquet(folder)
         _delivered[key] = folder
     return _delivered[key]
 
@@ -324,7 +336,7 @@ def stream_checkpoint_resume(t: Tables):
 def stream_tumbling_agg(t: Tables):
     """Approximate distinct users per source and hour, sorted, in complete mode; against exact ones."""
     path, state = fresh(t, "hourly-users", "hourly-users-state")
-    hourly = hourly_active_users(stream_events(t), "ts", "event_type", "user_id", error=0.01)
+    hourly = hourly_active_users(stream_events(t), "ts", "event_type", "user_id")
     run_to_end(for_each_batch(hourly.orderBy("hour", "window", "event_type"), append_batches(path), state, "complete"))
     start = stamp(F.col("window.start")).alias("window_start")
     exact = (
@@ -352,13 +364,71 @@ def stream_tumbling_agg(t: Tables):
     """,
 )
 def hourly_activity_stream(t: Tables):
-    """Exact distinct users per source and hour: each user key is given out once, then counted."""
-    keys = run_to_files(t, new_hourly_users(many_batches(t), "ts", "event_type", "user_id"), "hourly-exact")
+    """Exact distinct users per source and hour, however late: each batch leaves its distinct keys."""
+    path, state = fresh(t, "hourly-exact", "hourly-exact-state")
+    events = many_batches(t).withColumn("window", F.window("ts", "1 hour"))
+    run_to_end(for_each_batch(events, append_keys(path, ["event_type", "window", "user_id"]), state))
+    return count_users(distinct_keys(t.spark, path), "event_type", "window").select(
+        "event_type", stamp(F.col("window.start")).alias("window_start"), "active_users"
+    )
+
+
+@query(
+    "hourly_first_seen_stream",
+    """
+    SELECT event_type, strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+           count(DISTINCT user_id) AS active_users
+    FROM events GROUP BY event_type, time_bucket(INTERVAL 1 HOUR, ts)
+    """,
+)
+def hourly_first_seen_stream(t: Tables):
+    """The same from a stream in time order that gives out each user once, when first seen."""
+    keys = run_to_files(t, new_hourly_users(many_batches(t), "ts", "event_type", "user_id"), "hourly-first")
     return count_users(keys, "event_type", "window").select(
         "event_type", stamp(F.col("window.start")).alias("window_start"), "active_users"
     )
 
 
+@query(
+    "hourly_sketch_stream",
+    """
+    SELECT 'hour' AS level, event_type, strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS period,
+           count(DISTINCT user_id) AS exact_users, TRUE AS approx_within_5_percent
+    FROM events GROUP BY event_type, time_bucket(INTERVAL 1 HOUR, ts)
+    UNION ALL
+    SELECT 'day', event_type, strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S'), count(DISTINCT user_id), TRUE
+    FROM events GROUP BY event_type, date_trunc('day', ts)
+    """,
+)
+def hourly_sketch_stream(t: Tables):
+    """Hours and days from the sketches that each micro-batch leaves; the events are not read again."""
+    path, state = fresh(t, "sketches", "sketches-state")
+    events = many_batches(t).withColumn("hour", F.date_trunc("hour", "ts"))
+    run_to_end(for_each_batch(events, append_sketches(path, ["event_type", "hour"], "user_id"), state))
+    sketches = t.spark.read.parquet(path)
+    levels = []
+    for level in ("hour", "day"):
+        united = unite_sketches(sketches, ["event_type", F.date_trunc(level, "hour").alias("period")])
+        exact = t.events.groupBy("event_type", F.date_trunc(level, "ts").cast("timestamp").alias("period")).agg(
+            F.count_distinct("user_id").alias("exact_users")
+        )
+        both = united.join(exact, ["event_type", "period"], "full_outer")
+        levels.append(
+            both.select(
+                F.lit(level).alias("level"),
+                "event_type",
+                stamp(F.col("period")).alias("period"),
+                "exact_users",
+                within_5_percent(distinct_estimate(), F.col("exact_users")).alias("approx_within_5_percent"),
+            )
+        )
+    return levels[0].union(levels[1])
+
+
+def within_5_percent(approx: Column, exact: Column) -> Column:
+    return F.coalesce(F.abs(approx - exact) <= 0.05 * exact, F.lit(False))
+
+
 @query(
     "hourly_activity_closed",
     """
@@ -382,7 +452,7 @@ def hourly_activity_closed(t: Tables):
 def stream_group_agg(t: Tables):
     """Running approximate distinct users against the exact batch count."""
     path, state = fresh(t, "running-users", "running-users-state")
-    running = running_users(many_batches(t), "event_type", "user_id", error=0.01)
+    running = running_users(many_batches(t), "event_type", "user_id")
     run_to_end(for_each_batch(running, append_batches(path), state, "complete"))
     exact = t.events.groupBy("event_type").agg(F.count_distinct("user_id").alias("exact"))
     both = newest_batch(t.spark, path).join(exact, "event_type")
@@ -395,8 +465,19 @@ def stream_group_agg(t: Tables):
     "SELECT event_type, count(DISTINCT user_id) AS active_users FROM events GROUP BY 1",
 )
 def traffic_stream(t: Tables):
-    """Exact running distinct users per source: a trigger gives out the new ones."""
-    keys = run_to_files(t, new_users(many_batches(t), "event_type", "user_id"), "traffic")
+    """Exact running distinct users per source, without state: each batch leaves its distinct keys."""
+    path, state = fresh(t, "traffic", "traffic-state")
+    run_to_end(for_each_batch(many_batches(t), append_keys(path, ["event_type", "user_id"]), state))
+    return count_users(distinct_keys(t.spark, path), "event_type")
+
+
+@query(
+    "traffic_first_seen_stream",
+    "SELECT event_type, count(DISTINCT user_id) AS active_users FROM events GROUP BY 1",
+)
+def traffic_first_seen_stream(t: Tables):
+    """The same from a stream that gives out each user of a source once; its state has all of them."""
+    keys = run_to_files(t, new_users(many_batches(t), "event_type", "user_id"), "traffic-first")
     return count_users(keys, "event_type")
 
 
@@ -472,10 +553,11 @@ def stream_manage(t: Tables):
     )
 
 
-def messages(events: DataFrame) -> DataFrame:
+def messages(events: DataFrame, broken: str | None = "error") -> DataFrame:
     """Sensor messages as a broker would give them: a binary JSON ``value``.
 
-    Error readings have a stray brace in front, so their payload cannot be parsed.
+    Readings of the tag ``broken`` have a stray brace in front, so their payload
+    cannot be parsed.
     """
     ts = F.col("ts").cast("timestamp")
     payload = F.to_json(
@@ -491,8 +573,8 @@ def messages(events: DataFrame) -> DataFrame:
             F.col("props").alias("description"),
         )
     )
-    broken = F.when(F.col("event_type") == "error", "{").otherwise("")
-    return events.select(F.concat(broken, payload).cast("binary").alias("value"))
+    brace = F.when(F.col("event_type") == F.lit(broken), "{").otherwise("")
+    return events.select(F.concat(brace, payload).cast("binary").alias("value"))
 
 
 BRONZE_SQL = """
@@ -548,3 +630,101 @@ def bronze_time_range(t: Tables):
 def bronze_parse_batch(t: Tables):
     """The same transformation on a batch frame."""
     return shown_bronze(parse_payload(messages(t.events)))
+
+
+def replayed_events(t: Tables) -> str:
+    """The deliveries of ``delivered_events``, each with the last hour of the one before again."""
+    (folder,) = fresh(t, "replayed")
+    files = [r["file"] for r in t.spark.read.parquet(delivered_events(t)).groupBy(
+        F.col("_metadata.file_path").alias("file")).agg(F.min("ts").alias("first")).orderBy("first").collect()]
+    before = None
+    for file in files:
+        rows = t.spark.read.parquet(file)
+        again = rows if before is None else rows.unionByName(before)
+        again.repartition(1).write.mode("append").parquet(folder)
+        newest = rows.agg(F.max("ts")).scalar()
+        before = rows.filter(F.col("ts") > newest - F.expr("interval 1 hour"))
+    return folder
+
+
+@query("bronze_deduplicated", BRONZE_SQL)
+def bronze_deduplicated(t: Tables):
+    """A source that delivers some messages twice: each is written once, with the keys of two hours as state."""
+    stream = file_stream(t.spark, replayed_events(t), t.events.schema, files_per_trigger=1)
+    bronze = parse_payload(messages(stream))
+    once = each_once(bronze, ["deviceName", "tagName", "timestamp", "deviceID"], "timestamp", "2 hours")
+    return shown_bronze(run_to_files(t, once, "bronze-once"))
+
+
+def incomplete(events: DataFrame) -> DataFrame:
+    """Every eleventh event loses its text."""
+    lost = F.when(F.col("event_id") % 11 != 0, F.col("props"))
+    return events.withColumn("props", lost)
+
+
+@query(
+    "bronze_with_rejects",
+    """
+    SELECT 'good' AS kind, NULL AS reason, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, value
+    FROM events WHERE event_type <> 'error' AND event_id % 11 <> 0
+    UNION ALL
+    SELECT 'rejected', CASE WHEN event_type = 'error' THEN 'malformed' ELSE 'missing description' END, event_id, NULL, NULL
+    FROM events WHERE event_type = 'error' OR event_id % 11 = 0
+    """,
+)
+def bronze_with_rejects(t: Tables):
+    """Good rows and rejected messages of each batch in two folders, written by one pass."""
+    path, state = fresh(t, "checked", "checked-state")
+    split = split_payload(messages(incomplete(stream_events(t))))
+    run_to_end(for_each_batch(split, append_batches(path, partition_by=["kind", "year", "month", "day"]), state))
+    written = t.spark.read.schema(split.schema).parquet(path)
+    good, bad = accepted(written), rejected(written)
+    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    event_id = F.regexp_extract(F.col("raw").cast("string"), '"deviceID":"([0-9]+)"', 1)
+    return good.select(
+        F.lit("good").alias("kind"),
+        no_text.alias("reason"),
+        F.col("deviceID").cast("bigint").alias("event_id"),
+        stamp(F.col("timestamp")).alias("ts"),
+        F.col("value").try_cast("double").alias("value"),
+    ).unionByName(
+        bad.select(
+            F.lit("rejected").alias("kind"),
+            "reason",
+            event_id.cast("bigint").alias("event_id"),
+            no_text.alias("ts"),
+            no_number.alias("value"),
+        )
+    )
+
+
+@query(
+    "stream_upsert_rollup",
+    """
+    WITH latest AS (SELECT user_id, event_type, time_bucket(INTERVAL 5 MINUTE, ts) AS b, arg_max(value, (ts, event_id)) AS v
+                    FROM events GROUP BY ALL)
+    SELECT user_id, event_type, strftime(time_bucket(INTERVAL 1 HOUR, b) + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
+           arg_min(v, b) AS first_value, arg_max(v, b) AS last_value, min(v) AS min_value, max(v) AS max_value,
+           round(avg(v), 10) AS avg_value
+    FROM latest GROUP BY user_id, event_type, time_bucket(INTERVAL 1 HOUR, b)
+    """,
+)
+def stream_upsert_rollup(t: Tables):
+    """An hourly table kept by a stream: every seventh reading comes a delivery late and corrects its hour."""
+    deliveries, readings, table, state = fresh(t, "late", "readings", "hourly", "upsert-state")
+    number = delivery_number(t) + F.when(F.col("event_id") % 7 == 0, 1).otherwise(0)
+    numbered = t.events.withColumn("_delivery", number)
+    for i in range(DELIVERIES + 1):
+        rows = numbered.filter(F.col("_delivery") == i).drop("_delivery")
+        rows.repartition(1).write.mode("append").parquet(deliveries)
+    stream = file_stream(t.spark, deliveries, t.events.schema, files_per_trigger=1)
+    stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
+    handle = upsert_periods(readings, table, ["user_id", "event_type"], "ts", "value", 3600, ["event_id"])
+    run_to_end(for_each_batch(stream.drop("props"), handle, state))
+    return t.spark.read.parquet(table).select(
+        "user_id",
+        "event_type",
+        stamp(F.col("window_end")).alias("window_end"),
+        *["first_value", "last_value", "min_value", "max_value"],
+        F.round("avg_value", 10).alias("avg_value"),
+    )

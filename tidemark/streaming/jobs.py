@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.sketches import LG_REGISTERS, distinct_estimate
+
 
 def filter_and_flag(
     events: DataFrame, source: Column, wanted: str, flag: Column, alias: str
@@ -26,18 +28,19 @@ def hourly_active_users(
     source: str,
     user: str,
     lateness: str = "2 hours",
-    error: float = 0.05,
+    lg_registers: int = LG_REGISTERS,
 ) -> DataFrame:
     """Approximate distinct users per source and hour.
 
-    ``error`` is the standard deviation of the count. In append and update mode
-    rows later than ``lateness`` are dropped; complete mode keeps them all.
+    The state of a group is one binary sketch, whatever its number of users. In
+    append and update mode rows later than ``lateness`` are dropped; complete mode
+    keeps them all.
     """
     return (
         events.withWatermark(time, lateness)
         .groupBy(source, F.window(time, "1 hour"))
-        .agg(F.approx_count_distinct(user, error).alias("active_users"))
-        .select(source, F.hour("window.start").alias("hour"), "window", "active_users")
+        .agg(F.hll_sketch_agg(user, lg_registers).alias("users"))
+        .select(source, F.hour("window.start").alias("hour"), "window", distinct_estimate("users").alias("active_users"))
     )
 
 
@@ -49,7 +52,9 @@ def new_hourly_users(
     The rows given out so far, counted with ``count_users``, are the exact distinct
     users. A trigger gives out new keys only, and state goes when its hour has
     closed. Keying the state by user as well spreads a source with a large share
-    of the rows over all state partitions.
+    of the rows over all state partitions. Users whose row is later than
+    ``lateness`` are dropped if their hour has closed, and counted in the progress
+    reports (``monitor.progress_totals``); ``sinks.append_keys`` keeps all of them.
     """
     keyed = events.withWatermark(time, lateness).select(source, F.window(time, "1 hour").alias("window"), user)
     return keyed.dropDuplicates([source, "window", user])
@@ -88,9 +93,19 @@ def closed_hour_users(
     return counted.agg(F.count(F.lit(1)).alias("active_users"))
 
 
-def running_users(events: DataFrame, source: str, user: str, error: float = 0.05) -> DataFrame:
-    """Approximate distinct users per source so far (complete mode)."""
-    return events.groupBy(source).agg(F.approx_count_distinct(user, error).alias("active_users"))
+def running_users(events: DataFrame, source: str, user: str, lg_registers: int = LG_REGISTERS) -> DataFrame:
+    """Approximate distinct users per source so far (complete mode), one binary sketch of state each."""
+    users = events.groupBy(source).agg(F.hll_sketch_agg(user, lg_registers).alias("users"))
+    return users.select(source, distinct_estimate("users").alias("active_users"))
+
+
+def each_once(messages: DataFrame, keys: Sequence[str], time: str, lateness: str) -> DataFrame:
+    """Each key once, for a source that can deliver a message again up to ``lateness`` later.
+
+    The state has the keys of the last ``lateness`` only, one row each. A copy that
+    comes later than that passes if it is not behind the watermark.
+    """
+    return messages.withWatermark(time, lateness).dropDuplicatesWithinWatermark(list(keys))
 
 
 def count_users(user_keys: DataFrame, *group: str | Column) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from tidemark.operators.joins import quoted
+from tidemark.operators.sketches import distinct_sketches
 from tidemark.sources.writers import write_parquet
 
 
@@ -103,6 +105,38 @@ def append_batches(
     return handle
 
 
+def append_keys(path: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """Batch handler: the distinct keys of each batch in its own folder.
+
+    An exact distinct count over all batches that needs no state and no watermark:
+    late rows count, and ``distinct_keys`` reads the result. Between batches a key
+    may repeat; the files hold it once for each batch that it is in.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_parquet(batch.select(*quoted(keys)).distinct(), f"{path}/batch={batch_id}")
+
+    return handle
+
+
+def distinct_keys(spark: SparkSession, path: str) -> DataFrame:
+    """Each key that ``append_keys`` wrote, once."""
+    return spark.read.parquet(path).drop("batch").distinct()
+
+
+def append_sketches(path: str, keys: Sequence[str], value: str) -> Callable[[DataFrame, int], None]:
+    """Batch handler: one distinct-count sketch for each group of a batch, in the batch's folder.
+
+    Reading unites them (``operators.sketches``) to groups of any width. No state is
+    kept and late rows count; a batch leaves a few KB for each of its groups.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        write_parquet(distinct_sketches(batch, quoted(keys), value), f"{path}/batch={batch_id}")
+
+    return handle
+
+
 def newest_batch(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the last batch that ``append_batches`` wrote: complete mode's result.
 

@@ -1,8 +1,9 @@
 """Joins and set operators beyond a single DataFrame call.
 
-No strategy is forced anywhere: the planner broadcasts a side only when its size
-is known to be below ``spark.sql.autoBroadcastJoinThreshold``, and AQE splits
-skewed partitions of the rest.
+No strategy is forced: the planner broadcasts a side only when its size is known to
+be below ``spark.sql.autoBroadcastJoinThreshold``, and AQE splits skewed partitions
+of the rest. ``salted_join`` does not wait for a partition to be large: it broadcasts
+a list of the frequent keys, whose length its parameter bounds.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import stored
+
 
 def quoted(names: Sequence[str]) -> list[str]:
     """Names as they are, also with dots in them."""
@@ -46,6 +49,68 @@ def left_lookup(
     return frame.join(renamed, match, how).drop(*names)
 
 
+# Pieces of a frequent key's rows for each partition that an even share would fill.
+PIECES_PER_PARTITION = 16
+
+
+def frequent_keys(
+    facts: DataFrame, keys: Sequence[str], partitions: int, pieces_per_partition: int = PIECES_PER_PARTITION
+) -> DataFrame:
+    """(keys, _pieces): keys with over a quarter of an even partition's rows, and into how many pieces they go.
+
+    One pass over the key columns finds candidates (a summary of bounded size that
+    misses no key of that share), a second one counts these exactly. There are
+    ``4 * partitions`` keys at most, so the list may be broadcast.
+    """
+    key = F.struct(*quoted(keys)).alias("_key")
+    whole = facts.select(key).dropna(subset=["_key"])
+    support = max(1e-4, 1 / (4 * partitions))
+    candidates = whole.freqItems(["_key"], support).select(F.inline("_key_freqItems"))
+    match = [F.col(k).eqNullSafe(F.col(f"_c{i}")) for i, k in enumerate(quoted(keys))]
+    renamed = candidates.toDF(*[f"_c{i}" for i in range(len(keys))])
+    counted = facts.join(F.broadcast(renamed), reduce(and_, match), "left_semi").groupBy(*quoted(keys))
+    known = reduce(and_, [F.col(k).isNotNull() for k in quoted(keys)])
+    piece = F.greatest(facts.agg(F.count(F.lit(1))).scalar() / (partitions * pieces_per_partition), F.lit(1.0))
+    pieces = F.ceil(F.col("_n") / piece).cast("int")
+    found = counted.agg(F.count(F.lit(1)).alias("_n")).filter(known)
+    return found.select(*quoted(keys), pieces.alias("_pieces")).filter(F.col("_pieces") > pieces_per_partition / 4)
+
+
+def salted_join(
+    facts: DataFrame,
+    other: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    spread: Sequence[str] | None = None,
+    partitions: int | None = None,
+    pieces_per_partition: int = PIECES_PER_PARTITION,
+) -> DataFrame:
+    """Join facts, in which some keys hold a large share of the rows, to ``other`` (inner or left).
+
+    The rows of the frequent keys are dealt into pieces by a hash of the
+    ``spread`` columns (default: all), and the other side's rows of these keys are
+    repeated once for each piece; all other rows are joined as they are. AQE splits
+    a partition only beyond its size bound; this also spreads keys below it, and
+    keys whose join makes many rows of few. Null keys, which match nothing, are
+    spread as well. Meant for an ``other`` with few rows a key.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
+    partitions = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = stored(frequent_keys(facts, keys, partitions, pieces_per_partition), "frequent-keys")
+    listed = F.broadcast(hot)  # bounded: see frequent_keys
+    known = reduce(and_, [F.col(k).isNotNull() for k in quoted(keys)])
+    digest = F.xxhash64(*quoted(spread or facts.columns))
+    pieces = F.when(known, F.coalesce("_pieces", F.lit(1))).otherwise(F.lit(partitions * pieces_per_partition))
+    dealt = facts.join(listed, list(keys), "left").withColumn("_piece", F.pmod(digest, pieces).cast("int"))
+    repeated = other.join(listed, list(keys), "left").withColumn(
+        "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
+    )
+    joined = dealt.drop("_pieces").join(repeated.drop("_pieces"), [*keys, "_piece"], how)
+    columns = [*facts.columns, *[c for c in other.columns if c not in keys]]
+    return joined.select(*quoted(columns))
+
+
 def carry_previous(
     current: DataFrame,
     state: DataFrame,

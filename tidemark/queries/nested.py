@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.flatten import flatten
+from tidemark.operators.variants import flatten_json
 from tidemark.queries.registry import Tables, query
 from tidemark.session import scratch_path
 from tidemark.sources.readers import read_json
@@ -174,6 +175,35 @@ def json_to_flat_table(t: Tables):
     return t.spark.read.parquet(table)
 
 
+# Fields that differ by row: amounts of purchases are numbers, of others text; errors have a nested code.
+MIXED_SQL = """
+    SELECT event_id, json_extract(props, '$.k')::BIGINT AS k,
+           CASE WHEN event_type = 'purchase' THEN event_id::VARCHAR
+                WHEN event_type = 'signup' THEN 'n' || event_id END AS amount,
+           CASE WHEN event_type = 'error' THEN event_id % 7 END AS detail_code
+    FROM events
+"""
+
+
+@query("json_variant_flatten", MIXED_SQL)
+def json_variant_flatten(t: Tables):
+    """JSON text whose fields differ by row to columns: the schema is merged over all rows by an aggregate."""
+    k = F.from_json("props", "k bigint").getField("k")
+    kind, number = F.col("event_type"), F.col("event_id")
+    common = F.concat(F.lit('{"k":'), k.cast("string"))
+    amount = F.when(kind == "purchase", F.concat(F.lit(',"amount":'), number.cast("string"))).when(
+        kind == "signup", F.concat(F.lit(',"amount":"n'), number.cast("string"), F.lit('"'))
+    )
+    detail = F.when(kind == "error", F.concat(F.lit(',"detail":{"code":'), (number % 7).cast("string"), F.lit("}")))
+    none = F.lit("")
+    text = F.concat(common, F.coalesce(amount, none), F.coalesce(detail, none), F.lit("}"))
+    path = scratch_path(t.spark, "mixed-json")
+    t.events.select("event_id", text.alias("value")).write.parquet(path)
+    return flatten_json(t.spark.read.parquet(path), "value", keep=["event_id"]).select(
+        "event_id", "k", "amount", "detail_code"
+    )
+
+
 @query(
     "null_drop",
     "SELECT doc_id, quality, toxic FROM documents JOIN labels USING (doc_id)",

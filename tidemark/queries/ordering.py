@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.operators.frequent import top_values
 from tidemark.operators.joins import common_members
 from tidemark.queries.registry import Tables, query
 
@@ -45,6 +46,28 @@ def top_k(t: Tables):
     return t.lineitem.groupBy("l_suppkey").agg(revenue).orderBy(F.desc("revenue"), "l_suppkey").limit(10)
 
 
+@query(
+    "top_k_values",
+    "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",
+)
+def top_k_values(t: Tables):
+    """The suppliers with the most lines: summaries of the tasks name candidates, which are then counted."""
+    return top_values(t.lineitem, "l_suppkey", 10)
+
+
+@query(
+    "top_words",
+    r"""
+    SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS word FROM documents)
+    WHERE word <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20
+    """,
+)
+def top_words(t: Tables):
+    """The commonest words of all texts: far more values than a task's summary of 500 holds."""
+    words = t.documents.select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).filter("word <> ''")
+    return top_values(words, "word", 20, size=500)
+
+
 @query(
     "tail_rows",
     "SELECT event_id, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 25",

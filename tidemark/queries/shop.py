@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import folded
 from tidemark.functions.times import WEEKDAY_LABELS
 from tidemark.operators.aggregates import keep_first_copy
+from tidemark.operators.joins import salted_join
 from tidemark.plans.clickstream import (
     abandoned_items,
     converted_flags,
@@ -114,7 +115,9 @@ def customer_options(t: Tables):
     rings = product_options(products, "item_name", "ring", quality_position=1, size_position=2)
     bolts = product_options(products, "item_name", "bolt", quality_position=2, size_position=1)
     # Both families in one product table, so the fact tables are joined once.
-    items = t.lineitem.join(rings.unionByName(bolts), F.col("l_partkey") == F.col("p_partkey"))
+    products = rings.unionByName(bolts).withColumnRenamed("p_partkey", "l_partkey").drop("item_name")
+    lines = t.lineitem.select("l_partkey", "l_orderkey", "l_linenumber")
+    items = salted_join(lines, products, ["l_partkey"])
     orders = t.orders.select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("customer")
     )

@@ -8,11 +8,13 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.aggregates import count_rows
 from tidemark.queries.registry import Tables, query
-from tidemark.session import scratch_path
+from tidemark.session import scratch_path, stored
 from tidemark.sources.readers import read_delimited, read_json
 from tidemark.sources.writers import (
     compact,
+    compact_by_curve,
     create_external_table,
     keyed_json,
     write_csv,
@@ -182,3 +184,36 @@ def compact_cluster(t: Tables):
     t.events.select("event_id", "user_id", "event_type", "value").repartition(32).write.parquet(small)
     compact(t.spark.read.parquet(small), path, ["user_id", "event_type"])
     return t.spark.read.parquet(path)
+
+
+@query(
+    "compact_by_curve",
+    """
+    SELECT c AS filtered_column, n_rows, TRUE AS half_skipped
+    FROM (SELECT unnest(['user_id', 'event_type', 'ts']) AS c), (SELECT count(*) AS n_rows FROM events)
+    """,
+)
+def compact_along_curve(t: Tables):
+    """64 files along a curve over device, tag and time: a filter on any one of them skips half of the files."""
+    small, path = scratch_path(t.spark, "events-small"), scratch_path(t.spark, "events-curve")
+    t.events.write.parquet(small)
+    columns = ["user_id", "event_type", "ts"]
+    compact_by_curve(t.spark.read.parquet(small), path, columns, files=64)
+    rows = t.spark.read.parquet(path)
+    by_file = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        count_rows(),
+        *[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max), ("some", F.any_value))],
+    )
+    files = stored(by_file, "bounds")
+    checks = []
+    for c in columns:
+        # Files whose bounds hold a value, for twenty of the values in the middle of a file.
+        probes = [r[0] for r in files.select(F.col(f"some_{c}").alias("p")).distinct().orderBy("p").limit(20).collect()]
+        held = [F.count_if(F.lit(p).between(F.col(f"low_{c}"), F.col(f"high_{c}"))) for p in probes]
+        opened = sum(held, F.lit(0)) / F.lit(max(1, len(probes)))
+        checks.append(
+            files.agg(F.sum("n").alias("n_rows"), (2 * opened <= F.count(F.lit(1))).alias("half_skipped")).select(
+                F.lit(c).alias("filtered_column"), "n_rows", "half_skipped"
+            )
+        )
+    return reduce(DataFrame.union, checks)

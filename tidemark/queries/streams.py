@@ -6,7 +6,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -728,3 +728,49 @@ def stream_upsert_rollup(t: Tables):
         *["first_value", "last_value", "min_value", "max_value"],
         F.round("avg_value", 10).alias("avg_value"),
     )
+
+
+CHECKED = ["event_id", "description", "value"]
+
+
+@query(
+    "stream_observed",
+    """
+    SELECT count(*) AS n_rows, count(*) FILTER (event_type = 'error') AS malformed,
+           count(*) FILTER (event_type <> 'error' AND event_id % 11 = 0) AS incomplete,
+           count(*) FILTER (event_type = 'error' OR event_id % 11 = 0) AS null_description, TRUE AS all_written
+    FROM events
+    """,
+)
+def stream_observed(t: Tables):
+    """Counts of rows, rejects and nulls, reported by the pass that parses and writes the messages."""
+    path, state = fresh(t, "observed", "observed-state")
+    stream = file_stream(t.spark, delivered_events(t), t.events.schema, files_per_trigger=1)
+    split = split_payload(messages(incomplete(stream)))
+    malformed, missing = F.col("reason") == "malformed", F.col("reason").startswith("missing")
+    watched = monitor.checked(split, "messages", malformed=malformed, incomplete=missing)
+    with monitor.progress_totals(t.spark) as totals:
+        seen = totals.of(run_to_end(to_files(watched, path, state))).observed["messages"]
+    # Broken payloads have no fields at all, so their texts count as null.
+    counts = [seen[name] for name in ("rows", "malformed", "incomplete", "null_description")]
+    written = t.spark.read.parquet(path).count()
+    return t.spark.createDataFrame(
+        [(*counts, written == seen["rows"])],
+        "n_rows bigint, malformed bigint, incomplete bigint, null_description bigint, all_written boolean",
+    )
+
+
+@query(
+    "observed_write",
+    """
+    SELECT count(*) AS rows, count(*) - count(user_id) AS null_user_id, count(*) - count(value) AS null_value,
+           count(*) FILTER (value < 0) AS negative FROM events
+    """,
+)
+def observed_write(t: Tables):
+    """Nulls and odd values counted while the table is written, not in a pass of their own."""
+    (path,) = fresh(t, "observed-write")
+    seen = Observation("written")
+    monitor.checked(t.events.select("user_id", "value"), seen, negative=F.col("value") < 0).write.parquet(path)
+    names = ["rows", "null_user_id", "null_value", "negative"]
+    return t.spark.createDataFrame([tuple(seen.get[n] for n in names)], ", ".join(f"{n} bigint" for n in names))

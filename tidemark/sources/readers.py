@@ -65,13 +65,22 @@ def range_partitioned(frame: DataFrame, partitions: int, *columns: str) -> DataF
     return numbered.repartitionByRange(partitions, *columns, "_row").drop("_row")
 
 
+def bytes_of_files(spark: SparkSession, *paths: str) -> int:
+    """Size of the files at and below some paths, which are listed but not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.agg(F.sum("length")).first()[0] or 0
+
+
 def parts_of_size(frame: DataFrame, part_bytes: int) -> int:
-    """How many parts of about so many bytes the planner expects a frame to have.
+    """How many parts of about so many bytes the files hold that a frame is made of.
 
-    For files that is their size, less what it knows of filters and columns.
+    Each file counts once and whole: filters, dropped columns and joins make less
+    or more of them. Store a frame first (``stored``) to count its own bytes. A
+    frame without files is one part.
     """
-    planned = int(str(frame._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(1, -(-planned // part_bytes))
+    files = frame.inputFiles()
+    size = bytes_of_files(frame.sparkSession, *files) if files else 0
+    return max(1, -(-size // part_bytes))
 
 
 def stride_partitioned(

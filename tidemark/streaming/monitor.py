@@ -6,9 +6,10 @@ import threading
 from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 
@@ -23,6 +24,24 @@ def describe(query: StreamingQuery) -> dict:
     }
 
 
+def row_checks(frame: DataFrame, **conditions: Column) -> list[Column]:
+    """Counts to observe: all rows, the nulls of each column, and the rows that meet each condition."""
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null_{c}") for c in frame.columns],
+        *[F.count_if(condition).alias(name) for name, condition in conditions.items()],
+    ]
+
+
+def checked(frame: DataFrame, name: str | Observation, **conditions: Column) -> DataFrame:
+    """The frame, batch or stream, whose ``row_checks`` are counted in the pass that writes it.
+
+    A stream reports them with each batch (``ProgressTotals`` adds them up). For a
+    batch frame pass an ``Observation`` as the name.
+    """
+    return frame.observe(name, *row_checks(frame, **conditions))
+
+
 @dataclass
 class Totals:
     """What a run has read, and dropped behind the watermark, over all its batches.
@@ -34,6 +53,8 @@ class Totals:
     batches: int = 0
     rows_read: int = 0
     rows_dropped_late: int = 0
+    # Sums of the observed metrics, by the name they were observed under.
+    observed: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 class ProgressTotals(StreamingQueryListener):
@@ -57,6 +78,10 @@ class ProgressTotals(StreamingQueryListener):
             totals.batches += 1
             totals.rows_read += progress.numInputRows
             totals.rows_dropped_late += sum(s.numRowsDroppedByWatermark for s in progress.stateOperators)
+            for name, row in (progress.observedMetrics or {}).items():
+                sums = totals.observed.setdefault(name, {})
+                for metric, value in row.asDict().items():
+                    sums[metric] = sums.get(metric, 0) + (value or 0)
 
     def onQueryTerminated(self, event) -> None:
         with self._news:

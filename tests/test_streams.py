@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import session
 from tidemark.operators.sketches import distinct_estimate, unite_sketches
 from tidemark.plans.messages import accepted, parse_payload, rejected, split_payload
 from tidemark.plans.sensors import rollup, summarise_latest
@@ -23,8 +24,10 @@ from tidemark.streaming.jobs import (
 )
 from tidemark.streaming.sinks import (
     append_batches,
+    append_compacted,
     append_keys,
     append_sketches,
+    compacted,
     distinct_keys,
     for_each_batch,
     newest_batch,
@@ -391,3 +394,37 @@ def test_hours_merged_by_a_stream_equal_the_batch_result(spark, folder):
     # The fourth batch is of the third day only: the files of the others stay.
     third = (START + timedelta(days=2)).date()
     assert {x for x in days_written[2] if x[0] != third} == {x for x in days_written[3] if x[0] != third}
+
+
+def test_batches_are_moved_into_few_files(spark, folder):
+    """Five batches, every second one moves them; the last batch and the one before are sent again."""
+    source, path = folder("in"), folder("out")
+    rows = [[(60 * i + m, "a" if m % 2 else "b", f"u{i}{m}") for m in range(6)] for i in range(5)]
+    for batch in rows:
+        write_events(spark, source, batch)
+    handle = append_compacted(path, ["source"], every=2, cluster_by=["user"])
+    seen = {}
+
+    def watched(batch, batch_id):
+        for _ in range(2):
+            handle(batch, batch_id)
+        seen[batch_id] = compacted(spark, path, stream.schema).count()
+
+    stream = file_stream(spark, source, SCHEMA, files_per_trigger=1)
+    run_to_end(for_each_batch(stream, watched, folder("state")))
+    assert seen == {i: 6 * (i + 1) for i in range(5)}
+    got = compacted(spark, path, stream.schema)
+    assert sorted(r.user for r in got.collect()) == sorted(f"u{i}{m}" for i in range(5) for m in range(6))
+    whole = spark.read.parquet(f"{path}/whole")
+    assert whole.select("source", "_metadata.file_name").distinct().count() == 2 and whole.count() == 24
+    # A batch that is sent again after it was moved comes back neither twice nor in the recent ones.
+    handle(spark.read.schema(SCHEMA).parquet(source).filter("user LIKE 'u3%'"), 3)
+    assert compacted(spark, path, stream.schema).count() == 30
+
+
+def test_scratch_is_removed(spark, folder, monkeypatch):
+    monkeypatch.setattr(session, "shared_folder", lambda _: folder("shared"))
+    files = session.stored(spark.range(10), "numbers").inputFiles()
+    assert all(os.path.exists(f.removeprefix("file://")) for f in files)
+    session.clear_scratch(spark)
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)

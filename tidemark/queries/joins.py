@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.times import epoch_seconds
 from tidemark.operators.joins import carry_previous, merged_outer
-from tidemark.plans.sensors import at_second, epoch, grid, observed_slots, whole_periods
+from tidemark.plans.sensors import at_second, epoch, grid, whole_periods
 from tidemark.queries.registry import Tables, query
+from tidemark.session import stored
 
 
 @query(
@@ -147,13 +149,12 @@ def join_carry_previous(t: Tables):
     """Day grid from mid-January to the last day, its first day seeded from before."""
     keys = ["user_id", "event_type"]
     end = max(whole_periods(t.events, "ts", DAY)[1], MIDDLE + DAY)
-    slots = observed_slots(t.events, keys, "ts", "value", MIDDLE, end, DAY, ["event_id"])
-    state = (
-        t.events.filter(F.col("ts") < at_second(t.events, "ts", MIDDLE))
-        .groupBy(*keys)
-        .agg(F.max_by("value", F.struct("ts", "event_id")).alias("value"))
-    )
-    known = slots.select(*keys).union(state.select(*keys))
-    full = grid(known, keys, 0, (end - MIDDLE) // DAY - 1).join(slots, [*keys, "slot"], "left")
+    # What was before is slot -1: one pass over the events, and what is read twice is stored.
+    inside = F.col("ts") < at_second(t.events, "ts", end)
+    slot = F.greatest(F.floor((epoch_seconds(F.col("ts")) - MIDDLE) / DAY), F.lit(-1)).alias("slot")
+    newest = F.max_by("value", F.struct("ts", "event_id")).alias("value")
+    known = stored(t.events.filter(inside).groupBy(*keys, slot).agg(newest), "slots")
+    full = grid(known, keys, 0, (end - MIDDLE) // DAY - 1).join(known, [*keys, "slot"], "left")
     marked = full.withColumn("is_first", F.col("slot") == 0)
+    state = known.filter("slot = -1").drop("slot")
     return carry_previous(marked, state, keys, "value", "is_first").drop("is_first")

@@ -32,8 +32,10 @@ from tidemark.streaming.jobs import (
 )
 from tidemark.streaming.sinks import (
     append_batches,
+    append_compacted,
     append_keys,
     append_sketches,
+    compacted,
     distinct_keys,
     for_each_batch,
     newest_batch,
@@ -774,3 +776,24 @@ def observed_write(t: Tables):
     monitor.checked(t.events.select("user_id", "value"), seen, negative=F.col("value") < 0).write.parquet(path)
     names = ["rows", "null_user_id", "null_value", "negative"]
     return t.spark.createDataFrame([tuple(seen.get[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
+@query(
+    "stream_compacted",
+    """
+    SELECT event_type, count(*) AS n, round(sum(value), 2) AS total, TRUE AS few_files FROM events GROUP BY 1
+    """,
+)
+def stream_compacted(t: Tables):
+    """Batches appended by event type; every second one, those since the last are moved into few files."""
+    path, state = fresh(t, "compacted", "compacted-state")
+    stream = many_batches(t).select(*EVENT_COLUMNS)
+    handle = append_compacted(path, ["event_type"], every=2, cluster_by=["user_id"])
+    run_to_end(for_each_batch(stream, handle, state))
+    rows = compacted(t.spark, path, stream.schema)
+    files = t.spark.read.parquet(f"{path}/whole").select("event_type", F.col("_metadata.file_path").alias("file"))
+    per_type = files.distinct().groupBy("event_type").agg(count_rows("files"))
+    totals = rows.groupBy("event_type").agg(count_rows(), F.round(F.sum("value"), 2).alias("total"))
+    return totals.join(per_type, "event_type", "left").select(
+        "event_type", "n", "total", (F.coalesce("files", F.lit(0)) <= 1).alias("few_files")
+    )

@@ -8,6 +8,7 @@ from tidemark.functions.times import label_bucket, stamp
 from tidemark.operators.windows import forward_fill, latest_per_slot, running_max
 from tidemark.plans.sensors import grid, observed_slots, whole_periods
 from tidemark.queries.registry import Tables, query
+from tidemark.session import stored
 
 KEYS = ["user_id", "event_type"]
 DAY = 86_400
@@ -58,8 +59,8 @@ def win_first_value_desc(t: Tables):
 def win_forward_fill(t: Tables):
     """Daily grid, gaps filled from at most five days before, in chunks of a week."""
     start, end = whole_periods(t.events, "ts", DAY)
-    slots = observed_slots(t.events, KEYS, "ts", "value", start, end, DAY, ["event_id"])
-    full = grid(slots, KEYS, 0, (end - start) // DAY - 1).join(slots, [*KEYS, "slot"], "left")
+    slots = stored(observed_slots(t.events, KEYS, "ts", "value", start, end, DAY, ["event_id"]), "slots")
+    full = stored(grid(slots, KEYS, 0, (end - start) // DAY - 1).join(slots, [*KEYS, "slot"], "left"), "grid")
     filled = forward_fill(full, KEYS, "slot", "value", "filled", max_gap=5, chunk=7)
     return filled.select(*KEYS, "slot", "filled")
 

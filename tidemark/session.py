@@ -80,8 +80,20 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, not yet existing path below the shared folder."""
-    return os.path.join(shared_folder(spark), "tidemark", f"{label}-{uuid.uuid4().hex}")
+    """A fresh, not yet existing path below the shared folder, in this application's part of it."""
+    return os.path.join(_scratch_root(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return os.path.join(shared_folder(spark), "tidemark", spark.sparkContext.applicationId)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove everything that this application stored, by writing an empty table in its place.
+
+    For the end of a job: frames that read stored results cannot be used afterwards.
+    """
+    spark.createDataFrame([], "nothing int").coalesce(1).write.mode("overwrite").parquet(_scratch_root(spark))
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:

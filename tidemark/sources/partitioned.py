@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from functools import reduce
 from operator import and_, or_
@@ -49,46 +49,67 @@ def within_folders(table: DataFrame, rows: DataFrame, folders: Sequence[str], mo
     )
 
 
-def merge_into_partitions(
+def rewrite_folders(
     spark: SparkSession,
     path: str,
     source: DataFrame,
-    keys: Sequence[str],
     folders: Sequence[str],
+    combine: Callable[[DataFrame, DataFrame], DataFrame],
     batch_id: int | str | None = None,
-    update_columns: Sequence[str] | None = None,
+    sort_by: Sequence[str] = (),
 ) -> bool:
-    """Upsert ``source`` into the table at ``path``, kept in folders by the ``folders`` columns.
-
-    As ``merge_upsert``, but only the folders that the source's rows fall in are
-    read and rewritten. A key must always fall in the same folder. The table is
-    made by its first merge.
-
-    The rewritten folders are first stored whole beside the table, then put in
-    place, then noted as done under ``batch_id``. A merge that was cut short while
-    folders were being replaced is put in place from there before anything else
-    is done; a batch that is noted is not merged again. So a micro-batch can be
-    repeated at any point. Returns False for a batch that was merged before. One
-    merge at a time; names below ``path`` that begin with ``_`` are this function's.
+    """Replace the folders that ``source`` falls in by ``combine(their rows, source)``.
+
+    The table at ``path`` is kept in folders by the ``folders`` columns and made by
+    its first rewriting; only the touched folders are read and written. Files are
+    few, and ordered by ``sort_by`` inside.
+
+    The new folders are first stored whole beside the table, then put in place,
+    then noted as done under ``batch_id``. A rewriting that was cut short while
+    folders were being replaced is put in place from there before anything else is
+    done; a batch that is noted is not done again, and False is returned. So a
+    micro-batch can be repeated at any point. One rewriting at a time; names below
+    ``path`` that begin with ``_`` are this function's.
     """
     batch = uuid.uuid4().hex if batch_id is None else str(batch_id)
     source = stored(source, "merge-source")
     last = _noted(spark, f"{path}/_last")
     if last is not None and not has_files(spark, f"{path}/_merged/{last}"):
-        _put_in_place(spark, path, source, folders, last)
+        _put_in_place(spark, path, source, folders, last, sort_by)
     if has_files(spark, f"{path}/_merged/{batch}"):
         return False
     target = spark.createDataFrame([], source.schema)
     if last is not None:
         target = within_folders(spark.read.schema(source.schema).parquet(path), source, folders)
-    merged = merge_upsert(target, source, list(dict.fromkeys([*keys, *folders])), update_columns)
-    write_parquet(merged, f"{path}/_staged", partition_by=folders)
+    write_parquet(combine(target, source), f"{path}/_staged", partition_by=folders)
     # Written after what it stands for, so it never names half a result.
     spark.createDataFrame([(batch,)], "batch string").write.mode("overwrite").parquet(f"{path}/_last")
-    _put_in_place(spark, path, source, folders, batch)
+    _put_in_place(spark, path, source, folders, batch, sort_by)
     return True
 
 
+def merge_into_partitions(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    folders: Sequence[str],
+    batch_id: int | str | None = None,
+    update_columns: Sequence[str] | None = None,
+) -> bool:
+    """Upsert ``source`` into the table at ``path``, as ``merge_upsert`` by ``rewrite_folders``.
+
+    A key must always fall in the same folder. Returns False for a batch that was
+    merged before.
+    """
+    by = list(dict.fromkeys([*keys, *folders]))
+
+    def combine(target: DataFrame, rows: DataFrame) -> DataFrame:
+        return merge_upsert(target, rows, by, update_columns)
+
+    return rewrite_folders(spark, path, source, folders, combine, batch_id)
+
+
 def _noted(spark: SparkSession, path: str) -> str | None:
     """Name of the merge that was staged last."""
     if not has_files(spark, path):
@@ -97,10 +118,14 @@ def _noted(spark: SparkSession, path: str) -> str | None:
     return row and row["batch"]
 
 
-def _put_in_place(spark: SparkSession, path: str, like: DataFrame, folders: Sequence[str], batch: str) -> None:
+def _put_in_place(
+    spark: SparkSession, path: str, like: DataFrame, folders: Sequence[str], batch: str, sort_by: Sequence[str]
+) -> None:
     """Replace the staged folders' twins in the table, then note the batch as done."""
     staged = spark.read.schema(like.schema).parquet(f"{path}/_staged")
     balanced = staged.select(*quoted(like.columns)).hint("rebalance", *folders)
+    if sort_by:
+        balanced = balanced.sortWithinPartitions(*quoted([*folders, *sort_by]))
     writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*folders).parquet(path)
     spark.range(1).write.mode("overwrite").parquet(f"{path}/_merged/{batch}")

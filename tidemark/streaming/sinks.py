@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.types import StructType
 
 from tidemark.operators.joins import quoted
 from tidemark.operators.sketches import distinct_sketches
+from tidemark.sources.partitioned import has_files, rewrite_folders
 from tidemark.sources.writers import write_parquet
 
 
@@ -105,6 +108,42 @@ def append_batches(
     return handle
 
 
+def append_compacted(
+    path: str, partition_by: Sequence[str], every: int, cluster_by: Sequence[str] = ()
+) -> Callable[[DataFrame, int], None]:
+    """Batch handler: as ``append_batches``, and every so many batches moves them into few files.
+
+    Batches gather below ``path/recent``. With each ``every``-th one they are
+    added to the folders of ``path/whole`` that they fall in, which alone are
+    rewritten (``rewrite_folders``, under the batch id, so it can be repeated), and
+    are emptied. ``compacted`` reads both.
+    """
+    keep = append_batches(f"{path}/recent", partition_by)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        keep(batch, batch_id)
+        if (batch_id + 1) % every:
+            return
+        spark = batch.sparkSession
+        numbers = range(batch_id + 1 - every, batch_id + 1)
+        folders = [f"{path}/recent/batch={n}" for n in numbers if has_files(spark, f"{path}/recent/batch={n}")]
+        recent = reduce(
+            DataFrame.unionByName, [spark.read.schema(batch.schema).parquet(f).select(*quoted(batch.columns)) for f in folders]
+        )
+        rewrite_folders(spark, f"{path}/whole", recent, partition_by, DataFrame.unionByName, batch_id, cluster_by)
+        for folder in folders:
+            write_parquet(spark.createDataFrame([], batch.schema), folder, partition_by=partition_by)
+
+    return handle
+
+
+def compacted(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The rows that ``append_compacted`` wrote, between two of its batches."""
+    parts = [f"{path}/{p}" for p in ("whole", "recent") if has_files(spark, f"{path}/{p}")]
+    frames = [spark.read.schema(schema).parquet(p).select(*quoted(schema.names)) for p in parts]
+    return reduce(DataFrame.unionByName, frames, spark.createDataFrame([], schema))
+
+
 def append_keys(path: str, keys: Sequence[str]) -> Callable[[DataFrame, int], None]:
     """Batch handler: the distinct keys of each batch in its own folder.
 

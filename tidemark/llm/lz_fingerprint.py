@@ -19,7 +19,15 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 from xxhash import xxh64_intdigest
 
-from tidemark.llm.shared import map_batches, prepare, sortable, task_count, texts_of, with_range
+from tidemark.llm.shared import (
+    checked_lookup,
+    map_batches,
+    prepare,
+    sortable,
+    task_count,
+    texts_of,
+    with_range,
+)
 
 BIN_BITS = 7
 BINS = 1 << BIN_BITS
@@ -90,29 +98,29 @@ COMPARED = (
 
 
 def with_following(docs: DataFrame) -> tuple[DataFrame, int]:
-    """``docs`` in ranges of ``doc_id``, each followed by the document after its last.
+    """``docs`` in ranges of (``doc_id``, hash of the text), each followed by the document after its last.
 
-    Documents are in descending order (null ids last, equal ids by text); after
-    the last comes the first. A range's ``_extra`` rows are the first ones of the
-    next range, found from one row for each range. Sort a range by ``_extra`` and
-    the order to get every document with its follower behind it.
+    Documents are in descending order (null ids last; equal ids by the hash, then
+    by text); after the last comes the first. A range's ``_extra`` rows are the
+    first ones of the next range, found from one row for each range. Sort a range
+    by ``_extra`` and the order to get every document with its follower behind it.
     """
-    keyed = docs.select("doc_id", "text", sortable("doc_id").alias("_key"))
+    keyed = docs.select("doc_id", "text", sortable("doc_id").alias("_key"), F.xxhash64("text").alias("_tie"))
     rows = docs.agg(F.count(F.lit(1))).first()[0]
-    n = task_count(docs, rows, DOCS_PER_RANGE)
-    ranged = with_range(keyed, "_key", n)
-    # At most n rows: the range above each, whose last document they follow.
-    tops = ranged.groupBy("_range").agg(F.max("_key").alias("_top")).orderBy("_range").collect()
+    ranged, n = with_range(keyed, "_key", "_tie", task_count(docs, rows, DOCS_PER_RANGE))
+    # One row for each range that has rows: the range above it, whose last document they follow.
+    tops = ranged.groupBy("_range").agg(F.max(F.struct("_key", "_tie")).alias("_top"))
+    tops = tops.select("_range", "_top.*").orderBy("_range").collect()
     above = [*tops[1:], *tops[:1]]
-    heads = [(top["_top"], after["_range"]) for top, after in zip(tops, above)]
-    head = docs.sparkSession.createDataFrame(heads, "_top long, _to int")
-    tagged = ranged.join(F.broadcast(head), F.col("_key") == F.col("_top"), "left")
+    heads = [(top["_key"], top["_tie"], after["_range"]) for top, after in zip(tops, above)]
+    head = docs.sparkSession.createDataFrame(heads, "_key long, _tie long, _to int")
+    tagged = checked_lookup(ranged, head, ["_key", "_tie"], "left", most_rows=100_000)
     own = F.struct(F.col("_range").alias("range"), F.lit(0).alias("extra"))
     extra = F.struct(F.col("_to").alias("range"), F.lit(1).alias("extra"))
     copies = F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, extra))
-    dealt = tagged.select("doc_id", "text", "_key", F.explode(copies).alias("_c"))
-    dealt = dealt.select("doc_id", "text", "_key", F.col("_c.range").alias("_range"), F.col("_c.extra").alias("_extra"))
-    return dealt, n
+    dealt = tagged.select("doc_id", "text", "_key", "_tie", F.explode(copies).alias("_c"))
+    parts = [F.col("_c.range").alias("_range"), F.col("_c.extra").alias("_extra")]
+    return dealt.select("doc_id", "text", "_key", "_tie", *parts), n
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
@@ -123,13 +131,14 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     ``doc_id``; after the last comes the first, and a single document follows
     itself. ``near_edited`` is the likeness to the edited text, ``near_next`` that
     to the next document. Null texts are empty; rows with equal or null ``doc_id``
-    follow each other, ordered by text; an empty table gives no rows. The common
+    follow each other, in the order of a hash of the text, which also parts them
+    among tasks if there are very many; an empty table gives no rows. The common
     first half is parsed once. Texts are exchanged once.
     """
     prepare(docs.sparkSession)
     dealt, n = with_following(docs)
     ordered = dealt.repartitionById(n, F.col("_range")).sortWithinPartitions(
-        "_range", "_extra", F.col("_key").desc(), F.col("text").desc()
+        "_range", "_extra", F.col("_key").desc(), F.col("_tie").desc(), F.col("text").desc()
     )
 
     schema = COMPARED.replace("long", dict(docs.dtypes)["doc_id"], 1)

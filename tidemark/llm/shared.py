@@ -6,7 +6,9 @@ import math
 import os
 import tempfile
 import zipfile
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
@@ -63,6 +65,21 @@ def bytes_of(column: pa.Array) -> list[bytes]:
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
 
 
+_tables: dict[str, dict] = {}
+
+
+def worker_tables(owner: str) -> dict:
+    """A dict that a Python worker keeps for an operator from task to task.
+
+    Workers are used again by the stages that follow: those of another owner are
+    let go, so that a worker holds the tables of one operator at a time.
+    """
+    if owner not in _tables:
+        _tables.clear()
+        _tables[owner] = {}
+    return _tables[owner]
+
+
 def map_batches(
     frame: DataFrame,
     kernel: Callable[[pa.RecordBatch], dict[str, Iterable]],
@@ -80,6 +97,7 @@ def map_batches(
     names = [*(f.name for f in kept), *made.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_tables(kernel.__module__)
         for batch in batches:
             result = kernel(batch)
             arrays = [batch.column(n) for n in names[: len(names) - len(types)]]
@@ -111,31 +129,55 @@ def without_rows(docs: DataFrame, dropped: DataFrame, most_rows: int = 1_000_000
     return docs.join(dropped, "_row", "left_anti").drop("_row")
 
 
+# Ranges that a table is cut into at most; a sketch of their cuts has some MB.
+MOST_RANGES = 20_000
+
+
 def task_count(frame: DataFrame, rows: int, rows_per_task: int) -> int:
     """Tasks for a frame of so many rows: the session's number, more if that is too few."""
     least = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(1, least, math.ceil(rows / rows_per_task))
 
 
-def with_range(frame: DataFrame, key: str, n: int, alias: str = "_range") -> DataFrame:
-    """Number of the value range of a whole-number key, from 0, of ``n`` at most.
+def with_range(frame: DataFrame, key: str, tie: str, n: int) -> tuple[DataFrame, int]:
+    """Number of the range of (key, tie), from 0, as ``_range``; and the number of ranges, about ``n``.
 
-    The cuts are approximate quantiles, ``n`` numbers that the driver gets; they
-    divide the work and do not enter results. Equal keys share a range and ranges
-    are ascending. The key must not be null.
+    ``key`` is a whole number and ``tie`` a hash, both not null; ranges ascend in
+    their order. The cuts are approximate quantiles of the key, ``MOST_RANGES`` at
+    most, which the driver gets; they divide the work and do not enter results. A
+    key that several quantiles fall on, so that it holds that many ranges' rows,
+    gets as many ranges of its own, cut by the tie.
     """
+    n = min(n, MOST_RANGES)
     cuts: list[float] = []
     if n > 1:
         shares = [i / n for i in range(1, n)]
-        got = frame.agg(F.percentile_approx(F.col(key).cast("double"), shares, 20 * n)).first()[0]
-        cuts = sorted(set(got or []))
+        got = frame.agg(F.percentile_approx(F.col(key).cast("double"), shares, 10 * n)).first()[0]
+        cuts = sorted(got or [])
     if not cuts:
-        return frame.withColumn(alias, F.lit(0))
-    cutter = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="_cut_by", outputCol="_cut_no"
-    )
-    cut = cutter.transform(frame.withColumn("_cut_by", F.col(key).cast("double")))
-    return cut.withColumn(alias, F.col("_cut_no").cast("int")).drop("_cut_by", "_cut_no")
+        return frame.withColumn("_range", F.lit(0)), 1
+    times = Counter(cuts)
+    hot = {value: times[value] for value in sorted(times) if times[value] > 1}
+    value = F.col(key).cast("double")
+
+    def number_of(splits: list[float], alias: str, rows: DataFrame) -> DataFrame:
+        """How many of the splits are at or below the value."""
+        cutter = Bucketizer(splits=[-math.inf, *splits, math.inf], inputCol="_cut_by", outputCol=alias)
+        return cutter.transform(rows)
+
+    rows = number_of(sorted(times), "_below", frame.withColumn("_cut_by", value))
+    place = F.col("_below").cast("int")
+    if hot:
+        # Ranges that the hot keys up to here have of their own.
+        rows = number_of(list(hot), "_hot", rows)
+        own = list(hot.values())
+        upto = F.get(F.array(*map(F.lit, accumulate(own, initial=0))), F.col("_hot").cast("int"))
+        parts = F.get(F.array(*map(F.lit, [0, *own])), F.col("_hot").cast("int"))
+        last = F.get(F.array(*[F.lit(v) for v in [math.nan, *hot]]), F.col("_hot").cast("int"))
+        part = F.least(F.floor((F.col(tie) / 2.0**64 + 0.5) * parts), parts - 1).cast("int")
+        place = place + upto - F.when(F.col("_cut_by") == last, parts - part).otherwise(0)
+    ranged = rows.withColumn("_range", place).drop("_cut_by", "_below", "_hot")
+    return ranged, len(times) + sum(hot.values()) + 1
 
 
 def sortable(key: Column | str) -> Column:

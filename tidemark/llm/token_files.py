@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.pieces import word_coder
-from tidemark.llm.shared import map_batches, prepare, sortable, task_count, texts_of, with_range
+from tidemark.llm.shared import checked_lookup, map_batches, prepare, sortable, task_count, texts_of, with_range
 from tidemark.session import stored
 
 STRIPE_BYTES = 16 << 20
@@ -47,17 +47,18 @@ def encode_documents(docs: DataFrame, vocabulary: bytes, end_id: int) -> DataFra
 def write_token_files(docs: DataFrame, path: str, vocabulary: bytes, end_id: int) -> None:
     """Encode all documents and write their ids in ascending ``doc_id`` order.
 
-    Null ids come first; rows of one id stay together, ordered by text, so the
-    file order is total but for equal rows. ``row`` is a row's number in its file.
-    An empty table writes files without rows. Texts are exchanged once, before
-    they are encoded; no task gets more than its range.
+    Null ids come first; rows of one id are ordered by a hash of the text, then by
+    text, so the file order is total but for equal rows. ``row`` is a row's number
+    in its file. An empty table writes files without rows. Texts are exchanged once,
+    before they are encoded. An id, null as well, that holds the rows of several
+    files is cut by the hash; only equal rows are never parted.
     """
     prepare(docs.sparkSession)
-    keyed = docs.select("doc_id", "text", sortable("doc_id").alias("_key"))
+    keyed = docs.select("doc_id", "text", sortable("doc_id").alias("_key"), F.xxhash64("text").alias("_tie"))
     rows = docs.agg(F.count(F.lit(1))).first()[0]
-    n = task_count(docs, rows, ROWS_PER_FILE)
-    ranged = with_range(keyed, "_key", n).repartitionById(n, F.col("_range"))
-    ordered = ranged.sortWithinPartitions("_key", "text").select("doc_id", "_range", "text")
+    ranged, n = with_range(keyed, "_key", "_tie", task_count(docs, rows, ROWS_PER_FILE))
+    ranged = ranged.repartitionById(n, F.col("_range"))
+    ordered = ranged.sortWithinPartitions("_key", "_tie", "text").select("doc_id", "_range", "text")
     encoded = encode_documents(ordered, vocabulary, end_id)
     numbered = encoded.select(
         "doc_id",
@@ -107,9 +108,9 @@ def document_offsets(tokens: DataFrame) -> DataFrame:
     upto = sized.withColumn("_upto", F.sum("n_tokens").over(in_file))
     totals = sized.groupBy("file_no").agg(F.sum("n_tokens").alias("_total"))
     earlier = Window.orderBy("file_no").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each file.
+    # One row for each file (``MOST_RANGES`` and those of hot ids).
     before = totals.select("file_no", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
-    return upto.join(F.broadcast(before), "file_no").select(
+    return checked_lookup(upto, before, ["file_no"], "inner", most_rows=100_000).select(
         "doc_id",
         (F.col("_before") + F.col("_upto") - F.col("n_tokens")).alias("start"),
         "n_tokens",

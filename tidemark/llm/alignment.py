@@ -18,13 +18,17 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from sentencepiece import sentencepiece_model_pb2 as model_pb2
 from tokenizers import Tokenizer
 
-from tidemark.llm.pieces import byte_alphabet, spaced_coder
+from tidemark.llm.byte_bpe import BPE
+from tidemark.llm.pieces import MARKS, PieceIds, byte_alphabet, spaced_coder
 from tidemark.llm.shared import map_batches, prepare, texts_of
 from tidemark.operators.joins import left_lookup
 from tidemark.session import stored
 
+BLANK = "▁"  # fixed value: stands for a blank in pieces
+NOT_SPELLED = 2**32 - 1  # instead of an id, in parts that their ids do not spell out
 # First tokens to a stretch of a document that is merged on its own.
 STRETCH = 32
 BYTES_AT_ONCE = 1 << 20
@@ -37,37 +41,96 @@ COUNTS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 class Coder(NamedTuple):
-    """Ids of a batch of texts, and what bytes each id stands for."""
+    """Ids of texts, None for a text that its ids do not spell out; and what bytes each id stands for."""
 
-    encode: Callable[[list[str]], list[np.ndarray]]
+    encode: Callable[[list[str]], list[np.ndarray | None]]
     token_bytes: list[bytes]
 
 
+def _spelled(ids: Sequence[int], token_bytes: list[bytes], text: str) -> bool:
+    return b"".join(map(token_bytes.__getitem__, ids)) == text.encode()
+
+
 @lru_cache(maxsize=2)
 def byte_level_coder(vocabulary: bytes) -> Coder:
     """A byte-level vocabulary (tokenizers JSON); texts get a blank in front."""
     to_byte = {c: b for b, c in enumerate(byte_alphabet())}
-    entries = Tokenizer.from_str(vocabulary.decode()).get_vocab()
+    tokenizer = Tokenizer.from_str(vocabulary.decode())
+    entries = tokenizer.get_vocab()
     token_bytes = [b""] * (max(entries.values()) + 1)
     for entry, number in entries.items():
         known = all(c in to_byte for c in entry)
         token_bytes[number] = bytes(map(to_byte.__getitem__, entry)) if known else entry.encode()
+    # With an entry for every byte and texts taken as they are, ids always spell the text.
+    lossless = tokenizer.normalizer is None and all(c in entries for c in to_byte)
     code = spaced_coder(vocabulary)
-    return Coder(lambda texts: [np.frombuffer(code(" " + t), "<u4").astype(np.int64) for t in texts], token_bytes)
+
+    def encode(texts: list[str]) -> list[np.ndarray | None]:
+        found = [np.frombuffer(code(" " + t), "<u4").astype(np.int64) for t in texts]
+        if lossless:
+            return found
+        return [f if _spelled(f.tolist(), token_bytes, " " + t) else None for f, t in zip(found, texts)]
+
+    return Coder(encode, token_bytes)
 
 
 @lru_cache(maxsize=2)
 def piece_coder(model: bytes) -> Coder:
-    """A sentencepiece model that puts a blank before texts itself."""
-    processor = sentencepiece.SentencePieceProcessor(model_proto=model)
-    token_bytes = []
-    for number in range(processor.get_piece_size()):
-        piece = processor.id_to_piece(number)
-        is_byte = processor.is_byte(number)
-        token_bytes.append(bytes([int(piece[3:5], 16)]) if is_byte else piece.replace("▁", " ").encode())
+    """A sentencepiece BPE model that puts a blank before texts itself.
 
-    def encode(texts: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, np.int64) for ids in processor.encode(texts, num_threads=1)]
+    Merges never cross a place whose two characters are side by side in no piece.
+    Where blanks, line feeds and marks behind a word are such places, texts are cut
+    there, and the ids of the parts are kept; other texts and models go to the
+    library as a whole.
+    """
+    proto = model_pb2.ModelProto()
+    proto.ParseFromString(model)
+    whole = sentencepiece.SentencePieceProcessor(model_proto=model)
+    numbers = range(whole.get_piece_size())
+    token_bytes = [
+        bytes([int(piece[3:5], 16)]) if whole.is_byte(i) else piece.replace(BLANK, " ").encode()
+        for i, piece in zip(numbers, map(whole.id_to_piece, numbers))
+    ]
+    side_by_side = {p.piece[i : i + 2] for p in proto.pieces for i in range(len(p.piece) - 1)}
+    rules = proto.normalizer_spec
+    cuttable = (
+        proto.trainer_spec.model_type == BPE
+        and rules.name == "identity"
+        and rules.add_dummy_prefix
+        and not rules.remove_extra_whitespaces
+        and not any("\n" in pair or (pair[1] == BLANK and pair[0] != BLANK) for pair in side_by_side)
+    )
+    before_marks = {pair[0] for pair in side_by_side if pair[1] in MARKS}
+    rules.add_dummy_prefix = False
+    parts = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+
+    def part_ids(part: str) -> list[int]:
+        ids = parts.encode(part)
+        return ids if _spelled(ids, token_bytes, part) else [*ids, NOT_SPELLED]
+
+    def is_apart(stem: str) -> bool:
+        return stem[-1:] not in before_marks and stem[:1] not in ("", "\n")
+
+    own = PieceIds(part_ids, is_word=is_apart).__getitem__
+
+    def after_blank(word: str) -> list[int]:
+        if word[:1] == "\n":  # the blank is one that was put in to cut there
+            return memoryview(own("\n") + own(word[1:])).cast("I").tolist()
+        return part_ids(" " + word)
+
+    after = PieceIds(after_blank, mark=own, is_word=is_apart).__getitem__
+
+    def encode(texts: list[str]) -> list[np.ndarray | None]:
+        found: list[np.ndarray | None] = []
+        for text in texts:
+            if cuttable and "  " not in text and BLANK not in text and text[0] != " ":
+                ids = np.frombuffer(b"".join(map(after, text.replace("\n", " \n").split(" "))), "<u4")
+                if not (ids == NOT_SPELLED).any():
+                    found.append(ids.astype(np.int64))
+                    continue
+            ids = whole.encode(text)
+            found.append(np.array(ids, np.int64) if _spelled(ids, token_bytes, " " + text) else None)
+        return found
 
     return Coder(encode, token_bytes)
 
@@ -166,12 +229,8 @@ def align_texts(texts: list[str], first: Coder, second: Coder) -> list[dict]:
     for block in _blocks(texts):
         chosen = [texts[i] for i in block]
         rows, tokens_a, tokens_b = [], [], []
-        for i, text, a, b in zip(block, chosen, first.encode(chosen), second.encode(chosen)):
-            whole = b" " + text.encode()
-            if all(
-                b"".join(map(coder.token_bytes.__getitem__, ids.tolist())) == whole
-                for coder, ids in ((first, a), (second, b))
-            ):
+        for i, a, b in zip(block, first.encode(chosen), second.encode(chosen)):
+            if a is not None and b is not None:
                 rows.append(i)
                 tokens_a.append(a)
                 tokens_b.append(b)

@@ -16,6 +16,8 @@ from functools import lru_cache
 import tiktoken
 from tokenizers import Tokenizer
 
+from tidemark.llm.shared import worker_tables
+
 # The characters with the Unicode property White_Space.
 WHITE_SPACE = "\t\n\v\f\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -175,9 +177,15 @@ def _whole_coder(tokenizer: Tokenizer) -> Callable[[str], list[int]]:
     return lambda piece: tokenizer.encode(piece, add_special_tokens=False).ids
 
 
-@lru_cache(maxsize=4)
 def spaced_coder(vocabulary: bytes) -> Callable[[str], bytes]:
     """Ids of a text by a byte-level vocabulary (tokenizers JSON) that keeps white space."""
+    made = worker_tables(__name__)
+    if vocabulary not in made:
+        made[vocabulary] = _spaced_coder(vocabulary)
+    return made[vocabulary]
+
+
+def _spaced_coder(vocabulary: bytes) -> Callable[[str], bytes]:
     return spaced_ids(_ranked_coder(Tokenizer.from_str(vocabulary.decode())))
 
 

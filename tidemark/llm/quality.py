@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import bytes_of, checked_lookup, map_batches, prepare
+from tidemark.llm.shared import bytes_of, checked_lookup, map_batches, prepare, worker_tables
 from tidemark.llm.word_model import score_words
 from tidemark.operators.joins import left_lookup
 from tidemark.session import stored
@@ -29,6 +29,9 @@ WINDOW_WORDS = 5
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 
+RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+RULE_SCHEMA = ", ".join(f"{n} long" for n in RULES)
+
 ORDER = 5
 # A band reaches so many times as far from the median as the score that this share
 # of all scores of the language lies beyond, on either side; for a bell curve that
@@ -38,7 +41,7 @@ LEAST_DISTANCE = 0.01
 # Scores of pairs of words have longer tails, as there are far fewer words than bytes.
 WORD_REACH = 4.0
 # Keys that a task holds at a time, besides those that it has combined.
-KEYS_AT_ONCE = 1 << 20
+KEYS_AT_ONCE = 1 << 19
 # Model entries sent to all executors, 12 bytes each; a larger model is joined.
 BROADCAST_ENTRIES = 4_000_000
 
@@ -127,6 +130,7 @@ def count_ngrams(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        worker_tables(__name__)
 
         def combine(lang, found):
             keys, n = np.unique(found, return_counts=True)
@@ -231,8 +235,21 @@ def sorted_arrays(model: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     return arrays
 
 
+def rule_columns(batch: pa.RecordBatch) -> dict:
+    rows = [rule_counts(t) for t in bytes_of(batch.column("text"))]
+    return dict(zip(RULES, zip(*rows))) if rows else {n: [] for n in RULES}
+
+
+def count_rules(docs: DataFrame) -> DataFrame:
+    """``docs`` with the counts of the rules."""
+    return map_batches(docs, rule_columns, RULE_SCHEMA, keep=tuple(docs.columns))
+
+
 def score_by_arrays(docs: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
-    """``docs`` without ``text`` and with ``nll``: mean negative log probability of a byte."""
+    """``docs`` without ``text``, with the counts of the rules and ``nll``: mean negative log probability of a byte.
+
+    Both in one pass, so that a task has one Python worker.
+    """
     shared = prepare(docs.sparkSession).sparkContext.broadcast(sorted_arrays(model))
 
     def kernel(batch: pa.RecordBatch) -> dict:
@@ -247,14 +264,14 @@ def score_by_arrays(docs: DataFrame, model: DataFrame, order: int = ORDER) -> Da
                 starts = np.cumsum([0, *(len(f) for _, f in own)])[:-1]
                 for (number, _), total in zip(own, np.add.reduceat(values, starts).tolist()):
                     sums[number] += total
-        return {"nll": [-s / len(t) if t else None for s, t in zip(sums, texts)]}
+        return {**rule_columns(batch), "nll": [-s / len(t) if t else None for s, t in zip(sums, texts)]}
 
     keep = tuple(c for c in docs.columns if c != "text")
-    return map_batches(docs, kernel, "nll double", keep=keep)
+    return map_batches(docs, kernel, f"{RULE_SCHEMA}, nll double", keep=keep)
 
 
 def score_by_join(docs: DataFrame, model: DataFrame, order: int = ORDER) -> DataFrame:
-    """As ``score_by_arrays``, for a model of any size: n-grams meet it in a join.
+    """``docs`` without ``text`` and with ``nll``, by a model of any size: n-grams meet it in a join.
 
     ``docs`` needs a column ``row`` that tells its rows apart.
     """
@@ -345,30 +362,16 @@ def quality(
     size of the texts.
     """
     prepare(docs.sparkSession)
-    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-
-    def kernel(batch: pa.RecordBatch) -> dict:
-        rows = [rule_counts(t) for t in bytes_of(batch.column("text"))]
-        return dict(zip(names, zip(*rows))) if rows else {n: [] for n in names}
-
     texts = docs.select(F.struct(*carry).alias("_carry"), "text", "lang")
     counts = stored(count_ngrams(texts, order), f"ngrams-{order}")
     model = stored(kneser_ney(counts, order).drop("p"), "model")
-    small = model.count() <= broadcast_entries
-    counted = map_batches(
-        texts, kernel, ", ".join(f"{n} long" for n in names), keep=("_carry", "text", "lang")
-    ).withColumns(
-        {
-            "base_failed": base_failed(),
-            "n_bytes": F.octet_length(F.coalesce("text", F.lit(""))),
-            "text_row": text_row(),
-        }
-    )
-    if small:
-        scored = score_by_arrays(counted, model, order)
+    sized = texts.withColumns({"n_bytes": F.octet_length(F.coalesce("text", F.lit(""))), "text_row": text_row()})
+    if model.count() <= broadcast_entries:
+        scored = score_by_arrays(sized, model, order)
     else:
-        numbered = stored(counted.withColumn("row", F.monotonically_increasing_id()), "numbered")
+        numbered = stored(count_rules(sized).withColumn("row", F.monotonically_increasing_id()), "numbered")
         scored = score_by_join(numbered, model, order).drop("row")
+    scored = scored.withColumn("base_failed", base_failed())
     if words:
         by_pairs = stored(score_words(texts.withColumn("row", text_row())), "word-scores")
         scored = left_lookup(scored, by_pairs.withColumnRenamed("row", "text_row"), ["text_row"])
@@ -380,7 +383,7 @@ def quality(
         judged = judged.withColumn("_odd", F.col("_odd") | outside_band("word_nll", "n_words", WORD_REACH))
     return judged.select(
         *[F.col("_carry").getField(c).alias(c) for c in carry],
-        *names,
+        *RULES,
         "base_failed",
         (~F.col("base_failed") & ~F.col("_odd")).alias("kept"),
         F.exp("nll").alias("perplexity"),

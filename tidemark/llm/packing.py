@@ -24,7 +24,7 @@ from tidemark.llm.pieces import spaced_coder
 from tidemark.llm.shared import prepare, texts_of
 from tidemark.session import scratch_path, stored
 
-PIECES_PER_GROUP = 5_000
+PIECES_PER_GROUP = 50_000
 
 PLACED = "item long, length int, sequence_id long, offset int, gap int, certified boolean"
 

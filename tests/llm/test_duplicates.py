@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 from tidemark.llm import chunk_dedup, components, lz_fingerprint, simhash
 
 
+def text_hash(text):
+    """Spark's hash of a text; null has the seed."""
+    return 42 if text is None else (xxhash.xxh64_intdigest(text, 42) + 2**63) % 2**64 - 2**63
+
+
 def slow_simhash(text):
     words = text.encode().lower().split()
     if not words:
@@ -119,7 +124,7 @@ def test_gear_hash_is_the_rolling_one():
     data = np.frombuffer(random.Random(1).randbytes(500), np.uint8)
     rolling, hashes = 0, chunk_dedup.gear_hashes(data)
     for byte, fast in zip(data.tolist(), hashes.tolist()):
-        rolling = ((rolling << 1) + int(chunk_dedup.GEAR[byte])) & 0xFFFFFFFF
+        rolling = ((rolling << 1) + int(chunk_dedup.GEAR[byte])) & 0xFFFF
         assert rolling == fast
 
 
@@ -159,7 +164,7 @@ def slow_dedup(rows):
             words = data[a:b].split()
             key = b" ".join(words)
             if words and key in seen:
-                marks.append((place, len(words)))
+                marks.append((place, max(len(words), len(key) // 8)))
             if words:
                 seen.add(key)
         runs = []
@@ -202,8 +207,10 @@ def test_planted_passages_are_removed_and_clean_texts_stay(spark, words):
     text = dict(rows)
     assert all(got[i]["text"] == text[i] and got[i]["removed"] == [] for i in clean)
     later = [i for i in range(0, 400, 4) if i // 4 >= 40]
-    caught = [i for i in later if got[i]["removed_words"] >= 12]
-    assert len(caught) >= 0.95 * len(later)
+    caught = [i for i in later if got[i]["removed_words"] >= 20]
+    assert len(caught) >= 0.98 * len(later)
+    # Some four words stay at either end.
+    assert sum(51 - got[i]["removed_words"] for i in caught) <= 9 * len(caught)
     for i in caught:
         data = text[i].encode()
         left, at = b"", 0
@@ -212,6 +219,28 @@ def test_planted_passages_are_removed_and_clean_texts_stay(spark, words):
         assert (left + data[at:]).decode() == got[i]["text"]
 
 
+def test_repeated_text_without_white_space_is_found(spark):
+    rng = random.Random(3)
+
+    def letters(n):
+        return "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(n))
+
+    passage = letters(700)
+    rows = [(1, letters(300) + passage + letters(200)), (2, letters(500) + passage + letters(100)), (3, letters(1500))]
+    got = {r["doc_id"]: r for r in chunk_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1]["removed"] == got[3]["removed"] == []
+    assert len(rows[1][1]) - len(got[2]["text"]) >= 600 and passage[350:400] not in got[2]["text"]
+
+
+def test_short_common_lines_stay(spark, words):
+    """Lines of under twenty words are in many texts and are no passage."""
+    rng = random.Random(7)
+    line = " ".join(rng.choice(words) for _ in range(18)) + "."
+    rows = [(i, " ".join(rng.choice(words) + str(rng.randint(0, 99)) for _ in range(60)) + "\n" + line) for i in range(50)]
+    got = chunk_dedup.dedup_substrings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["text"] for r in got} == dict(rows)
+
+
 def test_dedup_of_no_documents(no_docs):
     assert chunk_dedup.dedup_substrings(no_docs).count() == 0
 
@@ -250,7 +279,7 @@ def test_edited_texts_follow_the_order(spark, edge_docs, no_docs, monkeypatch, p
     monkeypatch.setattr(lz_fingerprint, "DOCS_PER_RANGE", per_range)
     rows = sorted(
         ((r["doc_id"], r["text"]) for r in edge_docs.collect()),
-        key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""),
+        key=lambda r: (r[0] is not None, r[0] or 0, text_hash(r[1]), r[1] or ""),
         reverse=True,
     )
     want = []

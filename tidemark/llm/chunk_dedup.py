@@ -21,16 +21,21 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import bytes_of, checked_lookup, map_batches, prepare, sortable
 from tidemark.operators.joins import left_lookup
 
-WINDOW = 32  # bytes that the 32-bit gear hash remembers
-WORDS_PER_CHUNK = 6
-BYTES_PER_BLIND_CHUNK = 4096  # mean chunk where white space is missing
-LEAST_WORDS_REMOVED = 12
+WINDOW = 16  # bytes that the 16-bit gear hash remembers
+WORDS_PER_CHUNK = 4
+# Of a passage of 51 words some four stay at either end, in the chunks that its
+# surroundings share and as far as the window reaches.
+LEAST_WORDS_REMOVED = 20
+# Where white space is missing for so many bytes, chunks end at any character, after
+# as many on average; such a chunk counts as a word for so many bytes.
+BLIND_BYTES = 48
+BYTES_PER_WORD = 8
 CHUNKS_AT_ONCE = 500_000
 
 
 def gear_table() -> np.ndarray:
-    """A pseudo-random 32-bit number for each byte."""
-    return np.array([xxhash.xxh32_intdigest(bytes([b])) for b in range(256)], np.uint32)
+    """A pseudo-random 16-bit number for each byte."""
+    return np.array([xxhash.xxh32_intdigest(bytes([b])) & 0xFFFF for b in range(256)], np.uint16)
 
 
 GEAR = gear_table()
@@ -38,14 +43,14 @@ IS_SPACE = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """Gear hash at each byte: h = 2 h + gear[byte], modulo 2**32.
+    """Gear hash at each byte: h = 2 h + gear[byte], modulo 2**16.
 
-    The sum over the last 32 bytes is doubled up from the sums over 1, 2, 4, ...
+    The sum over the last 16 bytes is doubled up from the sums over 1, 2, 4, ...
     """
     hashes = GEAR[data]
     span = 1
     while span < WINDOW:
-        shifted = hashes[:-span] << np.uint32(span)
+        shifted = hashes[:-span] << np.uint16(span)
         hashes = hashes.copy()
         hashes[span:] += shifted
         span *= 2
@@ -61,8 +66,10 @@ def chunk_ends(text: bytes, words_per_chunk: int = WORDS_PER_CHUNK) -> list[int]
     space = IS_SPACE[data]
     # After the last of some white space; elsewhere never inside a character.
     follows = np.append(data[1:], np.uint8(0x20))
-    at_space = space & ~IS_SPACE[follows] & (hashes < np.uint32(2**32 // words_per_chunk))
-    blind = (hashes < np.uint32(2**32 // BYTES_PER_BLIND_CHUNK)) & ((follows & 0xC0) != 0x80)
+    at_space = space & ~IS_SPACE[follows] & (hashes < np.uint16(2**16 // words_per_chunk))
+    at = np.arange(len(data), dtype=np.int32)
+    unspaced = at - np.maximum.accumulate(np.where(space, at, np.int32(-1))) >= BLIND_BYTES
+    blind = unspaced & (hashes < np.uint16(2**16 // BLIND_BYTES)) & ((follows & 0xC0) != 0x80)
     ends = (np.flatnonzero(at_space | blind) + 1).tolist()
     if not ends or ends[-1] != len(text):
         ends.append(len(text))
@@ -111,6 +118,9 @@ def _first_of_each(table: list[np.ndarray]) -> np.ndarray:
 def chunks(docs: DataFrame, words_per_chunk: int = WORDS_PER_CHUNK) -> DataFrame:
     """The chunks of every text: digest (128 bits in ``high``, ``low``), place, words.
 
+    ``n_words`` is that of a chunk's words or, if larger, its bytes by
+    ``BYTES_PER_WORD``, so that text without white space counts as well.
+
     The digest is of the chunk's words with a blank between them; chunks without
     words are left out. A task compares ``CHUNKS_AT_ONCE`` chunks at a time and
     marks those ``repeated`` that another of them precedes. Decided ones need no
@@ -143,9 +153,10 @@ def chunks(docs: DataFrame, words_per_chunk: int = WORDS_PER_CHUNK) -> DataFrame
                     parts = text[begin:end].split()
                     begin = end
                     if parts:
+                        joined = b" ".join(parts)
                         places.append(place)
-                        words.append(len(parts))
-                        digests.append(xxhash.xxh3_128_digest(b" ".join(parts)))
+                        words.append(max(len(parts), len(joined) // BYTES_PER_WORD))
+                        digests.append(xxhash.xxh3_128_digest(joined))
                 sizes.append(len(places) - before)
             halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             waiting.append(

@@ -1,117 +1,204 @@
 """License scans: sparse TF-IDF cosine to templates, then the nearest ancestor directory.
 
-Lines of a file that could be about a license are compared with the templates as
-sparse vectors, by joins on terms. A file without a license of its own takes that
-of the license file in the nearest directory above it.
+The lines and sentences of a text are compared with those of the templates as sparse
+vectors of weighed terms. A file without a license of its own takes that of the
+license file in the nearest directory above it, by joins on paths.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import math
+import re
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import ahocorasick
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import checked_lookup, prepare
+from tidemark.llm.license_texts import TEMPLATES
+from tidemark.llm.shared import map_batches, prepare, texts_of
 from tidemark.operators.joins import left_lookup
 from tidemark.session import stored
 
-# Texts that headers and license files are compared with, by identifier; a parameter.
-TEMPLATES = {
-    "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0",
-        "Apache License Version 2.0, January 2004",
-    ),
-    "MIT": (
-        "Released under the MIT License",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
-    ),
-    "BSD-3-Clause": (
-        "Licensed under the BSD 3-Clause License",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted",
-    ),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3",
-        "GNU General Public License Version 3, 29 June 2007",
-        "Distributed under the GPL v3",
-    ),
-    "LGPL-3.0": ("Licensed under the GNU Lesser General Public License, version 3",),
-    "AGPL-3.0": ("Licensed under the GNU Affero General Public License, version 3",),
-    "MPL-2.0": ("This file is subject to the terms of the Mozilla Public License, v. 2.0",),
-    "CC-BY-4.0": ("Licensed under CC BY 4.0", "CC BY 4.0", "Creative Commons Attribution 4.0 International"),
-    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International"),
-    "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
-    "CC0-1.0": ("Released under CC0 1.0 into the public domain",),
-    "proprietary": ("All rights reserved",),
-}
-
-# A line may be about a license if it has one of these.
-HINTS = (
-    r"(?i)licen[cs]|copyright|creative ?commons|all rights reserved|permission is hereby|redistribution and use"
-    r"|public domain|cc0|\bcc[ -]by|\b[al]?gpl|\bmpl\b|\bapache\b|\bbsd\b|general public"
-)
 LEAST_COSINE = 0.6
+# A template sentence of fewer terms needs the larger cosine: one other term changes what it says.
+SHORT_TERMS, LEAST_SHORT_COSINE = 7, 0.84
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([-._][^/]*)?$"
-TERM = r"[a-z]+|[0-9]+(?:[.][0-9]+)*"
-
-
-def terms_of(text: Column | str) -> Column:
-    """Lower-case words and numbers; version numbers stay whole."""
-    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
-
-
-def candidates(files: DataFrame) -> DataFrame:
-    """``file, piece, terms``: the sentences of whole texts that could be about a license."""
-    hinted = files.filter(F.col("text").rlike(HINTS))
-    lines = hinted.select("file", F.posexplode(F.split("text", r"\n|(?<=[.;!?])\s+")).alias("piece", "line"))
-    return lines.filter(F.col("line").rlike(HINTS)).select("file", "piece", terms_of("line").alias("terms"))
-
-
-def _template_terms(spark: SparkSession, templates: Mapping[str, tuple[str, ...]]) -> DataFrame:
-    rows = [(name, i, text) for name, texts in templates.items() for i, text in enumerate(texts)]
-    frame = spark.createDataFrame(rows, "license string, variant int, line string")
-    return frame.select("license", "variant", terms_of("line").alias("terms"))
-
+TERM = re.compile("[a-z]+|[0-9]+(?:[.][0-9]+)*")
+# Marks of comments and lists in front of a line, and what ends one in a comment.
+MARKS = re.compile(r"^[ \t\r#/*;%<!>|-]+|[ \t\r*/>-]+$", re.MULTILINE)
+SENTENCE = re.compile(r"(?<=[.;!?])\s+")
+# Of two wordings that differ in a word, the nearer one must win, even if it is the shorter.
+SHARPNESS = 12
+
+Vector = dict[str, float]
+
+
+def units(text: str) -> Iterator[str]:
+    """The lines of a text, and the sentences of its paragraphs, whose lines are joined."""
+    plain = MARKS.sub("", text)
+    seen = set()
+    for paragraph in re.split(r"\n\s*\n", plain):
+        lines = paragraph.split("\n")
+        for unit in (*lines, *SENTENCE.split(" ".join(lines)), *(s for line in lines for s in SENTENCE.split(line))):
+            if unit and unit not in seen:
+                seen.add(unit)
+                yield unit
+
+
+def terms_of(text: str) -> list[str]:
+    """Words and numbers of a lower-case text; version numbers stay whole."""
+    return TERM.findall(text)
+
+
+def template_units(templates: Mapping[str, Sequence[str]]) -> list[tuple[str, int, Counter]]:
+    """(license, text, counts of terms) of each sentence of the templates, each text's own number with it."""
+    return [
+        (name, number, Counter(terms_of(sentence.lower())))
+        for name, texts in templates.items()
+        for number, text in enumerate(texts)
+        for sentence in SENTENCE.split(" ".join(text.split()))
+        if terms_of(sentence.lower())
+    ]
+
+
+def document_frequencies(files: DataFrame, vocabulary: frozenset[str]) -> tuple[int, dict[str, int]]:
+    """The number of texts, and of those that hold each term of the templates; other terms are not counted."""
+    shared = prepare(files.sparkSession).sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for text in texts_of(batch.column("text")):
+                counts[""] += 1  # all texts
+                counts.update(shared.value.intersection(terms_of(text.lower())))
+        columns = [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["term", "n"])
+
+    partial = files.select("text").mapInArrow(run, "term string, n long")
+    # A row for each term of the templates at most.
+    found = {r["term"]: r["n"] for r in partial.groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    return found.pop("", 0), found
+
+
+class LicenseMatcher:
+    """Finds the sentences of a text that are near one of the templates' sentences.
+
+    A term weighs its count times its inverse document frequency. A term that no
+    template has counts as if no text had it, the most that a term can weigh.
+
+    Two vectors whose cosine is at least c share terms that hold at least c squared
+    of the template's squared weight. So they share one of its heaviest terms, those
+    without which less than that is left: texts and sentences without any of these
+    anchors cannot be near and are passed over, which changes no result.
+    """
 
-def _weighed(vectors: DataFrame, keys: list[str], idf: DataFrame) -> DataFrame:
-    """``keys, term, weight``: unit vectors of term counts times inverse document frequency."""
-    counts = vectors.select(*keys, F.explode("terms").alias("term")).groupBy(*keys, "term").agg(
-        F.count(F.lit(1)).alias("tf")
-    )
-    raw = left_lookup(counts, idf, ["term"], "inner").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = raw.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return left_lookup(raw, norms, keys, "inner").select(*keys, "term", (F.col("w") / F.col("norm")).alias("weight"))
+    def __init__(
+        self, templates: Mapping[str, Sequence[str]], n_texts: int, frequencies: Mapping[str, int], least: float
+    ):
+        self.rare = math.log(1 + n_texts) + 1
+        given = template_units(templates)
+        known = {t for _, _, counts in given for t in counts}
+        self.idf = {t: math.log((1 + n_texts) / (1 + frequencies.get(t, 0))) + 1 for t in known}
+        self.sizes = Counter((name, number) for name, number, _ in given)
+        self.sentences: list[tuple[str, int, Vector, int, float]] = []
+        self.by_anchor: dict[str, list[int]] = {}
+        for i, (name, number, counts) in enumerate(given):
+            vector, size = self.unit_vector(counts), sum(counts.values())
+            needed = least if size >= SHORT_TERMS else max(least, LEAST_SHORT_COSINE)
+            self.sentences.append((name, number, vector, size, needed))
+            left = 1.0
+            for term, weight in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
+                if left < needed * needed - 1e-6:
+                    break
+                self.by_anchor.setdefault(term, []).append(i)
+                left -= weight * weight
+        self.automaton = ahocorasick.Automaton()
+        for term in self.by_anchor:
+            self.automaton.add_word(term, term)
+        self.automaton.make_automaton()
+
+    def unit_vector(self, counts: Mapping[str, int]) -> Vector:
+        weights = {t: n * self.idf.get(t, self.rare) for t, n in counts.items()}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        return {t: w / norm for t, w in weights.items()}
+
+    def has_anchor(self, lower: str) -> bool:
+        return next(self.automaton.iter(lower), None) is not None
+
+    def near(self, text: str) -> dict[int, float]:
+        """The largest cosine of any sentence of the text with each template sentence that it reaches."""
+        found: dict[int, float] = {}
+        lower = text.lower()
+        if not self.by_anchor or not self.has_anchor(lower):
+            return found
+        for unit in units(lower):
+            if not self.has_anchor(unit):
+                continue
+            counts = Counter(terms_of(unit))
+            possible = {i for t in counts for i in self.by_anchor.get(t, ())}
+            if not possible:
+                continue
+            own = self.unit_vector(counts)
+            for i in possible:
+                cosine = round(sum(w * own.get(t, 0.0) for t, w in self.sentences[i][2].items()), 6)
+                if cosine >= self.sentences[i][4]:
+                    found[i] = max(cosine, found.get(i, 0.0))
+        return found
+
+    def best(self, text: str) -> tuple[str, float] | None:
+        """The license of a text, and its largest cosine.
+
+        A template text counts with the sum of its sentences' terms, each times a
+        power of its cosine; of equal ones the text of which more was found, then the
+        first name, wins.
+        """
+        found = self.near(text)
+        if not found:
+            return None
+        totals: dict[tuple[str, int], list[tuple[float, float]]] = {}
+        for i, cosine in found.items():
+            name, number, _, size, _ = self.sentences[i]
+            totals.setdefault((name, number), []).append((cosine, size * cosine**SHARPNESS))
+
+        def order(key: tuple[str, int]):
+            weighed = round(sum(w for _, w in totals[key]), 4)
+            return -weighed, -len(totals[key]) / self.sizes[key], key
+
+        name, _ = min(totals, key=order)
+        return name, max(c for (n, _), found in totals.items() if n == name for c, _ in found)
 
 
 def own_licenses(
     files: DataFrame,
-    templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
+    templates: Mapping[str, Sequence[str]] = TEMPLATES,
     least_cosine: float = LEAST_COSINE,
+    carry: Sequence[str] = ("file",),
 ) -> DataFrame:
-    """``file, license, cosine``: the template nearest to any sentence of a file.
+    """The ``carry`` columns, ``license`` and ``cosine`` of every row of ``files``.
 
-    Files without one at ``least_cosine`` or more are left out. Equal cosines go
-    to the first license by name. The frequencies are those of all candidate
-    sentences and templates; a term that most of them hold is split by AQE.
+    The license is that of the templates whose sentences are nearest to any of the
+    whole text, null if none is at ``least_cosine`` or more (``LEAST_SHORT_COSINE``
+    for short ones). Frequencies are those of all texts. Null and empty texts have no license; equal rows equal ones. Two
+    passes over the texts, no exchange of them.
     """
-    spark = prepare(files.sparkSession)
-    found = stored(candidates(files), "candidates")
-    given = _template_terms(spark, templates)
-    both = found.select("terms").unionByName(given.select("terms"))
-    sentences = found.count() + given.count()
-    seen = both.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("df")
-    )
-    idf = stored(seen.select("term", (F.log((1 + F.lit(sentences)) / (1 + F.col("df"))) + 1).alias("idf")), "idf")
-    lines = _weighed(found, ["file", "piece"], idf)
-    # As long as the templates that the caller gives.
-    wanted = F.broadcast(_weighed(given, ["license", "variant"], idf).withColumnRenamed("weight", "w"))
-    dots = lines.join(wanted, "term").groupBy("file", "piece", "license", "variant").agg(
-        F.sum(F.col("weight") * F.col("w")).alias("cosine")
-    )
-    near = dots.withColumn("cosine", F.round("cosine", 6)).filter(F.col("cosine") >= least_cosine)
-    best = near.groupBy("file").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b"))
-    return best.select("file", F.col("b.license").alias("license"), (-F.col("b.c")).alias("cosine"))
+    vocabulary = frozenset(t for _, _, counts in template_units(templates) for t in counts)
+    n, frequencies = document_frequencies(files, vocabulary)
+    matcher = templates, n, frequencies, least_cosine
+    shared = files.sparkSession.sparkContext.broadcast(matcher)
+    made: list[LicenseMatcher] = []
+
+    def kernel(batch: pa.RecordBatch) -> dict:
+        if not made:
+            made.append(LicenseMatcher(*shared.value))
+        best = [made[0].best(t) for t in texts_of(batch.column("text"))]
+        return {"license": [b and b[0] for b in best], "cosine": [b and b[1] for b in best]}
+
+    carried = files.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("_carry"), "text")
+    found = map_batches(carried, kernel, "license string, cosine double", keep=("_carry",))
+    return found.select(*[F.col("_carry").getField(c).alias(c) for c in carry], "license", "cosine")
 
 
 def directory_of(path: Column | str) -> Column:
@@ -121,28 +208,29 @@ def directory_of(path: Column | str) -> Column:
 
 def scan_licenses(
     files: DataFrame,
-    templates: Mapping[str, tuple[str, ...]] = TEMPLATES,
+    templates: Mapping[str, Sequence[str]] = TEMPLATES,
     license_file: str = LICENSE_FILE,
     least_cosine: float = LEAST_COSINE,
 ) -> DataFrame:
     """``file, path, license, cosine, inherited_from`` for every row of ``files``.
 
-    ``files`` has ``file`` (unique, not null), ``path`` and ``text``. A license found
-    in the text is the file's own, with its cosine. Other files take the license
-    of the nearest directory at or above theirs that has a license file (its path
-    matches ``license_file``) with a license; the nearest cosine, then the first
-    name, wins where a directory has several. Null texts have no license, null
-    paths no directory; files without any license have null. Only directories,
-    one row each, are joined to their ancestors; texts are read once and stay.
+    ``files`` has ``file``, ``path`` and ``text``. A license found in the text is the
+    row's own, with its cosine. Other rows take the license of the nearest directory
+    at or above theirs that has a license file (its path matches ``license_file``)
+    with a license; the nearest cosine, then the first name, wins where a directory
+    has several. Null texts have no license, null paths no directory; rows without
+    any license have null. Rows with equal or null ``file`` or ``path`` are each
+    scanned for themselves; other columns are not used; an empty table gives no
+    rows. Only directories, one row each, are joined to their ancestors; texts are
+    read twice and stay.
     """
-    own = stored(own_licenses(files.select("file", "text"), templates, least_cosine), "licenses")
-    placed = files.select("file", "path", directory_of("path").alias("_dir"))
-    marked = placed.join(own, "file", "left")
+    own = stored(own_licenses(files, templates, least_cosine, carry=("file", "path")), "licenses")
+    marked = own.withColumn("_dir", directory_of("path"))
     holders = marked.filter(F.col("license").isNotNull() & F.col("path").rlike(license_file))
     given = holders.groupBy("_dir").agg(F.min(F.struct((-F.col("cosine")).alias("c"), "license")).alias("b"))
     given = given.select(F.col("_dir").alias("above"), F.col("b.license").alias("inherited"))
 
-    directories = placed.filter(F.col("_dir").isNotNull()).select("_dir").distinct()
+    directories = marked.filter(F.col("_dir").isNotNull()).select("_dir").distinct()
     parts = F.split("_dir", "/")
     depths = F.sequence(F.lit(0), F.size(parts))
     above = F.transform(depths, lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))

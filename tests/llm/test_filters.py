@@ -2,6 +2,8 @@
 
 import math
 import random
+import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -187,20 +189,30 @@ def test_mixed_words_are_rejected(spark, words):
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
+    """Edits between two words; two neighbours changed round are one."""
+    rows = [list(range(len(b) + 1))]
     for i, x in enumerate(a, 1):
-        row, last = [i], row
+        row = [i]
         for j, y in enumerate(b, 1):
-            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
-    return row[-1]
+            row.append(min(rows[-1][j] + 1, row[-1] + 1, rows[-1][j - 1] + (x != y)))
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                row[j] = min(row[j], rows[-2][j - 2] + 1)
+        rows.append(row)
+    return rows[-1][-1]
 
 
 def test_matcher_finds_terms_within_their_edits():
     rng = random.Random(2)
-    terms = ["".join(rng.choice("abcd") for _ in range(rng.randint(2, 9))) for _ in range(30)]
+    terms = ["".join(rng.choice("abcd") for _ in range(rng.randint(2, 11))) for _ in range(30)]
     matcher = toxicity.TermMatcher(terms)
     for _ in range(4000):
-        word = "".join(rng.choice("abcde") for _ in range(rng.randint(0, 10)))
+        word = "".join(rng.choice("abcde") for _ in range(rng.randint(0, 12)))
+        if rng.random() < 0.5:  # two edits of a term, at times a change of neighbours
+            letters = list(rng.choice(terms))
+            for _ in range(2):
+                i = rng.randrange(len(letters))
+                letters[i : i + 2] = rng.choice([letters[i : i + 2][::-1], ["e"], letters[i : i + 2] + ["a"]])
+            word = "".join(letters)
         near = sorted((distance(word, t), t) for t in set(terms) if distance(word, t) <= toxicity.edits_allowed(t))
         assert matcher.match(word) == (near[0][::-1] if near else None)
 
@@ -208,10 +220,114 @@ def test_matcher_finds_terms_within_their_edits():
 def test_states_kept_are_bounded(monkeypatch):
     monkeypatch.setattr(toxicity, "STATES_KEPT", 20)
     matcher = toxicity.TermMatcher(["pathetic", "worthless"])
-    for word in ("pathetik", "wrthless", "pathos", "worthles", "x" * 50):
+    for word in ("pathetik", "wrthless", "pathos", "worthles", "x" * 50, "scumabg", "phatetci", "wrothlses"):
         for _ in range(50):
             found = matcher.match(word)
-        assert (found is not None) == (word in ("pathetik", "wrthless", "worthles"))
+        assert (found is not None) == (word in ("pathetik", "wrthless", "worthles", "wrothlses"))
+
+
+@pytest.mark.parametrize("length", [10, 500, 50_000])
+def test_quotations_of_any_length(length):
+    long = "word " * (length // 10) + "\n" + "word " * (length // 10)
+    text = f'Before "{long}end" and after, “{long}x”. «{long}».'
+    spans = [text[a:b] for a, b in toxicity.quotations(text)]
+    assert spans == [f'"{long}end"', f"“{long}x”", f"«{long}»"]
+
+
+def test_a_missing_mark_does_not_turn_the_rest_inside_out():
+    text = 'He is 6" tall. She said "open and never closed. Then "one two" and „drei“ (")x" and end.'
+    spans = [text[a:b] for a, b in toxicity.quotations(text)]
+    assert spans == ['"one two"', "„drei“", '")x"']
+    assert toxicity.quotations('"') == [] and toxicity.quotations('a"b"c') == []
+
+
+def plain_scores(docs, labels):
+    """The whole score by plain Python: lexicon, near words, features, logistic regression."""
+    def held_out(i):
+        return zlib.crc32(str(i).encode()) % 5 == 0
+
+    known = {}
+    for i, toxic in labels:
+        if i is not None and toxic is not None and not held_out(i):
+            known[i] = max(known.get(i, 0), toxic)
+    training = [(i, text or "", known[i]) for i, text in docs if i in known]
+    counts = defaultdict(lambda: [0, 0])
+    for _, text, toxic in training:
+        for word in {toxicity.normal_word(w) for w in text.split()} - {""}:
+            counts[word][not toxic] += 1
+    n_toxic = sum(t for _, _, t in training)
+    n_other = len(training) - n_toxic
+    share = n_toxic / len(training)
+    terms, lows = {}, {}
+    for word, (x, y) in counts.items():
+        odds = math.log((x + 0.5) / (n_toxic + 1)) - math.log((y + 0.5) / (n_other + 1))
+        lows[word] = odds - math.sqrt(1 / (x + 0.5) + 1 / (y + 0.5))
+        g = sum(2 * k * math.log(k / ((x + y) * p)) for k, p in ((x, share), (y, 1 - share)) if k)
+        enough = x >= max(toxicity.LEAST_DOCUMENTS, math.ceil(toxicity.LEAST_SHARE * n_toxic))
+        if enough and odds >= math.log(toxicity.LEAST_LIFT) and g >= 2 * math.log(len(counts)):
+            terms[word] = max(0.1, min(toxicity.MOST_WEIGHT, lows[word]))
+
+    def hit(word):
+        plain = toxicity.normal_word(word)
+        if plain in terms:
+            return plain, terms[plain]
+        near = sorted((d, t) for t in terms if (d := distance(plain, t)) <= toxicity.edits_allowed(t))
+        if not near:
+            return None
+        if plain in counts:
+            weight = max(0.0, min(toxicity.MOST_WEIGHT, lows[plain]))
+            return (plain, weight) if weight else None
+        return near[0][1], terms[near[0][1]] * toxicity.EDIT_FACTOR ** near[0][0]
+
+    cache = {}
+
+    def features(text):
+        spans = toxicity.quotations(text)
+        sums, out, n = ({}, {}), [], 0
+        for place, m in enumerate(re.finditer(r"\S+", text)):
+            n += 1
+            found = cache.setdefault(m.group(), hit(m.group()))
+            if found:
+                inside = any(a < m.end() and m.start() < b for a, b in spans)
+                sums[inside][found[0]] = max(sums[inside].get(found[0], 0.0), found[1])
+                if not inside:
+                    out.append((place, found[1]))
+        window = max((sum(w for q, w in out if p <= q < p + toxicity.WINDOW) for p, _ in out), default=0.0)
+        density = 100 * sum(w for _, w in out) / max(n, 50)
+        parts = (sum(sums[0].values()), sum(sums[1].values()), window, density, len(sums[0]))
+        return [math.log1p(x) for x in parts]
+
+    x = np.array([features(t) for _, t, _ in training])
+    y = np.array([t for _, _, t in training], float)
+    weights = np.zeros(6)
+    design = np.column_stack([x, np.ones(len(x))])
+    ridge = np.array([1.0] * 5 + [1e-3])
+    for _ in range(200):  # Newton's method, with the gradient as the only test
+        p = 1 / (1 + np.exp(-design @ weights))
+        gradient = design.T @ (p - y) + ridge * weights
+        if np.abs(gradient).max() < 1e-10:
+            break
+        weights -= np.linalg.solve((design.T * (p * (1 - p))) @ design + np.diag(ridge), gradient)
+    return [(i, 1 / (1 + math.exp(-(np.array([*features(text or ""), 1.0]) @ weights)))) for i, text in docs]
+
+
+def test_scores_are_those_of_a_plain_version(toxic_tables):
+    docs, labels, _ = toxic_tables
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = dict(plain_scores(rows, [tuple(r) for r in labels.collect()]))
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, labels).collect()}
+    assert got.keys() == want.keys()
+    assert all(math.isclose(got[i], want[i], rel_tol=1e-6, abs_tol=1e-9) for i in want)
+
+
+def test_repeated_ids_do_not_grow_what_is_collected(spark, toxic_tables):
+    docs, labels, _ = toxic_tables
+    again = docs.unionByName(docs.filter("doc_id = 1").crossJoin(spark.range(300)).select("doc_id", "text"))
+    rows = toxicity.training_rows(again, labels)
+    assert rows.count() > 700
+    scored = toxicity.score_documents(again, labels)
+    assert scored.count() == again.count()
+    assert len({r["score"] for r in scored.filter("doc_id = 1").collect()}) == 1
 
 
 def labelled(words, n=600):
@@ -309,52 +425,154 @@ def test_licenses_are_inherited_from_the_nearest_directory(spark):
     assert licenses.scan_licenses(files.limit(0)).count() == 0
 
 
-def test_headers_without_the_word_license_are_found(spark):
-    rows = [(1, "a text.\nDistributed under the GPL v3\nmore"), (2, "CC BY 4.0"), (3, "Nothing of it.")]
-    found = licenses.own_licenses(spark.createDataFrame(rows, "file long, text string")).collect()
-    assert {r["file"]: r["license"] for r in found} == {1: "GPL-3.0", 2: "CC-BY-4.0"}
+def licenses_of(spark, texts, **options):
+    frame = spark.createDataFrame(list(enumerate(texts)), "file long, text string")
+    return {r["file"]: r["license"] for r in licenses.own_licenses(frame, **options).collect()}
+
+
+MIT_TEXT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND.
+"""
+FOUND = {
+    "SPDX-License-Identifier: MIT": "MIT",
+    "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+    "# SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+    "Released under MIT": "MIT",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    "a text.\nDistributed under the GPL v3\nmore": "GPL-3.0",
+    "CC BY 4.0": "CC-BY-4.0",
+    MIT_TEXT: "MIT",
+    "prose before it. " + MIT_TEXT.replace("\n", "\n * "): "MIT",
+    # By a GPL header as it is usually wrapped, in a comment.
+    "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General"
+    " Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your"
+    " option) any later version.": "GPL-3.0",
+    "SPDX-License-Identifier: Foo-1.0": None,
+    "Nothing of it.": None,
+    "an unrelated licensed driver": None,
+    "": None,
+}
 
 
-def slow_licenses(texts):
-    import re
+@pytest.fixture(scope="module")
+def prose(small_docs):
+    """Texts that say nothing of a license."""
+    texts = small_docs.filter("length(text) < 5000 AND NOT text ILIKE '%licen%' AND NOT text ILIKE '%reserved%'").collect()
+    return [r["text"] for r in texts[:150]]
 
-    def terms(line):
-        return re.findall(licenses.TERM, line.lower())
 
-    hints = re.compile(licenses.HINTS)
-    pieces = [
-        (i, terms(line))
-        for i, text in texts
-        if hints.search(text)
-        for line in re.split(r"\n|(?<=[.;!?])\s+", text)
-        if hints.search(line)
-    ]
-    given = [(name, terms(t)) for name, ts in licenses.TEMPLATES.items() for t in ts]
-    df = Counter(t for _, ts in pieces + given for t in set(ts))
-    n = len(pieces) + len(given)
+def test_headers_and_whole_licenses_are_found(spark, prose):
+    got = licenses_of(spark, [*FOUND, *prose])
+    assert [got[i] for i in range(len(FOUND))] == list(FOUND.values())
+    clauses = "Redistributions in binary form must reproduce the above copyright notice, this list of conditions"
+    assert licenses_of(spark, [clauses, *prose])[0].startswith("BSD")
+
+
+def test_every_wording_is_its_own_license(spark, prose):
+    given = [(name, text) for name, texts in licenses.TEMPLATES.items() for text in texts]
+    got = licenses_of(spark, [f"{prose[i % len(prose)]}\n\n * {text}\n\n{prose[-i % len(prose)]}" for i, (_, text) in enumerate(given)])
+    assert [got[i] for i in range(len(given))] == [name for name, _ in given]
 
-    def vector(ts):
-        v = {t: c * (math.log((1 + n) / (1 + df[t])) + 1) for t, c in Counter(ts).items()}
+
+def slow_licenses(texts, least):
+    """Every unit against every template sentence, without anchors."""
+    given = licenses.template_units(licenses.TEMPLATES)
+    df = Counter(t for text in texts for t in set(licenses.terms_of((text or "").lower())))
+    n = len(texts)
+
+    def vector(counts):
+        known = {t for _, _, c in given for t in c}
+        v = {t: k * (math.log((1 + n) / (1 + (df[t] if t in known else 0))) + 1) for t, k in counts.items()}
         norm = math.sqrt(sum(x * x for x in v.values()))
         return {t: x / norm for t, x in v.items()}
 
-    wanted = [(name, vector(ts)) for name, ts in given]
-    best = {}
-    for i, ts in pieces:
-        own = vector(ts)
-        for name, w in wanted:
-            cosine = round(sum(x * w.get(t, 0) for t, x in own.items()), 6)
-            if cosine >= licenses.LEAST_COSINE:
-                best[i] = min(best.get(i, (1.0, "~")), (-cosine, name))
-    return {i: (name, -c) for i, (c, name) in best.items()}
-
-
-def test_cosines_are_those_of_a_plain_count(small_docs):
-    texts = [(r["doc_id"], r["text"]) for r in small_docs.collect()]
-    texts += [(10**6 + i, t) for i, t in enumerate(["Licensed under CC BY 4.0", "licensed under cc by-nc 4.0 and more words"])]
-    files = small_docs.sparkSession.createDataFrame(texts, "file long, text string")
-    got = {r["file"]: (r["license"], r["cosine"]) for r in licenses.own_licenses(files).collect()}
-    want = slow_licenses(texts)
-    assert got.keys() == want.keys() and len(want) > 3
-    for file, (name, cosine) in want.items():
-        assert got[file][0] == name and abs(got[file][1] - cosine) < 2e-6
+    wanted = [vector(c) for _, _, c in given]
+    result = []
+    for text in texts:
+        found = {}
+        for unit in licenses.units((text or "").lower()):
+            terms = Counter(licenses.terms_of(unit))
+            if not terms:
+                continue
+            own = vector(terms)
+            for i, w in enumerate(wanted):
+                cosine = round(sum(x * own.get(t, 0.0) for t, x in w.items()), 6)
+                short = sum(given[i][2].values()) < licenses.SHORT_TERMS
+                if cosine >= (max(least, licenses.LEAST_SHORT_COSINE) if short else least):
+                    found[i] = max(cosine, found.get(i, 0.0))
+        result.append(found)
+    return result
+
+
+@pytest.mark.parametrize("least", [0.4, 0.6])
+def test_anchors_lose_nothing(small_docs, least):
+    """All cosines of all units, with common words shared on purpose, by plain counts."""
+    rng = random.Random(8)
+    pool = [t for _, _, c in licenses.template_units(licenses.TEMPLATES) for t in c]
+    texts = [r["text"] for r in small_docs.limit(60).collect()] + list(FOUND)
+    for _ in range(150):
+        _, _, counts = rng.choice(licenses.template_units(licenses.TEMPLATES))
+        words = [w for w in counts.elements() if rng.random() < 0.8] + rng.choices(pool, k=rng.randint(0, 6))
+        rng.shuffle(words)
+        texts.append("prose. " + " ".join(words) + ".")
+    texts.append(None)
+    vocabulary = frozenset(pool)
+    frame = small_docs.sparkSession.createDataFrame([(t,) for t in texts], "text string")
+    n, frequencies = licenses.document_frequencies(frame, vocabulary)
+    assert n == len(texts)
+    matcher = licenses.LicenseMatcher(licenses.TEMPLATES, n, frequencies, least)
+    assert [matcher.near(t or "") for t in texts] == slow_licenses(texts, least)
+
+
+def test_licenses_of_edge_documents(spark, edge_docs, no_docs):
+    """Null and repeated ids and paths: each row for itself, none lost."""
+    found = licenses.scan_licenses(edge_docs.withColumns({"file": F.col("doc_id"), "path": F.lit(None).cast("string")}))
+    assert found.count() == edge_docs.count() and found.filter("license IS NOT NULL").count() == 0
+    none = no_docs.withColumns({"file": F.col("doc_id"), "path": F.lit("a/b")})
+    assert licenses.scan_licenses(none).count() == 0
+    rows = [
+        (None, "x/LICENSE", "Released under the MIT License"),
+        (1, "y/LICENSE", "Released under the MIT License"),
+        (1, "z/a", "nothing"),
+        (2, "z/b", "Released under the MIT License"),
+        (2, "z/b", "Licensed under the Apache License, Version 2.0"),
+        (None, None, "Released under the MIT License"),
+        (3, None, None),
+    ]
+    frame = spark.createDataFrame(rows, "file long, path string, text string")
+    got = sorted(map(str, licenses.scan_licenses(frame).select("file", "path", "license").collect()))
+    wanted = ["MIT", "MIT", None, "MIT", "Apache-2.0", "MIT", None]
+    expected = spark.createDataFrame([(f, p, w) for (f, p, _), w in zip(rows, wanted)], "file long, path string, license string")
+    assert got == sorted(map(str, expected.collect()))
+
+
+def test_planted_headers_are_found(spark, prose):
+    """One in three texts gets a header somewhere; prose around it, line ends and case differ."""
+    rng = random.Random(4)
+    given = [(name, text) for name, texts in licenses.TEMPLATES.items() for text in texts]
+    rows, wanted = [], {}
+    for i, text in enumerate(prose):
+        if i % 3 == 0:
+            name, header = rng.choice(given)
+            lines = text.split("\n")
+            header = rng.choice([header, header.upper(), f"# {header}", f"/* {header} */"])
+            lines.insert(rng.randint(0, len(lines)), header)
+            text, wanted[i] = "\n".join(lines), name
+        rows.append((i, text))
+    got = {r["file"]: r["license"] for r in licenses.own_licenses(spark.createDataFrame(rows, "file long, text string")).collect()}
+    right = sum(got[i] == name for i, name in wanted.items())
+    assert right >= 0.95 * len(wanted)
+    assert all(got[i] is None for i in range(len(prose)) if i not in wanted)

@@ -34,7 +34,6 @@ WINDOW = 15  # words
 STATES_KEPT = 50_000
 WORDS_KEPT = 200_000
 
-_QUOTED = re.compile("\"[^\"\n]{1,400}\"|“[^”\n]{1,400}”|«[^»\n]{1,400}»|„[^“”\n]{1,400}[“”]")
 _WORD = re.compile(r"\S+")
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -45,9 +44,40 @@ def normal_word(word: str) -> str:
     return word if word.isalnum() else _EDGES.sub("", word)
 
 
+# Marks that open a quotation, and those that end it; straight ones tell by what stands around them.
+CLOSING = {"“": "”", "«": "»", "„": "“”"}
+_MARK = re.compile('["“”«»„]')
+
+
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Where quotations begin and end, of any length and over line breaks.
+
+    A straight mark opens after white space or an opening bracket and before
+    other text, and closes the other way round; in another place it closes what is
+    open. A quotation that is opened again before its end has none: its first mark
+    is passed over, so that a missing mark does not turn the rest inside out.
+    """
+    found = []
+    begin, ends = 0, ""
+    for m in _MARK.finditer(text):
+        mark, at = m.group(), m.start()
+        if mark == '"':
+            after_gap = at == 0 or text[at - 1].isspace() or text[at - 1] in "([{"
+            before_gap = at + 1 == len(text) or text[at + 1].isspace()
+            opens, closes = after_gap and not before_gap, '"' in ends
+        else:
+            opens, closes = mark in CLOSING, mark in ends
+        if closes and not (opens and mark == '"'):
+            found.append((begin, at + 1))
+            ends = ""
+        elif opens:
+            begin, ends = at, CLOSING.get(mark, '"')
+    return found
+
+
 def edits_allowed(term: str) -> int:
-    """Short terms are near too many other words."""
-    return 0 if len(term) < 5 else 1
+    """Short terms are near too many other words. Two neighbours changed round are one edit."""
+    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
 class TermMatcher:
@@ -73,16 +103,18 @@ class TermMatcher:
         self._restart()
 
     def _restart(self) -> None:
-        # A state holds the fewest edits for each trie node; 0 is the start, -1 dead.
+        # A state holds the fewest edits for each trie node, and for each node that is
+        # reached if a certain character follows, the first of two changed round;
+        # 0 is the start, -1 dead.
         self.numbers: dict[frozenset, int] = {}
-        self.states: list[dict[int, int]] = []
+        self.states: list[dict[int | tuple[int, str], int]] = []
         self.steps: list[dict[str, int]] = []
         self.found: list[tuple[str, int] | None] = []
         self._state(self._closed({0: 0}))
 
     def _closed(self, nodes: dict[int, int]) -> dict[int, int]:
         """With the nodes reached by leaving out characters of terms."""
-        todo = list(nodes)
+        todo = [n for n in nodes if isinstance(n, int)]
         while todo:
             node = todo.pop()
             edits = nodes[node] + 1
@@ -100,21 +132,29 @@ class TermMatcher:
             self.numbers[key] = len(self.states)
             self.states.append(nodes)
             self.steps.append({})
-            ends = [(e, t) for n, e in nodes.items() if (t := self.term_at[n]) and e <= edits_allowed(t)]
+            plain = ((n, e) for n, e in nodes.items() if isinstance(n, int))
+            ends = [(e, t) for n, e in plain if (t := self.term_at[n]) and e <= edits_allowed(t)]
             self.found.append(min(ends)[::-1] if ends else None)
         return self.numbers[key]
 
     def _step(self, state: int, char: str) -> int:
-        following: dict[int, int] = {}
+        following: dict[int | tuple[int, str], int] = {}
 
-        def reach(node: int, edits: int) -> None:
-            if edits <= self.allowed[node] and edits < following.get(node, edits + 1):
-                following[node] = edits
+        def reach(node: int, edits: int, awaited: str | None = None) -> None:
+            key = node if awaited is None else (node, awaited)
+            if edits <= self.allowed[node] and edits < following.get(key, edits + 1):
+                following[key] = edits
 
         for node, edits in self.states[state].items():
+            if not isinstance(node, int):
+                if node[1] == char:
+                    reach(node[0], edits)
+                continue
             reach(node, edits + 1)  # a character too many
             for other, child in self.children[node].items():
                 reach(child, edits + (other != char))
+                if other != char and char in self.children[child]:
+                    reach(self.children[child][char], edits + 1, awaited=other)
         result = self.steps[state][char] = self._state(self._closed(following))
         return result
 
@@ -184,12 +224,12 @@ def features(text: str, weights: WordWeights) -> tuple[float, ...]:
 
     Each term counts once for a sum, by its best hit. ``window`` is the largest sum
     over ``WINDOW`` successive words outside quotation marks, ``density`` the sum
-    for each hundred words, ``terms`` the number of terms.
+    for each hundred words, ``terms`` the number of terms; all as logarithms.
     """
     words = text.split()
     if not any(map(weights.__getitem__, dict.fromkeys(words))):
         return (0.0,) * len(FEATURES)
-    inside = [m.span() for m in _QUOTED.finditer(text)]
+    inside = quotations(text)
     sums: tuple[dict, dict] = ({}, {})
     hits: list[tuple[int, float]] = []
     at = 0
@@ -213,7 +253,7 @@ def features(text: str, weights: WordWeights) -> tuple[float, ...]:
         best = max(best, total)
     abuse, quote = (sum(s.values()) for s in sums)
     density = 100 * sum(w for _, w in hits) / max(len(words), 50)
-    return tuple(math.log1p(max(0.0, x)) for x in (abuse, quote, best, density)) + (float(min(len(sums[0]), 10)),)
+    return tuple(math.log1p(max(0.0, x)) for x in (abuse, quote, best, density, len(sums[0])))
 
 
 # --- learning --------------------------------------------------------------
@@ -224,14 +264,15 @@ def is_held_out(doc_id: str = "doc_id") -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> DataFrame:
-    """``text, toxic`` of up to ``most`` labelled documents that are not held out.
+    """``doc_id, text, toxic`` of up to ``most`` labelled documents that are not held out.
 
-    The labels are few enough to be sent to the texts, which stay where they are.
+    The labels are few enough to be sent to the texts, which stay where they are. A
+    ``doc_id`` that is repeated there gives a row for each.
     """
     rows = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~is_held_out())
     chosen = rows.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic")
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -355,7 +396,9 @@ def score_documents(
     if not lexicon.terms:
         score: Column = F.lit(0.0)
     else:
-        learnt = document_features(rows, lexicon).toArrow()
+        # One row for each labelled id, however often it is repeated: that bounds what is collected.
+        every = document_features(rows, lexicon).groupBy("doc_id")
+        learnt = every.agg(F.min(F.struct(*FEATURES, "toxic")).alias("r")).select("r.*").toArrow()
         x = np.column_stack([learnt.column(f).to_numpy() for f in FEATURES])
         y = learnt.column("toxic").to_numpy(zero_copy_only=False).astype(float)
         *weights, intercept = fit_logistic(x, y).tolist()

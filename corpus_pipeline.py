@@ -2,11 +2,14 @@
 
 ``run`` applies the stages to ``documents``; each result is written as Parquet
 and read again as the next stage's input. All stages but the last return the
-columns of ``documents``.
+columns of ``documents``. A stage removes what the one before it had stored for
+itself, so that must have been written by then.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
 from pathlib import Path
 
 import public_tokenizers
@@ -16,35 +19,54 @@ from pyspark.sql import functions as F
 from tidemark.llm import chunk_dedup, packing, quality, simhash, toxicity
 from tidemark.llm.shared import numbered, prepare, without_rows
 from tidemark.operators.joins import left_lookup
-from tidemark.session import stored
+from tidemark.session import clear_scratch, scratch_scope, stored
 
 SEQUENCE_TOKENS = 1024
 END_ID = 2
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+_stored_before: dict[str, str] = {}
 
+
+def cleared(stage: Stage) -> Stage:
+    """The stage, which stores its intermediate results in a folder of its own and clears the last stage's."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        before = _stored_before.pop(spark.sparkContext.applicationId, None)
+        if before:
+            clear_scratch(spark, before)
+        with scratch_scope(spark, stage.__name__) as folder:
+            _stored_before[spark.sparkContext.applicationId] = folder
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@cleared
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    prepare(spark)
     rows = numbered(docs)
     verdicts = quality.quality(rows, carry=("_row",))
     return without_rows(rows, verdicts.filter("NOT kept"))
 
 
+@cleared
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
-    prepare(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     rows = numbered(docs)
     scores = toxicity.score_documents(rows, labels, carry=("_row",))
     return without_rows(rows, scores.filter("predicted = 1"))
 
 
+@cleared
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate component: that of the smallest id.
 
     Ids that are null come last; among equal ids the first row of the table stays.
     """
-    prepare(spark)
     rows = numbered(docs)
     near = stored(simhash.near_duplicates(rows, carry=("doc_id", "_row")), "near")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
@@ -53,12 +75,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return without_rows(rows, others)
 
 
+@cleared
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that earlier ones have; ``n_chars`` follows the text.
 
     A document that is left without a word still has its row.
     """
-    prepare(spark)
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     cut = chunk_dedup.dedup_substrings(docs.select("doc_id", "text", F.struct(*others).alias("_doc")), carry=("_doc",))
 
@@ -73,9 +95,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return cut.select(*map(column, docs.columns))
 
 
+@cleared
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Place of every piece of the documents in sequences of 1024 tokens."""
-    prepare(spark)
     words = Path(public_tokenizers.path("byte_bpe_50k.json")).read_bytes()
     return packing.pack_documents(docs, words, END_ID, SEQUENCE_TOKENS)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -79,21 +81,37 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scopes: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing path below the shared folder, in this application's part of it."""
-    return os.path.join(_scratch_root(spark), f"{label}-{uuid.uuid4().hex}")
+    return os.path.join(_scratch_root(spark), *_scopes, f"{label}-{uuid.uuid4().hex}")
 
 
 def _scratch_root(spark: SparkSession) -> str:
     return os.path.join(shared_folder(spark), "tidemark", spark.sparkContext.applicationId)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove everything that this application stored, by writing an empty table in its place.
+@contextmanager
+def scratch_scope(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for everything that is stored inside the ``with`` block, to be cleared together."""
+    folder = scratch_path(spark, label)
+    _scopes.append(os.path.basename(folder))
+    try:
+        yield folder
+    finally:
+        _scopes.pop()
+
+
+def clear_scratch(spark: SparkSession, folder: str | None = None) -> None:
+    """Remove what is in a folder of ``scratch_scope``, or everything that this application stored.
 
-    For the end of a job: frames that read stored results cannot be used afterwards.
+    An empty table is written in its place. Frames that read stored results of it
+    cannot be used afterwards.
     """
-    spark.createDataFrame([], "nothing int").coalesce(1).write.mode("overwrite").parquet(_scratch_root(spark))
+    nothing = spark.createDataFrame([], "nothing int").coalesce(1)
+    nothing.write.mode("overwrite").parquet(folder or _scratch_root(spark))
 
 
 def stored(frame: DataFrame, label: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """Column functions, UDF twins, readers and writers on literal rows."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,11 +30,13 @@ from tidemark.sources.readers import (
     parts_of_size,
     range_partitioned,
     stride_partitioned,
+    stride_scans,
     read_delimited,
     read_json,
     schema_as_ddl,
     with_source_file,
 )
+from tidemark.operators.snapshots import all_versions, read_as_of, remove_versions, write_version
 from tidemark.sources.writers import (
     compact,
     create_external_table,
@@ -74,8 +78,8 @@ def test_ladder_takes_the_first_match(spark):
 
 
 def test_file_names(spark):
-    path = "abfss://c@a/stocks/APPL_17.csv"
-    assert one(spark, file_name, path) == "APPL_17.csv"
+    path = "/data/stocks/ABC_17.csv"
+    assert one(spark, file_name, path) == "ABC_17.csv"
     assert one(spark, file_number, path) == 17
     assert one(spark, file_number, "readme.md") is None
 
@@ -277,3 +281,28 @@ def test_strides_lose_no_row(spark):
     assert sorted((r.k is not None, r.k or 0) for r in parts) == sorted((k is not None, k or 0) for (k,) in rows)
     at = {r.k: r.p for r in parts}
     assert (at[-5], at[0], at[50], at[99], at[1000], at[None]) == (0, 0, 2, 3, 3, 0)
+
+
+def test_strides_are_filters_of_their_own_scans(spark, tmp_path, capsys):
+    rows = [(k,) for k in [-5, 0, 7, 24, 25, 50, 74, 99, 1000, None]]
+    spark.createDataFrame(rows, "k bigint").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    for n in (1, 3, 4, 200):
+        parts = stride_scans(table, "k", 0, 99, n)
+        assert sorted(map(str, parts.collect())) == sorted(map(str, table.collect()))
+    stride_scans(table, "k", 0, 99, 4).explain()
+    plan = capsys.readouterr().out
+    assert "Exchange" not in plan and plan.count("FileScan") == 4
+    assert "GreaterThanOrEqual(k,25), LessThan(k,50)" in plan
+    assert stride_scans(table, "k", 0, 0, 5).count() == 10
+
+
+def test_removed_versions_free_their_files(spark, tmp_path):
+    root = str(tmp_path / "v")
+    for i in range(3):
+        write_version(spark.range(10 * (i + 1)), root, i, datetime(2024, 1, 1 + i))
+    assert remove_versions(spark, root, keep_from=2) == [0, 1]
+    left = [f for f in tmp_path.rglob("*.parquet") if "version=2" not in str(f)]
+    assert left == []
+    assert read_as_of(all_versions(spark, root)).count() == 30
+    assert remove_versions(spark, root, keep_from=2) == []

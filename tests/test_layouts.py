@@ -37,10 +37,13 @@ def dimension(spark):
 
 
 def test_frequent_keys_are_found_and_bounded(facts):
-    found = {r["k"]: r["_pieces"] for r in frequent_keys(facts, ["k"], 8).collect()}
+    by_hash = frequent_keys(facts, ["k"], 8)
+    hashes = {r["k"]: r["h"] for r in facts.select("k", F.xxhash64("k").alias("h")).distinct().collect()}
+    found = {k: by_hash[h] for k, h in hashes.items() if k is not None and h in by_hash}
     counts = Counter(r["k"] for r in facts.select("k").collect())
-    assert set(found) == {7, 8}
+    assert set(found) == {7, 8} and len(by_hash) == 2
     assert all(abs(found[k] - counts[k] / (60_000 / (8 * 16))) <= 1 for k in found)
+    assert frequent_keys(facts.filter("k > 100"), ["k"], 8) == frequent_keys(facts.limit(0), ["k"], 8) == {}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])

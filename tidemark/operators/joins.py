@@ -8,6 +8,7 @@ a list of the frequent keys, whose length its parameter bounds.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
@@ -15,8 +16,6 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import stored
-
 
 def quoted(names: Sequence[str]) -> list[str]:
     """Names as they are, also with dots in them."""
@@ -55,25 +54,24 @@ PIECES_PER_PARTITION = 16
 
 def frequent_keys(
     facts: DataFrame, keys: Sequence[str], partitions: int, pieces_per_partition: int = PIECES_PER_PARTITION
-) -> DataFrame:
-    """(keys, _pieces): keys with over a quarter of an even partition's rows, and into how many pieces they go.
+) -> dict[int, int]:
+    """Into how many pieces the rows of each frequent key go, by the key's hash.
 
-    One pass over the key columns finds candidates (a summary of bounded size that
-    misses no key of that share), a second one counts these exactly. There are
-    ``4 * partitions`` keys at most, so the list may be broadcast.
+    Frequent is a key with over a quarter of an even partition's rows, so there are
+    ``4 * partitions`` at most. Their counts come from a summary of bounded size,
+    made in one pass over the key columns, and are as exact as dealing needs.
     """
-    key = F.struct(*quoted(keys)).alias("_key")
-    whole = facts.select(key).dropna(subset=["_key"])
-    support = max(1e-4, 1 / (4 * partitions))
-    candidates = whole.freqItems(["_key"], support).select(F.inline("_key_freqItems"))
-    match = [F.col(k).eqNullSafe(F.col(f"_c{i}")) for i, k in enumerate(quoted(keys))]
-    renamed = candidates.toDF(*[f"_c{i}" for i in range(len(keys))])
-    counted = facts.join(F.broadcast(renamed), reduce(and_, match), "left_semi").groupBy(*quoted(keys))
+    most = 4 * partitions
+    tracked = max(1024, 8 * most)
     known = reduce(and_, [F.col(k).isNotNull() for k in quoted(keys)])
-    piece = F.greatest(facts.agg(F.count(F.lit(1))).scalar() / (partitions * pieces_per_partition), F.lit(1.0))
-    pieces = F.ceil(F.col("_n") / piece).cast("int")
-    found = counted.agg(F.count(F.lit(1)).alias("_n")).filter(known)
-    return found.select(*quoted(keys), pieces.alias("_pieces")).filter(F.col("_pieces") > pieces_per_partition / 4)
+    digest = F.when(known, F.xxhash64(*quoted(keys))).alias("_key")
+    found = facts.select(digest).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(_key, {most}, {tracked})").alias("top")
+    )
+    n, top = found.first()
+    piece = max(1.0, (n or 0) / (partitions * pieces_per_partition))
+    pieces = {r["item"]: math.ceil(r["count"] / piece) for r in top or () if r["item"] is not None}
+    return {key: k for key, k in pieces.items() if k > pieces_per_partition / 4}
 
 
 def salted_join(
@@ -92,22 +90,31 @@ def salted_join(
     repeated once for each piece; all other rows are joined as they are. AQE splits
     a partition only beyond its size bound; this also spreads keys below it, and
     keys whose join makes many rows of few. Null keys, which match nothing, are
-    spread as well. Meant for an ``other`` with few rows a key.
+    spread as well. Without a frequent key it is a plain join. Meant for an
+    ``other`` with few rows a key.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be 'inner' or 'left', got {how!r}")
     partitions = partitions or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = stored(frequent_keys(facts, keys, partitions, pieces_per_partition), "frequent-keys")
-    listed = F.broadcast(hot)  # bounded: see frequent_keys
+    pieces = frequent_keys(facts, keys, partitions, pieces_per_partition)
+    columns = [*facts.columns, *[c for c in other.columns if c not in keys]]
+    if not pieces:
+        return facts.join(other, list(keys), how).select(*quoted(columns))
+    hot = facts.sparkSession.createDataFrame(list(pieces.items()), "_hash long, _pieces int")
     known = reduce(and_, [F.col(k).isNotNull() for k in quoted(keys)])
+
+    def with_pieces(frame: DataFrame) -> DataFrame:
+        keyed = frame.withColumn("_hash", F.when(known, F.xxhash64(*quoted(keys))))
+        # As long as frequent_keys allows.
+        return keyed.join(F.broadcast(hot), "_hash", "left").drop("_hash")
+
     digest = F.xxhash64(*quoted(spread or facts.columns))
-    pieces = F.when(known, F.coalesce("_pieces", F.lit(1))).otherwise(F.lit(partitions * pieces_per_partition))
-    dealt = facts.join(listed, list(keys), "left").withColumn("_piece", F.pmod(digest, pieces).cast("int"))
-    repeated = other.join(listed, list(keys), "left").withColumn(
+    n = F.when(known, F.coalesce("_pieces", F.lit(1))).otherwise(F.lit(partitions * pieces_per_partition))
+    dealt = with_pieces(facts).withColumn("_piece", F.pmod(digest, n).cast("int"))
+    repeated = with_pieces(other).withColumn(
         "_piece", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1))
     )
     joined = dealt.drop("_pieces").join(repeated.drop("_pieces"), [*keys, "_piece"], how)
-    columns = [*facts.columns, *[c for c in other.columns if c not in keys]]
     return joined.select(*quoted(columns))
 
 

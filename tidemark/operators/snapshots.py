@@ -27,12 +27,25 @@ def write_version(frame: DataFrame, root: str, version: int, committed_at: datet
 def all_versions(spark: SparkSession, root: str, keep_from: int = 0) -> DataFrame:
     """Rows of all versions from ``keep_from`` on, with ``version`` and ``committed_at``.
 
-    Expiry is the filter: the folders of earlier versions are not opened and can
-    be removed whenever no reader is left.
+    Expiry is the filter: the folders of earlier versions are not opened, and
+    ``remove_versions`` frees them when no reader is left.
     """
     return spark.read.parquet(root).filter(F.col("version") >= keep_from)
 
 
+def remove_versions(spark: SparkSession, root: str, keep_from: int) -> list[int]:
+    """Free the files of the versions before ``keep_from``, and tell which these were.
+
+    Their folders stay, without rows: an empty table is written in their place.
+    """
+    versions = spark.read.parquet(root)
+    gone = [r[0] for r in versions.filter(F.col("version") < keep_from).select("version").distinct().collect()]
+    nothing = spark.createDataFrame([], versions.drop("version").schema)
+    for version in gone:
+        nothing.write.mode("overwrite").partitionBy("committed_at").parquet(f"{root}/version={version}")
+    return sorted(gone)
+
+
 def history(versions: DataFrame) -> DataFrame:
     """``version, committed_at, n_rows``; Parquet footers are all that is read."""
     return versions.groupBy(*VERSION_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows"))

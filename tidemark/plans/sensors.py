@@ -277,6 +277,13 @@ def upsert_rollup(
     return merge_upsert(target, source, [*keys, time])
 
 
+def upsert_in_days(
+    spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], batch_id: int | str | None = None
+) -> bool:
+    """``upsert_rollup`` of a table in days (``with_day``): only the days of the source are rewritten."""
+    return merge_into_partitions(spark, path, source, [*keys, "window_end"], ["day"], batch_id)
+
+
 def pending_windows(
     target: DataFrame, time: str, initial: datetime, now: datetime, seconds: int
 ) -> DataFrame:
@@ -390,7 +397,7 @@ def catch_up_held(
     pending = summarise_held(
         readings, keys, time, value, begin, end, window_seconds, slot_seconds, previous, tiebreak
     )
-    merge_into_partitions(spark, path, with_day(pending), [*keys, "window_end"], ["day"], batch_id)
+    upsert_in_days(spark, path, with_day(pending), keys, batch_id)
     return begin, end
 
 
@@ -414,7 +421,7 @@ def roll_up_range(
     first_day, last_day = (F.to_date(F.timestamp_seconds(F.lit(s))) for s in (low, high - 1))
     inside = F.col("day").between(first_day, last_day) & (F.col("end_second") > low) & (F.col("end_second") <= high)
     coarse = rollup(rows.filter(inside).drop("end_second", "day"), keys, seconds)
-    merge_into_partitions(spark, coarse_path, with_day(coarse), [*keys, "window_end"], ["day"], batch_id)
+    upsert_in_days(spark, coarse_path, with_day(coarse), keys, batch_id)
 
 
 def latest_descriptions(

@@ -11,7 +11,7 @@ from tidemark.sources.readers import (
     read_delimited,
     read_json,
     schema_as_ddl,
-    stride_partitioned,
+    stride_scans,
     with_source_file,
 )
 from tidemark.sources.writers import write_csv, write_documents, write_json, write_parquet
@@ -220,13 +220,11 @@ def source_file_path(t: Tables):
     """,
 )
 def jdbc_partitioned_scan(t: Tables):
-    """A filtered table split in strides of its key; the filter reaches the scan.
+    """A filtered table read in strides of its key: both filters reach each of the scans.
 
-    The bounds come from the key, the number of partitions from the planned bytes.
+    The bounds come from the key, the number of scans from the files' bytes, 64 at most.
     """
     low, high = t.orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
     wanted = t.orders.filter("o_orderstatus <> 'P' AND o_totalprice > 1000")
-    n = parts_of_size(wanted, 128 << 20)
-    return stride_partitioned(wanted, "o_orderkey", low or 0, high or 0, n).select(
-        "o_orderkey", "o_custkey", "o_totalprice"
-    )
+    n = min(64, max(8, parts_of_size(wanted, 128 << 20)))
+    return stride_scans(wanted, "o_orderkey", low or 0, high or 0, n).select("o_orderkey", "o_custkey", "o_totalprice")

@@ -21,7 +21,7 @@ from tidemark.plans.sensors import (
     rollup,
     summarise_held,
     summarise_latest,
-    upsert_rollup,
+    upsert_in_days,
     upsert_tags,
     whole_periods,
     with_audit,
@@ -219,15 +219,17 @@ def rollup_day_end(t: Tables):
 
 @query("upsert_rollup", f"WITH {HOURLY_CTES} {SHOWN_SQL} FROM hourly")
 def merged_rollup(t: Tables):
-    """An hourly table of the first 20 days, stale from the 11th on, brought up to date."""
-    hourly = stored(rollup(sparse_summary(t), KEYS, HOUR), "hourly")
-    end = F.col("window_end")
-    day_11 = F.lit("2024-01-11 00:00:00").cast("timestamp")
-    day_21 = F.lit("2024-01-21 00:00:00").cast("timestamp")
-    stale = F.when(end > day_11, F.lit(None).cast("double")).otherwise(F.col("last_value"))
-    target = hourly.filter(end <= day_21).withColumn("last_value", stale)
-    source = hourly.filter(end > day_11)
-    return shown(upsert_rollup(target, source, KEYS))
+    """An hourly table of the first 20 days, stale from the 11th on, brought up to date in place.
+
+    Only the days that the source's hours lie in are read and written again.
+    """
+    path = scratch_path(t.spark, "hourly-days")
+    hourly = stored(with_day(rollup(sparse_summary(t), KEYS, HOUR)), "hourly")
+    day_10, day_20 = (F.lit(f"2024-01-{d}").cast("date") for d in (10, 20))
+    stale = F.when(F.col("day") <= day_10, F.col("last_value"))
+    upsert_in_days(t.spark, path, hourly.filter(F.col("day") <= day_20).withColumn("last_value", stale), KEYS)
+    upsert_in_days(t.spark, path, hourly.filter(F.col("day") > day_10), KEYS)
+    return merged_days(t, path)
 
 
 @query("catch_up_from_target", f"WITH {HOURLY_CTES} {SHOWN_SQL} FROM hourly")
@@ -279,7 +281,7 @@ def merged_in_place(t: Tables):
         return hourly.filter(F.col("day").between(F.lit(low).cast("date"), F.lit(high).cast("date")))
 
     old = days("1970-01-01", "2024-01-20")
-    stale = F.when(F.col("day") > F.lit("2024-01-10").cast("date"), F.lit(None)).otherwise(F.col("last_value"))
+    stale = F.when(F.col("day") <= F.lit("2024-01-10").cast("date"), F.col("last_value"))
     merge_into_partitions(t.spark, path, old.withColumn("last_value", stale), by_key, ["day"], "old")
     merge_into_partitions(t.spark, path, days("2024-01-11", "2024-01-15"), by_key, ["day"], 1)
     for _ in range(2):

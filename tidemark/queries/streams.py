@@ -89,7 +89,7 @@ def delivered_events(t: Tables) -> str:
         numbered = t.events.withColumn("_delivery", delivery_number(t))
         for i in range(DELIVERIES):
             rows = numbered.filter(F.col("_delivery") == i).drop("_delivery")
-            rows.repartition(1).write.mode("append").parquet(folder)
+            rows.hint("rebalance").write.mode("append").parquet(folder)
         _delivered[key] = folder
     return _delivered[key]
 
@@ -643,7 +643,7 @@ def replayed_events(t: Tables) -> str:
     for file in files:
         rows = t.spark.read.parquet(file)
         again = rows if before is None else rows.unionByName(before)
-        again.repartition(1).write.mode("append").parquet(folder)
+        again.hint("rebalance").write.mode("append").parquet(folder)
         newest = rows.agg(F.max("ts")).scalar()
         before = rows.filter(F.col("ts") > newest - F.expr("interval 1 hour"))
     return folder
@@ -718,7 +718,7 @@ def stream_upsert_rollup(t: Tables):
     numbered = t.events.withColumn("_delivery", number)
     for i in range(DELIVERIES + 1):
         rows = numbered.filter(F.col("_delivery") == i).drop("_delivery")
-        rows.repartition(1).write.mode("append").parquet(deliveries)
+        rows.hint("rebalance").write.mode("append").parquet(deliveries)
     stream = file_stream(t.spark, deliveries, t.events.schema, files_per_trigger=1)
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     handle = upsert_periods(readings, table, ["user_id", "event_type"], "ts", "value", 3600, ["event_id"])

@@ -14,6 +14,7 @@ from tidemark.operators.snapshots import (
     history,
     read_as_of,
     read_version,
+    remove_versions,
     write_version,
 )
 from tidemark.queries.registry import Tables, query
@@ -62,15 +63,15 @@ def partly_upserted(t: Tables):
     return merge_upsert(*old_and_new(t), ["o_orderkey"], ["o_orderstatus"])
 
 
-def three_versions(t: Tables, keep_from: int = 0) -> DataFrame:
+def three_versions(t: Tables, root: str | None = None) -> DataFrame:
     """All orders; then only finished ones; then only the dear ones of these."""
-    root = scratch_path(t.spark, "orders-versions")
+    root = root or scratch_path(t.spark, "orders-versions")
     orders = t.orders.select(*COLUMNS)
     finished = orders.filter("o_orderstatus = 'F'")
     write_version(orders, root, 0, datetime(2024, 1, 1, 12))
     write_version(finished, root, 1, datetime(2024, 1, 2, 12))
     write_version(finished.filter("o_totalprice > 100000"), root, 2, datetime(2024, 1, 3, 12))
-    return all_versions(t.spark, root, keep_from)
+    return all_versions(t.spark, root)
 
 
 FIRST_SQL = f"SELECT {', '.join(COLUMNS)} FROM orders"
@@ -123,7 +124,10 @@ def schema_change_overwrite(t: Tables):
 
 @query("expire_versions", f"{FIRST_SQL} WHERE o_orderstatus = 'F'")
 def expired(t: Tables):
-    """The oldest version that is left when the first has expired."""
-    kept = three_versions(t, keep_from=1)
+    """The oldest version that is left when the first has expired and its files are removed."""
+    root = scratch_path(t.spark, "orders-versions")
+    three_versions(t, root)
+    remove_versions(t.spark, root, keep_from=1)
+    kept = all_versions(t.spark, root, keep_from=1)
     oldest = kept.agg(F.min("version")).scalar()
     return kept.filter(F.col("version") == oldest).select(*COLUMNS)

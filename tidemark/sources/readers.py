@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -96,3 +98,23 @@ def stride_partitioned(
     number = F.floor((F.col(column) - F.lit(lower)) / F.lit(stride))
     inside = F.greatest(F.lit(0), F.least(F.lit(partitions - 1), F.coalesce(number, F.lit(0))))
     return frame.repartitionById(partitions, inside.cast("int"))
+
+
+def stride_scans(
+    table: DataFrame, column: str, lower: int, upper: int, partitions: int
+) -> DataFrame:
+    """One filtered scan for each stride of a whole-number column, as a database is read in parallel.
+
+    Each stride's bounds are a filter that reaches its own scan, so that a source
+    with statistics or an index on the column reads its part only, and no row is
+    exchanged. Rows outside the bounds and nulls are in the first or last stride.
+    The number of scans is the caller's, as it is that of connections.
+    """
+    step = max(1, -(-(upper - lower + 1) // partitions))
+    starts = list(range(lower + step, upper + 1, step))
+    value = F.col(column)
+    if not starts:
+        return table
+    first = value.isNull() | (value < starts[0])
+    middle = [(value >= a) & (value < b) for a, b in zip(starts, starts[1:])]
+    return reduce(DataFrame.union, [table.filter(c) for c in (first, *middle, value >= starts[-1])])

@@ -11,7 +11,9 @@ from tidemark.operators.sketches import (
     distinct_sketches,
     quantile_columns,
     quantile_sketches,
+    returning,
     rolling_sketches,
+    set_sketches,
     unite_quantiles,
     unite_sketches,
 )
@@ -86,3 +88,17 @@ def test_sketches_do_not_depend_on_the_order_of_rows(spark):
     frames = [spark.createDataFrame(r, "k int, v int").repartition(n) for r, n in ((rows, 1), (rows[::-1], 7))]
     a, b = ({r[0]: r[1] for r in distinct_sketches(f, ["k"], "v").select("k", distinct_estimate()).collect()} for f in frames)
     assert a == pytest.approx(b, rel=0.001)
+
+
+def test_returning_and_lost_values(spark, visits):
+    weekly = visits.withColumn("week", F.floor(F.datediff("day", F.lit(DAY)) / 7))
+    got = {(r.source, r.week): r for r in returning(set_sketches(weekly, ["source", "week"], "user"), ["source"], "week", 1).collect()}
+    users = {}
+    for r in weekly.select("source", "week", "user").distinct().collect():
+        users.setdefault((r.source, r.week), set()).add(r.user)
+    assert got.keys() == users.keys()
+    for (source, week), r in got.items():
+        now, before = users[source, week], users.get((source, week - 1), set())
+        slack = 0.05 * max(len(now), len(before))
+        assert abs(r.seen - len(now)) <= slack
+        assert abs(r.returned - len(now & before)) <= slack and abs(r.left - len(before - now)) <= slack

@@ -52,6 +52,34 @@ def rolling_sketches(daily: DataFrame, keys: Sequence[str], day: str, days: int,
     return united.join(own.withColumnRenamed("_own", day), [*keys, day], "left_semi")
 
 
+def set_sketches(frame: DataFrame, keys: Sequence[str | Column], value: str, alias: str = "sketch") -> DataFrame:
+    """(keys, sketch): theta sketches, which can also be intersected and subtracted.
+
+    Their error is that of the larger set: an intersection of two large sets that is
+    small is known to a few per cent of these.
+    """
+    return frame.groupBy(*keys).agg(F.theta_sketch_agg(value, F.lit(LG_REGISTERS)).alias(alias))
+
+
+def returning(sketches: DataFrame, keys: Sequence[str], period: str, step: int, alias: str = "sketch") -> DataFrame:
+    """(keys, period, seen, returned, left): of each period's distinct values, those of the period before.
+
+    ``period`` is a whole number or date, ``step`` the distance of two periods.
+    ``returned`` were there before as well, ``left`` were there before and are not
+    now; both are 0 where the period before has no sketch.
+    """
+    before = sketches.withColumn(period, F.col(period) + step).withColumnRenamed(alias, "_before")
+    both = sketches.join(before, [*keys, period], "left")
+    none = F.lit(0).cast("bigint")
+    return both.select(
+        *quoted(keys),
+        period,
+        F.theta_sketch_estimate(alias).alias("seen"),
+        F.coalesce(F.theta_sketch_estimate(F.theta_intersection(alias, "_before")), none).alias("returned"),
+        F.coalesce(F.theta_sketch_estimate(F.theta_difference("_before", alias)), none).alias("left"),
+    )
+
+
 def quantile_sketches(
     frame: DataFrame, keys: Sequence[str | Column], value: str, alias: str = "sketch", size: int = QUANTILE_SIZE
 ) -> DataFrame:

@@ -13,7 +13,9 @@ from tidemark.operators.sketches import (
     distinct_sketches,
     quantile_columns,
     quantile_sketches,
+    returning,
     rolling_sketches,
+    set_sketches,
     unite_quantiles,
     unite_sketches,
 )
@@ -95,6 +97,43 @@ def distinct_sketch_rolling(t: Tables):
     )
 
 
+@query(
+    "returning_users_sketch",
+    """
+    WITH active AS (SELECT DISTINCT event_type, date_diff('week', TIMESTAMP '2023-12-25', ts) AS week, user_id FROM events),
+    marked AS (SELECT a.event_type, a.week, count(*) AS seen, count(b.user_id) AS returned
+               FROM active a LEFT JOIN active b
+                    ON b.event_type = a.event_type AND b.user_id = a.user_id AND b.week = a.week - 1
+               GROUP BY 1, 2)
+    SELECT event_type, week::BIGINT AS week, seen, returned, TRUE AS approx_within_5_percent FROM marked
+    """,
+)
+def returning_users_sketch(t: Tables):
+    """Users of each week that were there the week before, by intersecting weekly sketches; against exact counts."""
+    week = F.floor(F.datediff(F.to_date("ts"), F.lit("2023-12-25").cast("date")) / 7).alias("week")
+    events = t.events.select("event_type", week, "user_id")
+    found = returning(stored(set_sketches(events, ["event_type", "week"], "user_id"), "weekly"), ["event_type"], "week", 1)
+    # The exact counts, for comparison: a user's weeks next to each other.
+    active = events.distinct()
+    earlier = active.select("event_type", (F.col("week") + 1).alias("week"), "user_id", F.lit(1).alias("again"))
+    exact = (
+        active.join(earlier, ["event_type", "week", "user_id"], "left")
+        .groupBy("event_type", "week")
+        .agg(count_rows("exact_seen"), F.count("again").alias("exact_returned"))
+    )
+    both = found.join(exact, ["event_type", "week"], "full_outer")
+    gap = F.greatest(
+        F.abs(F.col("seen") - F.col("exact_seen")), F.abs(F.col("returned") - F.col("exact_returned"))
+    )
+    return both.select(
+        "event_type",
+        "week",
+        F.col("exact_seen").alias("seen"),
+        F.col("exact_returned").alias("returned"),
+        F.coalesce(gap <= 0.05 * F.col("exact_seen"), F.lit(False)).alias("approx_within_5_percent"),
+    )
+
+
 SHARES = {"q1": 0.25, "median": 0.5, "q3": 0.75, "p99": 0.99}
 
 

@@ -60,7 +60,7 @@ def test_nothing_else_imports_the_subpackage():
 def test_stages_drop_what_their_operators_say(spark, edge_docs, tmp_path):
     labels = spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int")
     labels.write.parquet(str(tmp_path / "labels.parquet"))
-    docs, sizes = edge_docs, [edge_docs.count()]
+    docs, sizes = edge_docs.withColumns({"_row": F.lit("own"), "_ROW2": F.lit(7)}), [edge_docs.count()]
     for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
         before, columns = docs, docs.columns
         stage(spark, docs, str(tmp_path)).write.parquet(str(tmp_path / str(i)))
@@ -74,6 +74,7 @@ def test_stages_drop_what_their_operators_say(spark, edge_docs, tmp_path):
             assert all((a ^ b).bit_count() > 4 for i, a in enumerate(prints) for b in prints[:i])
         if i < 4:
             assert docs.columns == columns
+            assert docs.filter("_row <> 'own' OR _ROW2 <> 7").count() == 0
             assert docs.filter(F.length("text") != F.col("n_chars")).count() == 0
     assert sizes[1] < sizes[0] and sizes[3] < sizes[2]
 

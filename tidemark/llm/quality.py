@@ -10,7 +10,6 @@ words (``word_model``), which tells word order and wrong words.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np

@@ -107,26 +107,35 @@ def map_batches(
     return frame.mapInArrow(run, StructType([*kept, *made]))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_row``, which tells its rows apart, stored with its rows.
+def free_name(frame: DataFrame, name: str) -> str:
+    """The name, with a number behind it if the frame has a column of that name (in any case)."""
+    taken = {c.lower() for c in frame.columns}
+    names = [name, *(f"{name}{i}" for i in range(2, len(taken) + 3))]
+    return next(n for n in names if n.lower() not in taken)
+
+
+def numbered(docs: DataFrame, name: str = "_row") -> DataFrame:
+    """``docs`` with a column (see ``free_name``) that tells its rows apart, stored with its rows.
 
     The number follows from how the files are split among tasks, which may change
     from one read to the next (with the cores registered at the moment), so it is
     given out once and read back afterwards.
     """
-    return stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
-def without_rows(docs: DataFrame, dropped: DataFrame, most_rows: int = 1_000_000) -> DataFrame:
-    """The ``numbered`` docs whose ``_row`` is not in ``dropped``.
+def without_rows(
+    docs: DataFrame, dropped: DataFrame, name: str = "_row", most_rows: int = 1_000_000
+) -> DataFrame:
+    """The ``numbered`` docs whose number is not in ``dropped``, without the number.
 
     The numbers to drop are stored and counted: up to ``most_rows`` are broadcast,
     so that the texts stay where they are, more are joined.
     """
-    dropped = stored(dropped.select("_row"), "dropped")
+    dropped = stored(dropped.select(name), "dropped")
     if dropped.count() <= most_rows:
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, "_row", "left_anti").drop("_row")
+    return docs.join(dropped, name, "left_anti").drop(name)
 
 
 # Ranges that a table is cut into at most; a sketch of their cuts has some MB.

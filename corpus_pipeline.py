@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chunk_dedup, packing, quality, simhash, toxicity
-from tidemark.llm.shared import numbered, prepare, without_rows
+from tidemark.llm.shared import free_name, numbered, prepare, without_rows
 from tidemark.operators.joins import left_lookup
 from tidemark.session import clear_scratch, scratch_scope, stored
 
@@ -47,18 +47,20 @@ def cleared(stage: Stage) -> Stage:
 @cleared
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    rows = numbered(docs)
-    verdicts = quality.quality(rows, carry=("_row",))
-    return without_rows(rows, verdicts.filter("NOT kept"))
+    row = free_name(docs, "_row")
+    rows = numbered(docs, row)
+    verdicts = quality.quality(rows, carry=(row,))
+    return without_rows(rows, verdicts.filter("NOT kept"), row)
 
 
 @cleared
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    rows = numbered(docs)
-    scores = toxicity.score_documents(rows, labels, carry=("_row",))
-    return without_rows(rows, scores.filter("predicted = 1"))
+    row = free_name(docs, "_row")
+    rows = numbered(docs, row)
+    scores = toxicity.score_documents(rows, labels, carry=(row,))
+    return without_rows(rows, scores.filter("predicted = 1"), row)
 
 
 @cleared
@@ -67,12 +69,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Ids that are null come last; among equal ids the first row of the table stays.
     """
-    rows = numbered(docs)
-    near = stored(simhash.near_duplicates(rows, carry=("doc_id", "_row")), "near")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    firsts = near.groupBy("root").agg(F.min(order)["_row"].alias("first"))
-    others = left_lookup(near, firsts, ["root"], "inner").filter(F.col("_row") != F.col("first"))
-    return without_rows(rows, others)
+    row = free_name(docs, "_row")
+    rows = numbered(docs, row)
+    near = stored(simhash.near_duplicates(rows, carry=("doc_id", row)), "near")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    firsts = near.groupBy("root").agg(F.min(order)[row].alias("first"))
+    others = left_lookup(near, firsts, ["root"], "inner").filter(F.col(row) != F.col("first"))
+    return without_rows(rows, others, row)
 
 
 @cleared

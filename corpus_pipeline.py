@@ -124,4 +124,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
-    return STAGES[-1][1](spark, docs, sf_dir)
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    # The result reads what its stage has stored: no later run clears that.
+    _stored_before.pop(spark.sparkContext.applicationId)
+    return packed

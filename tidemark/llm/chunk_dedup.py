@@ -90,14 +90,14 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 CHUNK_FIELDS = {
     "high": pa.int64(),
-    "low": pa.int64(),
+    "low": pa.int32(),
     "_id": pa.int64(),
     "_twin": pa.int64(),
     "place": pa.int32(),
     "n_words": pa.int32(),
     "repeated": pa.bool_(),
 }
-CHUNK_SCHEMA = "high long, low long, _id long, _twin long, place int, n_words int, repeated boolean"
+CHUNK_SCHEMA = "high long, low int, _id long, _twin long, place int, n_words int, repeated boolean"
 
 
 def _first_of_each(table: list[np.ndarray]) -> np.ndarray:
@@ -116,7 +116,7 @@ def _first_of_each(table: list[np.ndarray]) -> np.ndarray:
 
 
 def chunks(docs: DataFrame, words_per_chunk: int = WORDS_PER_CHUNK) -> DataFrame:
-    """The chunks of every text: digest (128 bits in ``high``, ``low``), place, words.
+    """The chunks of every text: digest (96 bits in ``high``, ``low``), place, words.
 
     ``n_words`` is that of a chunk's words or, if larger, its bytes by
     ``BYTES_PER_WORD``, so that text without white space counts as well.
@@ -162,7 +162,7 @@ def chunks(docs: DataFrame, words_per_chunk: int = WORDS_PER_CHUNK) -> DataFrame
             waiting.append(
                 [
                     halves[:, 0].copy(),
-                    halves[:, 1].copy(),
+                    halves[:, 1].astype(np.int32).astype(np.int64),
                     *(np.repeat(i, sizes) for i in ids),
                     np.array(places, np.int64),
                     np.array(words, np.int64),

@@ -31,7 +31,11 @@ ASCII_RARE_SPACE = [c for c in RARE_SPACE if c.isascii()]
 MARKS = frozenset(".,;:!?")
 
 PIECES_KEPT = 250_000  # of the latest, and as many from before
+# Where a worker has one table only.
+WORDS_KEPT = 600_000
 LONGEST_KEPT = 100
+# Packers of so many ids as little-endian unsigned 32-bit integers.
+PACKERS = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
 
 def is_plain_word(piece: str) -> bool:
@@ -52,8 +56,10 @@ class PieceIds(dict):
         encode: Callable[[str], list[int]],
         mark: Callable[[str], bytes] | None = None,
         is_word: Callable[[str], bool] | None = None,
+        kept: int | None = None,
     ):
         super().__init__()
+        self.kept = kept or PIECES_KEPT
         self.encode, self.mark, self.is_word = encode, mark or self.__getitem__, is_word or is_plain_word
         self.earlier: dict[str, bytes] = {}
 
@@ -64,10 +70,11 @@ class PieceIds(dict):
                 packed = self[piece[:-1]] + self.mark(piece[-1])
             else:
                 ids = self.encode(piece)
-                packed = struct.pack(f"<{len(ids)}I", *ids)
+                n = len(ids)
+                packed = PACKERS[n](*ids) if n < len(PACKERS) else struct.pack(f"<{n}I", *ids)
             if len(piece) > LONGEST_KEPT:
                 return packed
-        if len(self) >= PIECES_KEPT:
+        if len(self) >= self.kept:
             self.earlier = dict(self)
             self.clear()
         self[piece] = packed
@@ -198,7 +205,7 @@ def word_coder(vocabulary: bytes) -> Callable[[str], bytes]:
     are in the table once, however written.
     """
     tokenizer = Tokenizer.from_str(vocabulary.decode())
-    lowered = PieceIds(_split_coder(tokenizer)).__getitem__
+    lowered = PieceIds(_split_coder(tokenizer), kept=WORDS_KEPT).__getitem__
     others = PieceIds(_whole_coder(tokenizer), is_word=lambda piece: False).__getitem__
     normal = tokenizer.normalizer.normalize_str
     # Lowered by what stands around them, or otherwise by the library.

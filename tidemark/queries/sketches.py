@@ -53,25 +53,29 @@ def distinct_sketch_rollup(t: Tables):
     write_parquet(hourly.withColumn("day", F.to_date("hour")), path, partition_by=["day"])
     sketches = t.spark.read.parquet(path)
 
-    def level(name: str, keys_of) -> DataFrame:
-        united = unite_sketches(sketches, keys_of("hour"))
-        exact = t.events.groupBy(*keys_of("ts")).agg(F.count_distinct("user_id").alias("exact_users"))
-        keys = [c for c in united.columns if c != "sketch"]
-        both = united.join(exact, keys, "full_outer") if keys else united.join(exact)
-        shown = [stamp(F.col("period")) if "period" in keys else F.lit(None).cast("string")]
-        kind = F.col("event_type") if "event_type" in keys else F.lit(None).cast("string")
-        return both.select(
-            F.lit(name).alias("level"),
-            kind.alias("event_type"),
-            shown[0].alias("period"),
+    def level(unit: str) -> DataFrame:
+        def keys(time: str) -> list:
+            return ["event_type", F.date_trunc(unit, time).cast("timestamp").alias("period")]
+
+        united = unite_sketches(sketches, keys("hour"))
+        exact = t.events.groupBy(*keys("ts")).agg(F.count_distinct("user_id").alias("exact_users"))
+        return united.join(exact, ["event_type", "period"], "full_outer").select(
+            F.lit(unit).alias("level"),
+            "event_type",
+            stamp(F.col("period")).alias("period"),
             "exact_users",
             close(distinct_estimate(), F.col("exact_users")),
         )
 
-    def by(unit: str):
-        return lambda time: ["event_type", F.date_trunc(unit, time).cast("timestamp").alias("period")]
-
-    return level("day", by("day")).union(level("month", by("month"))).union(level("all", lambda time: []))
+    none = F.lit(None).cast("string")
+    every = t.events.agg(F.count_distinct("user_id").alias("exact_users")).select(
+        F.lit("all").alias("level"),
+        none.alias("event_type"),
+        none.alias("period"),
+        "exact_users",
+        close(unite_sketches(sketches, []).select(distinct_estimate()).scalar(), F.col("exact_users")),
+    )
+    return level("day").union(level("month")).union(every)
 
 
 @query(

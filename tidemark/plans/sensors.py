@@ -19,7 +19,7 @@ from tidemark.operators.joins import left_lookup
 from tidemark.operators.merge import merge_upsert
 from tidemark.operators.windows import latest_per_slot
 from tidemark.session import stored
-from tidemark.sources.partitioned import high_water_mark, merge_into_partitions
+from tidemark.sources.partitioned import high_water_mark, replace_in_partitions
 
 MEASURES = ("first_value", "last_value", "min_value", "max_value", "mode_value", "avg_value")
 
@@ -280,8 +280,8 @@ def upsert_rollup(
 def upsert_in_days(
     spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], batch_id: int | str | None = None
 ) -> bool:
-    """``upsert_rollup`` of a table in days (``with_day``): only the days of the source are rewritten."""
-    return merge_into_partitions(spark, path, source, [*keys, "window_end"], ["day"], batch_id)
+    """Put a summary's periods, one row each, into a table in days (``with_day``): only their days are rewritten."""
+    return replace_in_partitions(spark, path, source, [*keys, "window_end"], ["day"], batch_id)
 
 
 def pending_windows(

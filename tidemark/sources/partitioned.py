@@ -110,6 +110,28 @@ def merge_into_partitions(
     return rewrite_folders(spark, path, source, folders, combine, batch_id)
 
 
+def replace_in_partitions(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    folders: Sequence[str],
+    batch_id: int | str | None = None,
+) -> bool:
+    """``merge_into_partitions`` of a source that is unique per key, as an aggregate by the keys is.
+
+    Its rows take the place of the table's rows of the same keys, so that one anti
+    join of the touched folders is all there is to do.
+    """
+    by = list(dict.fromkeys([*keys, *folders]))
+
+    def combine(target: DataFrame, rows: DataFrame) -> DataFrame:
+        kept = target.join(rows.select(*quoted(by)), by, "left_anti")
+        return kept.unionByName(rows)
+
+    return rewrite_folders(spark, path, source, folders, combine, batch_id)
+
+
 def _noted(spark: SparkSession, path: str) -> str | None:
     """Name of the merge that was staged last."""
     if not has_files(spark, path):

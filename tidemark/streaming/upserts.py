@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.times import epoch_seconds
-from tidemark.plans.sensors import rollup, summarise_latest, with_day
+from tidemark.plans.sensors import rollup, summarise_latest, upsert_in_days, with_day
 from tidemark.session import stored
-from tidemark.sources.partitioned import merge_into_partitions, within_folders
+from tidemark.sources.partitioned import within_folders
 from tidemark.streaming.sinks import append_batches
 
 
@@ -35,7 +35,7 @@ def upsert_periods(
     The (key, period) pairs that it touches are summed up again from everything that
     was read of them so far: a reading that comes a day late corrects the period
     that it belongs to. The result is merged into the days of ``table_path`` that
-    it falls in (``merge_into_partitions``, noted under the batch id), so a batch
+    it falls in (``upsert_in_days``, noted under the batch id), so a batch
     can be repeated at any point, and days without news are not opened for writing.
 
     ``seconds`` is the length of a period, a divisor of a day; ``bucket_seconds``
@@ -57,9 +57,7 @@ def upsert_periods(
             touched.drop("day"), [*keys, "_period"], "left_semi"
         )
         buckets = summarise_latest(again, keys, time, value, bucket_seconds, tiebreak)
-        merge_into_partitions(
-            spark, table_path, with_day(rollup(buckets, keys, seconds)), [*keys, "window_end"], ["day"], batch_id
-        )
+        upsert_in_days(spark, table_path, with_day(rollup(buckets, keys, seconds)), keys, batch_id)
 
     return handle
 

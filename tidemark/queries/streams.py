@@ -16,6 +16,7 @@ from tidemark.operators.sketches import distinct_estimate, unite_sketches
 from tidemark.plans.messages import accepted, between, parse_payload, rejected, split_payload
 from tidemark.queries.registry import Tables, query
 from tidemark.session import scratch_path
+from tidemark.sources.readers import parts_of_size
 from tidemark.sources.writers import write_csv, write_json, write_parquet
 from tidemark.streaming import monitor
 from tidemark.streaming.jobs import (
@@ -77,6 +78,11 @@ def delivery_number(t: Tables) -> Column:
     return F.coalesce(sum([F.when(seconds > cut, 1).otherwise(0) for cut in cuts], F.lit(0)), F.lit(0))
 
 
+def files_per_delivery(t: Tables) -> int:
+    """As many files as hold 128 MB each, by the size of the events' files."""
+    return parts_of_size(t.events, DELIVERIES * (128 << 20))
+
+
 def delivered_events(t: Tables) -> str:
     """A folder to which the events came in ``DELIVERIES`` deliveries, oldest first.
 
@@ -89,7 +95,7 @@ def delivered_events(t: Tables) -> str:
         numbered = t.events.withColumn("_delivery", delivery_number(t))
         for i in range(DELIVERIES):
             rows = numbered.filter(F.col("_delivery") == i).drop("_delivery")
-            rows.hint("rebalance").write.mode("append").parquet(folder)
+            rows.repartition(files_per_delivery(t)).write.mode("append").parquet(folder)
         _delivered[key] = folder
     return _delivered[key]
 
@@ -643,7 +649,7 @@ def replayed_events(t: Tables) -> str:
     for file in files:
         rows = t.spark.read.parquet(file)
         again = rows if before is None else rows.unionByName(before)
-        again.hint("rebalance").write.mode("append").parquet(folder)
+        again.repartition(files_per_delivery(t)).write.mode("append").parquet(folder)
         newest = rows.agg(F.max("ts")).scalar()
         before = rows.filter(F.col("ts") > newest - F.expr("interval 1 hour"))
     return folder
@@ -718,7 +724,7 @@ def stream_upsert_rollup(t: Tables):
     numbered = t.events.withColumn("_delivery", number)
     for i in range(DELIVERIES + 1):
         rows = numbered.filter(F.col("_delivery") == i).drop("_delivery")
-        rows.hint("rebalance").write.mode("append").parquet(deliveries)
+        rows.repartition(files_per_delivery(t)).write.mode("append").parquet(deliveries)
     stream = file_stream(t.spark, deliveries, t.events.schema, files_per_trigger=1)
     stream = stream.withColumn("ts", F.col("ts").cast("timestamp"))
     handle = upsert_periods(readings, table, ["user_id", "event_type"], "ts", "value", 3600, ["event_id"])

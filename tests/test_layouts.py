@@ -4,6 +4,7 @@ import random
 from collections import Counter
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,7 +17,8 @@ from tidemark.operators.frequent import frequency_summaries, top_values
 from tidemark.operators.joins import frequent_keys, salted_join
 from tidemark.operators.variants import flatten_json, merged_schema, parsed
 from tidemark.session import stored
-from tidemark.sources.readers import bytes_of_files, parts_of_size
+from tidemark.sources import writers
+from tidemark.sources.readers import bytes_in_memory, bytes_of_files, parts_of_size, range_partitioned
 from tidemark.sources.writers import compact, compact_by_curve
 from tidemark.streaming.monitor import checked
 
@@ -193,6 +195,44 @@ def test_rows_are_kept_and_a_hot_place_is_spread(spark, by_curve, tmp_path):
     assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
 
 
+@pytest.mark.parametrize("by_place", [False, True])
+def test_a_file_is_sorted_in_several_tasks_and_stays_in_order(spark, tmp_path, monkeypatch, by_place):
+    frame = stored(readings(spark, 6_000).withColumn("tag", F.when(F.col("tag") != "c", F.col("tag"))), "readings")
+    path, sorted_by = str(tmp_path / "out"), []
+    monkeypatch.setattr(
+        writers, "range_partitioned", lambda f, n, *by: sorted_by.append(n) or range_partitioned(f, n, *by)
+    )
+    monkeypatch.setattr(writers, "RUN_BYTES", bytes_in_memory(frame) // 17, raising=False)
+    monkeypatch.setattr(writers, "FILES_PER_JOB", 2, raising=False)
+    before = spark.conf.get("spark.sql.unionOutputPartitioning", None)
+    if by_place:
+        compact_by_curve(frame, path, COLUMNS, files=3)
+    else:
+        compact(frame, path, ["device", "tag"], file_bytes=1 + bytes_of_files(spark, *frame.inputFiles()) // 3)
+    # The rows of a file are too many for a task: six tasks or more for each of three files.
+    assert sorted_by[0] >= 18
+    written = spark.read.parquet(path)
+    assert written.columns == frame.columns and written.exceptAll(frame).isEmpty() and written.count() == 6_000
+    assert spark.conf.get("spark.sql.unionOutputPartitioning", None) == before
+    files = written.inputFiles()
+    assert len(files) == 3
+    if not by_place:
+        ordered = [pq.read_table(f.removeprefix("file:")).to_pylist() for f in files]
+        keys = [[(r["device"], r["tag"] or "") for r in rows] for rows in ordered]
+        assert all(k == sorted(k) for k in keys)
+        keys.sort()
+        assert all(a[-1] <= b[0] for a, b in zip(keys, keys[1:])) and min(map(len, keys)) > 1_000
+
+
+def test_bytes_in_memory_follow_the_rows(spark):
+    numbers = spark.range(1_000)
+    texts = numbers.select("id", F.repeat(F.lit("é"), 50).alias("a`b"), F.lit(None).cast("string").alias("none"))
+    nested = numbers.select(F.sequence(F.lit(0), F.lit(99)).alias("list"), F.struct("id").alias("pair"))
+    assert bytes_in_memory(numbers) == 64_000 and bytes_in_memory(numbers.limit(0)) == 0
+    assert bytes_in_memory(texts) == 1_000 * (56 + 3 * 8 + 100)
+    assert bytes_in_memory(nested) >= 1_000 * 100 * 8
+
+
 def test_places_interleave_the_bits_of_the_ranks(spark):
     rows = [(a, b) for a in range(4) for b in range(4)]
     frame = spark.createDataFrame(rows, "a int, b int")

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 Schema = StructType | str
 
@@ -85,6 +85,24 @@ def parts_of_size(frame: DataFrame, part_bytes: int) -> int:
     return max(1, -(-size // part_bytes))
 
 
+def bytes_in_memory(frame: DataFrame) -> int:
+    """About how many bytes the rows take while they are sorted, from one pass over texts and nested columns.
+
+    Eight for each column, what texts hold, and 56 for the row and its place in the
+    order. Nested values count four times their length as JSON, where an element of
+    eight bytes has two characters at least.
+    """
+    held = []
+    for field in frame.schema:
+        value = F.col("`" + field.name.replace("`", "``") + "`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            held.append(F.octet_length(value))
+        elif isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+            held.append(4 * F.octet_length(F.to_json(F.struct(value), {"ignoreNullFields": "false"})))
+    n, *sums = frame.agg(F.count(F.lit(1)), *[F.sum(h.cast("long")) for h in held]).first()
+    return n * (56 + 8 * len(frame.columns)) + sum(x or 0 for x in sums)
+
+
 def stride_partitioned(
     frame: DataFrame, column: str, lower: int, upper: int, partitions: int
 ) -> DataFrame:

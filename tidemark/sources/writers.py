@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
+import re
+from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.curve import with_curve_position
-from tidemark.sources.readers import parts_of_size, range_partitioned
+from tidemark.session import clear_scratch, scratch_path, with_settings
+from tidemark.sources.readers import bytes_in_memory, parts_of_size, range_partitioned
+
+# Bytes in memory that one task sorts: about as much as a partition has elsewhere.
+RUN_BYTES = 256 << 20
+# Files that a job makes of sorted runs, which bounds its plan.
+FILES_PER_JOB = 16
 
 
 def write_parquet(
@@ -108,8 +117,7 @@ def compact(
     which lets later scans skip row groups. Give a frame that is read from files;
     a costly one is better ``stored`` first, which also gives its own size.
     """
-    clustered = range_partitioned(frame, parts_of_size(frame, file_bytes), *cluster_by)
-    clustered.sortWithinPartitions(*cluster_by).write.mode(mode).parquet(path)
+    write_in_order(frame, path, cluster_by, parts_of_size(frame, file_bytes), mode)
 
 
 def compact_by_curve(
@@ -128,5 +136,38 @@ def compact_by_curve(
     """
     files = files or parts_of_size(frame, file_bytes)
     placed = with_curve_position(frame, cluster_by, "_place")
-    ranged = range_partitioned(placed, files, "_place").sortWithinPartitions("_place")
-    ranged.drop("_place").write.mode(mode).parquet(path)
+    write_in_order(placed, path, ["_place"], files, mode, without=["_place"])
+
+
+def write_in_order(
+    frame: DataFrame, path: str, columns: Sequence[str], files: int, mode: str, without: Sequence[str] = ()
+) -> None:
+    """Rows in so many files, each a range of ``columns`` in their order; columns in ``without`` are left out.
+
+    A file can be larger than what a task should sort. It is then made of several
+    runs of about ``RUN_BYTES`` in memory: each is sorted by a task of its own and
+    stored, and the runs of a file are copied into it one after another. Above
+    ``FILES_PER_JOB`` files that takes several jobs, which append to the first one's
+    (one job for the mode "ignore"); one that fails leaves the files of those before.
+    """
+    spark = frame.sparkSession
+    runs_per_file = max(1, -(-bytes_in_memory(frame) // (files * RUN_BYTES)))
+    runs = range_partitioned(frame, files * runs_per_file, *columns).sortWithinPartitions(*columns).drop(*without)
+    if runs_per_file == 1:
+        runs.write.mode(mode).parquet(path)
+        return
+    folder = scratch_path(spark, "runs")
+    runs.write.parquet(folder)
+    # Spark names a file by the task, which is the run, and by its place in it.
+    found = [re.search(r"part-(\d+)[^/]*$", f) for f in spark.read.parquet(folder).inputFiles()]
+    by_file = defaultdict(list)
+    for run, name in sorted((int(f[1]), f[0]) for f in found):
+        by_file[run // runs_per_file].append(spark.read.schema(runs.schema).parquet(f"{folder}/{name}"))
+    copies = [reduce(DataFrame.union, parts).coalesce(1) for parts in by_file.values()]
+    at_once = len(copies) if mode == "ignore" else FILES_PER_JOB
+    # Else Spark makes one part, and so one file, of parts that are single each.
+    with with_settings(spark, {"spark.sql.unionOutputPartitioning": "false"}):
+        for first in range(0, len(copies), at_once):
+            some = reduce(DataFrame.union, copies[first : first + at_once])
+            some.write.mode("append" if first else mode).parquet(path)
+    clear_scratch(spark, folder)
